@@ -94,3 +94,223 @@ SQL["event_points"] = with_ctes(POINTS, """
 SELECT event, division, first_name, last_name, age, division_place, race_role, points
 FROM points
 """)
+
+SQL["field_size"] = with_ctes(RESULTS, """
+SELECT event, division, CAST(max(division_place) AS BIGINT) AS max_place
+FROM results WHERE race_role = 'main' GROUP BY event, division
+""")
+
+SQL["placement_points"] = with_ctes(POINTS, """
+SELECT event, division, first_name, last_name, division_place, max_place,
+       round(placement * 1e4, 0) / 1e4 AS placement,
+       round(floored * 1e4, 0) / 1e4 AS floored
+FROM points JOIN sizes USING (event, division)
+WHERE race_role = 'main'
+""")
+
+SQL["age_bonus"] = with_ctes(POINTS, """
+SELECT event, division, first_name, last_name, age, round(bonus * 1e4, 0) / 1e4 AS bonus
+FROM points WHERE race_role = 'main'
+""")
+
+SQL["participation_points"] = with_ctes(POINTS, """
+SELECT event, division, first_name, last_name, points
+FROM points WHERE race_role = 'participation'
+""")
+
+# --- season ---------------------------------------------------------------
+SEASON = POINTS + """,
+ranked_pts AS (
+  SELECT *, row_number() OVER (PARTITION BY division, first_name, last_name ORDER BY points DESC) AS k
+  FROM points
+),
+season0 AS (
+  SELECT division, first_name, last_name,
+         count(points) AS n_events,
+         CAST(sum(CAST(round(points * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6 AS all_points,
+         CAST(sum(CAST(round(points * 1e6, 0) AS BIGINT)) FILTER (WHERE k <= 6) AS DOUBLE) / 1e6 AS best_points,
+         max(points) FILTER (WHERE event = 1995) AS e1995_points,
+         max(points) FILTER (WHERE event = 1996) AS e1996_points,
+         max(points) FILTER (WHERE event = 1997) AS e1997_points,
+         max(points) FILTER (WHERE event = 1998) AS e1998_points,
+         max(points) FILTER (WHERE event = 1999) AS e1999_points,
+         max(points) FILTER (WHERE event = 2000) AS e2000_points,
+         max(points) FILTER (WHERE event = 2001) AS e2001_points
+  FROM ranked_pts GROUP BY division, first_name, last_name
+),
+season1 AS (
+  SELECT *,
+         CAST(0.0 AS DOUBLE)
+           + CASE WHEN n_events >= 3 THEN CAST(15.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+           + CASE WHEN n_events >= 6 THEN CAST(20.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+           + CASE WHEN n_events >= 9 THEN CAST(25.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS incentive
+  FROM season0
+),
+adj AS (
+  SELECT 'C' AS first_name, CAST(c_custkey AS VARCHAR) AS last_name, sum(CAST(-10.0 AS DOUBLE)) AS adjustment
+  FROM customer WHERE c_acctbal < 0 GROUP BY 1, 2
+),
+season AS (
+  SELECT s.*, coalesce(a.adjustment, CAST(0.0 AS DOUBLE)) AS adjustment,
+         best_points + incentive + coalesce(a.adjustment, CAST(0.0 AS DOUBLE)) AS series_points
+  FROM season1 s LEFT JOIN adj a ON s.first_name = a.first_name AND s.last_name = a.last_name
+),
+standings AS (
+  SELECT division,
+         CAST(row_number() OVER (PARTITION BY division
+                                 ORDER BY series_points DESC, first_name DESC, last_name DESC) AS BIGINT) AS overall_place,
+         first_name || ' ' || last_name AS name, first_name, last_name, n_events,
+         round(series_points * 100, 0) / 100 AS series_points,
+         coalesce(round(e1995_points * 100, 0) / 100, 0.0) AS e1995_points,
+         coalesce(round(e1996_points * 100, 0) / 100, 0.0) AS e1996_points,
+         coalesce(round(e1997_points * 100, 0) / 100, 0.0) AS e1997_points,
+         coalesce(round(e1998_points * 100, 0) / 100, 0.0) AS e1998_points,
+         coalesce(round(e1999_points * 100, 0) / 100, 0.0) AS e1999_points,
+         coalesce(round(e2000_points * 100, 0) / 100, 0.0) AS e2000_points,
+         coalesce(round(e2001_points * 100, 0) / 100, 0.0) AS e2001_points
+  FROM season
+)"""
+
+SQL["season_points"] = with_ctes(SEASON, """
+SELECT division, first_name, last_name, n_events, all_points FROM season
+""")
+
+SQL["best_six"] = with_ctes(SEASON, """
+SELECT division, first_name, last_name, best_points FROM season
+""")
+
+SQL["incentives"] = with_ctes(SEASON, """
+SELECT division, first_name, last_name, n_events, incentive FROM season
+""")
+
+SQL["adjustments"] = with_ctes(SEASON, """
+SELECT division, first_name, last_name, adjustment, series_points FROM season
+""")
+
+SQL["standings_wide"] = with_ctes(SEASON, "SELECT * FROM standings")
+
+# --- teams ----------------------------------------------------------------
+TEAMS = SEASON + """,
+reg AS (
+  SELECT n_name || ' #' || CAST((rn - 1) // 10 + 1 AS VARCHAR) AS team_name,
+         CAST((rn - 1) % 10 + 1 AS INTEGER) AS slot,
+         'C ' || CAST(c_custkey AS VARCHAR) AS raw_name, c_mktsegment AS raw_division
+  FROM (SELECT c_custkey, c_mktsegment, n_name,
+               row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn
+        FROM customer JOIN nation ON c_nationkey = n_nationkey)
+),
+membership AS (
+  SELECT team_name, slot, trim(raw_division) AS division,
+         split_part(trim(raw_name), ' ', 1) AS first_name,
+         regexp_replace(trim(raw_name), '^[^ ]* ?', '') AS last_name
+  FROM reg
+),
+team_rows AS (
+  SELECT p.event, p.division, p.first_name, p.last_name, p.points, m.team_name
+  FROM points p JOIN membership m
+    ON p.division = m.division AND p.first_name = m.first_name AND p.last_name = m.last_name
+  WHERE p.points IS NOT NULL
+),
+team_ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY team_name, event, division
+                                    ORDER BY CAST(round(points * 1e6, 0) AS BIGINT) DESC,
+                                             last_name, first_name) AS BIGINT) AS team_rank
+  FROM team_rows
+),
+team_event AS (
+  SELECT team_name, event,
+         CAST(sum(CAST(round(points * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6 AS team_points
+  FROM team_ranked WHERE team_rank <= 3 GROUP BY team_name, event
+),
+team_totals AS (
+  SELECT team_name,
+         CAST(sum(CAST(round(team_points * 1e6, 0) AS BIGINT)) AS DOUBLE) / 1e6 AS total_points,
+         coalesce(max(team_points) FILTER (WHERE event = 1995), 0.0) AS e1995_points,
+         coalesce(max(team_points) FILTER (WHERE event = 1996), 0.0) AS e1996_points,
+         coalesce(max(team_points) FILTER (WHERE event = 1997), 0.0) AS e1997_points,
+         coalesce(max(team_points) FILTER (WHERE event = 1998), 0.0) AS e1998_points,
+         coalesce(max(team_points) FILTER (WHERE event = 1999), 0.0) AS e1999_points,
+         coalesce(max(team_points) FILTER (WHERE event = 2000), 0.0) AS e2000_points,
+         coalesce(max(team_points) FILTER (WHERE event = 2001), 0.0) AS e2001_points
+  FROM team_event GROUP BY team_name
+)"""
+
+SQL["membership_unpivot"] = with_ctes(TEAMS, """
+SELECT team_name, slot, division, first_name, last_name FROM membership
+""")
+
+SQL["membership_guard"] = with_ctes(TEAMS, """
+SELECT 'team' AS kind, team_name AS key, count(*) AS n_rows
+FROM (SELECT DISTINCT team_name FROM reg) GROUP BY team_name HAVING count(*) > 1
+UNION ALL
+SELECT 'racer' AS kind, first_name || ' ' || last_name AS key, count(*) AS n_rows
+FROM membership GROUP BY first_name, last_name HAVING count(*) > 1
+""")
+
+SQL["team_join"] = with_ctes(TEAMS, """
+SELECT team_name, event, division, first_name, last_name, points FROM team_rows
+""")
+
+SQL["team_top3"] = with_ctes(TEAMS, """
+SELECT team_name, event, division, first_name, last_name, team_rank, points
+FROM team_ranked WHERE team_rank <= 3
+""")
+
+SQL["team_event_points"] = with_ctes(TEAMS, "SELECT team_name, event, team_points FROM team_event")
+
+SQL["team_standings"] = with_ctes(TEAMS, """
+SELECT CAST(row_number() OVER (ORDER BY total_points DESC, team_name) AS BIGINT) AS overall_place,
+       team_name, round(total_points * 100, 0) / 100 AS total_points,
+       round(e1995_points * 100, 0) / 100 AS e1995_points,
+       round(e1996_points * 100, 0) / 100 AS e1996_points,
+       round(e1997_points * 100, 0) / 100 AS e1997_points,
+       round(e1998_points * 100, 0) / 100 AS e1998_points,
+       round(e1999_points * 100, 0) / 100 AS e1999_points,
+       round(e2000_points * 100, 0) / 100 AS e2000_points,
+       round(e2001_points * 100, 0) / 100 AS e2001_points
+FROM team_totals
+""")
+
+SQL["team_report"] = with_ctes(TEAMS, """
+SELECT team_name, event, division, first_name, last_name, team_rank,
+       round(points * 100, 0) / 100 AS event_points,
+       CASE WHEN team_rank <= 3 THEN 'Yes' ELSE 'No' END AS is_scoring
+FROM team_ranked
+""")
+
+# --- age groups -------------------------------------------------------------
+AGES = TEAMS + """,
+ages AS (
+  SELECT division, first_name || ' ' || last_name AS name, CAST(age AS BIGINT) AS age
+  FROM points WHERE age IS NOT NULL
+),
+modal AS (
+  SELECT division, name, age FROM (
+    SELECT division, name, age,
+           row_number() OVER (PARTITION BY division, name ORDER BY count(*) DESC, age ASC) AS k
+    FROM ages GROUP BY division, name, age) WHERE k = 1
+),
+bands AS (
+  SELECT lower, upper, CAST(lower AS VARCHAR) || '-' || CAST(upper AS VARCHAR) AS age_group
+  FROM (VALUES (0, 30), (31, 35), (36, 40), (41, 45), (46, 50),
+               (51, 55), (56, 60), (61, 65), (66, 70), (71, 123)) t(lower, upper)
+),
+banded AS (
+  SELECT s.division, s.name, s.overall_place, m.age, b.age_group
+  FROM standings s JOIN modal m ON s.division = m.division AND s.name = m.name
+  JOIN bands b ON m.age >= b.lower AND m.age <= b.upper
+  WHERE s.overall_place > 3
+)"""
+
+SQL["age_mode"] = with_ctes(AGES, "SELECT division, name, age FROM modal")
+
+SQL["band_join"] = with_ctes(AGES, """
+SELECT m.division, m.name, m.age, b.age_group
+FROM modal m JOIN bands b ON m.age >= b.lower AND m.age <= b.upper
+""")
+
+SQL["age_group_winners"] = with_ctes(AGES, """
+SELECT division, age_group, name, overall_place FROM (
+  SELECT *, row_number() OVER (PARTITION BY division, age_group ORDER BY overall_place, name) AS k
+  FROM banded) WHERE k = 1
+""")

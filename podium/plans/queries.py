@@ -26,3 +26,129 @@ POINT_COLS = ["event", "division", "first_name", "last_name", "age", "division_p
 @register("event_points")
 def q_event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.event_points(spark, sf_dir).select(*POINT_COLS)
+
+
+def _r4(c):
+    from podium.functions.numbers import round_half_up
+    return round_half_up(c, 4)
+
+
+@register("field_size")
+def q_field_size(spark, sf_dir):
+    from podium.operators.event import field_size
+    return field_size(tb.results(spark, sf_dir))
+
+
+@register("placement_points")
+def q_placement_points(spark, sf_dir):
+    from pyspark.sql import functions as F
+    pts = tb.event_points(spark, sf_dir, keep_steps=True).filter(F.col("race_role") == "main")
+    return pts.select("event", "division", "first_name", "last_name", "division_place", "max_place",
+                      _r4("placement").alias("placement"), _r4("floored").alias("floored"))
+
+
+@register("age_bonus")
+def q_age_bonus(spark, sf_dir):
+    from pyspark.sql import functions as F
+    pts = tb.event_points(spark, sf_dir, keep_steps=True).filter(F.col("race_role") == "main")
+    return pts.select("event", "division", "first_name", "last_name", "age", _r4("bonus").alias("bonus"))
+
+
+@register("participation_points")
+def q_participation_points(spark, sf_dir):
+    from pyspark.sql import functions as F
+    pts = tb.event_points(spark, sf_dir).filter(F.col("race_role") == "participation")
+    return pts.select("event", "division", "first_name", "last_name", "points")
+
+
+RACER = ["division", "first_name", "last_name"]
+
+
+@register("season_points")
+def q_season_points(spark, sf_dir):
+    return tb.season(spark, sf_dir, with_adjustments=False).select(*RACER, "n_events", "all_points")
+
+
+@register("best_six")
+def q_best_six(spark, sf_dir):
+    return tb.season(spark, sf_dir, with_adjustments=False).select(*RACER, "best_points")
+
+
+@register("incentives")
+def q_incentives(spark, sf_dir):
+    return tb.season(spark, sf_dir, with_adjustments=False).select(*RACER, "n_events", "incentive")
+
+
+@register("adjustments")
+def q_adjustments(spark, sf_dir):
+    return tb.season(spark, sf_dir).select(*RACER, "adjustment", "series_points")
+
+
+@register("standings_wide")
+def q_standings_wide(spark, sf_dir):
+    return tb.standings(spark, sf_dir)
+
+
+@register("membership_unpivot")
+def q_membership_unpivot(spark, sf_dir):
+    return tb.membership(spark, sf_dir).select("team_name", "slot", "division", "first_name", "last_name")
+
+
+@register("membership_guard")
+def q_membership_guard(spark, sf_dir):
+    from podium.operators.team import guard_membership
+    reg = tb.registration(spark, sf_dir)
+    from podium.operators.team import unpivot_membership
+    return guard_membership(reg, unpivot_membership(reg, "team_name", tb.REG_SLOTS))
+
+
+@register("team_join")
+def q_team_join(spark, sf_dir):
+    from podium.operators.team import team_event_rows
+    rows = team_event_rows(tb.event_points(spark, sf_dir), tb.membership(spark, sf_dir))
+    return rows.select("team_name", "event", "division", "first_name", "last_name", "points")
+
+
+@register("team_top3")
+def q_team_top3(spark, sf_dir):
+    from podium.operators.team import team_top_k
+    return team_top_k(tb.team_ranked(spark, sf_dir)).select(
+        "team_name", "event", "division", "first_name", "last_name", "team_rank", "points")
+
+
+@register("team_event_points")
+def q_team_event_points(spark, sf_dir):
+    from podium.operators.team import team_event_points
+    return team_event_points(tb.team_ranked(spark, sf_dir))
+
+
+@register("team_standings")
+def q_team_standings(spark, sf_dir):
+    from podium.operators.team import team_event_points, team_standings
+    return team_standings(team_event_points(tb.team_ranked(spark, sf_dir)), tb.EVENT_YEARS)
+
+
+@register("team_report")
+def q_team_report(spark, sf_dir):
+    from podium.operators.team import team_report
+    return team_report(tb.team_ranked(spark, sf_dir))
+
+
+@register("age_mode")
+def q_age_mode(spark, sf_dir):
+    return tb.modal_ages(spark, sf_dir).select("division", "name", "age")
+
+
+@register("band_join")
+def q_band_join(spark, sf_dir):
+    from podium.operators.agegroup import age_bands, band_join
+    return band_join(tb.modal_ages(spark, sf_dir), age_bands(spark)).select("division", "name", "age", "age_group")
+
+
+@register("age_group_winners")
+def q_age_group_winners(spark, sf_dir):
+    from podium.operators.agegroup import age_bands, age_group_winners
+    pts = tb.event_points(spark, sf_dir)
+    st = tb.standings(spark, sf_dir, pts)
+    return age_group_winners(st, tb.modal_ages(spark, sf_dir, pts), age_bands(spark)).select(
+        "division", "age_group", "name", "overall_place")

@@ -77,3 +77,70 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_points(spark: SparkSession, sf_dir: str, keep_steps: bool = False) -> DataFrame:
     return score_event(results(spark, sf_dir), keep_steps=keep_steps)
+
+
+# ---------------------------------------------------------------------------
+# Season, teams, age groups
+# ---------------------------------------------------------------------------
+
+def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manual adjustments: -10 for every customer with a negative account balance."""
+    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
+    return c.select(F.lit("C").alias("first_name"), F.col("c_custkey").cast("string").alias("last_name"),
+                    F.lit(-10.0).alias("bias_adjustment"))
+
+
+def season(spark: SparkSession, sf_dir: str, points: DataFrame | None = None,
+           with_adjustments: bool = True) -> DataFrame:
+    from podium.operators.season import apply_adjustments, season_points
+    pts = points if points is not None else event_points(spark, sf_dir)
+    s = season_points(pts, events=EVENT_YEARS)
+    return apply_adjustments(s, adjustments(spark, sf_dir)) if with_adjustments else s
+
+
+def standings(spark: SparkSession, sf_dir: str, points: DataFrame | None = None) -> DataFrame:
+    from podium.operators.season import standings_wide
+    return standings_wide(season(spark, sf_dir, points), EVENT_YEARS)
+
+
+def registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide team forms: customers of a nation in key order, ten per form.
+
+    Form ``<nation> #<n>`` holds the nation's customers 10(n-1)+1 .. 10n; each slot has
+    a name cell ('C <custkey>') and a division cell (the market segment).
+    """
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    members = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)  # 25 nations: fixed size
+    numbered = distributed_rank(members, ["c_nationkey"], ["c_custkey"], "rn")
+    form = F.floor((F.col("rn") - 1) / 10).cast("long") + 1
+    slot = ((F.col("rn") - 1) % 10 + 1).cast("int")
+    long = numbered.select(
+        F.concat(F.col("n_name"), F.lit(" #"), form.cast("string")).alias("team_name"), slot.alias("slot"),
+        F.concat(F.lit("C "), F.col("c_custkey").cast("string")).alias("name"),
+        F.col("c_mktsegment").alias("division"))
+    cells = []
+    for i in range(1, 11):
+        cells.append(F.max(F.when(F.col("slot") == i, F.col("name"))).alias(f"member_{i}_name"))
+        cells.append(F.max(F.when(F.col("slot") == i, F.col("division"))).alias(f"member_{i}_division"))
+    return long.groupBy("team_name").agg(*cells)
+
+
+REG_SLOTS = [(f"member_{i}_name", f"member_{i}_division") for i in range(1, 11)]
+
+
+def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from podium.operators.team import unpivot_membership
+    return unpivot_membership(registration(spark, sf_dir), "team_name", REG_SLOTS)
+
+
+def team_ranked(spark: SparkSession, sf_dir: str, points: DataFrame | None = None) -> DataFrame:
+    from podium.operators.team import team_event_rows, team_ranked as rank
+    pts = points if points is not None else event_points(spark, sf_dir)
+    return rank(team_event_rows(pts, membership(spark, sf_dir)))
+
+
+def modal_ages(spark: SparkSession, sf_dir: str, points: DataFrame | None = None) -> DataFrame:
+    from podium.operators.agegroup import collect_ages, modal_age
+    pts = points if points is not None else event_points(spark, sf_dir)
+    return modal_age(collect_ages(pts))
