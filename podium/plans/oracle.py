@@ -54,25 +54,28 @@ results AS (
   FROM part_kept
 )"""
 
-# E1-E7 on ``results``: one row per result with the intermediate steps kept.
-POINTS = RESULTS + """,
-sizes AS (
+
+
+def scoring_ctes(src: str, out: str, sizes: str) -> str:
+    """E1-E7 over the results CTE ``src``: CTEs ``<sizes>`` and ``<out>`` (steps kept)."""
+    return f""",
+{sizes} AS (
   SELECT event, division, CAST(max(division_place) AS BIGINT) AS max_place
-  FROM results WHERE race_role = 'main' GROUP BY event, division
+  FROM {src} WHERE race_role = 'main' GROUP BY event, division
 ),
-steps AS (
+{out}_steps AS (
   SELECT r.*, s.max_place,
          (1 - (r.division_place - 1) / s.max_place) * 100 AS placement
-  FROM results r LEFT JOIN sizes s ON r.event = s.event AND r.division = s.division
+  FROM {src} r LEFT JOIN {sizes} s ON r.event = s.event AND r.division = s.division
 ),
-steps2 AS (
+{out}_steps2 AS (
   SELECT *,
          CASE WHEN placement >= 20.0 THEN placement ELSE CAST(20.0 AS DOUBLE) END AS floored,
          CASE WHEN age > 45 THEN CAST(age - 45 AS DOUBLE) * CAST(1.0 AS DOUBLE)
               ELSE CAST(0.0 AS DOUBLE) END AS bonus
-  FROM steps
+  FROM {out}_steps
 ),
-points AS (
+{out} AS (
   SELECT event, division, first_name, last_name, racer_key,
          CASE WHEN race_role = 'participation' THEN NULL ELSE age END AS age,
          division_place, race_role, entry_id,
@@ -80,10 +83,27 @@ points AS (
                      WHEN floored + bonus > 100.0 THEN CAST(100.0 AS DOUBLE)
                      ELSE floored + bonus END) * 1e6, 0) / 1e6 AS points,
          placement, floored, bonus
-  FROM steps2
+  FROM {out}_steps2
 )"""
 
 
+# E1-E7 on ``results``: one row per result with the intermediate steps kept.
+POINTS = RESULTS + scoring_ctes("results", "points", "sizes")
+
+# Every order as one race day (no reduction), scored the same way.
+DAYS = ENTRIES + """,
+days_res AS (
+  SELECT event, division, first_name, last_name, racer_key, age,
+         CAST(row_number() OVER (PARTITION BY event, division ORDER BY score DESC, entry_id) AS BIGINT)
+           AS division_place,
+         race_role, entry_id, score
+  FROM entries WHERE race_role = 'main'
+  UNION ALL
+  SELECT event, division, first_name, last_name, racer_key, age, CAST(NULL AS BIGINT), race_role, entry_id, score
+  FROM entries WHERE race_role = 'participation'
+)""" + scoring_ctes("days_res", "day_points", "day_sizes")
+
+
 def with_ctes(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
@@ -314,3 +334,118 @@ SELECT division, age_group, name, overall_place FROM (
   SELECT *, row_number() OVER (PARTITION BY division, age_group ORDER BY overall_place, name) AS k
   FROM banded) WHERE k = 1
 """)
+
+# --- consolidation and guards ----------------------------------------------
+SQL["consolidate_best"] = with_ctes(DAYS, """
+SELECT event, division, first_name, last_name, race_role, division_place, age, points FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY event, division, first_name, last_name
+           ORDER BY points DESC, CASE WHEN race_role = 'participation' THEN 1 ELSE 0 END DESC,
+                    division_place ASC NULLS LAST) AS k
+  FROM day_points) WHERE k = 1
+""")
+
+SQL["repeat_guard"] = with_ctes(DAYS, """
+SELECT event, division, first_name, last_name, count(*) AS n_rows
+FROM day_points GROUP BY event, division, first_name, last_name HAVING count(*) > 2
+""")
+
+SQL["unique_guard"] = with_ctes(DAYS, """
+SELECT event, division, first_name, last_name, count(*) AS n_rows
+FROM day_points GROUP BY event, division, first_name, last_name HAVING count(*) > 1
+""")
+
+SQL["dedupe_anti"] = with_ctes(RESULTS, """
+SELECT event, division, first_name, last_name, entry_id FROM part_kept
+""")
+
+# --- ranking ------------------------------------------------------------------
+SQL["place_ordinal"] = """
+SELECT o_orderkey, o_orderstatus,
+       CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS place
+FROM orders
+"""
+
+SQL["place_dense"] = """
+SELECT event_id, event_type, value,
+       CAST(dense_rank() OVER (PARTITION BY event_type ORDER BY value) AS BIGINT) AS place
+FROM events
+"""
+
+SQL["distributed_rank"] = """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS place
+FROM orders
+"""
+
+# --- quality, lookup, relay ---------------------------------------------------
+SQL["alias_report"] = with_ctes(POINTS, """
+SELECT p.event, p.division, p.first_name, p.last_name, 'S' AS actual_fn, s.s_name AS actual_ln,
+       p.division_place, p.age
+FROM points p JOIN supplier s ON p.first_name = 'C' AND p.last_name = CAST(s.s_suppkey AS VARCHAR)
+""")
+
+SQL["lookup_join"] = """
+SELECT c_custkey, r_name AS division
+FROM customer LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) lk
+  ON c_nationkey = lk.n_nationkey
+"""
+
+SQL["relay_stretch"] = """
+WITH teams AS (
+  SELECT l_orderkey, l_linenumber,
+         'P' || CAST(l_partkey AS VARCHAR) || ' &' AS name_1,
+         'S' || CAST(l_suppkey AS VARCHAR) AS name_2,
+         CASE l_returnflag WHEN 'A' THEN 'Male' WHEN 'N' THEN 'Female' ELSE 'Mixed' END AS class,
+         l_extendedprice AS time_s
+  FROM lineitem
+),
+members AS (
+  SELECT l_orderkey, l_linenumber, 1 AS member_no, trim(rtrim(trim(name_1), '&')) AS member_name, class, time_s
+  FROM teams
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 2 AS member_no, trim(rtrim(trim(name_2), '&')) AS member_name, class, time_s
+  FROM teams
+),
+lookup AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS name, 'female' AS division FROM part
+  UNION ALL
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS name, 'male' AS division FROM supplier
+)
+SELECT m.l_orderkey, m.l_linenumber, m.member_no, m.member_name, m.class,
+       CASE m.class WHEN 'Male' THEN 'male' WHEN 'Female' THEN 'female' ELSE lk.division END AS division,
+       m.time_s
+FROM members m LEFT JOIN lookup lk ON m.member_name = lk.name
+"""
+
+SQL["patch_rows"] = """
+SELECT o_orderkey,
+       CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '4-NOT SPECIFIED'
+            ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
+SQL["race_role"] = """
+SELECT o_orderkey,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'main' ELSE 'participation' END
+         AS race_role
+FROM orders
+"""
+
+SQL["union_races"] = """
+SELECT o_orderstatus AS race, o_orderkey, o_custkey,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+"""
+
+SQL["drop_status"] = """
+SELECT o_orderkey, CAST(o_orderkey AS BIGINT) AS place FROM orders WHERE o_orderstatus <> 'P'
+"""
+
+SQL["clean_rows"] = """
+SELECT event_id AS row_id,
+       TRY_CAST(trim(regexp_extract(props, ':\\s*(\\d+)', 1)) AS BIGINT) AS place,
+       event_type AS name
+FROM events
+WHERE event_type <> 'error'
+  AND TRY_CAST(trim(regexp_extract(props, ':\\s*(\\d+)', 1)) AS BIGINT) IS NOT NULL
+"""

@@ -152,3 +152,169 @@ def q_age_group_winners(spark, sf_dir):
     st = tb.standings(spark, sf_dir, pts)
     return age_group_winners(st, tb.modal_ages(spark, sf_dir, pts), age_bands(spark)).select(
         "division", "age_group", "name", "overall_place")
+
+
+DAY_COLS = ["event", "division", "first_name", "last_name"]
+
+
+@register("consolidate_best")
+def q_consolidate_best(spark, sf_dir):
+    from podium.operators.event import consolidate_best
+    best = consolidate_best(tb.day_points(spark, sf_dir), DAY_COLS)
+    return best.select(*DAY_COLS, "race_role", "division_place", "age", "points")
+
+
+@register("repeat_guard")
+def q_repeat_guard(spark, sf_dir):
+    from podium.operators.event import repeat_guard
+    return repeat_guard(tb.day_points(spark, sf_dir), DAY_COLS, max_days=2)
+
+
+@register("unique_guard")
+def q_unique_guard(spark, sf_dir):
+    from podium.operators.quality import find_duplicates
+    return find_duplicates(tb.day_points(spark, sf_dir), DAY_COLS)
+
+
+@register("dedupe_anti")
+def q_dedupe_anti(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.operators.event import dedupe_participation
+    ent = tb.entries(spark, sf_dir)
+    kept = dedupe_participation(ent.filter(F.col("race_role") == "main"),
+                                ent.filter(F.col("race_role") == "participation"),
+                                event_keys=["event"], prefer=["entry_id"])
+    return kept.select("event", "division", "first_name", "last_name", "entry_id")
+
+
+@register("place_ordinal")
+def q_place_ordinal(spark, sf_dir):
+    from podium.operators.place import place_in_division
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    placed = place_in_division(o, ["o_orderstatus"], [("o_totalprice", "desc"), "o_orderkey"], "place")
+    return placed.select("o_orderkey", "o_orderstatus", "place")
+
+
+@register("place_dense")
+def q_place_dense(spark, sf_dir):
+    from podium.operators.place import place_dense
+    e = tb.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return place_dense(e, ["event_type"], "value", "place").select("event_id", "event_type", "value", "place")
+
+
+@register("distributed_rank")
+def q_distributed_rank(spark, sf_dir):
+    from podium.operators.place import distributed_rank
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return distributed_rank(o, [], [("o_totalprice", "desc"), "o_orderkey"], "place").select("o_orderkey", "place")
+
+
+@register("alias_report")
+def q_alias_report(spark, sf_dir):
+    from podium.operators.quality import alias_report
+    return alias_report(tb.event_points(spark, sf_dir), tb.aliases(spark, sf_dir))
+
+
+@register("lookup_join")
+def q_lookup_join(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.operators.joins import checked_broadcast
+    c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = tb.table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = tb.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    lookup = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("division"))
+    return c.join(checked_broadcast(lookup), "c_nationkey", "left").select("c_custkey", "division")
+
+
+def _relay_teams(spark, sf_dir):
+    from pyspark.sql import functions as F
+    li = tb.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string"), F.lit(" &")).alias("name_1"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("name_2"),
+        F.when(F.col("l_returnflag") == "A", "Male").when(F.col("l_returnflag") == "N", "Female")
+         .otherwise("Mixed").alias("class"),
+        F.col("l_extendedprice").alias("time_s"))
+
+
+def _relay_lookup(spark, sf_dir):
+    from pyspark.sql import functions as F
+    p = tb.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("name"), F.lit("female").alias("division"))
+    s = tb.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("name"), F.lit("male").alias("division"))
+    return p.unionByName(s)
+
+
+@register("relay_stretch")
+def q_relay_stretch(spark, sf_dir):
+    from podium.operators.relay import relay_division, relay_stretch
+    stretched = relay_stretch(_relay_teams(spark, sf_dir), ["name_1", "name_2"])
+    out = relay_division(stretched, "class", _relay_lookup(spark, sf_dir), {"Male": "male", "Female": "female"})
+    return out.select("l_orderkey", "l_linenumber", "member_no", "member_name", "class", "division", "time_s")
+
+
+@register("patch_rows")
+def q_patch_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.operators.clean import patch_rows
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    cond = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    return patch_rows(o, cond, "o_orderpriority", "4-NOT SPECIFIED").select("o_orderkey", "o_orderpriority")
+
+
+MAIN_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+
+
+@register("race_role")
+def q_race_role(spark, sf_dir):
+    from podium.operators.clean import tag_race_role
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return tag_race_role(o, "o_orderpriority", MAIN_PRIORITIES).select("o_orderkey", "race_role")
+
+
+@register("union_races")
+def q_union_races(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.operators.clean import union_races
+    o = tb.table(spark, sf_dir, "orders")
+    races = {
+        "F": o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"),
+        "O": o.filter(F.col("o_orderstatus") == "O").select("o_orderkey", "o_custkey"),
+        "P": o.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey"),
+    }
+    return union_races(list(races.values()), list(races)).select("race", "o_orderkey", "o_custkey", "o_totalprice")
+
+
+def _place_text():
+    from pyspark.sql import functions as F
+    key = F.col("o_orderkey").cast("string")
+    return (F.when(F.col("o_orderstatus") == "P", F.lit("DNF"))
+            .when(F.col("o_orderstatus") == "F", F.concat(key, F.lit(".")))
+            .otherwise(key))
+
+
+@register("drop_status")
+def q_drop_status(spark, sf_dir):
+    from podium.functions.numbers import first_int
+    from podium.operators.clean import drop_status
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    o = o.withColumn("place_text", _place_text())
+    return drop_status(o, "place_text").select("o_orderkey", first_int("place_text").alias("place"))
+
+
+@register("clean_rows")
+def q_clean_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.numbers import lenient_int
+    from podium.operators.clean import drop_blank, drop_null, to_results
+    e = tb.table(spark, sf_dir, "events")
+    raw = to_results(e, {
+        "row_id": "event_id",
+        "place": lenient_int(F.regexp_extract("props", r":\s*(\d+)", 1)),
+        "name": F.when(F.col("event_type") == "error", F.lit("  ")).otherwise(F.col("event_type")),
+    })
+    return drop_blank(drop_null(raw, ["place"]), ["name"]).select("row_id", "place", "name")

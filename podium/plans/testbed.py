@@ -144,3 +144,23 @@ def modal_ages(spark: SparkSession, sf_dir: str, points: DataFrame | None = None
     from podium.operators.agegroup import collect_ages, modal_age
     pts = points if points is not None else event_points(spark, sf_dir)
     return modal_age(collect_ages(pts))
+
+
+def day_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order scored as one race day: all main entries placed, no reduction.
+
+    Input of the multi-day consolidation (E8) and the repeat / uniqueness guards.
+    """
+    ent = entries(spark, sf_dir)
+    main = distributed_rank(ent.filter(F.col("race_role") == MAIN), ["event", "division"],
+                            [("score", "desc"), "entry_id"], "division_place")
+    part = (ent.filter(F.col("race_role") == PARTICIPATION)
+            .withColumn("division_place", F.lit(None).cast("long")))
+    return score_event(main.select(*RESULT_COLS).unionByName(part.select(*RESULT_COLS)))
+
+
+def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known aliases: racer 'C <k>' is also known as supplier k ('S', s_name)."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.lit("C").alias("alias_fn"), F.col("s_suppkey").cast("string").alias("alias_ln"),
+                    F.lit("S").alias("actual_fn"), F.col("s_name").alias("actual_ln"))
