@@ -449,3 +449,241 @@ FROM events
 WHERE event_type <> 'error'
   AND TRY_CAST(trim(regexp_extract(props, ':\\s*(\\d+)', 1)) AS BIGINT) IS NOT NULL
 """
+
+
+# --- names ---------------------------------------------------------------------
+
+def initcap(x: str) -> str:
+    """Upper-case the first letter of each space-separated word, lower-case the rest."""
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(w[1]) || lower(w[2:])), ' ')")
+
+
+def capitalize_parts(x: str) -> str:
+    padded = f"replace(replace(trim({x}), '-', ' - '), '''', ' '' ')"
+    collapsed = f"trim(regexp_replace({padded}, '\\s+', ' ', 'g'))"
+    return f"replace(replace({initcap(collapsed)}, ' - ', '-'), ' '' ', '''')"
+
+
+PART = f"""
+part_text AS (
+  SELECT p_partkey, p_name, p_type, p_brand, p_size, {initcap('p_name')} AS given FROM part
+)"""
+
+SQL["name_first_rest"] = with_ctes(PART, """
+SELECT p_partkey, split_part(trim(t), ' ', 1) AS first_name, regexp_replace(trim(t), '^[^ ]* ?', '') AS last_name
+FROM (SELECT p_partkey, given || ' ' || upper(p_type) AS t FROM part_text)
+""")
+
+SQL["name_first_last"] = with_ctes(PART, """
+SELECT p_partkey, string_split(t, ' ')[1] AS first_name, string_split(t, ' ')[-1] AS last_name
+FROM (SELECT p_partkey, given || ' ' || upper(p_type) AS t FROM part_text)
+""")
+
+SQL["name_comma"] = with_ctes(PART, """
+SELECT p_partkey,
+       CASE WHEN s = '' THEN ''
+            WHEN instr(s, ',') > 0 THEN regexp_extract(trim(regexp_replace(s, '^[^,]*,', '')), '^([^ \\t]+)', 1)
+            ELSE string_split(regexp_replace(s, '[ \\t]+', ' ', 'g'), ' ')[1] END AS first_name,
+       CASE WHEN s = '' THEN ''
+            WHEN instr(s, ',') > 0 THEN trim(split_part(s, ',', 1))
+            WHEN len(string_split(regexp_replace(s, '[ \\t]+', ' ', 'g'), ' ')) = 1 THEN ''
+            ELSE array_to_string(string_split(regexp_replace(s, '[ \\t]+', ' ', 'g'), ' ')[2:], ' ') END
+         AS last_name
+FROM (SELECT p_partkey,
+             trim(coalesce(CASE WHEN p_size > 25 THEN upper(p_type) || ', ' || given ELSE given END, '')) AS s
+      FROM part_text)
+""")
+
+CAPS = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$".replace("'", "''")
+
+SQL["name_caps"] = with_ctes(PART, f"""
+SELECT p_partkey,
+       CASE WHEN regexp_matches(t, '{CAPS}') THEN trim(regexp_extract(t, '{CAPS}', 1)) END AS first_name,
+       CASE WHEN regexp_matches(t, '{CAPS}')
+            THEN {capitalize_parts(f"regexp_extract(t, '{CAPS}', 4)")} END AS last_name,
+       regexp_matches(t, '{CAPS}') AS matched
+FROM (SELECT p_partkey,
+             given || ' ' || CASE WHEN p_size > 40 THEN upper(p_brand) ELSE upper(p_type) END AS t
+      FROM part_text)
+""")
+
+TITLES = "mr|mrs|ms|miss|dr|prof|rev|sir"
+SUFFIXES = "jr|sr|ii|iii|iv|phd|md|esq"
+
+SQL["name_human"] = with_ctes(PART, f"""
+SELECT p_partkey, string_split(s, ' ')[1] AS first_name, string_split(s, ' ')[-1] AS last_name
+FROM (
+  SELECT p_partkey,
+         trim(regexp_replace(regexp_replace(regexp_replace(trim(t), '\\s+', ' ', 'g'),
+                                            '(?i)^(({TITLES})\\.? )+', ''),
+                             '(?i)(,? ({SUFFIXES})\\.?)+$', '')) AS s
+  FROM (SELECT p_partkey,
+               CASE WHEN p_size > 40 THEN 'Dr. ' ELSE '' END || given
+               || CASE WHEN p_size < 10 THEN ' Jr.' ELSE '' END AS t
+        FROM part_text))
+""")
+
+SQL["name_capitalize"] = with_ctes(PART, f"""
+SELECT p_partkey, {capitalize_parts("replace(p_name, ' ', '-') || ' o''' || lower(p_type)")} AS name
+FROM part_text
+""")
+
+SQL["full_name"] = "SELECT p_partkey, p_brand || ' ' || p_type AS name FROM part"
+
+# --- parsing -------------------------------------------------------------------
+
+SQL["division_norm"] = """
+SELECT c_custkey,
+       CASE WHEN lower(trim(c_mktsegment)) LIKE 'm%' THEN 'male'
+            WHEN lower(trim(c_mktsegment)) LIKE 'f%' THEN 'female'
+            WHEN lower(trim(c_mktsegment)) LIKE 'n%' THEN 'nb' END AS div_prefix,
+       CASE substr(c_mktsegment, 1, 1) WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END AS div_strict,
+       CASE WHEN substr(c_mktsegment, 1, 1) = 'M' THEN 'male' ELSE 'female' END AS div_m_else_f,
+       CASE upper(trim(lower(substr(c_mktsegment, 1, 1)))) WHEN 'M' THEN 'male' WHEN 'F' THEN 'female'
+            ELSE upper(trim(lower(substr(c_mktsegment, 1, 1)))) END AS div_upper
+FROM customer
+"""
+
+LABELS = """
+labels AS (
+  SELECT c_custkey,
+         CASE c_mktsegment
+           WHEN 'AUTOMOBILE' THEN l || CAST(lo AS VARCHAR) || '-' || CAST(lo + 5 AS VARCHAR)
+                                  || ' (' || CAST(c_nationkey AS VARCHAR) || ')'
+           WHEN 'BUILDING' THEN l || ' ' || CAST(lo AS VARCHAR) || ' to ' || CAST(lo + 4 AS VARCHAR) || ' (2)'
+           WHEN 'FURNITURE' THEN CASE l WHEN 'M' THEN 'Male' ELSE 'Female' END
+                                  || ' (' || CAST(c_nationkey AS VARCHAR) || ')'
+           WHEN 'HOUSEHOLD' THEN CASE WHEN l = 'M' THEN l || CAST(lo AS VARCHAR) || '+'
+                                      ELSE l || '  ' || CAST(lo AS VARCHAR) END
+           ELSE l || CAST(lo - 6 AS VARCHAR) || '-' || CAST(lo - 4 AS VARCHAR) END AS label
+  FROM (SELECT c_custkey, c_nationkey, c_mktsegment, 18 + c_custkey % 60 AS lo,
+               CASE WHEN c_nationkey < 12 THEN 'M' ELSE 'F' END AS l FROM customer)
+),
+dash AS (
+  SELECT *,
+         CASE WHEN contains(label, '70+') THEN 70 WHEN contains(label, '75+') THEN 75
+              WHEN contains(label, '12-') THEN 12 WHEN contains(label, '19-') THEN 19
+              WHEN contains(label, '16-') THEN 16 END AS open_age,
+         regexp_matches(label, '^([MF])([0-9]{1,3})-([0-9]{1,3})') AS closed,
+         TRY_CAST(regexp_extract(label, '^([MF])([0-9]{1,3})-([0-9]{1,3})', 2) AS INTEGER)
+           + TRY_CAST(regexp_extract(label, '^([MF])([0-9]{1,3})-([0-9]{1,3})', 3) AS INTEGER) AS s2,
+         regexp_extract(label, '^([MF])([0-9]{1,3})-([0-9]{1,3})', 1) AS letter,
+         regexp_matches(label, '^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \\(.+\\)') AS words,
+         TRY_CAST(regexp_extract(label, '^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \\(.+\\)', 2) AS INTEGER)
+           + TRY_CAST(regexp_extract(label, '^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \\(.+\\)', 3) AS INTEGER) AS w2,
+         regexp_extract(label, '^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \\(.+\\)', 1) AS wletter,
+         regexp_matches(label, '^(Male|Female) \\(.+\\)') AS gonly,
+         regexp_extract(label, '^(Male|Female) \\(.+\\)', 1) AS gword,
+         regexp_matches(label, '^([MF]) +([0-9]{2})') AS owords,
+         TRY_CAST(regexp_extract(label, '^([MF]) +([0-9]{2})', 2) AS INTEGER) AS oage,
+         regexp_extract(label, '^([MF]) +([0-9]{2})', 1) AS oletter
+  FROM labels
+),
+parsed AS (
+  SELECT c_custkey, label,
+         CASE WHEN open_age IS NOT NULL THEN open_age
+              WHEN closed THEN CASE WHEN s2 % 2 = 0 THEN s2 // 2 WHEN (s2 // 2) % 2 = 0 THEN s2 // 2
+                                    ELSE s2 // 2 + 1 END END AS dash_age,
+         CASE WHEN open_age IS NOT NULL THEN CASE WHEN starts_with(label, 'M') THEN 'male' ELSE 'female' END
+              WHEN closed THEN CASE letter WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END END AS dash_division,
+         CASE WHEN open_age IS NOT NULL OR closed THEN 1 ELSE 0 END AS dash_ok,
+         CASE WHEN words THEN CASE WHEN w2 % 2 = 0 THEN w2 // 2 WHEN (w2 // 2) % 2 = 0 THEN w2 // 2
+                                   ELSE w2 // 2 + 1 END
+              WHEN gonly THEN NULL
+              WHEN owords THEN oage END AS words_age,
+         CASE WHEN words THEN CASE wletter WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END
+              WHEN gonly THEN CASE gword WHEN 'Male' THEN 'male' WHEN 'Female' THEN 'female' END
+              WHEN owords THEN CASE oletter WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END END AS words_division
+  FROM dash
+)"""
+
+SQL["age_class"] = with_ctes(LABELS, """
+SELECT c_custkey, label, CAST(dash_age AS INTEGER) AS dash_age, dash_division,
+       CAST(words_age AS INTEGER) AS words_age, words_division
+FROM parsed
+""")
+
+SQL["quarantine"] = with_ctes(LABELS, """
+SELECT reason, count(*) AS n_rows FROM (
+  SELECT CASE WHEN dash_ok = 0 THEN 'unreadable_class' WHEN dash_division IS NULL THEN 'no_division'
+              ELSE 'ok' END AS reason
+  FROM parsed) GROUP BY reason
+""")
+
+SQL["first_int"] = """
+SELECT event_id,
+       TRY_CAST(NULLIF(regexp_extract(props, '(\\d+)', 1), '') AS BIGINT) AS k,
+       TRY_CAST(NULLIF(regexp_extract('Male (' || CAST(user_id AS VARCHAR) || ')', '(\\d+)', 1), '') AS BIGINT)
+         AS uid
+FROM events
+"""
+
+SQL["lenient_int"] = """
+SELECT c_custkey, TRY_CAST(trim(regexp_extract(c_name, '#(.*)$', 1)) AS BIGINT) AS num,
+       TRY_CAST(trim(c_mktsegment) AS BIGINT) AS seg_num
+FROM customer
+"""
+
+SQL["clock_seconds"] = """
+WITH t AS (SELECT event_id, CAST(round(value * 1000.0, 0) AS BIGINT) AS t FROM events),
+c AS (
+  SELECT event_id,
+         CASE WHEN t // 360000 > 0
+              THEN CAST(t // 360000 AS VARCHAR) || ':' || lpad(CAST((t // 6000) % 60 AS VARCHAR), 2, '0')
+              ELSE CAST((t // 6000) % 60 AS VARCHAR) END
+         || ':' || lpad(CAST((t // 100) % 60 AS VARCHAR), 2, '0') || '.' || lpad(CAST(t % 100 AS VARCHAR), 2, '0')
+           AS clock
+  FROM t
+),
+p AS (SELECT event_id, clock, string_split(clock, ':') AS parts FROM c)
+SELECT event_id, clock,
+       round((CASE len(parts)
+                WHEN 3 THEN (CAST(parts[1] AS DOUBLE) * 60.0 + CAST(parts[2] AS DOUBLE)) * 60.0
+                            + CAST(parts[3] AS DOUBLE)
+                WHEN 2 THEN CAST(parts[1] AS DOUBLE) * 60.0 + CAST(parts[2] AS DOUBLE)
+                ELSE CAST(parts[1] AS DOUBLE) END) * 1e4, 0) / 1e4 AS seconds
+FROM p
+"""
+
+# --- sources -------------------------------------------------------------------
+
+SQL["json_rows_flat"] = """
+SELECT event_id // 50 AS page,
+       row_number() OVER (PARTITION BY event_id // 50 ORDER BY event_id) - 1 AS row_no,
+       event_id, event_type, value, user_id
+FROM events
+"""
+
+SQL["json_rows_keyed"] = """
+SELECT event_id // 50 AS page, event_type AS race,
+       row_number() OVER (PARTITION BY event_id // 50, event_type ORDER BY event_id) - 1 AS row_no,
+       event_id, value
+FROM events
+"""
+
+SQL["ragged_layout"] = """
+SELECT event_id, event_type,
+       CASE WHEN event_type IN ('click', 'purchase') THEN value END AS value,
+       user_id,
+       CASE WHEN event_type = 'purchase' THEN props END AS props
+FROM events WHERE event_type IN ('click', 'view', 'purchase')
+"""
+
+SQL["label_zip"] = "SELECT event_id, event_type AS kind, value AS amount, user_id AS who FROM events"
+
+SQL["html_rows"] = """
+WITH items AS (SELECT page_id, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS items FROM pages),
+flat AS (SELECT page_id, unnest(range(0, len(items))) AS row_no, unnest(items) AS raw FROM items)
+SELECT page_id, row_no, regexp_extract(raw, 'href="([^"]*)"', 1) AS href,
+       trim(regexp_extract_all(raw, '(?s)<a[^>]*>(.*?)</a>', 1)[1]) AS text
+FROM flat
+"""
+
+SQL["text_rows"] = """
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+f AS (SELECT doc_id, unnest(range(0, len(lines))) AS line_no, unnest(lines) AS line FROM l)
+SELECT doc_id, line_no, regexp_extract(line, '(?s)^([^ ]+) (.+)', 1) AS word,
+       regexp_extract(line, '(?s)^([^ ]+) (.+)', 2) AS rest
+FROM f WHERE line_no > 0 AND regexp_matches(line, '(?s)^([^ ]+) (.+)')
+"""

@@ -318,3 +318,218 @@ def q_clean_rows(spark, sf_dir):
         "name": F.when(F.col("event_type") == "error", F.lit("  ")).otherwise(F.col("event_type")),
     })
     return drop_blank(drop_null(raw, ["place"]), ["name"]).select("row_id", "place", "name")
+
+
+# --- names ---------------------------------------------------------------------
+
+def _caps_text():
+    from pyspark.sql import functions as F
+    return F.concat(F.col("given"), F.lit(" "), F.upper("p_type"))
+
+
+@register("name_first_rest")
+def q_name_first_rest(spark, sf_dir):
+    from podium.functions.text import split_first_rest
+    p = tb.part_text(spark, sf_dir)
+    first, last = split_first_rest(_caps_text())
+    return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
+
+
+@register("name_first_last")
+def q_name_first_last(spark, sf_dir):
+    from podium.functions.text import split_first_last
+    p = tb.part_text(spark, sf_dir)
+    first, last = split_first_last(_caps_text())
+    return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
+
+
+@register("name_comma")
+def q_name_comma(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.text import split_comma_aware
+    p = tb.part_text(spark, sf_dir)
+    text = F.when(F.col("p_size") > 25, F.concat(F.upper("p_type"), F.lit(", "), F.col("given"))) \
+        .otherwise(F.col("given"))
+    first, last = split_comma_aware(text)
+    return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
+
+
+@register("name_caps")
+def q_name_caps(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.text import split_caps_surname
+    p = tb.part_text(spark, sf_dir)
+    text = F.concat(F.col("given"), F.lit(" "),
+                    F.when(F.col("p_size") > 40, F.upper("p_brand")).otherwise(F.upper("p_type")))
+    first, last, ok = split_caps_surname(text)
+    return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"), ok.alias("matched"))
+
+
+@register("name_human")
+def q_name_human(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.text import split_human
+    p = tb.part_text(spark, sf_dir)
+    text = F.concat(F.when(F.col("p_size") > 40, F.lit("Dr. ")).otherwise(F.lit("")), F.col("given"),
+                    F.when(F.col("p_size") < 10, F.lit(" Jr.")).otherwise(F.lit("")))
+    first, last = split_human(text)
+    return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
+
+
+@register("name_capitalize")
+def q_name_capitalize(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.text import capitalize_parts
+    p = tb.part_text(spark, sf_dir)
+    text = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" o'"), F.lower("p_type"))
+    return p.select("p_partkey", capitalize_parts(text).alias("name"))
+
+
+@register("full_name")
+def q_full_name(spark, sf_dir):
+    from podium.functions.text import full_name
+    p = tb.part_text(spark, sf_dir)
+    return p.select("p_partkey", full_name("p_brand", "p_type").alias("name"))
+
+
+# --- parsing -------------------------------------------------------------------
+
+@register("division_norm")
+def q_division_norm(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.division import division_from_prefix, division_map
+    c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    letter = F.substring("c_mktsegment", 1, 1)
+    return c.select("c_custkey",
+                    division_from_prefix("c_mktsegment").alias("div_prefix"),
+                    division_map(letter, "strict").alias("div_strict"),
+                    division_map(letter, "m_else_f").alias("div_m_else_f"),
+                    division_map(F.lower(letter), "upper").alias("div_upper"))
+
+
+@register("age_class")
+def q_age_class(spark, sf_dir):
+    from podium.functions.division import age_class_dash, age_class_words
+    lab = tb.age_labels(spark, sf_dir)
+    d, w = age_class_dash("label"), age_class_words("label")
+    return lab.select("c_custkey", "label", d["age"].alias("dash_age"), d["division"].alias("dash_division"),
+                      w["age"].alias("words_age"), w["division"].alias("words_division"))
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    from podium.functions.division import age_class_dash
+    from podium.operators.quality import reason_counts
+    lab = tb.age_labels(spark, sf_dir).withColumn("ac", age_class_dash("label"))
+    reasons = {"unreadable_class": lab["ac"].isNull(), "no_division": lab["ac"]["division"].isNull()}
+    return reason_counts(lab, reasons)
+
+
+@register("first_int")
+def q_first_int(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.numbers import first_int
+    e = tb.table(spark, sf_dir, "events").select("event_id", "props", "user_id")
+    label = F.concat(F.lit("Male ("), F.col("user_id").cast("string"), F.lit(")"))
+    return e.select("event_id", first_int("props").alias("k"), first_int(label).alias("uid"))
+
+
+@register("lenient_int")
+def q_lenient_int(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.numbers import lenient_int
+    c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return c.select("c_custkey", lenient_int(F.regexp_extract("c_name", "#(.*)$", 1)).alias("num"),
+                    lenient_int("c_mktsegment").alias("seg_num"))
+
+
+@register("clock_seconds")
+def q_clock_seconds(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.functions.numbers import clock_seconds, round_half_up
+    e = tb.table(spark, sf_dir, "events").select("event_id", "value")
+    t = e.withColumn("t", F.round(F.col("value") * 1000.0, 0).cast("bigint"))
+    pad = lambda x: F.lpad(x.cast("string"), 2, "0")
+    h, m = F.expr("t div 360000"), F.expr("(t div 6000) % 60")
+    s, f = F.expr("(t div 100) % 60"), F.expr("t % 100")
+    clock = F.concat(F.when(h > 0, F.concat(h.cast("string"), F.lit(":"), pad(m)))
+                     .otherwise(m.cast("string")), F.lit(":"), pad(s), F.lit("."), pad(f))
+    t = t.withColumn("clock", clock)
+    return t.select("event_id", "clock", round_half_up(clock_seconds("clock"), 4).alias("seconds"))
+
+
+# --- sources -------------------------------------------------------------------
+
+@register("json_rows_flat")
+def q_json_rows_flat(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.nested import apply_layouts, read_json_rows
+    rows = read_json_rows(tb.json_list_pages(spark, sf_dir), "body", "list", keep=["page"])
+    named = apply_layouts(rows, {4: ["event_id", "event_type", "value", "user_id"]})
+    return named.select("page", F.col("row_no").cast("long").alias("row_no"),
+                        F.col("event_id").cast("long").alias("event_id"), "event_type",
+                        F.col("value").cast("double").alias("value"), F.col("user_id").cast("long").alias("user_id"))
+
+
+@register("json_rows_keyed")
+def q_json_rows_keyed(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.nested import read_json_rows
+    rows = read_json_rows(tb.json_map_pages(spark, sf_dir), "body", "auto", keep=["page"])
+    return rows.select("page", F.col("race_key").alias("race"), F.col("row_no").cast("long").alias("row_no"),
+                       F.get("cells", 0).cast("long").alias("event_id"),
+                       F.get("cells", 2).cast("double").alias("value"))
+
+
+@register("ragged_layout")
+def q_ragged_layout(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.nested import apply_layouts
+    e = tb.table(spark, sf_dir, "events")
+    sid, typ = F.col("event_id").cast("string"), F.col("event_type")
+    val, uid = F.col("value").cast("string"), F.col("user_id").cast("string")
+    cells = (F.when(typ == "click", F.array(sid, typ, val, uid))
+             .when(typ == "view", F.array(sid, typ, uid))
+             .when(typ == "purchase", F.array(sid, typ, val, uid, F.col("props")))
+             .otherwise(F.array(sid, typ)))
+    rows = e.select(cells.alias("cells"))
+    named = apply_layouts(rows, {
+        5: ["event_id", "event_type", "value", "user_id", "props"],
+        4: ["event_id", "event_type", "value", "user_id"],
+        3: ["event_id", "event_type", "user_id"],
+    })
+    return named.select(F.col("event_id").cast("long").alias("event_id"), "event_type",
+                        F.col("value").cast("double").alias("value"),
+                        F.col("user_id").cast("long").alias("user_id"), "props")
+
+
+@register("label_zip")
+def q_label_zip(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.nested import labelled_rows, zip_labels
+    rows = labelled_rows(tb.json_labelled_pages(spark, sf_dir), "body", keep=["page"])
+    z = zip_labels(rows, "labels", offset=2, length=len(tb.LABELS))
+    return z.select(F.col("fields")["Bib"].cast("long").alias("event_id"),
+                    F.col("fields")["Kind"].alias("kind"),
+                    F.col("fields")["Amount"].cast("double").alias("amount"),
+                    F.col("fields")["Who"].cast("long").alias("who"))
+
+
+@register("html_rows")
+def q_html_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.markup import LIST_ITEM, html_rows
+    pages = tb.table(spark, sf_dir, "pages").select("page_id", "html")
+    rows = html_rows(pages, "html", LIST_ITEM, r"(?s)<a[^>]*>(.*?)</a>", keep=["page_id"])
+    return rows.select("page_id", F.col("row_no").cast("long").alias("row_no"),
+                       F.regexp_extract("raw", r'href="([^"]*)"', 1).alias("href"),
+                       F.get("cells", 0).alias("text"))
+
+
+@register("text_rows")
+def q_text_rows(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from podium.sources.markup import text_rows
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = text_rows(docs, "text", r"(?s)^([^ ]+) (.+)", ["word", "rest"], keep=["doc_id"])
+    return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "word", "rest")

@@ -164,3 +164,76 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(F.lit("C").alias("alias_fn"), F.col("s_suppkey").cast("string").alias("alias_ln"),
                     F.lit("S").alias("actual_fn"), F.col("s_name").alias("actual_ln"))
+
+
+# ---------------------------------------------------------------------------
+# Raw documents (fetched result pages) built from the driver tables
+# ---------------------------------------------------------------------------
+PAGE_ROWS = 50  # rows per fetched result page (the HTML source's page size)
+
+
+def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id", "props")
+    return e.select(
+        F.expr(f"event_id div {PAGE_ROWS}").alias("page"), "event_id", "event_type",
+        F.array(F.col("event_id").cast("string"), F.col("event_type"), F.col("value").cast("string"),
+                F.col("user_id").cast("string")).alias("cells"))
+
+
+def _sorted_rows(col_id: str = "event_id", cells: str = "cells"):
+    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(col_id), F.col(cells)))),
+                       lambda x: x[cells])
+
+
+def json_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per page: ``{"data": [[cells], ...]}`` (50 rows at most)."""
+    return (event_cells(spark, sf_dir).groupBy("page")
+            .agg(F.to_json(F.struct(_sorted_rows().alias("data"))).alias("body")))
+
+
+def json_map_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per page, rows keyed by race: ``{"data": {type: [[cells]]}}``."""
+    per_race = (event_cells(spark, sf_dir).groupBy("page", "event_type")
+                .agg(_sorted_rows().alias("rows")))
+    return (per_race.groupBy("page")
+            .agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("event_type", "rows")))
+                                    .alias("data"))).alias("body")))
+
+
+LABELS = ("Bib", "Kind", "Amount", "Who")
+
+
+def json_labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a heading list and a result set; cell 1 is a row tag without label."""
+    cells = event_cells(spark, sf_dir).withColumn(
+        "cells", F.concat(F.array(F.concat(F.lit("r"), F.col("event_id").cast("string"))), F.col("cells")))
+    headings = F.array(*[F.struct(F.lit(h).alias("key")) for h in LABELS])
+    return (cells.groupBy("page")
+            .agg(F.to_json(F.struct(headings.alias("headings"),
+                                    F.struct(_sorted_rows().alias("results")).alias("resultSet")))
+                 .alias("body")))
+
+
+def part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    return p.withColumn("given", F.initcap("p_name"))
+
+
+def age_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age-class label per customer, in one of the published label styles (by segment)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    letter = F.when(F.col("c_nationkey") < 12, F.lit("M")).otherwise(F.lit("F"))
+    lo = F.lit(18) + F.col("c_custkey") % 60
+    s = lambda x: x.cast("string")
+    label = (F.when(F.col("c_mktsegment") == "AUTOMOBILE",
+                    F.concat(letter, s(lo), F.lit("-"), s(lo + 5), F.lit(" ("), s(F.col("c_nationkey")), F.lit(")")))
+             .when(F.col("c_mktsegment") == "BUILDING",
+                   F.concat(letter, F.lit(" "), s(lo), F.lit(" to "), s(lo + 4), F.lit(" (2)")))
+             .when(F.col("c_mktsegment") == "FURNITURE",
+                   F.concat(F.when(letter == "M", F.lit("Male")).otherwise(F.lit("Female")),
+                            F.lit(" ("), s(F.col("c_nationkey")), F.lit(")")))
+             .when(F.col("c_mktsegment") == "HOUSEHOLD",
+                   F.when(letter == "M", F.concat(letter, s(lo), F.lit("+")))
+                    .otherwise(F.concat(letter, F.lit("  "), s(lo))))
+             .otherwise(F.concat(letter, s(lo - 6), F.lit("-"), s(lo - 4))))
+    return c.select("c_custkey", label.alias("label"))
