@@ -24,7 +24,8 @@ RACER_KEYS = ("division", "first_name", "last_name")
 
 
 def event_column(event) -> str:
-    return f"e{event}_points"
+    """Wide column of an event: ``<event>_points`` (numeric events get an ``e`` prefix)."""
+    return f"e{event}_points" if isinstance(event, int) else f"{event}_points"
 
 
 def best_k_sum(points_list: Column, k: int, decimals: int = 6) -> Column:

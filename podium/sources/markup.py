@@ -39,7 +39,7 @@ def text_rows(docs: DataFrame, text: str, line_pat: str, names: Sequence[str],
     if header_pat is None:
         header = F.lit(0)
     else:
-        indexed = F.transform(arr, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+        indexed = F.transform(arr, lambda x, i: F.named_struct(F.lit("i"), i, F.lit("x"), x))
         header = F.get(F.filter(indexed, lambda s: s["x"].rlike(header_pat)), 0)["i"]
     lines = docs.select(*keep, header.alias("__hdr"), F.posexplode(arr).alias("line_no", "line"))
     after = lines.filter(F.col("line_no") > F.col("__hdr")).drop("__hdr")
