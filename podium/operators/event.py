@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.numbers import round_half_up
-from podium.operators.joins import fits_broadcast, null_safe_join, small_result
+from podium.operators.joins import join_summary
 from podium.rules import CURRENT, ScoringRules
 
 MAIN, PARTICIPATION = "main", "participation"
@@ -62,9 +62,8 @@ def cap_points(points, cap: float = CURRENT.cap) -> Column:
 
 def with_field_size(results: DataFrame, by: Sequence[str] = EVENT_KEYS,
                     place: str = "division_place") -> DataFrame:
-    """Attach ``max_place``; the per-group table is materialised once and size-checked."""
-    sizes = small_result(field_size(results, by, place))
-    return null_safe_join(results, sizes, list(by), "left", broadcast_right=fits_broadcast(sizes))
+    """Attach ``max_place``: one row per group, computed once, broadcast when bounded."""
+    return join_summary(results, field_size(results, by, place), list(by), "left")
 
 
 def score_event(results: DataFrame, rules: ScoringRules = CURRENT, by: Sequence[str] = EVENT_KEYS,

@@ -1,4 +1,15 @@
-"""Join helpers: size-checked broadcast and null-safe equi-joins."""
+"""Join helpers: bounded summaries for broadcast, null-safe equi-joins.
+
+Two kinds of small sides occur:
+
+* dimension tables read from files (aliases, adjustments, lookups): joined plainly;
+  Spark's planner sizes them from file statistics and broadcasts only below
+  ``spark.sql.autoBroadcastJoinThreshold``, else it shuffles (sort-merge join).
+* summaries derived inside a job (field size per group, row counts per range slice):
+  their size is unknown to the planner, so ``bounded_summary`` computes them once,
+  proves the bound by fetching at most ``max_rows + 1`` rows, and hands them back as
+  a local relation that is broadcast; above the bound they stay distributed.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +18,28 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.session import cut_lineage
-
-# Row limit under which a side is shipped to every executor. Dimension rows here are a
-# handful of short strings, so 2M rows stay well below a few hundred MB per executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Largest summary shipped to every executor: rows of a few keys and counts, so this
+# stays in the low tens of MB.
+SUMMARY_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small, else a plain (shuffle) side."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def bounded_summary(df: DataFrame, max_rows: int = SUMMARY_ROWS) -> tuple[DataFrame, bool]:
+    """(frame, is_small): a small summary as a broadcastable local relation, else ``df``.
 
-
-def small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a small derived table (e.g. a per-group aggregate) once, then size-check it.
-
-    The aggregate is computed a single time and written to the shared checkpoint
-    folder; the count and the later broadcast both read that copy.
+    One job computes the summary; at most ``max_rows + 1`` rows reach the driver.
     """
-    fixed = cut_lineage(df)
-    return checked_broadcast(fixed, max_rows)
+    rows = df.take(max_rows + 1)
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return df, False
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
                    broadcast_right: bool = False) -> DataFrame:
     """Equi-join on ``keys`` where null matches null; keeps one copy of each key column.
 
-    ``broadcast_right`` re-applies the hint after the key columns are renamed; pass it
-    only for a side whose size was checked.
+    ``broadcast_right`` applies the hint after the key columns are renamed; pass it
+    only for a side whose size was proven small.
     """
     renamed = {k: f"__r_{k}" for k in keys}
     r = right.withColumnsRenamed(renamed)
@@ -47,3 +47,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         r = F.broadcast(r)
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[v]) for k, v in renamed.items()])
     return left.join(r, cond, how).drop(*renamed.values())
+
+
+def join_summary(df: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner",
+                 max_rows: int = SUMMARY_ROWS) -> DataFrame:
+    """Attach a per-group summary to ``df`` (null-safe on keys), broadcasting it when bounded."""
+    s, small = bounded_summary(summary, max_rows)
+    return null_safe_join(df, s, keys, how, broadcast_right=small)

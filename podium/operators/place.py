@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.operators.joins import fits_broadcast, null_safe_join
+from podium.operators.joins import join_summary, null_safe_join
 from podium.session import cut_lineage
 
 Order = str | Column | tuple
@@ -47,7 +47,7 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
 
     The order must be total (end it with a unique key) for a reproducible result.
     Plan: one range exchange, one checkpoint (fixes the ranges and the local numbers,
-    survives executor loss), one small aggregate joined back by broadcast.
+    survives executor loss), one small per-slice summary joined back by broadcast.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -61,10 +61,9 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
     stats = ranged.groupBy("__pid", *by).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut_lineage(
-        stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
-    joined = null_safe_join(ranged, offsets, ["__pid", *by], "inner",
-                            broadcast_right=fits_broadcast(offsets))
+    # at most (slices + groups) rows: each slice is a contiguous key range
+    offsets = stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    joined = join_summary(ranged, offsets, ["__pid", *by])
     return (joined
             .withColumn(name, (F.col("__off") + F.col("__mid") - F.col("__first") + F.lit(1)).cast("long"))
             .drop("__pid", "__mid", "__off", "__first"))
@@ -72,11 +71,15 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
 
 def distributed_dense_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
                            name: str = "place") -> DataFrame:
-    """``dense_rank()`` per group: rank the distinct (group, value) rows, join back."""
+    """``dense_rank()`` per group: rank the distinct (group, value) rows, join back.
+
+    The distinct table can be as large as the input, so the join back is a plain
+    (shuffle) join; AQE splits a hot value on the big side.
+    """
     cols = list(by) + order_names(order)
     distinct = df.select(*cols).distinct()
     ranked = distributed_rank(distinct, by, order, name)
-    return null_safe_join(df, ranked, cols, "inner", broadcast_right=fits_broadcast(ranked))
+    return null_safe_join(df, ranked, cols)
 
 
 def window_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order], name: str = "rank",

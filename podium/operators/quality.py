@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.operators.joins import fits_broadcast
-
 
 def find_duplicates(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
     """Q2 (F2, T2, E9): keys that occur more than once, with their count.
@@ -31,8 +29,6 @@ def alias_report(points: DataFrame, aliases: DataFrame,
                  keys: Sequence[str] = ("event", "division")) -> DataFrame:
     """Q1: scored rows whose name is a known alias, with the preferred name."""
     a = aliases.select("alias_fn", "alias_ln", "actual_fn", "actual_ln")
-    if fits_broadcast(a):
-        a = F.broadcast(a)
     hits = points.join(a, (points.first_name == a.alias_fn) & (points.last_name == a.alias_ln))
     extra = [c for c in ("division_place", "age") if c in points.columns]
     return hits.select(*keys, "first_name", "last_name", "actual_fn", "actual_ln", *extra)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.text import rstrip_chars
-from podium.operators.joins import fits_broadcast
 
 
 def relay_stretch(df: DataFrame, name_cols: Sequence[str], strip: str = "&") -> DataFrame:
@@ -29,11 +28,9 @@ def relay_division(df: DataFrame, class_col: str, lookup: DataFrame,
     """L2: the team class gives the division; a mixed class looks each member up by name.
 
     ``class_map`` maps class text to a division; other classes use ``lookup``
-    (name, division), joined by broadcast when it is small, else by shuffle.
+    (name, division); the planner broadcasts it when its files are small, else shuffles.
     """
     lk = lookup.select(F.col("name").alias("__lk_name"), F.col("division").alias("__lk_division"))
-    if fits_broadcast(lk):
-        lk = F.broadcast(lk)
     joined = df.join(lk, df[name_col] == lk["__lk_name"], "left")
     mapped = None
     for cls, div in class_map.items():

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from podium.functions.numbers import round_half_up, step_bonus, to_units
 from podium.functions.text import full_name
-from podium.operators.joins import checked_broadcast
 from podium.operators.place import overall_place
 from podium.rules import CURRENT, ScoringRules
 
@@ -66,7 +65,7 @@ def apply_adjustments(season: DataFrame, adjustments: DataFrame,
     """add a manual adjustment (left join, missing -> 0) after best-k and incentives."""
     adj = (adjustments.groupBy(*keys)
            .agg(F.sum(F.col("bias_adjustment").cast("double")).alias("adjustment")))
-    joined = season.join(checked_broadcast(adj), list(keys), "left")
+    joined = season.join(adj, list(keys), "left")  # planner broadcasts it when small
     adjustment = F.coalesce(F.col("adjustment"), F.lit(0.0))
     return joined.withColumns({"adjustment": adjustment,
                                "series_points": F.col("series_points") + adjustment})

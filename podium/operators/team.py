@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from podium.functions.numbers import exact_sum, round_half_up, to_units
 from podium.functions.text import split_first_rest
-from podium.operators.joins import checked_broadcast
 from podium.operators.place import distributed_rank, window_rank
 from podium.operators.quality import find_duplicates
 from podium.operators.season import event_column
@@ -62,7 +61,7 @@ def team_event_rows(points: DataFrame, membership: DataFrame,
     """members' scored rows (inner join on division and name; null points dropped)."""
     members = membership.select("team_name", *keys)
     scored = points.filter(F.col("points").isNotNull())
-    return scored.join(checked_broadcast(members), list(keys), "inner")
+    return scored.join(members, list(keys), "inner")
 
 
 def team_ranked(rows: DataFrame, rules: ScoringRules = CURRENT,

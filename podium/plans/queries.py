@@ -218,13 +218,12 @@ def q_alias_report(spark, sf_dir):
 @register("lookup_join")
 def q_lookup_join(spark, sf_dir):
     from pyspark.sql import functions as F
-    from podium.operators.joins import checked_broadcast
     c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = tb.table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = tb.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     lookup = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("division"))
-    return c.join(checked_broadcast(lookup), "c_nationkey", "left").select("c_custkey", "division")
+    return c.join(lookup, "c_nationkey", "left").select("c_custkey", "division")
 
 
 def _relay_teams(spark, sf_dir):

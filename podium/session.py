@@ -35,6 +35,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.driver.memory", os.environ.get("PODIUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    # extra settings for local runs, e.g. an event log in a scratch folder:
+    # PODIUM_SPARK_CONF="spark.eventLog.enabled=true;spark.eventLog.dir=/tmp/run-x"
+    for item in filter(None, os.environ.get("PODIUM_SPARK_CONF", "").split(";")):
+        key, _, value = item.partition("=")
+        builder = builder.config(key.strip(), value.strip())
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
