@@ -687,3 +687,5 @@ SELECT doc_id, line_no, regexp_extract(line, '(?s)^([^ ]+) (.+)', 1) AS word,
        regexp_extract(line, '(?s)^([^ ]+) (.+)', 2) AS rest
 FROM f WHERE line_no > 0 AND regexp_matches(line, '(?s)^([^ ]+) (.+)')
 """
+
+SQL["stream_event_points"] = SQL["event_points"]

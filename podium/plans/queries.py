@@ -532,3 +532,22 @@ def q_text_rows(spark, sf_dir):
     docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = text_rows(docs, "text", r"(?s)^([^ ]+) (.+)", ["word", "rest"], keep=["doc_id"])
     return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "word", "rest")
+
+
+# --- streaming -------------------------------------------------------------------
+
+@register("stream_event_points")
+def q_stream_event_points(spark, sf_dir):
+    """Event points built by the incremental streaming job over the orders files."""
+    from pyspark.sql import functions as F
+    from podium.operators.event import score_event
+    from podium.streaming.incremental import file_stream, run_rescoring_stream, stream_root
+    customer = tb.table(spark, sf_dir, "customer")
+    orders_schema = tb.table(spark, sf_dir, "orders").schema
+    root = stream_root(spark, "event-points")
+    src = file_stream(spark, f"{sf_dir}/orders.parq*", orders_schema)
+    q = run_rescoring_stream(src, lambda b: tb.entries_from_orders(b, customer),
+                             lambda ent: score_event(tb.results_from_entries(ent)), root)
+    q.awaitTermination()
+    pts = spark.read.parquet(f"{root}/event_points")
+    return pts.withColumn("event", F.col("event").cast("long")).select(*POINT_COLS)

@@ -31,9 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return entries_from_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def entries_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One race entry per order (see the module docstring for the mapping)."""
+    o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = customer.select("c_custkey", "c_mktsegment")
     year = F.year("o_orderdate")
     key = F.col("c_custkey")
     return o.join(c, o.o_custkey == c.c_custkey).select(
@@ -65,7 +69,11 @@ RESULT_COLS = ["event", "division", "first_name", "last_name", "racer_key", "age
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ent = entries(spark, sf_dir)
+    return results_from_entries(entries(spark, sf_dir))
+
+
+def results_from_entries(ent: DataFrame) -> DataFrame:
+    """Main rows: best entry per (event, racer), placed; participation: deduplicated."""
     placed = distributed_rank(main_best(ent), ["event", "division"],
                               [("score", "desc"), "entry_id"], "division_place")
     part = dedupe_participation(ent.filter(F.col("race_role") == MAIN),
