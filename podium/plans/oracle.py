@@ -587,6 +587,7 @@ parsed AS (
                                     ELSE s2 // 2 + 1 END END AS dash_age,
          CASE WHEN open_age IS NOT NULL THEN CASE WHEN starts_with(label, 'M') THEN 'male' ELSE 'female' END
               WHEN closed THEN CASE letter WHEN 'M' THEN 'male' WHEN 'F' THEN 'female' END END AS dash_division,
+         CASE WHEN open_age IS NOT NULL THEN open_age WHEN closed THEN s2 // 2 END AS dash_age_floor,
          CASE WHEN open_age IS NOT NULL OR closed THEN 1 ELSE 0 END AS dash_ok,
          CASE WHEN words THEN CASE WHEN w2 % 2 = 0 THEN w2 // 2 WHEN (w2 // 2) % 2 = 0 THEN w2 // 2
                                    ELSE w2 // 2 + 1 END
@@ -600,6 +601,7 @@ parsed AS (
 
 SQL["age_class"] = with_ctes(LABELS, """
 SELECT c_custkey, label, CAST(dash_age AS INTEGER) AS dash_age, dash_division,
+       CAST(dash_age_floor AS INTEGER) AS dash_age_floor,
        CAST(words_age AS INTEGER) AS words_age, words_division
 FROM parsed
 """)
@@ -689,3 +691,41 @@ FROM f WHERE line_no > 0 AND regexp_matches(line, '(?s)^([^ ]+) (.+)')
 """
 
 SQL["stream_event_points"] = SQL["event_points"]
+
+SQL["completeness"] = with_ctes(LABELS, """
+SELECT c_mktsegment, count(*) AS n_rows,
+       count(*) FILTER (WHERE dash_division = 'male') AS n_male,
+       count(*) FILTER (WHERE dash_division = 'female') AS n_female,
+       count(*) FILTER (WHERE dash_division = 'male') + count(*) FILTER (WHERE dash_division = 'female')
+         = count(*) AS complete
+FROM parsed JOIN customer USING (c_custkey) GROUP BY c_mktsegment
+""")
+
+LEGACY_POINTS = RESULTS + scoring_ctes("results", "points", "sizes").replace(
+    "CASE WHEN age > 45 THEN CAST(age - 45 AS DOUBLE) * CAST(1.0 AS DOUBLE)",
+    "CASE WHEN age > 40 THEN CAST(age - 40 AS DOUBLE) * CAST(0.5 AS DOUBLE)")
+
+SQL["age_bonus_legacy"] = with_ctes(LEGACY_POINTS, """
+SELECT event, division, first_name, last_name, age, round(bonus * 1e4, 0) / 1e4 AS bonus, points
+FROM points WHERE race_role = 'main'
+""")
+
+SQL["place_from_overall"] = """
+WITH overall AS (
+  SELECT o_orderkey, o_orderpriority, o_orderstatus,
+         CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT)
+           AS overall_place
+  FROM orders
+),
+checks AS (
+  SELECT o_orderpriority,
+         count(*) FILTER (WHERE o_orderstatus = 'F') + count(*) FILTER (WHERE o_orderstatus = 'O')
+         + count(*) FILTER (WHERE o_orderstatus = 'P') = count(*) AS complete
+  FROM orders GROUP BY o_orderpriority
+)
+SELECT o_orderkey, o_orderpriority, o_orderstatus, overall_place,
+       CAST(row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY overall_place) AS BIGINT)
+         AS division_place,
+       complete
+FROM overall JOIN checks USING (o_orderpriority)
+"""

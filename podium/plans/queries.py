@@ -411,7 +411,9 @@ def q_age_class(spark, sf_dir):
     from podium.functions.division import age_class_dash, age_class_words
     lab = tb.age_labels(spark, sf_dir)
     d, w = age_class_dash("label"), age_class_words("label")
+    d_floor = age_class_dash("label", mid_mode="floor")
     return lab.select("c_custkey", "label", d["age"].alias("dash_age"), d["division"].alias("dash_division"),
+                      d_floor["age"].alias("dash_age_floor"),
                       w["age"].alias("words_age"), w["division"].alias("words_division"))
 
 
@@ -551,3 +553,40 @@ def q_stream_event_points(spark, sf_dir):
     q.awaitTermination()
     pts = spark.read.parquet(f"{root}/event_points")
     return pts.withColumn("event", F.col("event").cast("long")).select(*POINT_COLS)
+
+
+@register("completeness")
+def q_completeness(spark, sf_dir):
+    """Q4: per label style (segment), do the read divisions add up to all rows?"""
+    from pyspark.sql import functions as F
+    from podium.functions.division import age_class_dash
+    from podium.operators.quality import guard_partition
+    c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    lab = tb.age_labels(spark, sf_dir).join(c, "c_custkey")
+    read = lab.withColumn("division", age_class_dash("label")["division"])
+    return guard_partition(read, "division", ["male", "female"], keys=["c_mktsegment"])
+
+
+@register("age_bonus_legacy")
+def q_age_bonus_legacy(spark, sf_dir):
+    """E4 with the earlier season's rule (bonus 0.5 per year above 40)."""
+    from pyspark.sql import functions as F
+    from podium.operators.event import score_event
+    from podium.rules import LEGACY
+    pts = score_event(tb.results(spark, sf_dir), rules=LEGACY, keep_steps=True)
+    return pts.filter(F.col("race_role") == "main").select(
+        "event", "division", "first_name", "last_name", "age", _r4("bonus").alias("bonus"), "points")
+
+
+@register("place_from_overall")
+def q_place_from_overall(spark, sf_dir):
+    """Division place from the sorted overall place, plus the Q4 sum check per race."""
+    from pyspark.sql import functions as F
+    from podium.operators.place import place_in_division
+    from podium.operators.quality import guard_partition
+    o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    overall = place_in_division(o, ["o_orderpriority"], [("o_totalprice", "desc"), "o_orderkey"], "overall_place")
+    placed = place_in_division(overall, ["o_orderpriority", "o_orderstatus"], ["overall_place"], "division_place")
+    check = guard_partition(o, "o_orderstatus", ["F", "O", "P"], keys=["o_orderpriority"])
+    return placed.join(check.select("o_orderpriority", "complete"), "o_orderpriority").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", "overall_place", "division_place", "complete")
