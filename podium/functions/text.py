@@ -16,6 +16,9 @@ CAPS_SURNAME_PATTERN = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$"
 # Honorifics stripped before a plain first/last split (case-insensitive, optional dot).
 NAME_TITLES = ("mr", "mrs", "ms", "miss", "dr", "prof", "rev", "sir")
 NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "phd", "md", "esq")
+# Placeholder a results site prints for an unnamed entrant, and the name it maps to.
+PLACEHOLDER_NAME = "NEED NAME"
+PLACEHOLDER_SPLIT = ("Need", "Name")
 
 
 def _c(c) -> Column:
@@ -68,16 +71,19 @@ def capitalize_parts(c, separators: str = "-'") -> Column:
 
 
 def split_caps_surname(c) -> tuple[Column, Column, Column]:
-    """Mixed-case given names then an upper-case surname.
+    """Mixed-case given names then an upper-case surname ('NEED NAME' -> Need, Name).
 
     Returns (first, last, matched). Rows that do not match give null names and
     ``matched = false`` so the caller can quarantine them.
     """
     s = _c(c)
+    placeholder = F.trim(s) == F.lit(PLACEHOLDER_NAME)
     matched = s.rlike(CAPS_SURNAME_PATTERN)
-    first = F.when(matched, F.trim(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 1)))
-    last = F.when(matched, capitalize_parts(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 4)))
-    return first, last, matched
+    first = (F.when(placeholder, F.lit(PLACEHOLDER_SPLIT[0]))
+             .when(matched, F.trim(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 1))))
+    last = (F.when(placeholder, F.lit(PLACEHOLDER_SPLIT[1]))
+            .when(matched, capitalize_parts(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 4))))
+    return first, last, placeholder | matched
 
 
 def split_human(c) -> tuple[Column, Column]:

@@ -111,9 +111,18 @@ def consolidate_best(points: DataFrame, key: Sequence[str], place: str = "divisi
     return best.select("__best.*")
 
 
-def repeat_guard(points: DataFrame, key: Sequence[str], max_days: int) -> DataFrame:
-    """Racers seen more often than the event has days (likely two people, one name)."""
+def repeat_guard(points: DataFrame, key: Sequence[str], max_days: int | DataFrame,
+                 event_keys: Sequence[str] = ("event",)) -> DataFrame:
+    """Racers seen more often than the event has days (likely two people, one name).
+
+    ``max_days`` is one limit for all events, or an events table with ``event_days``
+    per event (joined on ``event_keys``; the planner broadcasts it when small).
+    """
     counted = points.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
+    if isinstance(max_days, DataFrame):
+        days = max_days.select(*event_keys, F.col("event_days").cast("long").alias("__days"))
+        return (counted.join(days, list(event_keys), "left")
+                .filter(F.col("n_rows") > F.coalesce(F.col("__days"), F.lit(1))).drop("__days"))
     return counted.filter(F.col("n_rows") > F.lit(int(max_days)))
 
 

@@ -47,13 +47,24 @@ def unpivot_membership(wide: DataFrame, team_col: str, slots: Sequence[tuple[str
 
 
 def guard_membership(wide: DataFrame, membership: DataFrame, team_col: str = "team_name") -> DataFrame:
-    """Offending keys as rows (kind, key, n): duplicate team names, racers in two teams."""
+    """T1/T2 checks as rows (kind, key, n_rows).
+
+    Kinds: ``team`` duplicate team name; ``racer`` racer in more than one team;
+    ``division`` member whose division cell could not be read; ``name`` one-word name.
+    """
     teams = (find_duplicates(wide.select(F.col(team_col).alias("team_name")), ["team_name"])
              .select(F.lit("team").alias("kind"), F.col("team_name").alias("key"), "n_rows"))
     racers = (find_duplicates(membership, ["first_name", "last_name"])
               .select(F.lit("racer").alias("kind"),
                       F.concat_ws(" ", "first_name", "last_name").alias("key"), "n_rows"))
-    return teams.unionByName(racers)
+    member = F.concat_ws(" / ", "team_name", "first_name")
+    bad_division = (membership.filter(F.col("division").isNull())
+                    .groupBy(member.alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
+                    .select(F.lit("division").alias("kind"), "key", "n_rows"))
+    one_word = (membership.filter(F.col("last_name") == "")
+                .groupBy(member.alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
+                .select(F.lit("name").alias("kind"), "key", "n_rows"))
+    return teams.unionByName(racers).unionByName(bad_division).unionByName(one_word)
 
 
 def team_event_rows(points: DataFrame, membership: DataFrame,

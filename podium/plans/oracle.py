@@ -265,6 +265,12 @@ FROM (SELECT DISTINCT team_name FROM reg) GROUP BY team_name HAVING count(*) > 1
 UNION ALL
 SELECT 'racer' AS kind, first_name || ' ' || last_name AS key, count(*) AS n_rows
 FROM membership GROUP BY first_name, last_name HAVING count(*) > 1
+UNION ALL
+SELECT 'division' AS kind, team_name || ' / ' || first_name AS key, count(*) AS n_rows
+FROM membership WHERE division IS NULL GROUP BY 2
+UNION ALL
+SELECT 'name' AS kind, team_name || ' / ' || first_name AS key, count(*) AS n_rows
+FROM membership WHERE last_name = '' GROUP BY 2
 """)
 
 SQL["team_join"] = with_ctes(TEAMS, """

@@ -34,6 +34,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PODIUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # bounded summaries are fetched with take(n): scan all their partitions in one job
+        .config("spark.sql.limit.initialNumPartitions", "1000")
+        # remove checkpoint files of frames that are no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     # extra settings for local runs, e.g. an event log in a scratch folder:
     # PODIUM_SPARK_CONF="spark.eventLog.enabled=true;spark.eventLog.dir=/tmp/run-x"

@@ -90,3 +90,9 @@ def test_age_class_words_unreadable(spark):
 @pytest.mark.parametrize("v,out", [("Male", "male"), (" f", "female"), ("NB", "nb"), ("x", None)])
 def test_division_prefix(spark, v, out):
     assert one(spark, dv.division_from_prefix, v) == out
+
+
+def test_placeholder_name(spark):
+    f, l_, m = tx.split_caps_surname(F.col("v"))
+    r = spark.createDataFrame([(" NEED NAME",)], "v string").select(f.alias("f"), l_.alias("l"), m.alias("m")).collect()[0]
+    assert (r.f, r.l, r.m) == ("Need", "Name", True)

@@ -97,3 +97,27 @@ def test_age_groups(spark):
                                "division string, name string, overall_place long")
     w = {(r.age_group, r.name) for r in age_group_winners(st, modal, age_bands(spark)).collect()}
     assert w == {("31-35", "A"), ("71-123", "C")}  # B is on the podium
+
+
+def test_empty_division_standings_keep_schema(spark):
+    empty = _points(spark, [])
+    w = standings_wide(season_points(empty, events=["e1"]), ["e1"])
+    assert w.count() == 0
+    assert "e1_points" in w.columns and "overall_place" in w.columns
+
+
+def test_guard_one_word_and_unreadable_division(spark):
+    from podium.functions.division import division_from_prefix
+    reg = spark.createDataFrame([("T", "Solo", "m", "Ann Lee", "x")], "team_name string, n1 string, g1 string, "
+                                                                      "n2 string, g2 string")
+    m = unpivot_membership(reg, "team_name", [("n1", "g1"), ("n2", "g2")], division_of=division_from_prefix)
+    g = sorted((r.kind, r.key) for r in guard_membership(reg, m).collect())
+    assert g == [("division", "T / Ann"), ("name", "T / Solo")]
+
+
+def test_repeat_guard_with_event_days(spark):
+    from podium.operators.event import repeat_guard
+    rows = [("e1", "f", "A", "x", None, 20.0)] * 2 + [("e2", "f", "A", "x", None, 20.0)] * 2
+    days = spark.createDataFrame([("e1", 2), ("e2", 1)], "event string, event_days int")
+    g = repeat_guard(_points(spark, rows), ["event", "division", "first_name", "last_name"], days)
+    assert [(r.event, r.n_rows) for r in g.collect()] == [("e2", 2)]
