@@ -71,9 +71,11 @@ def score_event(results: DataFrame, rules: ScoringRules = CURRENT, by: Sequence[
     """Points for main and participation rows of every group in one pass.
 
     Participation rows get the flat credit; their place and age are not meaningful and
-    are set to null. Groups without a main race simply have no field size.
+    are set to null. Groups without a main race simply have no field size. When the
+    input already carries ``max_place`` (e.g. from ``distributed_rank(group_size=...)``,
+    whose 1..n numbering has max place n), no field-size pass is run.
     """
-    scored = with_field_size(results, by, place)
+    scored = results if "max_place" in results.columns else with_field_size(results, by, place)
     is_part = F.col("race_role") == PARTICIPATION
     placement = placement_points(place, "max_place")
     floored = floor_points(placement, rules.floor)

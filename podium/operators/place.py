@@ -42,10 +42,13 @@ def order_names(order: Sequence[Order]) -> list[str]:
 
 
 def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
-                     name: str = "place", num_partitions: int | None = None) -> DataFrame:
+                     name: str = "place", num_partitions: int | None = None,
+                     group_size: str | None = None) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)`` without a single-task window.
 
     The order must be total (end it with a unique key) for a reproducible result.
+    ``group_size`` names an optional column with the row count of the row's group
+    (the largest number handed out in it), taken from the same summary.
     Plan: one range exchange, one checkpoint (fixes the ranges and the local numbers,
     survives executor loss), one small per-slice summary joined back by broadcast.
     """
@@ -62,11 +65,16 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     # at most (slices + groups) rows: each slice is a contiguous key range
-    offsets = stats.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    whole = Window.partitionBy(*by)
+    offsets = stats.withColumns({
+        "__off": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+        "__gn": F.sum("__n").over(whole).cast("long"),
+    }).drop("__n")
     joined = join_summary(ranged, offsets, ["__pid", *by])
-    return (joined
-            .withColumn(name, (F.col("__off") + F.col("__mid") - F.col("__first") + F.lit(1)).cast("long"))
-            .drop("__pid", "__mid", "__off", "__first"))
+    out = joined.withColumn(name, (F.col("__off") + F.col("__mid") - F.col("__first") + F.lit(1)).cast("long"))
+    if group_size:
+        out = out.withColumn(group_size, F.col("__gn"))
+    return out.drop("__pid", "__mid", "__off", "__first", "__gn")
 
 
 def distributed_dense_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],

@@ -65,7 +65,7 @@ def main_best(ent: DataFrame) -> DataFrame:
 
 
 RESULT_COLS = ["event", "division", "first_name", "last_name", "racer_key", "age",
-               "division_place", "race_role", "entry_id", "score"]
+               "division_place", "race_role", "entry_id", "score", "max_place"]
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,13 +73,17 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_from_entries(ent: DataFrame) -> DataFrame:
-    """Main rows: best entry per (event, racer), placed; participation: deduplicated."""
+    """Main rows: best entry per (event, racer), placed; participation: deduplicated.
+
+    Places are 1..n per (event, division), so the field size (max place) is the
+    group's row count, which the ranking step already knows.
+    """
     placed = distributed_rank(main_best(ent), ["event", "division"],
-                              [("score", "desc"), "entry_id"], "division_place")
+                              [("score", "desc"), "entry_id"], "division_place", group_size="max_place")
     part = dedupe_participation(ent.filter(F.col("race_role") == MAIN),
                                 ent.filter(F.col("race_role") == PARTICIPATION),
                                 event_keys=["event"], prefer=["entry_id"])
-    part = part.withColumn("division_place", F.lit(None).cast("long"))
+    part = part.withColumns({"division_place": F.lit(None).cast("long"), "max_place": F.lit(None).cast("long")})
     return placed.select(*RESULT_COLS).unionByName(part.select(*RESULT_COLS))
 
 
@@ -161,9 +165,9 @@ def day_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ent = entries(spark, sf_dir)
     main = distributed_rank(ent.filter(F.col("race_role") == MAIN), ["event", "division"],
-                            [("score", "desc"), "entry_id"], "division_place")
+                            [("score", "desc"), "entry_id"], "division_place", group_size="max_place")
     part = (ent.filter(F.col("race_role") == PARTICIPATION)
-            .withColumn("division_place", F.lit(None).cast("long")))
+            .withColumns({"division_place": F.lit(None).cast("long"), "max_place": F.lit(None).cast("long")}))
     return score_event(main.select(*RESULT_COLS).unionByName(part.select(*RESULT_COLS)))
 
 
