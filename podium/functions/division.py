@@ -61,15 +61,16 @@ def _letter_division(letter: Column) -> Column:
     return F.when(letter == "M", F.lit(MALE)).when(letter == "F", F.lit(FEMALE))
 
 
-def age_class_dash(c, mid_mode: str = "half_even") -> Column:
+def age_class_dash(c, mid_mode: str = "half_even", open_classes=OPEN_AGE_CLASSES) -> Column:
     """'M17-29 (..)' style classes -> struct(age, division); null struct = drop the row.
 
-    Open classes ('70+', '75+', '12-', '19-', '16-') are tested first, by substring and
-    in the fixed order; the division then is male when the text starts with 'M'.
+    Open classes (default '70+', '75+', '12-', '19-', '16-'; some sources list only
+    '75+') are tested first, by substring and in the given order; the division then
+    is male when the text starts with 'M'.
     """
     s = _c(c)
-    open_age = None
-    for token, age in OPEN_AGE_CLASSES:
+    open_age = F.lit(None).cast("int") if not open_classes else None
+    for token, age in open_classes:
         cond = s.contains(token)
         open_age = (F.when(cond, F.lit(age)) if open_age is None
                     else open_age.when(cond, F.lit(age)))

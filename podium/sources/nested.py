@@ -16,6 +16,11 @@ from pyspark.sql import types as T
 ROWS = T.ArrayType(T.ArrayType(T.StringType()))
 LIST_DOC = T.StructType([T.StructField("data", ROWS)])
 MAP_DOC = T.StructType([T.StructField("data", T.MapType(T.StringType(), ROWS))])
+FIELDS_DOC = T.StructType([
+    T.StructField("list", T.StructType([T.StructField(
+        "Fields", T.ArrayType(T.StructType([T.StructField("Label", T.StringType())])))])),
+    T.StructField("data", T.MapType(T.StringType(), ROWS)),
+])
 LABELLED_DOC = T.StructType([
     T.StructField("headings", T.ArrayType(T.StructType([T.StructField("key", T.StringType())]))),
     T.StructField("resultSet", T.StructType([T.StructField("results", ROWS)])),
@@ -104,3 +109,15 @@ def labelled_rows(docs: DataFrame, body: str = "body", keep: Sequence[str] = ())
     parsed = docs.select(*keep, F.transform(doc["headings"], lambda h: h["key"]).alias("labels"),
                          doc["resultSet"]["results"].alias("__rows"))
     return parsed.select(*keep, "labels", F.posexplode("__rows").alias("row_no", "cells"))
+
+
+def fields_map_rows(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """S6 second form: ``{"list": {"Fields": [{"Label": ..}]}, "data": {race: [[..]]}}``.
+
+    Labels come from the field list; rows from the first entry of the ``data`` map only.
+    """
+    doc = F.from_json(F.col(body), FIELDS_DOC)
+    first = F.get(F.map_entries(doc["data"]), 0)
+    parsed = docs.select(*keep, F.transform(doc["list"]["Fields"], lambda f: f["Label"]).alias("labels"),
+                         first["key"].alias("race_key"), first["value"].alias("__rows"))
+    return parsed.select(*keep, "labels", "race_key", F.posexplode("__rows").alias("row_no", "cells"))

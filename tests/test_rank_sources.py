@@ -67,3 +67,19 @@ def test_cleaning_helpers(spark):
     b = spark.createDataFrame([(2, "x")], "k int, extra string")
     u = union_races([a, b], ["r1", "r2"]).orderBy("k").collect()
     assert [(r.k, r.extra, r.race) for r in u] == [(1, None, "r1"), (2, "x", "r2")]
+
+
+def test_fields_map_first_entry_only(spark):
+    from podium.sources.nested import fields_map_rows
+    doc = json.dumps({"list": {"Fields": [{"Label": "Place"}, {"Label": "Name"}]},
+                      "data": {"#1_Main": [["r", "1", "Ann"], ["r", "2", "Bo"]], "#2_Other": [["r", "9", "Zed"]]}})
+    rows = fields_map_rows(spark.createDataFrame([(doc,)], "body string"))
+    z = zip_labels(rows, "labels", offset=2).collect()
+    assert [(r.race_key, r.fields["Place"], r.fields["Name"]) for r in z] == [("#1_Main", "1", "Ann"), ("#1_Main", "2", "Bo")]
+
+
+def test_open_class_list_per_source(spark):
+    from podium.functions.division import age_class_dash
+    df = spark.createDataFrame([("M70+",), ("F75+",), ("M16-18",)], "v string")
+    only75 = [r.a for r in df.select(age_class_dash("v", open_classes=(("75+", 75),)).alias("a")).collect()]
+    assert [(a.age, a.division) if a else None for a in only75] == [None, (75, "female"), (17, "male")]
