@@ -5,18 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from podium.rules import OPEN_AGE_CLASSES
+from podium.rules import DASH_CLASS, GENDER_ONLY_CLASS, OPEN_AGE_CLASSES, OPEN_WORDS_CLASS, WORDS_CLASS
 
 MALE, FEMALE, NB = "male", "female", "nb"
 
-# ---------------------------------------------------------------------------
-# Age-class grammars
-# ---------------------------------------------------------------------------
-DASH_CLASS = r"^([MF])([0-9]{1,3})-([0-9]{1,3})"            # "M50-54 (3)"
-WORDS_CLASS = r"^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \(.+\)"  # "M 50 to 54 (2)"
-GENDER_ONLY_CLASS = r"^(Male|Female) \(.+\)"                  # "Male (3)" -> age unknown
-OPEN_WORDS_CLASS = r"^([MF]) +([0-9]{2})"                     # "M  70 ..." -> lower bound
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

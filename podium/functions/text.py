@@ -8,17 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
-# Fixed values
-# ---------------------------------------------------------------------------
-# Given names followed by an upper-case surname, e.g. "Anna Maria SMITH-JONES".
-CAPS_SURNAME_PATTERN = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$"
-# Honorifics stripped before a plain first/last split (case-insensitive, optional dot).
+from podium.rules import CAPS_SURNAME_PATTERN, PLACEHOLDER_NAME, PLACEHOLDER_SPLIT
+
+# Honorifics and suffixes stripped before a plain first/last split (case-insensitive,
+# optional dot); a parameter list of this library, not a rule of the series.
 NAME_TITLES = ("mr", "mrs", "ms", "miss", "dr", "prof", "rev", "sir")
 NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "phd", "md", "esq")
-# Placeholder a results site prints for an unnamed entrant, and the name it maps to.
-PLACEHOLDER_NAME = "NEED NAME"
-PLACEHOLDER_SPLIT = ("Need", "Name")
 
 
 def _c(c) -> Column:

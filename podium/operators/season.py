@@ -1,6 +1,6 @@
 """Season standings for individuals.
 
-The reference's chain of full outer joins (one per event) becomes a single grouped
+A chain of full outer joins (one per event, one wide column each) becomes a single grouped
 aggregate over the long event-points table: one shuffle, partial aggregation
 map-side, per-event columns by conditional aggregation with a fixed event list.
 

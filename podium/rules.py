@@ -34,6 +34,18 @@ AGE_BANDS = (
 # occurs in a closed class such as "M16-18").
 OPEN_AGE_CLASSES = (("70+", 70), ("75+", 75), ("12-", 12), ("19-", 19), ("16-", 16))
 
+# Age-class grammars (regular expressions, matched at the start of the label).
+DASH_CLASS = r"^([MF])([0-9]{1,3})-([0-9]{1,3})"               # "M50-54 (3)"
+WORDS_CLASS = r"^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \(.+\)"  # "M 50 to 54 (2)"
+GENDER_ONLY_CLASS = r"^(Male|Female) \(.+\)"                   # "Male (3)": age unknown
+OPEN_WORDS_CLASS = r"^([MF]) +([0-9]{2})"                      # "M  70 ...": lower bound
+
+# Given names followed by an upper-case surname, e.g. "Anna Maria SMITH-JONES".
+CAPS_SURNAME_PATTERN = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$"
+# Placeholder printed for an unnamed entrant, and the name it stands for.
+PLACEHOLDER_NAME = "NEED NAME"
+PLACEHOLDER_SPLIT = ("Need", "Name")
+
 # Earlier seasons used a gentler age bonus.
 LEGACY_AGE_THRESHOLD = 40
 LEGACY_AGE_RATE = 0.5

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Default markup patterns
+# Default markup patterns (parameters of html_rows)
 # ---------------------------------------------------------------------------
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
