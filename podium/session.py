@@ -75,3 +75,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so one partition holds about ``target_partition_bytes``
+    (and at least two waves of tasks), scans split files at the same size, AQE
+    coalesces small partitions and splits skewed ones, and broadcasts stay below a
+    fixed threshold. ``spark.checkpoint.dir`` must point at shared storage.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.limit.initialNumPartitions": "1000",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

@@ -42,3 +42,10 @@ def test_read_csv_with_schema_and_report(spark):
     write_report(df, out, {"place": "Overall Place", "name": "Name"}, order=[F.col("name")])
     header = open([os.path.join(out, p) for p in os.listdir(out) if p.endswith(".csv")][0]).readline()
     assert header.strip() == "Overall Place,Name,location"
+
+
+def test_cluster_conf_sizes_partitions():
+    from podium.session import cluster_conf
+    c = cluster_conf(100 << 40, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(cluster_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"]) == 80
