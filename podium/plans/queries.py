@@ -5,8 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from podium.functions.division import age_class_dash, age_class_words, division_from_prefix, division_map
+from podium.functions.numbers import clock_seconds, first_int, lenient_int, round_half_up
+from podium.functions.text import (capitalize_parts, full_name, split_caps_surname, split_comma_aware,
+                                   split_first_last, split_first_rest, split_human)
+from podium.operators.agegroup import age_bands, age_group_winners, band_join
+from podium.operators.clean import (drop_blank, drop_null, drop_status, patch_rows, tag_race_role,
+                                    to_results, union_races)
+from podium.operators.event import (consolidate_best, dedupe_participation, field_size, repeat_guard,
+                                    score_event)
+from podium.operators.place import distributed_rank, place_dense, place_in_division
+from podium.operators.quality import alias_report, find_duplicates, guard_partition, reason_counts
+from podium.operators.relay import relay_division, relay_stretch
+from podium.operators.team import (guard_membership, team_event_points, team_event_rows, team_report,
+                                   team_standings, team_top_k, unpivot_membership)
 from podium.plans import testbed as tb
+from podium.rules import LEGACY
+from podium.sources.markup import LIST_ITEM, html_rows, text_rows
+from podium.sources.nested import apply_layouts, labelled_rows, read_json_rows, zip_labels
+from podium.streaming.incremental import file_stream, run_rescoring_stream, stream_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,19 +48,16 @@ def q_event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _r4(c):
-    from podium.functions.numbers import round_half_up
     return round_half_up(c, 4)
 
 
 @register("field_size")
 def q_field_size(spark, sf_dir):
-    from podium.operators.event import field_size
     return field_size(tb.results(spark, sf_dir))
 
 
 @register("placement_points")
 def q_placement_points(spark, sf_dir):
-    from pyspark.sql import functions as F
     pts = tb.event_points(spark, sf_dir, keep_steps=True).filter(F.col("race_role") == "main")
     return pts.select("event", "division", "first_name", "last_name", "division_place", "max_place",
                       _r4("placement").alias("placement"), _r4("floored").alias("floored"))
@@ -49,14 +65,12 @@ def q_placement_points(spark, sf_dir):
 
 @register("age_bonus")
 def q_age_bonus(spark, sf_dir):
-    from pyspark.sql import functions as F
     pts = tb.event_points(spark, sf_dir, keep_steps=True).filter(F.col("race_role") == "main")
     return pts.select("event", "division", "first_name", "last_name", "age", _r4("bonus").alias("bonus"))
 
 
 @register("participation_points")
 def q_participation_points(spark, sf_dir):
-    from pyspark.sql import functions as F
     pts = tb.event_points(spark, sf_dir).filter(F.col("race_role") == "participation")
     return pts.select("event", "division", "first_name", "last_name", "points")
 
@@ -96,41 +110,34 @@ def q_membership_unpivot(spark, sf_dir):
 
 @register("membership_guard")
 def q_membership_guard(spark, sf_dir):
-    from podium.operators.team import guard_membership
     reg = tb.registration(spark, sf_dir)
-    from podium.operators.team import unpivot_membership
     return guard_membership(reg, unpivot_membership(reg, "team_name", tb.REG_SLOTS))
 
 
 @register("team_join")
 def q_team_join(spark, sf_dir):
-    from podium.operators.team import team_event_rows
     rows = team_event_rows(tb.event_points(spark, sf_dir), tb.membership(spark, sf_dir))
     return rows.select("team_name", "event", "division", "first_name", "last_name", "points")
 
 
 @register("team_top3")
 def q_team_top3(spark, sf_dir):
-    from podium.operators.team import team_top_k
     return team_top_k(tb.team_ranked(spark, sf_dir)).select(
         "team_name", "event", "division", "first_name", "last_name", "team_rank", "points")
 
 
 @register("team_event_points")
 def q_team_event_points(spark, sf_dir):
-    from podium.operators.team import team_event_points
     return team_event_points(tb.team_ranked(spark, sf_dir))
 
 
 @register("team_standings")
 def q_team_standings(spark, sf_dir):
-    from podium.operators.team import team_event_points, team_standings
     return team_standings(team_event_points(tb.team_ranked(spark, sf_dir)), tb.EVENT_YEARS)
 
 
 @register("team_report")
 def q_team_report(spark, sf_dir):
-    from podium.operators.team import team_report
     return team_report(tb.team_ranked(spark, sf_dir))
 
 
@@ -141,13 +148,11 @@ def q_age_mode(spark, sf_dir):
 
 @register("band_join")
 def q_band_join(spark, sf_dir):
-    from podium.operators.agegroup import age_bands, band_join
     return band_join(tb.modal_ages(spark, sf_dir), age_bands(spark)).select("division", "name", "age", "age_group")
 
 
 @register("age_group_winners")
 def q_age_group_winners(spark, sf_dir):
-    from podium.operators.agegroup import age_bands, age_group_winners
     pts = tb.event_points(spark, sf_dir)
     st = tb.standings(spark, sf_dir, pts)
     return age_group_winners(st, tb.modal_ages(spark, sf_dir, pts), age_bands(spark)).select(
@@ -159,27 +164,22 @@ DAY_COLS = ["event", "division", "first_name", "last_name"]
 
 @register("consolidate_best")
 def q_consolidate_best(spark, sf_dir):
-    from podium.operators.event import consolidate_best
     best = consolidate_best(tb.day_points(spark, sf_dir), DAY_COLS)
     return best.select(*DAY_COLS, "race_role", "division_place", "age", "points")
 
 
 @register("repeat_guard")
 def q_repeat_guard(spark, sf_dir):
-    from podium.operators.event import repeat_guard
     return repeat_guard(tb.day_points(spark, sf_dir), DAY_COLS, max_days=2)
 
 
 @register("unique_guard")
 def q_unique_guard(spark, sf_dir):
-    from podium.operators.quality import find_duplicates
     return find_duplicates(tb.day_points(spark, sf_dir), DAY_COLS)
 
 
 @register("dedupe_anti")
 def q_dedupe_anti(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.operators.event import dedupe_participation
     ent = tb.entries(spark, sf_dir)
     kept = dedupe_participation(ent.filter(F.col("race_role") == "main"),
                                 ent.filter(F.col("race_role") == "participation"),
@@ -189,7 +189,6 @@ def q_dedupe_anti(spark, sf_dir):
 
 @register("place_ordinal")
 def q_place_ordinal(spark, sf_dir):
-    from podium.operators.place import place_in_division
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     placed = place_in_division(o, ["o_orderstatus"], [("o_totalprice", "desc"), "o_orderkey"], "place")
     return placed.select("o_orderkey", "o_orderstatus", "place")
@@ -197,27 +196,23 @@ def q_place_ordinal(spark, sf_dir):
 
 @register("place_dense")
 def q_place_dense(spark, sf_dir):
-    from podium.operators.place import place_dense
     e = tb.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     return place_dense(e, ["event_type"], "value", "place").select("event_id", "event_type", "value", "place")
 
 
 @register("distributed_rank")
 def q_distributed_rank(spark, sf_dir):
-    from podium.operators.place import distributed_rank
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return distributed_rank(o, [], [("o_totalprice", "desc"), "o_orderkey"], "place").select("o_orderkey", "place")
 
 
 @register("alias_report")
 def q_alias_report(spark, sf_dir):
-    from podium.operators.quality import alias_report
     return alias_report(tb.event_points(spark, sf_dir), tb.aliases(spark, sf_dir))
 
 
 @register("lookup_join")
 def q_lookup_join(spark, sf_dir):
-    from pyspark.sql import functions as F
     c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = tb.table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = tb.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -227,7 +222,6 @@ def q_lookup_join(spark, sf_dir):
 
 
 def _relay_teams(spark, sf_dir):
-    from pyspark.sql import functions as F
     li = tb.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice")
     return li.select(
@@ -240,7 +234,6 @@ def _relay_teams(spark, sf_dir):
 
 
 def _relay_lookup(spark, sf_dir):
-    from pyspark.sql import functions as F
     p = tb.table(spark, sf_dir, "part").select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("name"), F.lit("female").alias("division"))
     s = tb.table(spark, sf_dir, "supplier").select(
@@ -250,7 +243,6 @@ def _relay_lookup(spark, sf_dir):
 
 @register("relay_stretch")
 def q_relay_stretch(spark, sf_dir):
-    from podium.operators.relay import relay_division, relay_stretch
     stretched = relay_stretch(_relay_teams(spark, sf_dir), ["name_1", "name_2"])
     out = relay_division(stretched, "class", _relay_lookup(spark, sf_dir), {"Male": "male", "Female": "female"})
     return out.select("l_orderkey", "l_linenumber", "member_no", "member_name", "class", "division", "time_s")
@@ -258,8 +250,6 @@ def q_relay_stretch(spark, sf_dir):
 
 @register("patch_rows")
 def q_patch_rows(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.operators.clean import patch_rows
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     cond = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
     return patch_rows(o, cond, "o_orderpriority", "4-NOT SPECIFIED").select("o_orderkey", "o_orderpriority")
@@ -270,15 +260,12 @@ MAIN_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 @register("race_role")
 def q_race_role(spark, sf_dir):
-    from podium.operators.clean import tag_race_role
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return tag_race_role(o, "o_orderpriority", MAIN_PRIORITIES).select("o_orderkey", "race_role")
 
 
 @register("union_races")
 def q_union_races(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.operators.clean import union_races
     o = tb.table(spark, sf_dir, "orders")
     races = {
         "F": o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice"),
@@ -289,7 +276,6 @@ def q_union_races(spark, sf_dir):
 
 
 def _place_text():
-    from pyspark.sql import functions as F
     key = F.col("o_orderkey").cast("string")
     return (F.when(F.col("o_orderstatus") == "P", F.lit("DNF"))
             .when(F.col("o_orderstatus") == "F", F.concat(key, F.lit(".")))
@@ -298,8 +284,6 @@ def _place_text():
 
 @register("drop_status")
 def q_drop_status(spark, sf_dir):
-    from podium.functions.numbers import first_int
-    from podium.operators.clean import drop_status
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     o = o.withColumn("place_text", _place_text())
     return drop_status(o, "place_text").select("o_orderkey", first_int("place_text").alias("place"))
@@ -307,9 +291,6 @@ def q_drop_status(spark, sf_dir):
 
 @register("clean_rows")
 def q_clean_rows(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.numbers import lenient_int
-    from podium.operators.clean import drop_blank, drop_null, to_results
     e = tb.table(spark, sf_dir, "events")
     raw = to_results(e, {
         "row_id": "event_id",
@@ -322,13 +303,11 @@ def q_clean_rows(spark, sf_dir):
 # --- names ---------------------------------------------------------------------
 
 def _caps_text():
-    from pyspark.sql import functions as F
     return F.concat(F.col("given"), F.lit(" "), F.upper("p_type"))
 
 
 @register("name_first_rest")
 def q_name_first_rest(spark, sf_dir):
-    from podium.functions.text import split_first_rest
     p = tb.part_text(spark, sf_dir)
     first, last = split_first_rest(_caps_text())
     return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
@@ -336,7 +315,6 @@ def q_name_first_rest(spark, sf_dir):
 
 @register("name_first_last")
 def q_name_first_last(spark, sf_dir):
-    from podium.functions.text import split_first_last
     p = tb.part_text(spark, sf_dir)
     first, last = split_first_last(_caps_text())
     return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
@@ -344,8 +322,6 @@ def q_name_first_last(spark, sf_dir):
 
 @register("name_comma")
 def q_name_comma(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.text import split_comma_aware
     p = tb.part_text(spark, sf_dir)
     text = F.when(F.col("p_size") > 25, F.concat(F.upper("p_type"), F.lit(", "), F.col("given"))) \
         .otherwise(F.col("given"))
@@ -355,8 +331,6 @@ def q_name_comma(spark, sf_dir):
 
 @register("name_caps")
 def q_name_caps(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.text import split_caps_surname
     p = tb.part_text(spark, sf_dir)
     text = F.concat(F.col("given"), F.lit(" "),
                     F.when(F.col("p_size") > 40, F.upper("p_brand")).otherwise(F.upper("p_type")))
@@ -366,8 +340,6 @@ def q_name_caps(spark, sf_dir):
 
 @register("name_human")
 def q_name_human(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.text import split_human
     p = tb.part_text(spark, sf_dir)
     text = F.concat(F.when(F.col("p_size") > 40, F.lit("Dr. ")).otherwise(F.lit("")), F.col("given"),
                     F.when(F.col("p_size") < 10, F.lit(" Jr.")).otherwise(F.lit("")))
@@ -377,8 +349,6 @@ def q_name_human(spark, sf_dir):
 
 @register("name_capitalize")
 def q_name_capitalize(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.text import capitalize_parts
     p = tb.part_text(spark, sf_dir)
     text = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" o'"), F.lower("p_type"))
     return p.select("p_partkey", capitalize_parts(text).alias("name"))
@@ -386,7 +356,6 @@ def q_name_capitalize(spark, sf_dir):
 
 @register("full_name")
 def q_full_name(spark, sf_dir):
-    from podium.functions.text import full_name
     p = tb.part_text(spark, sf_dir)
     return p.select("p_partkey", full_name("p_brand", "p_type").alias("name"))
 
@@ -395,8 +364,6 @@ def q_full_name(spark, sf_dir):
 
 @register("division_norm")
 def q_division_norm(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.division import division_from_prefix, division_map
     c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     letter = F.substring("c_mktsegment", 1, 1)
     return c.select("c_custkey",
@@ -408,7 +375,6 @@ def q_division_norm(spark, sf_dir):
 
 @register("age_class")
 def q_age_class(spark, sf_dir):
-    from podium.functions.division import age_class_dash, age_class_words
     lab = tb.age_labels(spark, sf_dir)
     d, w = age_class_dash("label"), age_class_words("label")
     d_floor = age_class_dash("label", mid_mode="floor")
@@ -419,8 +385,6 @@ def q_age_class(spark, sf_dir):
 
 @register("quarantine")
 def q_quarantine(spark, sf_dir):
-    from podium.functions.division import age_class_dash
-    from podium.operators.quality import reason_counts
     lab = tb.age_labels(spark, sf_dir).withColumn("ac", age_class_dash("label"))
     reasons = {"unreadable_class": lab["ac"].isNull(), "no_division": lab["ac"]["division"].isNull()}
     return reason_counts(lab, reasons)
@@ -428,8 +392,6 @@ def q_quarantine(spark, sf_dir):
 
 @register("first_int")
 def q_first_int(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.numbers import first_int
     e = tb.table(spark, sf_dir, "events").select("event_id", "props", "user_id")
     label = F.concat(F.lit("Male ("), F.col("user_id").cast("string"), F.lit(")"))
     return e.select("event_id", first_int("props").alias("k"), first_int(label).alias("uid"))
@@ -437,8 +399,6 @@ def q_first_int(spark, sf_dir):
 
 @register("lenient_int")
 def q_lenient_int(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.numbers import lenient_int
     c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return c.select("c_custkey", lenient_int(F.regexp_extract("c_name", "#(.*)$", 1)).alias("num"),
                     lenient_int("c_mktsegment").alias("seg_num"))
@@ -446,8 +406,6 @@ def q_lenient_int(spark, sf_dir):
 
 @register("clock_seconds")
 def q_clock_seconds(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.functions.numbers import clock_seconds, round_half_up
     e = tb.table(spark, sf_dir, "events").select("event_id", "value")
     t = e.withColumn("t", F.round(F.col("value") * 1000.0, 0).cast("bigint"))
     pad = lambda x: F.lpad(x.cast("string"), 2, "0")
@@ -463,8 +421,6 @@ def q_clock_seconds(spark, sf_dir):
 
 @register("json_rows_flat")
 def q_json_rows_flat(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.nested import apply_layouts, read_json_rows
     rows = read_json_rows(tb.json_list_pages(spark, sf_dir), "body", "list", keep=["page"])
     named = apply_layouts(rows, {4: ["event_id", "event_type", "value", "user_id"]})
     return named.select("page", F.col("row_no").cast("long").alias("row_no"),
@@ -474,8 +430,6 @@ def q_json_rows_flat(spark, sf_dir):
 
 @register("json_rows_keyed")
 def q_json_rows_keyed(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.nested import read_json_rows
     rows = read_json_rows(tb.json_map_pages(spark, sf_dir), "body", "auto", keep=["page"])
     return rows.select("page", F.col("race_key").alias("race"), F.col("row_no").cast("long").alias("row_no"),
                        F.get("cells", 0).cast("long").alias("event_id"),
@@ -484,8 +438,6 @@ def q_json_rows_keyed(spark, sf_dir):
 
 @register("ragged_layout")
 def q_ragged_layout(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.nested import apply_layouts
     e = tb.table(spark, sf_dir, "events")
     sid, typ = F.col("event_id").cast("string"), F.col("event_type")
     val, uid = F.col("value").cast("string"), F.col("user_id").cast("string")
@@ -506,8 +458,6 @@ def q_ragged_layout(spark, sf_dir):
 
 @register("label_zip")
 def q_label_zip(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.nested import labelled_rows, zip_labels
     rows = labelled_rows(tb.json_labelled_pages(spark, sf_dir), "body", keep=["page"])
     z = zip_labels(rows, "labels", offset=2, length=len(tb.LABELS))
     return z.select(F.col("fields")["Bib"].cast("long").alias("event_id"),
@@ -518,8 +468,6 @@ def q_label_zip(spark, sf_dir):
 
 @register("html_rows")
 def q_html_rows(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.markup import LIST_ITEM, html_rows
     pages = tb.table(spark, sf_dir, "pages").select("page_id", "html")
     rows = html_rows(pages, "html", LIST_ITEM, r"(?s)<a[^>]*>(.*?)</a>", keep=["page_id"])
     return rows.select("page_id", F.col("row_no").cast("long").alias("row_no"),
@@ -529,8 +477,6 @@ def q_html_rows(spark, sf_dir):
 
 @register("text_rows")
 def q_text_rows(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from podium.sources.markup import text_rows
     docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = text_rows(docs, "text", r"(?s)^([^ ]+) (.+)", ["word", "rest"], keep=["doc_id"])
     return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "word", "rest")
@@ -541,9 +487,6 @@ def q_text_rows(spark, sf_dir):
 @register("stream_event_points")
 def q_stream_event_points(spark, sf_dir):
     """Event points built by the incremental streaming job over the orders files."""
-    from pyspark.sql import functions as F
-    from podium.operators.event import score_event
-    from podium.streaming.incremental import file_stream, run_rescoring_stream, stream_root
     customer = tb.table(spark, sf_dir, "customer")
     orders_schema = tb.table(spark, sf_dir, "orders").schema
     root = stream_root(spark, "event-points")
@@ -558,9 +501,6 @@ def q_stream_event_points(spark, sf_dir):
 @register("completeness")
 def q_completeness(spark, sf_dir):
     """Q4: per label style (segment), do the read divisions add up to all rows?"""
-    from pyspark.sql import functions as F
-    from podium.functions.division import age_class_dash
-    from podium.operators.quality import guard_partition
     c = tb.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     lab = tb.age_labels(spark, sf_dir).join(c, "c_custkey")
     read = lab.withColumn("division", age_class_dash("label")["division"])
@@ -570,9 +510,6 @@ def q_completeness(spark, sf_dir):
 @register("age_bonus_legacy")
 def q_age_bonus_legacy(spark, sf_dir):
     """E4 with the earlier season's rule (bonus 0.5 per year above 40)."""
-    from pyspark.sql import functions as F
-    from podium.operators.event import score_event
-    from podium.rules import LEGACY
     pts = score_event(tb.results(spark, sf_dir), rules=LEGACY, keep_steps=True)
     return pts.filter(F.col("race_role") == "main").select(
         "event", "division", "first_name", "last_name", "age", _r4("bonus").alias("bonus"), "points")
@@ -581,9 +518,6 @@ def q_age_bonus_legacy(spark, sf_dir):
 @register("place_from_overall")
 def q_place_from_overall(spark, sf_dir):
     """Division place from the sorted overall place, plus the Q4 sum check per race."""
-    from pyspark.sql import functions as F
-    from podium.operators.place import place_in_division
-    from podium.operators.quality import guard_partition
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
     overall = place_in_division(o, ["o_orderpriority"], [("o_totalprice", "desc"), "o_orderkey"], "overall_place")
     placed = place_in_division(overall, ["o_orderpriority", "o_orderstatus"], ["overall_place"], "division_place")

@@ -1,6 +1,5 @@
 """Event scoring on the synthetic worked example (FIXTURES.md section 4)."""
 
-from pyspark.sql import functions as F
 
 from podium.operators.event import consolidate_best, dedupe_participation, repeat_guard, score_event
 from podium.schema import RESULTS
