@@ -735,3 +735,11 @@ SELECT o_orderkey, o_orderpriority, o_orderstatus, overall_place,
        complete
 FROM overall JOIN checks USING (o_orderpriority)
 """
+
+SQL["season_job_standings"] = with_ctes(SEASON, """
+SELECT division, overall_place, name, n_events, series_points,
+       e1995_points AS "1995_points", e1996_points AS "1996_points", e1997_points AS "1997_points",
+       e1998_points AS "1998_points", e1999_points AS "1999_points", e2000_points AS "2000_points",
+       e2001_points AS "2001_points"
+FROM standings
+""")

@@ -524,3 +524,12 @@ def q_place_from_overall(spark, sf_dir):
     check = guard_partition(o, "o_orderstatus", ["F", "O", "P"], keys=["o_orderpriority"])
     return placed.join(check.select("o_orderpriority", "complete"), "o_orderpriority").select(
         "o_orderkey", "o_orderpriority", "o_orderstatus", "overall_place", "division_place", "complete")
+
+
+@register("season_job_standings")
+def q_season_job_standings(spark, sf_dir):
+    """The end-to-end season job over the test bed: individual standings."""
+    from podium.plans.season_job import run_season
+    out = run_season(tb.season_results(spark, sf_dir), tb.season_events_dim(spark, sf_dir), tb.SEASON_KEY,
+                     adjustments=tb.adjustments(spark, sf_dir))
+    return out.standings.drop("first_name", "last_name")

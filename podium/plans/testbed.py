@@ -249,3 +249,38 @@ def age_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(F.concat(letter, F.lit("  "), s(lo))))
              .otherwise(F.concat(letter, s(lo - 6), F.lit("-"), s(lo - 4))))
     return c.select("c_custkey", label.alias("label"))
+
+
+# ---------------------------------------------------------------------------
+# The season job's own inputs (long results table + events table)
+# ---------------------------------------------------------------------------
+SEASON_KEY = "tb"
+
+
+def season_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test bed as a ``RESULTS`` table: placed main rows, raw participation rows."""
+    from podium.schema import RESULTS
+    ent = entries(spark, sf_dir)
+    placed = distributed_rank(main_best(ent), ["event", "division"],
+                              [("score", "desc"), "entry_id"], "division_place")
+    part = (ent.filter(F.col("race_role") == PARTICIPATION)
+            .withColumn("division_place", F.lit(None).cast("long")))
+    cols = {
+        "season": F.lit(SEASON_KEY), "event": F.col("event").cast("string"), "race": F.col("race_role"),
+        "race_role": F.col("race_role"), "division": F.col("division"), "first_name": F.col("first_name"),
+        "last_name": F.col("last_name"), "age": F.col("age").cast("int"), "time_s": F.lit(None).cast("double"),
+        "overall_place": F.lit(None).cast("long"), "division_place": F.col("division_place").cast("long"),
+        "location": F.lit(None).cast("string"),
+    }
+    pick = [cols[f.name].alias(f.name) for f in RESULTS.fields]
+    return placed.select(*pick).unionByName(part.select(*pick))
+
+
+def season_events_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One single-day event per order year (a dimension: distinct years of the orders)."""
+    o = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    return (o.select(year.alias("y")).distinct()
+            .select(F.lit(SEASON_KEY).alias("season"), F.col("y").cast("string").alias("event"),
+                    F.concat(F.lit("Year "), F.col("y").cast("string")).alias("human_name"),
+                    F.lit(1).alias("event_days"), F.col("y").cast("int").alias("seq")))
