@@ -40,3 +40,23 @@ def test_permutation_invariant(spark, places_ages, rnd):
             for i, (place, age) in shuffled]
     b = score_event(spark.createDataFrame(rows, RESULTS).repartition(3)).collect()
     assert sorted((r.first_name, r.points) for r in a) == sorted((r.first_name, r.points) for r in b)
+
+
+def test_long_and_wide_agree(spark):
+    """Every wide event column equals the racer's long event points (rounded), 0 if absent."""
+    from pyspark.sql import functions as F
+
+    from podium.functions.numbers import round_half_up
+    from podium.operators.season import event_column
+    from podium.plans import testbed as tb
+    from tests.conftest import SMOKE
+    pts = tb.event_points(spark, SMOKE)
+    wide = tb.standings(spark, SMOKE, pts)
+    long_ = pts.select("division", "first_name", "last_name", "event",
+                       round_half_up("points", 2).alias("p"))
+    melted = wide.select("division", "first_name", "last_name", F.explode(F.array(*[
+        F.struct(F.lit(e).cast("long").alias("event"), F.col(event_column(e)).alias("p"))
+        for e in tb.EVENT_YEARS])).alias("x")).select("division", "first_name", "last_name", "x.*")
+    nonzero = melted.filter(F.col("p") != 0)
+    assert nonzero.exceptAll(long_.filter(F.col("p") != 0)).count() == 0
+    assert long_.filter(F.col("p") != 0).exceptAll(nonzero).count() == 0
