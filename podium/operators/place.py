@@ -43,12 +43,14 @@ def order_names(order: Sequence[Order]) -> list[str]:
 
 def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
                      name: str = "place", num_partitions: int | None = None,
-                     group_size: str | None = None) -> DataFrame:
+                     group_size: str | None = None, materialize_input: bool = False) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)`` without a single-task window.
 
     The order must be total (end it with a unique key) for a reproducible result.
     ``group_size`` names an optional column with the row count of the row's group
     (the largest number handed out in it), taken from the same summary.
+    ``materialize_input`` checkpoints the input first: the range sampler and the
+    shuffle then read that copy instead of running an expensive upstream twice.
     Plan: one range exchange, one checkpoint (fixes the ranges and the local numbers,
     survives executor loss), one small per-slice summary joined back by broadcast.
     """
@@ -56,6 +58,8 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
     keys = [F.col(c).asc_nulls_first() for c in by] + [sort_col(o) for o in order]
+    if materialize_input:
+        df = cut_lineage(df)
     ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("__pid", F.spark_partition_id())
@@ -110,7 +114,7 @@ def place_dense(df: DataFrame, by: Sequence[str], value: Order, name: str = "div
 
 
 def overall_place(df: DataFrame, by: Sequence[str], points: str = "series_points",
-                  name: str = "overall_place") -> DataFrame:
+                  name: str = "overall_place", materialize_input: bool = False) -> DataFrame:
     """1..n by points, then first name, then last name, all descending; no shared places."""
     order = [(points, "desc"), ("first_name", "desc"), ("last_name", "desc")]
-    return distributed_rank(df, by, order, name)
+    return distributed_rank(df, by, order, name, materialize_input=materialize_input)
