@@ -133,12 +133,24 @@ def dedupe_participation(main: DataFrame, part: DataFrame, event_keys: Sequence[
     """One participation row per name, minus names that ran the main race (any division).
 
     ``prefer`` orders candidate rows of one name (smallest wins); default: all columns.
+    One aggregate over the union of participation rows and main-race names does both
+    steps: per name it keeps the preferred participation row (``min_by`` skips the
+    main rows, whose ordering is null) and whether a main row exists. One shuffle,
+    combined map-side, so a name shared by many rows never meets in one task whole.
     """
     key = list(event_keys) + list(name_keys)
     rest = [c for c in part.columns if c not in key]
+    row = F.struct(*[F.col(c) for c in rest])
     order = F.struct(*[F.col(c) for c in (prefer or rest)])
-    one = (part.groupBy(*key)
-           .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("__row"))
-           .select(*key, "__row.*"))
-    main_names = main.select(*key).distinct()
-    return one.join(main_names, key, "left_anti")
+    p = part.select(*key, row.alias("__row"), order.alias("__ord"), F.lit(0).alias("__main"))
+    m = main.select(*key, F.lit(None).cast(row_type(part, rest)).alias("__row"),
+                    F.lit(None).cast(p.schema["__ord"].dataType).alias("__ord"), F.lit(1).alias("__main"))
+    agg = (p.unionByName(m).groupBy(*key)
+           .agg(F.max("__main").alias("__has_main"), F.min_by("__row", "__ord").alias("__row")))
+    return agg.filter((F.col("__has_main") == 0) & F.col("__row").isNotNull()).select(*key, "__row.*")
+
+
+def row_type(df: DataFrame, cols: Sequence[str]):
+    """Struct type of the named columns of ``df``."""
+    from pyspark.sql import types as T
+    return T.StructType([df.schema[c] for c in cols])
