@@ -53,15 +53,17 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
     shuffle then read that copy instead of running an expensive upstream twice.
     Plan: one range exchange, one checkpoint (fixes the ranges and the local numbers,
     survives executor loss), one small per-slice summary joined back by broadcast.
+    Without ``num_partitions`` the range bounds are cut for ``spark.sql.shuffle.partitions``
+    slices and AQE may merge neighbouring small slices; merged slices stay contiguous and
+    in key order, so the numbering is unchanged.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
     keys = [F.col(c).asc_nulls_first() for c in by] + [sort_col(o) for o in order]
     if materialize_input:
         df = cut_lineage(df)
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    ranged = (ranged.sortWithinPartitions(*keys)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)

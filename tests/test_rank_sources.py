@@ -83,3 +83,12 @@ def test_open_class_list_per_source(spark):
     df = spark.createDataFrame([("M70+",), ("F75+",), ("M16-18",)], "v string")
     only75 = [r.a for r in df.select(age_class_dash("v", open_classes=(("75+", 75),)).alias("a")).collect()]
     assert [(a.age, a.division) if a else None for a in only75] == [None, (75, "female"), (17, "male")]
+
+
+def test_distributed_rank_default_slices(spark):
+    """Default slice count (AQE may merge small slices): same numbering as the window."""
+    df = spark.range(0, 2000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 500).alias("v"), "id")
+    mine = distributed_rank(df, ["g"], ["v", "id"], "r")
+    ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
+    assert mine.select("id", "r").exceptAll(ref.select("id", "r")).count() == 0
+    assert mine.count() == 2000
