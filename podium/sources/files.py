@@ -26,6 +26,25 @@ def read_csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.Str
             .option("enforceSchema", True).csv(path))
 
 
+def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+                     optional: Sequence[str] = ()) -> DataFrame:
+    """S1 + P5: headed CSV matched to ``schema`` by header name (trimmed, any case).
+
+    Cells are read as text and cast with ``try_cast`` (bad cells become null).
+    Missing required headers raise with the full list; ``optional`` columns that
+    are absent come back as nulls.
+    """
+    from podium.operators.clean import resolve_columns
+    raw = spark.read.option("header", True).csv(path)
+    present = {c.strip().lower() for c in raw.columns}
+    wanted = {f.name: f.name for f in schema.fields
+              if f.name not in optional or f.name.lower() in present}
+    resolved = resolve_columns(raw, wanted)
+    return resolved.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in wanted else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
+
+
 def load_event_points(spark: SparkSession, root: str, season: str | None = None) -> DataFrame:
     """All event-point files of a season as one long table.
 

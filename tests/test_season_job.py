@@ -64,3 +64,21 @@ def test_season_job(spark):
     header = open(next(os.path.join(root, "team_standings", p) for p in os.listdir(f"{root}/team_standings")
                        if p.endswith(".csv"))).readline().strip()
     assert header == "Overall Place,Team Name,Total Points,Event One Points,Event Two Points"
+
+
+def test_cli_reads_csv_by_header_name(spark):
+    """The command line reads headed CSV in any column order and writes the reports."""
+    from podium.cli import main
+    d = tempfile.mkdtemp(prefix="podium-cli-")
+    res = _res(spark).select("first_name", "last_name", "season", "event", "division", "race_role",
+                             "division_place", "age")  # other order, optional columns absent
+    res.coalesce(1).write.option("header", True).csv(f"{d}/results.csv")
+    with open(f"{d}/events.csv", "w") as f:
+        f.write("SEASON,Event,human_name,event_days,seq\ns1,ev1,Event One,1,1\ns1,ev2,Event Two,2,2\n")
+    with open(f"{d}/teams.csv", "w") as f:
+        f.write("season,team_name,division,first_name,last_name\ns1,T1,female,A,One\ns1,T1,female,B,Two\n"
+                "s1,T1,male,M1,X\n")
+    info = main(["--results", f"{d}/results.csv", "--events", f"{d}/events.csv", "--season", "s1",
+                 "--membership", f"{d}/teams.csv", "--out", f"{d}/out"], spark=spark)
+    assert info["events"] == ["ev1", "ev2"] and info["racers"] == 8
+    assert os.path.isdir(f"{d}/out/team_standings") and os.path.isdir(f"{d}/out/event_points/season=s1")
