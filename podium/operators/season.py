@@ -36,15 +36,18 @@ def best_k_sum(points_list: Column, k: int, decimals: int = 6) -> Column:
 
 def season_points(points: DataFrame, rules: ScoringRules = CURRENT,
                   keys: Sequence[str] = RACER_KEYS, events: Sequence | None = None) -> DataFrame:
-    """F1, F3, F4, F5 in one aggregate per racer.
+    """two partial aggregates, per (racer, event), then per racer.
 
     ``n_events`` counts events with points (participation counts), ``best_points`` is
     the exact sum of the best ``rules.best_k``, ``incentive`` the cumulative step bonus.
-    The points list per racer holds at most one value per event (the unique-racer
-    guard F2 holds on scored events), so its size is bounded by the event list.
+    The first aggregate keeps one value per racer and event (the higher one if a name
+    appears twice, which the unique-racer guard F2 reports), so the points list of a
+    racer is bounded by the event list even when one key (say, blank names) holds a
+    large share of all rows; both aggregates combine map-side before their shuffle.
     With ``events`` given, one ``e<event>_points`` column per event is added (null
     where the racer has no points).
     """
+    points = points.groupBy(*keys, "event").agg(F.max("points").alias("points"))
     aggs = [
         F.count("points").alias("n_events"),
         F.collect_list("points").alias("__pts"),
