@@ -92,3 +92,17 @@ def test_distributed_rank_default_slices(spark):
     ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
     assert mine.select("id", "r").exceptAll(ref.select("id", "r")).count() == 0
     assert mine.count() == 2000
+
+
+def test_summary_above_bound_stays_distributed(spark, monkeypatch):
+    """With a tiny summary limit the offsets are joined without broadcast; numbering is unchanged."""
+    import podium.operators.joins as joins
+    from podium.operators.joins import bounded_summary
+    df = spark.range(0, 1500).select((F.col("id") % 50).alias("g"), ((F.col("id") * 7) % 300).alias("v"), "id")
+    _, small = bounded_summary(df, max_rows=10)
+    assert small is False
+    monkeypatch.setattr(joins, "SUMMARY_ROWS", 5)
+    monkeypatch.setattr(joins.join_summary, "__defaults__", ("inner", 5))
+    mine = distributed_rank(df, ["g"], ["v", "id"], "r", num_partitions=6)
+    ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
+    assert mine.select("id", "r").exceptAll(ref.select("id", "r")).count() == 0
