@@ -132,9 +132,10 @@ def registration(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C "), F.col("c_custkey").cast("string")).alias("name"),
         F.col("c_mktsegment").alias("division"))
     cells = []
-    for i in range(1, 11):
-        cells.append(F.max(F.when(F.col("slot") == i, F.col("name"))).alias(f"member_{i}_name"))
-        cells.append(F.max(F.when(F.col("slot") == i, F.col("division"))).alias(f"member_{i}_division"))
+    for i in range(1, 11):  # unused slots of a nation's last form say "na", as on paper forms
+        for field, col in (("name", "name"), ("division", "division")):
+            cells.append(F.coalesce(F.max(F.when(F.col("slot") == i, F.col(col))), F.lit("na"))
+                         .alias(f"member_{i}_{field}"))
     return long.groupBy("team_name").agg(*cells)
 
 
