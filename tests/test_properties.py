@@ -60,3 +60,38 @@ def test_long_and_wide_agree(spark):
     nonzero = melted.filter(F.col("p") != 0)
     assert nonzero.exceptAll(long_.filter(F.col("p") != 0)).count() == 0
     assert long_.filter(F.col("p") != 0).exceptAll(nonzero).count() == 0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5)), min_size=1, max_size=60),
+       st.integers(1, 7))
+def test_distributed_rank_equals_window(spark, rows, slices):
+    """R7 == R5: range-sliced numbering equals row_number over the same total order."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from podium.operators.place import distributed_rank
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g string, v int, id long")
+    mine = distributed_rank(df, ["g"], [("v", "desc"), "id"], "r", num_partitions=slices)
+    ref = df.withColumn("r", F.row_number().over(
+        Window.partitionBy("g").orderBy(F.col("v").desc(), "id")).cast("long"))
+    assert sorted((r.id, r.r) for r in mine.collect()) == sorted((r.id, r.r) for r in ref.collect())
+
+
+def test_blank_names_as_hot_key(spark):
+    """Rows without names group together (like any other key) through dedupe and season points."""
+    from podium.operators.event import dedupe_participation
+    from podium.operators.season import season_points
+    rows = [("e1", "d", None, None, 0, float(p)) for p in (20, 90, 55)]  # same event: max counts once
+    rows += [(f"e{i}", "d", None, None, 0, 50.0) for i in range(2, 9)]
+    rows += [("e1", "d", "A", "B", 0, 70.0)]
+    pts = spark.createDataFrame(rows, "event string, division string, first_name string, last_name string, "
+                                      "age int, points double")
+    s = {(r.first_name, r.last_name): (r.n_events, r.best_points) for r in season_points(pts).collect()}
+    assert s[(None, None)] == (8, 90.0 + 5 * 50.0)
+    assert s[("A", "B")] == (1, 70.0)
+    part = spark.createDataFrame([("e1", None, None, i) for i in range(5)] + [("e1", "C", "D", 9)],
+                                 "event string, first_name string, last_name string, row_id int")
+    main = spark.createDataFrame([("e1", "C", "D", 1)], "event string, first_name string, last_name string, row_id int")
+    kept = dedupe_participation(main, part, prefer=["row_id"]).collect()
+    assert [(r.first_name, r.row_id) for r in kept] == [(None, 0)]
