@@ -106,3 +106,30 @@ def test_summary_above_bound_stays_distributed(spark, monkeypatch):
     mine = distributed_rank(df, ["g"], ["v", "id"], "r", num_partitions=6)
     ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
     assert mine.select("id", "r").exceptAll(ref.select("id", "r")).count() == 0
+
+
+def test_fixed_text_results_shape(spark):
+    """S8 on the fixed-layout result text, then N14/N15/N8 on the cut columns."""
+    from podium.functions.division import division_map
+    from podium.functions.numbers import clock_seconds, lenient_int
+    text = "\n".join([
+        "Lake Race 2025 - 10 km",
+        "1 99/99 999 Not A Result line before the header",
+        "Place DivPl Bib  Name                 Age S City          St Time     Pace",
+        "    1   1/12 101 Ann O'Neil-Lee        34 F Duluth        MN 41:02.5  6:36",
+        "    2   1/30 117 Bo Ray                 51 M Ely           MN 1:02:03  9:59",
+        "  DNF        118 Cy Poe                 40 M Ely           MN",
+        "    3   2/12 130 Di Day                 29 F Two Harbors   MN 45:00.0  7:15",
+    ])
+    pat = (r"^\s*(\d+)\s+(\d+)/(\d+)\s+(\d+)\s+(.+?)\s+(\d+)\s+([MF])\s+(.+?)\s+([A-Z]{2})"
+           r"\s+([\d:.]+)\s+([\d:.]+)$")
+    names = ["place", "div_place", "div_size", "bib", "name", "age", "sex", "city", "st", "time", "pace"]
+    docs = spark.createDataFrame([(1, text)], "doc int, body string")
+    rows = text_rows(docs, "body", pat, names, header_pat=r"^Place\s+DivPl", keep=["doc"])
+    out = rows.select("name", lenient_int("place").alias("place"), lenient_int("age").alias("age"),
+                      division_map("sex", "strict").alias("division"), "city",
+                      clock_seconds("time").alias("time_s")).collect()
+    assert [(r.name, r.place, r.age, r.division, r.city, r.time_s) for r in out] == [
+        ("Ann O'Neil-Lee", 1, 34, "female", "Duluth", 2462.5),
+        ("Bo Ray", 2, 51, "male", "Ely", 3723.0),
+        ("Di Day", 3, 29, "female", "Two Harbors", 2700.0)]
