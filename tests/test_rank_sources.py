@@ -133,3 +133,33 @@ def test_fixed_text_results_shape(spark):
         ("Ann O'Neil-Lee", 1, 34, "female", "Duluth", 2462.5),
         ("Bo Ray", 2, 51, "male", "Ely", 3723.0),
         ("Di Day", 3, 29, "female", "Two Harbors", 2700.0)]
+
+
+def test_relay_html_table_flow(spark):
+    """S7 -> S6 -> P6 -> L1/L2 -> N15 -> R3 on a relay result table (two racers per row)."""
+    from podium.functions.numbers import clock_seconds
+    from podium.operators.clean import patch_rows
+    from podium.operators.place import place_dense
+    from podium.operators.relay import relay_division, relay_stretch
+    body = [("Ann Lee &", "Bo Ray", "Mixed", "1:00:00"), ("Cy Poe &", "Di Day", "Female", "1:00:00"),
+            ("Ed Fox &", "Al Kim", "Male", "1:05:00"), ("Fa Wu &", "Gi Ho", "Female", "1:10:00")]
+    html = ("<table class='results'><thead><tr><th> First Name</th><th>Last Name</th><th>Class</th>"
+            "<th>Total Time</th></tr></thead><tbody>"
+            + "".join("<tr>" + "".join(f"<td> {c} </td>" for c in r) + "</tr>" for r in body)
+            + "</tbody></table>")
+    rows = html_rows(spark.createDataFrame([(1, html)], "page int, html string"), keep=["page"])
+    header = rows.filter(F.col("row_no") == 0).select("page", F.col("cells").alias("labels"))
+    data = zip_labels(rows.filter(F.col("row_no") > 0).join(header, "page"), "labels")
+    wide = data.select(F.col("fields")["First Name"].alias("first"), F.col("fields")["Last Name"].alias("last"),
+                       F.col("fields")["Class"].alias("class"),
+                       clock_seconds(F.col("fields")["Total Time"]).alias("time_s"))
+    wide = patch_rows(wide, (F.col("class") == "Female") & (F.col("first") == "Cy Poe &"), "class", "Mixed")
+    lookup = spark.createDataFrame([("Ann Lee", "female"), ("Bo Ray", "male"), ("Cy Poe", "male"),
+                                    ("Di Day", "female")], "name string, division string")
+    racers = relay_division(relay_stretch(wide, ["first", "last"]), "class", lookup,
+                            {"Male": "male", "Female": "female"})
+    placed = place_dense(racers, ["division"], "time_s", "division_place")
+    got = sorted((r.division, r.division_place, r.member_name) for r in placed.collect())
+    assert got == [("female", 1, "Ann Lee"), ("female", 1, "Di Day"), ("female", 2, "Fa Wu"),
+                   ("female", 2, "Gi Ho"), ("male", 1, "Bo Ray"), ("male", 1, "Cy Poe"),
+                   ("male", 2, "Al Kim"), ("male", 2, "Ed Fox")]
