@@ -42,15 +42,15 @@ def read_json_rows(docs: DataFrame, body: str = "body", shape: str = "auto",
     """
     as_list = F.from_json(F.col(body), LIST_DOC)["data"]
     as_map = F.from_json(F.col(body), MAP_DOC)["data"]
+    entry_type = T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", ROWS)]))
+    list_entry = F.array(F.struct(F.lit(None).cast("string").alias("k"), as_list.alias("v")))
+    map_entries = F.map_entries(as_map).cast(entry_type)
     if shape == "list":
-        entries = F.array(F.struct(F.lit(None).cast("string").alias("k"), as_list.alias("v")))
+        entries = list_entry
     elif shape == "map":
-        entries = F.map_entries(as_map)
+        entries = map_entries
     elif shape == "auto":
-        list_entry = F.array(F.struct(F.lit(None).cast("string").alias("k"), as_list.alias("v")))
-        entries = F.when(as_list.isNotNull(), list_entry).otherwise(
-            F.map_entries(as_map).cast(T.ArrayType(T.StructType([
-                T.StructField("k", T.StringType()), T.StructField("v", ROWS)]))))
+        entries = F.when(as_list.isNotNull(), list_entry).otherwise(map_entries)
     else:
         raise ValueError(f"unknown shape {shape}")
     races = docs.select(*keep, F.explode(entries).alias("__e"))

@@ -163,3 +163,35 @@ def test_relay_html_table_flow(spark):
     assert got == [("female", 1, "Ann Lee"), ("female", 1, "Di Day"), ("female", 2, "Fa Wu"),
                    ("female", 2, "Gi Ho"), ("male", 1, "Bo Ray"), ("male", 1, "Cy Poe"),
                    ("male", 2, "Al Kim"), ("male", 2, "Ed Fox")]
+
+
+def test_keyed_json_results_flow(spark):
+    """S4 -> S5 -> P3 -> N1/N6 -> N10-N13 -> R4 + Q4 on a keyed JSON page with 9- and 8-cell rows."""
+    from podium.functions.division import age_class_dash
+    from podium.functions.numbers import first_int
+    from podium.functions.text import capitalize_parts, split_first_rest
+    from podium.operators.place import place_in_division
+    from podium.operators.quality import guard_partition
+    rows9 = [["11", "x", "1", "Ann LEE-SMITH", "Ely, MN", "F17-29 (1)", "09:00", "0:40", "1:20:00"],
+             ["12", "x", "DNF", "Bo RAY", "", "M30-34 (1)", "09:00", "", ""],
+             ["13", "x", "2", "Cy o'POE", "", "M70+", "09:00", "0:41", "1:21:00"]]
+    rows8 = [["14", "x", "3", "Di DAY", "", "F50-55 (2)", "09:00", "1:25:00"],
+             ["15", "x", "*", "Ed FOX", "", "M16-18", "09:00", "1:30:00"],
+             ["16", "x", "4", "Al KIM", "", "M16-18", "09:00", "1:31:00"]]
+    doc = json.dumps({"data": {"#1_52km Freestyle": rows9 + rows8}})
+    parsed = read_json_rows(spark.createDataFrame([(doc,)], "body string"), "body", "map")
+    named = apply_layouts(parsed, {
+        9: ["bib", None, "overall", "name", "city", "class", None, None, "time"],
+        8: ["bib", None, "overall", "name", "city", "class", None, "time"]}, on_other="drop")
+    finishers = drop_status(named, "overall")
+    first, rest = split_first_rest("name")
+    ac = age_class_dash("class")
+    res = finishers.select(first.alias("first_name"), capitalize_parts(rest).alias("last_name"),
+                           first_int("overall").alias("overall_place"), ac["age"].alias("age"),
+                           ac["division"].alias("division"))
+    placed = place_in_division(res, ["division"], ["overall_place"])
+    got = sorted((r.division, r.division_place, r.first_name, r.last_name, r.age) for r in placed.collect())
+    assert got == [("female", 1, "Ann", "Lee-Smith", 23), ("female", 2, "Di", "Day", 52),
+                   ("male", 1, "Cy", "O'Poe", 70), ("male", 2, "Al", "Kim", 16)]
+    check = guard_partition(res, "division", ["male", "female"]).collect()[0]
+    assert (check.n_rows, check.n_male, check.n_female, check.complete) == (4, 2, 2, True)
