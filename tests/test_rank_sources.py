@@ -195,3 +195,29 @@ def test_keyed_json_results_flow(spark):
                    ("male", 1, "Cy", "O'Poe", 70), ("male", 2, "Al", "Kim", 16)]
     check = guard_partition(res, "division", ["male", "female"]).collect()[0]
     assert (check.n_rows, check.n_male, check.n_female, check.complete) == (4, 2, 2, True)
+
+
+def test_flat_json_words_grammar_flow(spark):
+    """S3 -> S5 (drop other lengths) -> P3 -> N4 -> N10 (words) -> N13 on a flat 12-cell list."""
+    from podium.functions.division import age_class_words
+    from podium.functions.numbers import first_int
+    from podium.functions.text import split_caps_surname
+    row = lambda place, name, gplace, cls: ["b", "x", place, name, "Ely", "", gplace, cls, "", "", "1:00", ""]
+    data = [row("1", "Anna Maria SMITH-JONES", "Female (1)", "F 35 to 39 (1)"),
+            row("2", "Bo RAY", "Male (1)", "Male (2)"),
+            row("DNS", "Cy POE", "Male (*)", "M 40 to 44 (1)"),
+            row("3", "Di O'DAY", "Male (*)", "M 50 to 54 (1)"),
+            row("4", "Ed FOX", "Male (2)", "M  70 and over"),
+            ["184"]]
+    doc = json.dumps({"data": data})
+    rows = read_json_rows(spark.createDataFrame([(doc,)], "body string"), "body", "list")
+    named = apply_layouts(rows, {12: [None, None, "overall", "name", None, None, "gplace", "class"]})
+    first, last, ok = split_caps_surname(F.col("name"))
+    ac = age_class_words("class")
+    res = (drop_status(named, "overall")
+           .select(first.alias("first"), last.alias("last"), first_int("gplace").alias("division_place"),
+                   ac["age"].alias("age"), ac["division"].alias("division"))
+           .filter(F.col("division_place").isNotNull()))  # 'Male (*)' has no place: row dropped
+    got = sorted((r.first, r.last, r.division, r.division_place, r.age) for r in res.collect())
+    assert got == [("Anna Maria", "Smith-Jones", "female", 1, 37), ("Bo", "Ray", "male", 1, None),
+                   ("Ed", "Fox", "male", 2, 70)]
