@@ -221,3 +221,30 @@ def test_flat_json_words_grammar_flow(spark):
     got = sorted((r.first, r.last, r.division, r.division_place, r.age) for r in res.collect())
     assert got == [("Anna Maria", "Smith-Jones", "female", 1, 37), ("Bo", "Ray", "male", 1, None),
                    ("Ed", "Fox", "male", 2, 70)]
+
+
+def test_html_results_table_flow(spark):
+    """S7 -> N5 -> N7 -> N14 -> N16 -> R2 on paged HTML result tables (one page empty)."""
+    from podium.functions.division import division_from_prefix
+    from podium.functions.numbers import lenient_int
+    from podium.functions.text import full_name, split_human
+    from podium.operators.place import place_in_division
+    head = "<thead><tr>" + "".join(f"<th>{h}</th>" for h in
+                                   ["Place", "Name", "Sex", "Age", "City", "State", "Time"]) + "</tr></thead>"
+    body = [(" 1 ", "Dr. Ann Lee", "F", "34", "Duluth", "MN", "40:00"), ("2", "Bo Ray Jr.", "M", " ", "Ely", "MN", "41:00"),
+            ("3", "Cy Poe", "m", "51", None, "WI", "42:00"), ("4", "Di Day", "Female", "29", "Ely", "MN", "43:00")]
+    trs = "".join("<tr>" + "".join(f"<td>{c if c is not None else ''}</td>" for c in r) + "</tr>" for r in body)
+    pages = spark.createDataFrame([(1, f"<table>{head}<tbody>{trs}</tbody></table>"),
+                                   (2, f"<table>{head}<tbody></tbody></table>")], "page int, html string")
+    rows = html_rows(pages, keep=["page"]).filter(F.col("row_no") > 0)
+    c = lambda i: F.get("cells", i)
+    first, last = split_human(c(1))
+    city = F.when(c(4) != "", c(4))
+    res = rows.select(lenient_int(c(0)).alias("overall"), first.alias("first_name"), last.alias("last_name"),
+                      division_from_prefix(c(2)).alias("division"), lenient_int(c(3)).alias("age"),
+                      full_name(city, c(5), ", ").alias("location"))
+    placed = place_in_division(res, ["division"], ["overall"])
+    got = sorted((r.division, r.division_place, r.first_name, r.last_name, r.age, r.location)
+                 for r in placed.collect())
+    assert got == [("female", 1, "Ann", "Lee", 34, "Duluth, MN"), ("female", 2, "Di", "Day", 29, "Ely, MN"),
+                   ("male", 1, "Bo", "Ray", None, "Ely, MN"), ("male", 2, "Cy", "Poe", 51, None)]
