@@ -72,3 +72,37 @@ def test_dedupe_participation_any_division(spark):
                             dict(first_name="B", last_name="y", race_role="participation")])
     kept = dedupe_participation(main, part, event_keys=["event"])
     assert sorted((r.first_name, r.last_name) for r in kept.collect()) == [("B", "y")]
+
+
+def test_several_races_in_one_csv(spark, tmp_path):
+    """S1 + P4 + P1 + N2 + N8: two main races share one place scale (two winners with place 1)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from podium.functions.division import division_map
+    from podium.functions.text import split_first_last
+    from podium.operators.clean import drop_null, tag_race_role
+    from podium.sources.files import read_csv_by_name
+    (tmp_path / "r.csv").write_text(
+        "event,name,gender,age,place\n"
+        "CLASSIC 18K,Ann B Lee,F,40,1\nCLASSIC 18K,Di Day,F,30,2\n"
+        "SKATE 18K,Cy Poe,F,50,1\nSKATE 18K,Eve Ash,F,20,3\n"
+        "TOUR 6K,Fay Oak,F,33,\nTOUR 6K,Gus Elm,X,60,\n")
+    schema = T.StructType([T.StructField("event", T.StringType()), T.StructField("name", T.StringType()),
+                           T.StructField("gender", T.StringType()), T.StructField("age", T.IntegerType()),
+                           T.StructField("place", T.LongType())])
+    raw = tag_race_role(read_csv_by_name(spark, str(tmp_path / "r.csv"), schema), "event",
+                        ["CLASSIC 18K", "SKATE 18K"])
+    main = drop_null(raw.filter(F.col("race_role") == "main"), ["place"])
+    rows = main.unionByName(raw.filter(F.col("race_role") == "participation"))
+    first, last = split_first_last(F.col("name"))
+    res = rows.select(F.lit("finl").alias("event"), F.col("event").alias("race"), "race_role",
+                      division_map("gender", "mf_else_null").alias("division"),
+                      first.alias("first_name"), last.alias("last_name"), "age",
+                      F.col("place").alias("division_place"))
+    got = {(r.first_name, r.last_name): (r.division, r.points)
+           for r in score_event(res, by=("event", "division")).collect()}
+    # max place over both main races is 3: place 1 -> 100, 2 -> 66.67, 3 -> 33.33 (+ age bonus)
+    assert got[("Ann", "Lee")] == ("female", 100.0) and got[("Cy", "Poe")] == ("female", 100.0)
+    assert got[("Di", "Day")] == ("female", 66.666667) and got[("Eve", "Ash")] == ("female", 33.333333)
+    assert got[("Fay", "Oak")] == ("female", 20.0) and got[("Gus", "Elm")] == (None, 20.0)
