@@ -25,7 +25,7 @@ from podium.plans import testbed as tb
 from podium.rules import LEGACY
 from podium.sources.markup import LIST_ITEM, html_rows, text_rows
 from podium.sources.nested import apply_layouts, labelled_rows, read_json_rows, zip_labels
-from podium.streaming.incremental import file_stream, run_rescoring_stream, stream_root
+from podium.streaming.incremental import drain, file_stream, run_rescoring_stream, stream_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,7 +493,7 @@ def q_stream_event_points(spark, sf_dir):
     src = file_stream(spark, f"{sf_dir}/orders.parq*", orders_schema)
     q = run_rescoring_stream(src, lambda b: tb.entries_from_orders(b, customer),
                              lambda ent: score_event(tb.results_from_entries(ent)), root)
-    q.awaitTermination()
+    drain(q)
     pts = spark.read.parquet(f"{root}/event_points")
     return pts.withColumn("event", F.col("event").cast("long")).select(*POINT_COLS)
 

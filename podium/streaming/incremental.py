@@ -66,6 +66,13 @@ def run_rescoring_stream(source: DataFrame, to_entries, score, root: str, event_
     return writer.start()
 
 
+def drain(query, timeout_s: int = 3600) -> None:
+    """Wait for an ``availableNow`` query to finish; stop it and fail if it does not."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not drain in {timeout_s}s")
+
+
 def file_stream(spark: SparkSession, path_glob: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
     """Parquet files landing under ``path_glob`` as a stream with a fixed schema."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
