@@ -57,8 +57,9 @@ def rescoring_batch(to_entries: Callable[[DataFrame], DataFrame],
 
 
 def run_rescoring_stream(source: DataFrame, to_entries, score, root: str, event_col: str = "event",
-                         available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream (``availableNow`` drains what has landed, then stops)."""
+                         available_now: bool = True):
+    """Start the stream (``availableNow`` drains what has landed, then stops; otherwise every
+    30 seconds). Files per micro-batch are set on the source (``file_stream``)."""
     writer = (source.writeStream
               .foreachBatch(rescoring_batch(to_entries, score, root, event_col))
               .option("checkpointLocation", f"{root}/_checkpoint"))
