@@ -26,10 +26,16 @@ def raise_if_any(offenders: DataFrame, message: str, show: int = 20) -> None:
 
 
 def alias_report(points: DataFrame, aliases: DataFrame,
-                 keys: Sequence[str] = ("event", "division")) -> DataFrame:
-    """Q1: scored rows whose name is a known alias, with the preferred name."""
+                 keys: Sequence[str] = ("event", "division"), case_insensitive: bool = False) -> DataFrame:
+    """Q1: scored rows whose name is a known alias, with the preferred name.
+
+    Names match exactly by default; ``case_insensitive`` compares lower-cased names
+    (results sometimes carry a lower-case name).
+    """
     a = aliases.select("alias_fn", "alias_ln", "actual_fn", "actual_ln")
-    hits = points.join(a, (points.first_name == a.alias_fn) & (points.last_name == a.alias_ln))
+    norm = F.lower if case_insensitive else (lambda c: c)
+    cond = (norm(points.first_name) == norm(a.alias_fn)) & (norm(points.last_name) == norm(a.alias_ln))
+    hits = points.join(a, cond)
     extra = [c for c in ("division_place", "age") if c in points.columns]
     return hits.select(*keys, "first_name", "last_name", "actual_fn", "actual_ln", *extra)
 

@@ -51,8 +51,9 @@ def load_event_points(spark: SparkSession, root: str, season: str | None = None)
     Partition columns come from the folder names; an absent (event, division)
     contributes no rows. Returns an empty frame with the schema if nothing exists.
     """
-    file_schema = EVENT_POINTS_FILE.add("location", T.StringType())
-    full = T.StructType(file_schema.fields + [T.StructField(p, T.StringType()) for p in PARTITIONS])
+    # a new schema each call (StructType.add would change the shared one in place)
+    full = T.StructType(EVENT_POINTS_FILE.fields + [T.StructField("location", T.StringType())]
+                        + [T.StructField(p, T.StringType()) for p in PARTITIONS])
     try:
         df = (spark.read.schema(full).option("header", True).option("basePath", root).csv(root))
     except Exception as e:  # noqa: BLE001 - an absent root means "no events yet"

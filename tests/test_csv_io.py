@@ -49,3 +49,15 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 << 40, executors=1000)
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert int(cluster_conf(1 << 30, executors=10)["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_event_points_file_with_quoted_location(spark):
+    root = tempfile.mkdtemp(prefix="podium-loc-")
+    d = f"{root}/season=s1/event=e1/division=male"
+    os.makedirs(d)
+    with open(f"{d}/part-0.csv", "w") as f:
+        f.write('gender_place,first_name,last_name,age,age_advantage_event_points,location\n'
+                '1,Cy,Poe,50,100.0,"Ely, MN"\n999,Ed,Fox,999,20.0,"Duluth, MN"\n')
+    got = sorted((r.first_name, r.race_role, r.division_place, r.points)
+                 for r in load_event_points(spark, root).collect())
+    assert got == [("Cy", "main", 1, 100.0), ("Ed", "participation", None, 20.0)]

@@ -121,3 +121,13 @@ def test_repeat_guard_with_event_days(spark):
     days = spark.createDataFrame([("e1", 2), ("e2", 1)], "event string, event_days int")
     g = repeat_guard(_points(spark, rows), ["event", "division", "first_name", "last_name"], days)
     assert [(r.event, r.n_rows) for r in g.collect()] == [("e2", 2)]
+
+
+def test_alias_report_exact_and_case_insensitive(spark):
+    from podium.operators.quality import alias_report
+    pts = _points(spark, [("e1", "f", "ann", "lee", 30, 80.0), ("e1", "f", "Bo", "Ray", 30, 70.0)])
+    aliases = spark.createDataFrame([("Ann", "Lee", "Anne", "Lee"), ("Bo", "Ray", "Robert", "Ray")],
+                                    "alias_fn string, alias_ln string, actual_fn string, actual_ln string")
+    exact = sorted(r.actual_fn for r in alias_report(pts, aliases).collect())
+    loose = sorted(r.actual_fn for r in alias_report(pts, aliases, case_insensitive=True).collect())
+    assert exact == ["Robert"] and loose == ["Anne", "Robert"]
