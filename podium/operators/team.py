@@ -17,11 +17,35 @@ from podium.functions.text import split_first_rest
 from podium.operators.place import distributed_rank, window_rank
 from podium.operators.quality import find_duplicates
 from podium.operators.season import event_column
-from podium.rules import CURRENT, NOT_A_NAME, ScoringRules
+from podium.rules import (CAPTAIN_HEADERS, CURRENT, FORM_SLOTS, MEMBER_HEADER, NOT_A_NAME, TEAM_NAME_HEADER,
+                          ScoringRules)
 
 MEMBER_KEYS = ("division", "first_name", "last_name")
 
 
+def ordinal(n: int) -> str:
+    """1st, 2nd, 3rd, 4th, ... (English ordinal suffix)."""
+    suffix = "th" if 10 <= n % 100 <= 20 else {1: "st", 2: "nd", 3: "rd"}.get(n % 10, "th")
+    return f"{n}{suffix}"
+
+
+def form_slots(n: int = FORM_SLOTS) -> list[tuple[str, str]]:
+    """(name column, gender column) pairs of the registration sheet: captain, then 2nd..nth."""
+    return [CAPTAIN_HEADERS] + [(MEMBER_HEADER.format(ordinal=ordinal(i), field="name"),
+                                 MEMBER_HEADER.format(ordinal=ordinal(i), field="gender"))
+                                for i in range(2, n + 1)]
+
+
+def unpivot_registration(sheet: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """T1 on the registration sheet layout (team name header, captain + member columns).
+
+    Slots whose columns are missing from the sheet are skipped; genders read by prefix.
+    """
+    from podium.functions.division import division_from_prefix
+    slots = [(n, g) for n, g in form_slots() if n in sheet.columns and g in sheet.columns]
+    return unpivot_membership(sheet, TEAM_NAME_HEADER, slots, division_of=division_from_prefix, keep=keep)
+
+
 def unpivot_membership(wide: DataFrame, team_col: str, slots: Sequence[tuple[str, str]],
                        division_of=None, keep: Sequence[str] = ()) -> DataFrame:
     """Wide registration rows -> one row per member.

@@ -46,6 +46,13 @@ CAPS_SURNAME_PATTERN = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$"
 PLACEHOLDER_NAME = "NEED NAME"
 PLACEHOLDER_SPLIT = ("Need", "Name")
 
+# Team registration sheet: header of the team name, the captain's pair of columns, and
+# the wording of the other member columns ("2nd team member name", ... "10th ...").
+TEAM_NAME_HEADER = "Team Name:"
+CAPTAIN_HEADERS = ("Team captain/representative name:", "Team captain gender")
+MEMBER_HEADER = "{ordinal} team member {field}"
+FORM_SLOTS = 10
+
 # Earlier seasons used a gentler age bonus.
 LEGACY_AGE_THRESHOLD = 40
 LEGACY_AGE_RATE = 0.5

@@ -131,3 +131,27 @@ def test_alias_report_exact_and_case_insensitive(spark):
     exact = sorted(r.actual_fn for r in alias_report(pts, aliases).collect())
     loose = sorted(r.actual_fn for r in alias_report(pts, aliases, case_insensitive=True).collect())
     assert exact == ["Robert"] and loose == ["Anne", "Robert"]
+
+
+def test_registration_sheet(spark, tmp_path):
+    """T1/T2 on the sheet layout: na cells, mixed-case gender, three-word and one-word names."""
+    from podium.operators.team import form_slots, unpivot_registration
+    from podium.sources.files import read_csv_by_name
+    from pyspark.sql import types as T
+    slots = form_slots()
+    assert slots[1] == ("2nd team member name", "2nd team member gender") and len(slots) == 10
+    assert slots[-1] == ("10th team member name", "10th team member gender")
+    header = ["Team Name:"] + [c for pair in slots for c in pair]
+    rows = [["Fast", "Ann Lee", "Female", "Mary Ann Poe", "f", "na", "M"] + [""] * 14,
+            ["Slow", "Solo", "MALE", "Bo Ray", "x"] + [""] * 16]
+    text = ",".join(f'"{h}"' for h in header) + "\n" + "\n".join(",".join(r) for r in rows) + "\n"
+    (tmp_path / "teams.csv").write_text(text)
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
+    sheet = read_csv_by_name(spark, str(tmp_path / "teams.csv"), schema)
+    m = unpivot_registration(sheet)
+    got = sorted((r.team_name, r.slot, r.division, r.first_name, r.last_name) for r in m.collect())
+    assert got == [("Fast", 1, "female", "Ann", "Lee"), ("Fast", 2, "female", "Mary", "Ann Poe"),
+                   ("Slow", 1, "male", "Solo", ""), ("Slow", 2, None, "Bo", "Ray")]
+    g = sorted((r.kind, r.key) for r in guard_membership(sheet.withColumnRenamed("Team Name:", "team_name"), m)
+               .collect())
+    assert g == [("division", "Slow / Bo"), ("name", "Slow / Solo")]
