@@ -1,11 +1,13 @@
 """Command line: score one season from files and write its reports.
 
     python -m podium.cli --results DIR_OR_FILE --events events.csv --season 25/26 --out OUT
-                         [--membership teams.csv] [--aliases aliases.csv] [--adjustments adj.csv]
+                         [--membership teams.csv | --team-sheet sheet.csv] [--aliases aliases.csv]
+                         [--adjustments adj.csv]
 
 Inputs are parquet (a folder or ``*.parquet``) or headed CSV matched by column name:
 results (``podium.schema.RESULTS``), events (``EVENTS_DIM``), membership (``MEMBERSHIP``),
-aliases (``ALIASES``), adjustments (``ADJUSTMENTS``). Outputs: event-point files per
+aliases (``ALIASES``), adjustments (``ADJUSTMENTS``); or the wide registration sheet
+(team name, captain, 2nd..10th member columns) instead of a membership table. Outputs: event-point files per
 (season, event, division), individual and team standings, the team scoring report and
 age-group winners, as headed CSV under ``--out``.
 """
@@ -16,7 +18,10 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from podium import schema as S
+from podium.operators.team import unpivot_registration
 from podium.plans.season_job import run_season, write_season
 from podium.session import build_session, ensure_checkpoint_dir
 from podium.sources.files import read_csv_by_name
@@ -38,6 +43,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--season", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--membership")
+    ap.add_argument("--team-sheet")
     ap.add_argument("--aliases")
     ap.add_argument("--adjustments")
     args = ap.parse_args(argv)
@@ -47,6 +53,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     results = read_table(spark, args.results, S.RESULTS, OPTIONAL_RESULT_COLS)
     events = read_table(spark, args.events, S.EVENTS_DIM)
     membership = read_table(spark, args.membership, S.MEMBERSHIP) if args.membership else None
+    if args.team_sheet:
+        header = spark.read.option("header", True).csv(args.team_sheet).columns
+        sheet = read_csv_by_name(spark, args.team_sheet, StructType([StructField(h, StringType()) for h in header]))
+        membership = unpivot_registration(sheet)
     aliases = read_table(spark, args.aliases, S.ALIASES) if args.aliases else None
     adjustments = read_table(spark, args.adjustments, S.ADJUSTMENTS) if args.adjustments else None
     out = run_season(results, events, args.season, membership, aliases, adjustments)

@@ -75,10 +75,13 @@ def test_cli_reads_csv_by_header_name(spark):
     res.coalesce(1).write.option("header", True).csv(f"{d}/results.csv")
     with open(f"{d}/events.csv", "w") as f:
         f.write("SEASON,Event,human_name,event_days,seq\ns1,ev1,Event One,1,1\ns1,ev2,Event Two,2,2\n")
-    with open(f"{d}/teams.csv", "w") as f:
-        f.write("season,team_name,division,first_name,last_name\ns1,T1,female,A,One\ns1,T1,female,B,Two\n"
-                "s1,T1,male,M1,X\n")
+    with open(f"{d}/sheet.csv", "w") as f:
+        f.write("Team Name:,Team captain/representative name:,Team captain gender,2nd team member name,"
+                "2nd team member gender,3rd team member name,3rd team member gender\n"
+                "T1,A One,F,B Two,female,M1 X,Male\n")
     info = main(["--results", f"{d}/results.csv", "--events", f"{d}/events.csv", "--season", "s1",
-                 "--membership", f"{d}/teams.csv", "--out", f"{d}/out"], spark=spark)
+                 "--team-sheet", f"{d}/sheet.csv", "--out", f"{d}/out"], spark=spark)
     assert info["events"] == ["ev1", "ev2"] and info["racers"] == 8
     assert os.path.isdir(f"{d}/out/team_standings") and os.path.isdir(f"{d}/out/event_points/season=s1")
+    teams = spark.read.option("header", True).csv(f"{d}/out/team_standings").collect()
+    assert [(r["Team Name"], r["Total Points"]) for r in teams] == [("T1", "450.67")]
