@@ -29,7 +29,7 @@ LABELLED_DOC = T.StructType([
 
 def read_text_docs(spark, path: str, name: str = "body") -> DataFrame:
     """One document per file (whole text), with the file name as ``source``."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("source"), F.col("value").alias(name)))
 
 
