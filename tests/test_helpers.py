@@ -63,3 +63,48 @@ def test_write_event_points_with_location(spark):
     text = open(os.path.join(folder, [p for p in os.listdir(folder) if p.endswith(".csv")][0])).read()
     assert text.splitlines()[0] == "gender_place,first_name,last_name,age,age_advantage_event_points,location"
     assert '"Ely, MN"' in text
+
+
+class _Conf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value if key == "spark.checkpoint.dir" else default
+
+
+class _Ctx:
+    def __init__(self, master, conf_value):
+        self.master, self.dir, self._conf = master, None, _Conf(conf_value)
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+    def getConf(self):
+        return self._conf
+
+
+class _Session:
+    def __init__(self, master, conf_value=None):
+        self.sparkContext = _Ctx(master, conf_value)
+        self.conf = _Conf(conf_value)
+
+
+def test_checkpoint_folder_rules():
+    from podium.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(_Session("yarn", "hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
+    local = _Session("local[4]")
+    assert ensure_checkpoint_dir(local).startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError, match="shared folder"):
+        ensure_checkpoint_dir(_Session("yarn"))
+
+
+def test_window_rank_kinds(spark):
+    from podium.operators.place import window_rank
+    df = spark.createDataFrame([("t", 5), ("t", 5), ("t", 3)], "g string, v int")
+    for kind, want in (("row_number", [1, 2, 3]), ("rank", [1, 1, 3]), ("dense_rank", [1, 1, 2])):
+        got = sorted(r.r for r in window_rank(df, ["g"], [("v", "desc")], "r", kind).collect())
+        assert got == want, kind
