@@ -96,3 +96,18 @@ def test_placeholder_name(spark):
     f, l_, m = tx.split_caps_surname(F.col("v"))
     r = spark.createDataFrame([(" NEED NAME",)], "v string").select(f.alias("f"), l_.alias("l"), m.alias("m")).collect()[0]
     assert (r.f, r.l, r.m) == ("Need", "Name", True)
+
+
+@pytest.mark.parametrize("v,first,last", [
+    ("Lee,", "", "Lee"), ("  Lee ,  Ann  Marie ", "Ann", "Lee"), ("Ann\tMarie  Lee", "Ann", "Marie Lee")])
+def test_comma_aware_edges(spark, v, first, last):
+    f, l_ = tx.split_comma_aware(F.col("v"))
+    r = spark.createDataFrame([(v,)], "v string").select(f.alias("f"), l_.alias("l")).collect()[0]
+    assert (r.f, r.l) == (first, last)
+
+
+def test_first_rest_double_space_then_capitalize(spark):
+    f, rest = tx.split_first_rest(F.col("v"))
+    r = spark.createDataFrame([("ann  mc-LEAN o'hara",)], "v string").select(
+        f.alias("f"), tx.capitalize_parts(rest).alias("l")).collect()[0]
+    assert (r.f, r.l) == ("ann", "Mc-Lean O'Hara")
