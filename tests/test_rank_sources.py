@@ -248,3 +248,15 @@ def test_html_results_table_flow(spark):
                  for r in placed.collect())
     assert got == [("female", 1, "Ann", "Lee", 34, "Duluth, MN"), ("female", 2, "Di", "Day", 29, "Ely, MN"),
                    ("male", 1, "Bo", "Ray", None, "Ely, MN"), ("male", 2, "Cy", "Poe", 51, None)]
+
+
+def test_hot_group_spreads_over_slices(spark):
+    """The range exchange used by distributed_rank cuts a group holding 80% of the rows into slices."""
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 5 < 4, F.lit("hot")).otherwise(F.lit("cold")).alias("grp"), F.col("id").alias("v"))
+    keys = [F.col("grp").asc_nulls_first(), F.col("v").desc()]
+    sliced = df.repartitionByRange(8, *keys).withColumn("pid", F.spark_partition_id())
+    per = {r.grp: r.n for r in sliced.groupBy("grp").agg(F.countDistinct("pid").alias("n")).collect()}
+    assert per["hot"] >= 5
+    biggest = max(r["count"] for r in sliced.filter(F.col("grp") == "hot").groupBy("pid").count().collect())
+    assert biggest < 3200 / 3  # no slice holds more than a third of the hot group
