@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.numbers import round_half_up
 from podium.operators.joins import join_summary
+from podium.operators.place import top_one
 from podium.rules import CURRENT, ScoringRules
 
 MAIN, PARTICIPATION = "main", "participation"
@@ -100,17 +101,13 @@ def consolidate_best(points: DataFrame, key: Sequence[str], place: str = "divisi
     """One row per racer of a multi-day event: the row with the most points.
 
     On equal points a participation row wins over a main row (its flat credit equals
-    the main floor), then the better place. ``max_by`` is a partial aggregate, so a
-    hot racer key is combined map-side before the shuffle.
+    the main floor), then the better place. Planned as a group limit of one, which
+    keeps one row per racer in each map task before the shuffle.
     """
-    cols = points.columns
-    rank_key = F.struct(
-        F.col("points"),
-        (F.col("race_role") == PARTICIPATION).cast("int"),
-        -F.col(place),
-    )
-    best = points.groupBy(*key).agg(F.max_by(F.struct(*cols), rank_key).alias("__best"))
-    return best.select("__best.*")
+    is_part = (F.col("race_role") == PARTICIPATION).cast("int")
+    ranked = points.withColumn("__part", is_part)
+    best = top_one(ranked, key, [("points", "desc"), ("__part", "desc"), F.col(place).asc_nulls_last()])
+    return best.drop("__part")
 
 
 def repeat_guard(points: DataFrame, key: Sequence[str], max_days: int | DataFrame,

@@ -96,6 +96,17 @@ def distributed_dense_rank(df: DataFrame, by: Sequence[str], order: Sequence[Ord
     return null_safe_join(df, ranked, cols)
 
 
+def top_one(df: DataFrame, by: Sequence[str], order: Sequence[Order]) -> DataFrame:
+    """The first row of each group by ``order`` (make the order total for a reproducible pick).
+
+    ``row_number() <= 1`` is planned with a partial group limit before the shuffle and a
+    final one after it, so each map task sends at most one row per group: a hot key is
+    cut down map-side like a partial aggregate, and no sort-based aggregate is needed.
+    """
+    w = Window.partitionBy(*by).orderBy(*[sort_col(o) for o in order])
+    return df.withColumn("__top", F.row_number().over(w)).filter(F.col("__top") == 1).drop("__top")
+
+
 def window_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order], name: str = "rank",
                 kind: str = "row_number") -> DataFrame:
     """Plain window rank, for groups whose size is bounded by construction (e.g. a team)."""

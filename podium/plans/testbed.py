@@ -57,11 +57,9 @@ def entries_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def main_best(ent: DataFrame) -> DataFrame:
     """Main-race entries, one per (event, racer): best score, then lowest entry id."""
-    cols = ent.columns
-    best = (ent.filter(F.col("race_role") == MAIN)
-            .groupBy("event", "racer_key")
-            .agg(F.max_by(F.struct(*cols), F.struct(F.col("score"), -F.col("entry_id"))).alias("r")))
-    return best.select("r.*")
+    from podium.operators.place import top_one
+    return top_one(ent.filter(F.col("race_role") == MAIN), ["event", "racer_key"],
+                   [("score", "desc"), "entry_id"])
 
 
 RESULT_COLS = ["event", "division", "first_name", "last_name", "racer_key", "age",
