@@ -84,7 +84,7 @@ def judge_urls(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT,
     """Per row of ``pages`` (page_id, url): host, path, rule, verdict, strict and soft hits."""
     host, path = split_url(F.col("url"))
     frame = (pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-             .withColumn("hits", term_hits(strict, soft)(F.col("url"))))
+             .withColumn("hits", term_hits(strict, soft)(F.translate("url", _UPPER, _LOWER))))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when((F.col("hits.strict") > 0) | (F.col("hits.soft") >= soft_limit),
                  "block").otherwise("allow")
