@@ -1,5 +1,6 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
+from podium.llm import decontamination as d
 from podium.llm import url_filter
 
 _URL = "translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -39,4 +40,75 @@ SELECT page_id, host, path, rule,
        WHEN strict_hits > 0 OR soft_weight >= 2 THEN 'block' ELSE 'allow' END AS verdict,
   strict_hits, soft_weight
 FROM ruled""",
+    "op7_quality_rules": r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS s FROM documents),
+w AS (SELECT r, doc_id, s, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(s, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+      FROM t),
+u AS (SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM u),
+c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1)
+      GROUP BY r),
+m AS (
+  SELECT w.doc_id, s, words, len(words) AS n_words, len(lines) AS n_lines,
+    length(regexp_replace(s, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(s, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN c USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words
+    OR 2 * n_dup_lines > n_lines
+    OR 10 * length(regexp_replace(s, '[^!]+', '', 'g')) > 3 * n_words
+    OR len(regexp_extract_all(s, '(?:\.\.\.|…)[ \t]*(?:\n|$)')) > 0.3 * n_lines
+    OR 2 * length(regexp_replace(s, '[^\p{Lu}]+', '', 'g')) > length(regexp_replace(s, '[^\p{L}]+', '', 'g'))
+    OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 7 * n_words
+    OR 10 * len(list_distinct(words)) < n_words) AS kept
+FROM b""",
+    "op9_benchmark_decontamination": rf"""
+WITH rows AS (
+  SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS r, text FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT 'b', item_id, row_number() OVER (), text
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+raw AS (SELECT side, id, r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM rows),
+tok AS (
+  SELECT side, id, r, unnest(ws) AS w, unnest(range(len(ws))) AS o FROM raw),
+typed AS (
+  SELECT side, id, r, o,
+    CASE WHEN regexp_matches(w, '\p{{N}}') THEN '#n'
+         WHEN regexp_matches(w, '^[^\p{{L}}]*(?i:{'|'.join(d.UNITS)})[^\p{{L}}\p{{M}}]*$') THEN '#u'
+         WHEN regexp_matches(w, '^[^\p{{L}}]*\p{{Lu}}\p{{Ll}}') THEN '#p'
+         ELSE regexp_replace(lower(w), '[^\p{{L}}\p{{M}}]+', '', 'g') END AS c,
+    regexp_replace(lower(w), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g') AS p
+  FROM tok),
+seq AS (
+  SELECT *, row_number() OVER (PARTITION BY side, r ORDER BY o) AS pos FROM typed WHERE c <> ''),
+win AS (
+  SELECT side, id, r, pos,
+    list(c) OVER x AS template, list(p) OVER x AS plain
+  FROM seq WINDOW x AS (PARTITION BY side, r ORDER BY pos ROWS BETWEEN CURRENT ROW AND {d.WINDOW - 1} FOLLOWING)),
+bw AS (
+  SELECT DISTINCT id AS item_id, pos, template, plain FROM win
+  WHERE side = 'b' AND len(template) = {d.WINDOW}
+    AND 2 * len(list_filter(template, lambda x: x[1] = '#')) <= {d.WINDOW}),
+bs AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM bw),
+hits AS (
+  SELECT w.id AS doc_id, b.item_id, b.item_windows, w.pos - b.pos AS shift, b.pos, b.template,
+    b.plain AS asked, w.plain AS found
+  FROM win w JOIN bs b ON w.template = b.template WHERE w.side = 'd'),
+slots AS (
+  SELECT doc_id, item_id, item_windows, shift, pos, unnest(range(1, {d.WINDOW + 1})) AS j, template, asked, found
+  FROM hits),
+pairs AS (
+  SELECT doc_id, item_id, item_windows, shift, pos,
+    CASE WHEN template[j][1] = '#' THEN asked[j] END AS a, CASE WHEN template[j][1] = '#' THEN found[j] END AS f
+  FROM slots),
+checked AS (
+  SELECT doc_id, item_id, item_windows, shift, count(DISTINCT pos) AS windows, count(DISTINCT a) AS slots,
+    count(DISTINCT CASE WHEN a IS NOT NULL THEN [a, f] END) AS mappings,
+    coalesce(max(CAST(a <> f AS INT)), 0) AS changed
+  FROM pairs GROUP BY ALL)
+SELECT doc_id, item_id, item_windows, max(windows) AS windows, max(slots) AS slots, min(changed) = 0 AS exact
+FROM checked WHERE mappings = slots AND windows >= {d.MIN_SHARE} * item_windows GROUP BY ALL""",
 }

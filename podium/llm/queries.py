@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium.llm import packing, token_counts, token_files, url_filter
+from podium.llm import decontamination, packing, quality, token_counts, token_files, url_filter
 from podium.llm.common import shared_path, table
 
 
@@ -18,10 +18,18 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, path)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), end_id=0)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 0 inserts all documents with estimated counts, batch 1 revises them to exact
     ones; a repeated commit of batch 0 changes nothing."""
@@ -35,4 +43,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op6_token_output, op8_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op3_url_filters, op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
+    op10_token_counts)}
