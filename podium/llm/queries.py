@@ -4,14 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium.llm import decontamination, packing, quality, token_counts, token_files, url_filter
+from podium.llm import (
+    decontamination,
+    language_id,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from podium.llm.common import shared_path, table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write_token_files(table(spark, sf_dir, "documents"),
                                          shared_path(spark, "token-files"), end_id=2)
@@ -44,5 +63,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_url_filters, op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
+    op1_language_id, op3_url_filters, op4_toxicity, op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
     op10_token_counts)}
