@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from podium.llm import (
     decontamination,
+    jaccard,
     language_id,
     packing,
     quality,
@@ -31,6 +32,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write_token_files(table(spark, sf_dir, "documents"),
                                          shared_path(spark, "token-files"), end_id=2)
@@ -63,5 +68,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op3_url_filters, op4_toxicity, op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
+    op1_language_id, op3_url_filters, op4_toxicity, op5_ngram_jaccard_join,
+    op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
     op10_token_counts)}

@@ -7,8 +7,9 @@ share of toxic rows among all labelled training rows, an aggregate over the whol
 
 Features of a text are its distinct words and the beginnings of words, hashed into
 ``FEATURES`` bins. Fitting uses a bounded sample of training rows (``POSITIVES`` and
-``UNLABELLED`` rows with the lowest hash of their id); bins that do not occur clearly more
-or less often in toxic texts keep weight zero. Every row is scored, on its whole text, in the
+``UNLABELLED`` rows with the lowest hash of their id), of which near copies are left out, as
+copies of one text would make all its words look telling. Bins that are not clearly more
+frequent in toxic texts (``LIFT`` times) keep weight zero. Every row is scored, on its whole text, in the
 tasks that read it; the model is one array of ``FEATURES`` floats.
 
 Defined cases: a null or empty text scores as a text without words; without any positive
@@ -33,8 +34,9 @@ from podium.llm.common import PieceTable, blocks, crc_mod
 FEATURES = 1 << 18
 POSITIVES, UNLABELLED = 4000, 8000
 PREFIXES = (3, 4, 5)
+LIFT = 3.0
 THRESHOLD = 0.3
-EPOCHS, BATCH, RATE, DECAY = 30, 512, 0.05, 1e-4
+EPOCHS, BATCH, RATE, DECAY = 60, 512, 0.05, 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -74,8 +76,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
+def _signature(text: str) -> list[int]:
+    """Lowest hashes of the 5-word runs of a text under four salts."""
+    words = text.lower().split()
+    runs = {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(r) for r in runs), np.uint64, len(runs))
+    return [int((hashes * np.uint64(m) >> np.uint64(1)).min()) for m in _SALTS]
+
+
+_SALTS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
+
+
 def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
-    """Distinct bins of the ``n`` rows with the lowest id hash (bounded by ``n``)."""
+    """Distinct bins of the ``n`` rows with the lowest id hash (bounded by ``n``), without
+    rows that share a signature part with an earlier one."""
     def to_bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = PieceTable(_bins, np.int32)
         for batch in batches:
@@ -83,11 +97,19 @@ def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
             for bins, owner, counts in features(batch["text"].tolist(), pieces):
                 for i, part in zip(owner, np.split(bins, np.cumsum(counts)[:-1])):
                     found[i] = np.union1d(found[i], part).astype(np.int32)
-            yield pd.DataFrame({"bins": [x.tobytes() for x in found]})
+            yield pd.DataFrame({"bins": [x.tobytes() for x in found],
+                                "signature": [_signature(x or "") for x in batch["text"]]})
 
     picked = (rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(n)
-              .select("text").mapInPandas(to_bins, "bins binary"))
-    return [np.frombuffer(r["bins"], np.int32) for r in picked.collect()]
+              .select("text").mapInPandas(to_bins, "bins binary, signature array<long>"))
+    seen: set[tuple[int, int]] = set()
+    kept = []
+    for row in picked.collect():
+        parts = set(enumerate(row["signature"]))
+        if not parts & seen:
+            kept.append(np.frombuffer(row["bins"], np.int32))
+        seen |= parts
+    return kept
 
 
 def train(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Model:
@@ -113,7 +135,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     rate_p, rate_u = in_p / n_p, in_u / n_u
     mean = (in_p + in_u) / (n_p + n_u)
     z = (rate_p - rate_u) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / n_p + 1 / n_u))
-    used = (np.abs(z) > 4) & (in_p + in_u >= 3)
+    used = (z > 4) & (in_p >= 3) & (rate_p > LIFT * rate_u)
     rng = np.random.default_rng(seed)
     rows = [x[used[x]] for x in positive + unlabelled]
     weights, bias = np.zeros(FEATURES), np.log(prior / (1 - prior))
