@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from podium.llm import (
     decontamination,
+    html_extract,
     jaccard,
     language_id,
     packing,
@@ -23,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op3_url_filters, op4_toxicity, op5_ngram_jaccard_join,
+    op1_language_id, op2_html_extraction, op3_url_filters, op4_toxicity, op5_ngram_jaccard_join,
     op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
     op10_token_counts)}

@@ -1,16 +1,16 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
 The classifier sees confirmed toxic texts and unlabelled texts. Its risk is the class-prior
-corrected estimate  pi * E_P[l(f)] + max(0, E_U[l(-f)] - pi * E_P[l(-f)]); when the second part
-turns negative the step goes against its gradient instead of overfitting. The prior is the
-share of toxic rows among all labelled training rows, an aggregate over the whole table.
+corrected estimate  pi * E_P[l(f)] + max(0, E_U[l(-f)] - pi * E_P[l(-f)]); where the second part
+would be negative it is clipped, so it cannot be driven down by overfitting. The prior is the
+share of toxic texts among all distinct labelled training texts, an aggregate over the tables.
 
 Features of a text are its distinct words and the beginnings of words, hashed into
 ``FEATURES`` bins. Fitting uses a bounded sample of training rows (``POSITIVES`` and
 ``UNLABELLED`` rows with the lowest hash of their id), of which near copies are left out, as
 copies of one text would make all its words look telling. Bins that are not clearly more
-frequent in toxic texts (``LIFT`` times) keep weight zero. Every row is scored, on its whole text, in the
-tasks that read it; the model is one array of ``FEATURES`` floats.
+frequent in toxic texts (``LIFT`` times) keep weight zero. Every row is scored on its whole
+text in the tasks that read it; the model is one array of ``FEATURES`` floats.
 
 Defined cases: a null or empty text scores as a text without words; without any positive
 training row all rows get the prior; a document with several labels counts as toxic if one
@@ -36,7 +36,7 @@ POSITIVES, UNLABELLED = 4000, 8000
 PREFIXES = (3, 4, 5)
 LIFT = 3.0
 THRESHOLD = 0.3
-EPOCHS, BATCH, RATE, DECAY = 60, 512, 0.05, 1e-4
+STEPS, RATE, DECAY = 400, 0.05, 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -112,22 +112,23 @@ def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
     return kept
 
 
-def train(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Model:
+def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the rows of ``docs`` and ``labels`` whose crc32(doc_id) mod 4 is not 2."""
     known = (labels.where(crc_mod("doc_id", 4) != 2).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
     rows = docs.select("doc_id", "text").where(crc_mod("doc_id", 4) != 2)
-    prior = known.agg(F.avg("label")).first()[0] or 0.0
+    texts = rows.select("doc_id", F.xxhash64("text").alias("text_key")).join(known, "doc_id")
+    prior = texts.groupBy("text_key").agg(F.max("label").alias("label")).agg(F.avg("label")).first()[0] or 0.0
     prior = min(max(prior, 1e-3), 0.9)
     toxic = rows.join(known.where("label = 1").select("doc_id"), "doc_id", "left_semi")
     positive, unlabelled = _sample(toxic, POSITIVES), _sample(rows, UNLABELLED)
     bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(FEATURES, np.float32), bias)
-    return fit(positive, unlabelled, prior, seed)
+    return fit(positive, unlabelled, prior)
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 1) -> Model:
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
     """Non-negative risk minimisation of a linear model over presence features (Adam)."""
     n_p, n_u = len(positive), len(unlabelled)
     in_p = np.bincount(np.concatenate(positive), minlength=FEATURES)
@@ -136,39 +137,28 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     mean = (in_p + in_u) / (n_p + n_u)
     z = (rate_p - rate_u) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / n_p + 1 / n_u))
     used = (z > 4) & (in_p >= 3) & (rate_p > LIFT * rate_u)
-    rng = np.random.default_rng(seed)
     rows = [x[used[x]] for x in positive + unlabelled]
+    flat = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), np.int64, len(rows)))
     weights, bias = np.zeros(FEATURES), np.log(prior / (1 - prior))
     moment, square = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
-    step = 0
-    p_batch = max(1, min(n_p, BATCH * n_p // (n_p + n_u) + 1))
-    u_batch = max(1, min(n_u, BATCH))
-    for _ in range(EPOCHS):
-        for chosen in np.array_split(rng.permutation(n_u), max(1, n_u // u_batch)):
-            mine = [rows[i] for i in rng.integers(0, n_p, p_batch)] + [rows[n_p + i] for i in chosen]
-            sizes = np.fromiter(map(len, mine), np.int64, len(mine))
-            flat = np.concatenate(mine)
-            owner = np.repeat(np.arange(len(mine)), sizes)
-            f = bias + np.bincount(owner, weights[flat], len(mine))
-            chance = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
-            p, u = chance[:p_batch], chance[p_batch:]
-            # logistic loss: l(f) = log(1 + e^-f), l(-f) = log(1 + e^f)
-            negative = np.logaddexp(0, f[p_batch:]).mean() - prior * np.logaddexp(0, f[:p_batch]).mean()
-            slope = np.empty(len(mine))
-            if negative >= 0:
-                slope[:p_batch] = (prior * (p - 1) - prior * p) / p_batch
-                slope[p_batch:] = u / len(u)
-            else:
-                slope[:p_batch] = prior * p / p_batch
-                slope[p_batch:] = -u / len(u)
-            grad = np.append(np.bincount(flat, slope[owner], FEATURES) + DECAY * weights, slope.sum())
-            step += 1
-            moment = 0.9 * moment + 0.1 * grad
-            square = 0.999 * square + 0.001 * grad * grad
-            move = RATE * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
-            weights -= move[:-1]
-            bias -= move[-1]
-            weights[~used] = 0
+    for step in range(1, STEPS + 1):
+        f = bias + np.bincount(owner, weights[flat], len(rows))
+        chance = 1 / (1 + np.exp(-np.clip(f, -30, 30)))
+        p, u = chance[:n_p], chance[n_p:]
+        # logistic loss: l(f) = log(1 + e^-f), l(-f) = log(1 + e^f)
+        negative = np.logaddexp(0, f[n_p:]).mean() - prior * np.logaddexp(0, f[:n_p]).mean()
+        slope = np.zeros(len(rows))
+        slope[:n_p] = prior * (p - 1) / n_p
+        if negative > 0:  # else the clipped part is flat
+            slope[:n_p] -= prior * p / n_p
+            slope[n_p:] = u / n_u
+        grad = np.append(np.bincount(flat, slope[owner], FEATURES) + DECAY * weights, slope.sum())
+        moment = 0.9 * moment + 0.1 * grad
+        square = 0.999 * square + 0.001 * grad * grad
+        move = RATE * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
+        weights = np.where(used, weights - move[:-1], 0.0)
+        bias -= move[-1]
     return Model(weights.astype(np.float32), float(bias))
 
 
