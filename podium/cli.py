@@ -23,7 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from podium import schema as S
 from podium.operators.team import unpivot_registration
 from podium.plans.season_job import run_season, write_season
-from podium.session import build_session, ensure_checkpoint_dir
+from podium.session import ensure_checkpoint_dir
 from podium.sources.files import read_csv_by_name
 
 OPTIONAL_RESULT_COLS = ("race", "time_s", "overall_place", "location")
@@ -46,12 +46,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--team-sheet")
     ap.add_argument("--aliases")
     ap.add_argument("--adjustments")
+    ap.add_argument("--on-violation", choices=("raise", "report"), default="raise")
     args = ap.parse_args(argv)
 
-    spark = spark or build_session(app_name="podium-season")
+    # master, memory and partitions come from the caller's session or from spark-submit
+    spark = spark or SparkSession.builder.appName("podium-season").getOrCreate()
     ensure_checkpoint_dir(spark)
     results = read_table(spark, args.results, S.RESULTS, OPTIONAL_RESULT_COLS)
-    events = read_table(spark, args.events, S.EVENTS_DIM)
+    events = read_table(spark, args.events, S.EVENTS_DIM_MODES, ("participation_mode",))
     membership = read_table(spark, args.membership, S.MEMBERSHIP) if args.membership else None
     if args.team_sheet:
         header = spark.read.option("header", True).csv(args.team_sheet).columns
@@ -59,10 +61,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         membership = unpivot_registration(sheet)
     aliases = read_table(spark, args.aliases, S.ALIASES) if args.aliases else None
     adjustments = read_table(spark, args.adjustments, S.ADJUSTMENTS) if args.adjustments else None
-    out = run_season(results, events, args.season, membership, aliases, adjustments)
-    write_season(out, args.out, events)
+    out = run_season(results, events, args.season, membership, aliases, adjustments,
+                     on_violation=args.on_violation)
+    write_season(out, args.out, events, args.season)
     return {"events": out.events, "racers": out.standings.count(),
-            "repeat_racers": out.repeat_racers.count(), "duplicate_racers": out.duplicate_racers.count()}
+            "repeat_racers": out.repeat_racers.count(), "duplicate_racers": out.duplicate_racers.count(), "violations": out.violations.count()}
 
 
 if __name__ == "__main__":

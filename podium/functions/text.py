@@ -46,7 +46,7 @@ def split_comma_aware(c) -> tuple[Column, Column]:
     last = (F.when(s == "", F.lit(""))
             .when(has_comma, head)
             .when(F.size(tokens) == 1, F.lit(""))
-            .otherwise(F.array_join(F.slice(tokens, 2, 1 << 20), " ")))
+            .otherwise(F.array_join(F.slice(tokens, F.lit(2), F.size(tokens)), " ")))
     return first, last
 
 

@@ -1,14 +1,13 @@
-"""Join helpers: bounded summaries for broadcast, null-safe equi-joins.
+"""Join helpers: summaries of known size and null-safe equi-joins.
 
 Two kinds of small sides occur:
 
-* dimension tables read from files (aliases, adjustments, lookups): joined plainly;
-  Spark's planner sizes them from file statistics and broadcasts only below
+* dimension tables read from files (aliases, adjustments, lookups): joined plainly; the
+  planner sizes them from file statistics and broadcasts only below
   ``spark.sql.autoBroadcastJoinThreshold``, else it shuffles (sort-merge join).
-* summaries derived inside a job (field size per group, row counts per range slice):
-  their size is unknown to the planner, so ``bounded_summary`` computes them once,
-  proves the bound by fetching at most ``max_rows + 1`` rows, and hands them back as
-  a local relation that is broadcast; above the bound they stay distributed.
+* summaries derived inside a job (field size per group, row counts per range slice): the
+  planner cannot size them, so they are written to the shared folder first and joined like
+  a dimension table. No row reaches the driver and no row count switches the plan.
 """
 
 from __future__ import annotations
@@ -16,41 +15,18 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest summary shipped to every executor: rows of a few keys and counts, so this
-# stays in the low tens of MB.
-SUMMARY_ROWS = 200_000
+from podium.session import cut_lineage
 
 
-def bounded_summary(df: DataFrame, max_rows: int = SUMMARY_ROWS) -> tuple[DataFrame, bool]:
-    """(frame, is_small): a small summary as a broadcastable local relation, else ``df``.
-
-    One job computes the summary; at most ``max_rows + 1`` rows reach the driver.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), True
-    return df, False
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                   broadcast_right: bool = False) -> DataFrame:
-    """Equi-join on ``keys`` where null matches null; keeps one copy of each key column.
-
-    ``broadcast_right`` applies the hint after the key columns are renamed; pass it
-    only for a side whose size was proven small.
-    """
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null matches null; keeps one copy of each key column."""
     renamed = {k: f"__r_{k}" for k in keys}
     r = right.withColumnsRenamed(renamed)
-    if broadcast_right:
-        r = F.broadcast(r)
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[v]) for k, v in renamed.items()])
     return left.join(r, cond, how).drop(*renamed.values())
 
 
-def join_summary(df: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner",
-                 max_rows: int = SUMMARY_ROWS) -> DataFrame:
-    """Attach a per-group summary to ``df`` (null-safe on keys), broadcasting it when bounded."""
-    s, small = bounded_summary(summary, max_rows)
-    return null_safe_join(df, s, keys, how, broadcast_right=small)
+def join_summary(df: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Attach a per-group summary to ``df`` (null-safe on keys); it is computed once."""
+    return null_safe_join(df, cut_lineage(summary, "summary"), keys, how)

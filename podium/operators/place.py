@@ -43,30 +43,27 @@ def order_names(order: Sequence[Order]) -> list[str]:
 
 def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order],
                      name: str = "place", num_partitions: int | None = None,
-                     group_size: str | None = None, materialize_input: bool = False) -> DataFrame:
+                     group_size: str | None = None) -> DataFrame:
     """``row_number() over (partition by <by> order by <order>)`` without a single-task window.
 
     The order must be total (end it with a unique key) for a reproducible result.
     ``group_size`` names an optional column with the row count of the row's group
     (the largest number handed out in it), taken from the same summary.
-    ``materialize_input`` checkpoints the input first: the range sampler and the
-    shuffle then read that copy instead of running an expensive upstream twice.
-    Plan: one range exchange, one checkpoint (fixes the ranges and the local numbers,
-    survives executor loss), one small per-slice summary joined back by broadcast.
+    Plan: one range exchange, written once as a columnar table in the shared folder (fixes
+    the ranges and the local numbers, survives executor loss), and one row per slice and
+    group, written and joined back; the planner broadcasts it only if its file is small.
     Without ``num_partitions`` the range bounds are cut for ``spark.sql.shuffle.partitions``
     slices and AQE may merge neighbouring small slices; merged slices stay contiguous and
     in key order, so the numbering is unchanged.
     """
     by = list(by)
     keys = [F.col(c).asc_nulls_first() for c in by] + [sort_col(o) for o in order]
-    if materialize_input:
-        df = cut_lineage(df)
     ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
               else df.repartitionByRange(*keys))
     ranged = (ranged.sortWithinPartitions(*keys)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged, "ranged")
     stats = ranged.groupBy("__pid", *by).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +124,7 @@ def place_dense(df: DataFrame, by: Sequence[str], value: Order, name: str = "div
 
 
 def overall_place(df: DataFrame, by: Sequence[str], points: str = "series_points",
-                  name: str = "overall_place", materialize_input: bool = False) -> DataFrame:
+                  name: str = "overall_place") -> DataFrame:
     """1..n by points, then first name, then last name, all descending; no shared places."""
     order = [(points, "desc"), ("first_name", "desc"), ("last_name", "desc")]
-    return distributed_rank(df, by, order, name, materialize_input=materialize_input)
+    return distributed_rank(df, by, order, name)

@@ -39,10 +39,15 @@ def form_slots(n: int = FORM_SLOTS) -> list[tuple[str, str]]:
 def unpivot_registration(sheet: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """T1 on the registration sheet layout (team name header, captain + member columns).
 
-    Slots whose columns are missing from the sheet are skipped; genders read by prefix.
+    All member columns of the sheet are read, however many there are; a name column
+    without its gender column (or the other way round) raises. Genders read by prefix.
     """
     from podium.functions.division import division_from_prefix
-    slots = [(n, g) for n, g in form_slots() if n in sheet.columns and g in sheet.columns]
+    pairs = form_slots(max(FORM_SLOTS, len(sheet.columns)))
+    half = [n if n in sheet.columns else g for n, g in pairs if (n in sheet.columns) != (g in sheet.columns)]
+    if half:
+        raise ValueError(f"member columns without their counterpart: {half}")
+    slots = [(n, g) for n, g in pairs if n in sheet.columns]
     return unpivot_membership(sheet, TEAM_NAME_HEADER, slots, division_of=division_from_prefix, keep=keep)
 
 

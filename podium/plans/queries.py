@@ -133,7 +133,7 @@ def q_team_event_points(spark, sf_dir):
 
 @register("team_standings")
 def q_team_standings(spark, sf_dir):
-    return team_standings(team_event_points(tb.team_ranked(spark, sf_dir)), tb.EVENT_YEARS)
+    return team_standings(team_event_points(tb.team_ranked(spark, sf_dir)), tb.event_years(spark, sf_dir))
 
 
 @register("team_report")
@@ -530,6 +530,6 @@ def q_place_from_overall(spark, sf_dir):
 def q_season_job_standings(spark, sf_dir):
     """The end-to-end season job over the test bed: individual standings."""
     from podium.plans.season_job import run_season
-    out = run_season(tb.season_results(spark, sf_dir), tb.season_events_dim(spark, sf_dir), tb.SEASON_KEY,
+    out = run_season(tb.season_results(spark, sf_dir), tb.season_events_dim(spark, sf_dir), tb.SEASON_KEY, divisions=None,
                      adjustments=tb.adjustments(spark, sf_dir))
     return out.standings.drop("first_name", "last_name")

@@ -9,17 +9,19 @@ alias branches all read that one copy.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.operators.agegroup import age_bands, age_group_winners, collect_ages, modal_age
+from podium.operators.clean import KNOWN_DIVISIONS, quarantine_unknown_division
 from podium.operators.event import (MAIN, PARTICIPATION, consolidate_best, dedupe_participation,
                                     repeat_guard, score_event)
-from podium.operators.quality import alias_report, find_duplicates
+from podium.operators.quality import alias_report, find_duplicates, raise_if_any
 from podium.operators.season import apply_adjustments, event_column, season_points, standings_wide
-from podium.operators.team import (team_event_points, team_event_rows, team_ranked, team_report,
+from podium.operators.team import (guard_membership, team_event_points, team_event_rows, team_ranked, team_report,
                                    team_standings)
 from podium.rules import CURRENT, ScoringRules
 from podium.session import cut_lineage
@@ -42,6 +44,7 @@ class SeasonOutputs:
     repeat_racers: DataFrame
     duplicate_racers: DataFrame
     events: list
+    violations: DataFrame
 
 
 def season_events(events_dim: DataFrame, season: str) -> list[str]:
@@ -55,35 +58,73 @@ def score_season_events(results: DataFrame, events_dim: DataFrame, season: str,
                         rules: ScoringRules = CURRENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """E1-E12 for every event of the season: (event points, repeat offenders, duplicates).
 
-    Participation rows are deduplicated per name and dropped for names that ran the
-    main race of the same event. Multi-day events (``event_days > 1``) keep each
-    racer's best row; the repeat guard lists racers seen more often than the event
-    has days, the duplicate guard lists names twice in a single-day event.
+    The events table says per event how participation rows count (``participation_mode``):
+    ``consolidate`` (default) keeps them all, ``dedupe`` keeps one per name and none for names
+    that ran the main race, ``none`` leaves them out. All guards look at the scored rows
+    before any row is merged: a racer may occur as often as a multi-day event has days, and
+    once in a one-day event. Multi-day events then keep each racer's best row.
     """
     res = results.filter(F.col("season") == season)
+    mode = F.col("participation_mode") if "participation_mode" in events_dim.columns else F.lit(None)
     days = (events_dim.filter(F.col("season") == season)
-            .select("event", F.col("event_days").cast("int").alias("event_days")))
-    main = res.filter(F.col("race_role") == MAIN)
-    part = dedupe_participation(main, res.filter(F.col("race_role") == PARTICIPATION),
-                                event_keys=["season", "event"])
-    scored = score_event(main.unionByName(part.select(*main.columns)), rules, EVENT_KEYS)
-    scored = scored.join(days, "event", "left").withColumn(
-        "event_days", F.coalesce(F.col("event_days"), F.lit(1)))
-    repeats = repeat_guard(scored, RACER, days)
-    multi = consolidate_best(scored.filter(F.col("event_days") > 1), RACER)
-    single = scored.filter(F.col("event_days") <= 1)
+            .select("event", F.coalesce(F.col("event_days").cast("int"), F.lit(1)).alias("event_days"),
+                    F.coalesce(mode.cast("string"), F.lit("consolidate")).alias("participation_mode")))
+    known = cut_lineage(res.join(days, "event", "left").withColumns({
+        "event_days": F.coalesce("event_days", F.lit(1)),
+        "participation_mode": F.coalesce("participation_mode", F.lit("consolidate"))}), "results")
+    is_part = F.col("race_role") == PARTICIPATION
+    asked = F.col("participation_mode") == "dedupe"
+    plain = known.filter((F.col("race_role") == MAIN) | (is_part & (F.col("participation_mode") == "consolidate")))
+    once = dedupe_participation(known.filter((F.col("race_role") == MAIN) & asked),
+                                known.filter(is_part & asked), event_keys=["season", "event"])
+    scored = cut_lineage(score_event(plain.unionByName(once.select(*plain.columns)), rules, EVENT_KEYS), "scored")
+    multi, single = scored.filter(F.col("event_days") > 1), scored.filter(F.col("event_days") <= 1)
+    repeats = repeat_guard(multi, RACER, days)
     duplicates = find_duplicates(single, RACER)
-    points = single.select(*POINT_COLS).unionByName(multi.select(*POINT_COLS))
+    best = consolidate_best(multi, RACER)
+    points = single.select(*POINT_COLS).unionByName(best.select(*POINT_COLS))
     return points, repeats, duplicates
 
 
+def season_violations(results: DataFrame, season: str, repeats: DataFrame, duplicates: DataFrame,
+                      membership: DataFrame | None, divisions: Sequence[str] | None) -> DataFrame:
+    """All guard findings of a season as rows (guard, key, n_rows)."""
+    def rows(df: DataFrame, guard: str, cols: list[str], n: str = "n_rows") -> DataFrame:
+        key = F.concat_ws(" / ", *[F.col(c).cast("string") for c in cols])
+        return df.select(F.lit(guard).alias("guard"), key.alias("key"), F.col(n).cast("long").alias("n_rows"))
+
+    found = rows(repeats, "repeat_racer", RACER).unionByName(rows(duplicates, "duplicate_racer", RACER))
+    if divisions is not None:
+        _, unknown = quarantine_unknown_division(results.filter(F.col("season") == season), known=divisions)
+        unknown = unknown.groupBy("event", "division").agg(F.count(F.lit(1)).alias("n_rows"))
+        found = found.unionByName(rows(unknown, "unknown_division", ["event", "division"]))
+    if membership is not None:
+        members = guard_membership(membership.select("team_name").distinct(), membership)
+        found = found.unionByName(members.select(F.concat(F.lit("membership_"), "kind").alias("guard"), "key", "n_rows"))
+    return found
+
+
 def run_season(results: DataFrame, events_dim: DataFrame, season: str,
                membership: DataFrame | None = None, aliases: DataFrame | None = None,
-               adjustments: DataFrame | None = None, rules: ScoringRules = CURRENT) -> SeasonOutputs:
+               adjustments: DataFrame | None = None, rules: ScoringRules = CURRENT,
+               on_violation: str = "raise",
+               divisions: Sequence[str] | None = KNOWN_DIVISIONS) -> SeasonOutputs:
+    """Score a season. A guard that finds an offender raises; with ``on_violation="report"``
+    the job goes on and the offenders are an output table. ``divisions`` lists the divisions
+    a row may have (None: any)."""
+    if on_violation not in ("raise", "report"):
+        raise ValueError(f"on_violation must be 'raise' or 'report', not {on_violation!r}")
     spark = results.sparkSession
     events = season_events(events_dim, season)
+    if not events:
+        raise ValueError(f"season {season!r} has no events")
+    if membership is not None and "season" in membership.columns:
+        membership = membership.filter(F.col("season") == season)
     points, repeats, duplicates = score_season_events(results, events_dim, season, rules)
-    points = cut_lineage(points)  # scored once; every branch below reads this copy
+    violations = cut_lineage(season_violations(results, season, repeats, duplicates, membership, divisions), "violations")
+    if on_violation == "raise":
+        raise_if_any(violations, f"season {season!r} breaks its guards")
+    points = cut_lineage(points, "event-points")  # scored once; every branch below reads this copy
 
     season_df = season_points(points, rules, events=events)
     if adjustments is not None:
@@ -92,8 +133,7 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
 
     t_standings = t_report = None
     if membership is not None:
-        members = membership.filter(F.col("season") == season) if "season" in membership.columns else membership
-        ranked = team_ranked(team_event_rows(points.filter(F.col("division").isin("male", "female")), members),
+        ranked = team_ranked(team_event_rows(points.filter(F.col("division").isin("male", "female")), membership),
                              rules)
         t_standings = team_standings(team_event_points(ranked, rules), events)
         t_report = team_report(ranked)
@@ -101,16 +141,23 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
     winners = age_group_winners(standings, modal_age(collect_ages(points)), age_bands(spark))
     aliases_out = alias_report(points, aliases) if aliases is not None else None
     return SeasonOutputs(points, standings, t_standings, t_report, winners, aliases_out,
-                         repeats, duplicates, events)
+                         repeats, duplicates, events, violations)
+
 
+def write_season(out: SeasonOutputs, root: str, events_dim: DataFrame | None = None,
+                 season: str | None = None) -> None:
+    """Event-point files per (season, event, division) and the season reports.
 
-def write_season(out: SeasonOutputs, root: str, events_dim: DataFrame | None = None) -> None:
-    """Event-point files per (season, event, division) and the season reports."""
+    ``season`` picks the rows of ``events_dim`` whose display names are used. The alias
+    report and the guards' findings are written with the other reports.
+    """
     write_event_points(out.event_points, f"{root}/event_points")
-    names = {}
+    names, shown = {}, {}
     if events_dim is not None:
-        names = {event_column(r.event): f"{r.human_name} Points"
-                 for r in events_dim.select("event", "human_name").distinct().collect()}
+        own = events_dim if season is None else events_dim.filter(F.col("season") == season)
+        own = own.filter(F.col("event").isin(*out.events)) if out.events else own
+        shown = {r.event: r.human_name for r in own.select("event", "human_name").distinct().collect()}
+        names = {event_column(e): f"{n} Points" for e, n in shown.items()}
     individual = {"overall_place": "Overall Place", "name": "Name", "n_events": "Number of Events",
                   "series_points": "Series Points", **names}
     standings = out.standings.drop("first_name", "last_name")
@@ -120,8 +167,15 @@ def write_season(out: SeasonOutputs, root: str, events_dim: DataFrame | None = N
         write_report(out.team_standings, f"{root}/team_standings",
                      {"overall_place": "Overall Place", "team_name": "Team Name", "total_points": "Total Points",
                       **names}, order=["overall_place"])
-        write_report(out.team_report, f"{root}/team_scoring_report", None,
-                     order=["team_name", "event", "division", "team_rank"])
+        named = out.team_report
+        if shown:
+            display = F.create_map(*[F.lit(x) for pair in shown.items() for x in pair])
+            named = named.withColumn("event", F.coalesce(display[F.col("event")], F.col("event")))
+        write_report(named.withColumnRenamed("division", "gender"), f"{root}/team_scoring_report", None,
+                     order=["team_name", "event", "gender", "team_rank"])
     write_report(out.age_group_winners.withColumnRenamed("age_group", "Age Group")
                  .withColumnRenamed("name", "Name").withColumnRenamed("overall_place", "Overall Place"),
                  f"{root}/age_group_winners", None, order=["division", "Age Group"])
+    if out.alias_report is not None:
+        write_report(out.alias_report, f"{root}/alias_report", None, order=["event", "division", "last_name"])
+    write_report(out.violations, f"{root}/guard_violations", None, order=["guard", "key"])

@@ -23,13 +23,18 @@ from podium.operators.event import (MAIN, PARTICIPATION, dedupe_participation,
                                     score_event)
 from podium.operators.place import distributed_rank
 
-EVENT_YEARS = tuple(range(1995, 2002))  # fixed event list of the test bed (season columns)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The events of the test bed in order: all years of the orders (a few calendar years)."""
+    year = F.year("o_orderdate").cast("long").alias("y")
+    rows = table(spark, sf_dir, "orders").select(year).where("y IS NOT NULL").distinct().orderBy("y").collect()
+    return [r.y for r in rows]
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries_from_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
 
@@ -104,13 +109,13 @@ def season(spark: SparkSession, sf_dir: str, points: DataFrame | None = None,
            with_adjustments: bool = True) -> DataFrame:
     from podium.operators.season import apply_adjustments, season_points
     pts = points if points is not None else event_points(spark, sf_dir)
-    s = season_points(pts, events=EVENT_YEARS)
+    s = season_points(pts, events=event_years(spark, sf_dir))
     return apply_adjustments(s, adjustments(spark, sf_dir)) if with_adjustments else s
 
 
 def standings(spark: SparkSession, sf_dir: str, points: DataFrame | None = None) -> DataFrame:
     from podium.operators.season import standings_wide
-    return standings_wide(season(spark, sf_dir, points), EVENT_YEARS)
+    return standings_wide(season(spark, sf_dir, points), event_years(spark, sf_dir))
 
 
 def registration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,4 +287,5 @@ def season_events_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.select(year.alias("y")).distinct()
             .select(F.lit(SEASON_KEY).alias("season"), F.col("y").cast("string").alias("event"),
                     F.concat(F.lit("Year "), F.col("y").cast("string")).alias("human_name"),
-                    F.lit(1).alias("event_days"), F.col("y").cast("int").alias("seq")))
+                    F.lit(1).alias("event_days"), F.col("y").cast("int").alias("seq"),
+                    F.lit("dedupe").alias("participation_mode")))

@@ -61,6 +61,9 @@ EVENTS_DIM = T.StructType([
     T.StructField("seq", T.IntegerType()),
 ])
 
+# ``participation_mode``: consolidate (default), dedupe or none
+EVENTS_DIM_MODES = T.StructType(EVENTS_DIM.fields + [T.StructField("participation_mode", T.StringType())])
+
 ALIASES = T.StructType([
     T.StructField("alias_fn", T.StringType()),
     T.StructField("alias_ln", T.StringType()),

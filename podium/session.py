@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,10 +72,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder (survives executor loss).
+
+    Later reads prune columns, and the planner knows the table's size: it broadcasts it only
+    below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,

@@ -8,6 +8,7 @@ simply an absent partition, and readers prune to what they need.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,31 +46,63 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.S
         for f in schema.fields])
 
 
-def load_event_points(spark: SparkSession, root: str, season: str | None = None) -> DataFrame:
+def load_event_points(spark: SparkSession, root: str, season: str | None = None,
+                      with_location: bool = False) -> DataFrame:
     """All event-point files of a season as one long table.
 
-    Partition columns come from the folder names; an absent (event, division)
-    contributes no rows. Returns an empty frame with the schema if nothing exists.
+    Partition columns come from the folder names; an absent (event, division) contributes
+    no rows. Columns are bound by header name, in any order; ``location`` is optional and
+    returned if asked for. The sentinel stands for no place (a participation row) and,
+    independently, for no age. Returns an empty frame with the schema if nothing exists.
     """
-    # a new schema each call (StructType.add would change the shared one in place)
-    full = T.StructType(EVENT_POINTS_FILE.fields + [T.StructField("location", T.StringType())]
-                        + [T.StructField(p, T.StringType()) for p in PARTITIONS])
-    try:
-        df = (spark.read.schema(full).option("header", True).option("basePath", root).csv(root))
-    except Exception as e:  # noqa: BLE001 - an absent root means "no events yet"
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        return spark.createDataFrame([], EVENT_POINTS)
-    if season is not None:
-        df = df.filter(F.col("season") == F.lit(season))
+    names = {f.name: f.dataType for f in EVENT_POINTS_FILE.fields} | {"location": T.StringType()}
+    folders = _folders(spark, root, season)
+    if not folders:
+        empty = spark.createDataFrame([], EVENT_POINTS)
+        return empty.withColumn("location", F.lit(None).cast("string")) if with_location else empty
+    # bound by header name: files of one folder share a header, folders may differ
+    raw = (spark.read.option("header", True).option("basePath", root)
+           .option("enforceSchema", False))
+    frames = []
+    for header, paths in folders.items():
+        text = T.StructType([T.StructField(h, T.StringType()) for h in header]
+                            + [T.StructField(p, T.StringType()) for p in PARTITIONS])
+        df = raw.schema(text).csv(paths)
+        present = {h.strip().lower(): h for h in header}
+        missing = [c for c in names if c not in present and c != "location"]
+        if missing:
+            raise ValueError(f"event-point files without the columns {missing}: {paths[:3]}")
+        frames.append(df.select(*PARTITIONS, *[
+            (F.col(f"`{present[c]}`").try_cast(t) if c in present else F.lit(None).cast(t)).alias(c)
+            for c, t in names.items()]))
+    df = reduce(DataFrame.unionByName, frames)
     sentinel = F.lit(REPORT_SENTINEL)
-    is_part = (F.col("gender_place") == sentinel) & (F.col("age") == sentinel)
-    return df.select(
+    is_part = F.col("gender_place") == sentinel
+    cols = [
         "season", "event", "division", "first_name", "last_name",
-        F.when(is_part, F.lit(None).cast("int")).otherwise(F.col("age")).alias("age"),
+        F.when(F.col("age") == sentinel, F.lit(None).cast("int")).otherwise(F.col("age")).alias("age"),
         F.when(is_part, F.lit(None).cast("long")).otherwise(F.col("gender_place")).alias("division_place"),
         F.when(is_part, F.lit("participation")).otherwise(F.lit("main")).alias("race_role"),
-        F.col("age_advantage_event_points").alias("points"))
+        F.col("age_advantage_event_points").alias("points")]
+    return df.select(*cols, *(["location"] if with_location else []))
+
+
+def _folders(spark: SparkSession, root: str, season: str | None) -> dict[tuple[str, ...], list[str]]:
+    """Partition folders of event-point files below ``root``, by the header of their files.
+
+    One folder per (season, event, division), so their number is that of the files' keys.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = "season=*" if season is None else f"season={season}"
+    found = fs.globStatus(top.suffix(f"/{part}/event=*/division=*")) or []
+    out: dict[tuple[str, ...], list[str]] = {}
+    for folder in sorted(str(x.getPath()) for x in found):
+        header = tuple(spark.read.option("header", True).csv(folder).columns)
+        if header:
+            out.setdefault(header, []).append(folder)
+    return out
 
 
 def write_event_points(points: DataFrame, root: str, with_location: bool = False,
@@ -78,7 +111,8 @@ def write_event_points(points: DataFrame, root: str, with_location: bool = False
 
     Participation rows show the report sentinel as place and age. Rows are range
     partitioned on the partition keys and points, so each folder is written by a
-    few tasks in order; no single-partition ``coalesce``.
+    few tasks in order; no single-partition ``coalesce``. Other seasons below ``root`` are
+    left alone; folders of the written seasons that have no rows any more are removed.
     """
     sentinel = F.lit(REPORT_SENTINEL)
     is_part = F.col("race_role") == "participation"
@@ -93,7 +127,24 @@ def write_event_points(points: DataFrame, root: str, with_location: bool = False
     out = points.select(*PARTITIONS, *cols)
     order = [*PARTITIONS, F.col("age_advantage_event_points").desc()]
     (out.repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode(mode).partitionBy(*PARTITIONS).option("header", True).csv(root))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITIONS).option("header", True).csv(root))
+    if mode == "overwrite":
+        _remove_stale(out, root)
+
+
+def _remove_stale(out: DataFrame, root: str) -> None:
+    """Remove the folders of the seasons of ``out`` whose event and division it lacks."""
+    spark = out.sparkSession
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = {tuple(r) for r in out.select(*PARTITIONS).distinct().collect()}
+    for season in {s for s, _, _ in written}:
+        for x in fs.globStatus(top.suffix(f"/season={season}/event=*/division=*")) or []:
+            parts = str(x.getPath()).rsplit("/", 3)[1:]
+            if tuple(p.split("=", 1)[1] for p in parts) not in written:
+                fs.delete(x.getPath(), True)
 
 
 def write_report(df: DataFrame, path: str, display: Mapping[str, str] | None = None,

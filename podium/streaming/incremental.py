@@ -5,9 +5,9 @@ Result files land in a folder; each micro-batch is handled by ``foreachBatch``:
 1. the batch's rows become race entries and are written to an ``entries`` table
    partitioned by (event, batch_id) with dynamic partition overwrite, so a replayed
    batch rewrites exactly its own partitions (idempotent);
-2. the events the batch touched (a bounded key list: events are a dimension) are
-   read back from ``entries`` with partition pruning and scored in full, because a
-   field size depends on every row of the event;
+2. the entries of the events that the batch touched are read back by a left-semi join on
+   the batch's distinct events (null matches null; partitions are pruned at run time) and
+   scored in full, because a field size depends on every row of the event;
 3. their ``event_points`` partitions are overwritten (dynamic), untouched events
    keep their points.
 
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 
 from podium.session import ensure_checkpoint_dir
 
-MAX_TOUCHED_EVENTS = 10_000  # above this, a batch rescores every event (no pruning list)
-
 
 def stream_root(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for one streaming run."""
@@ -44,12 +42,11 @@ def rescoring_batch(to_entries: Callable[[DataFrame], DataFrame],
         ent = to_entries(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
         (ent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(event_col, "batch_id").parquet(f"{root}/entries"))
-        touched = [r[0] for r in ent.select(event_col).distinct().take(MAX_TOUCHED_EVENTS + 1)]
-        if not touched:
-            return
-        stored = spark.read.parquet(f"{root}/entries").drop("batch_id")
-        if len(touched) <= MAX_TOUCHED_EVENTS:
-            stored = stored.filter(F.col(event_col).isin(touched))
+        stored = spark.read.schema(ent.schema).parquet(f"{root}/entries")
+        touched = (stored.filter(F.col("batch_id") == batch_id)
+                   .select(F.col(event_col).alias("__touched")).distinct())
+        stored = stored.drop("batch_id").join(
+            touched, F.col(event_col).eqNullSafe(F.col("__touched")), "left_semi")
         (score(stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(event_col).parquet(f"{root}/event_points"))
 

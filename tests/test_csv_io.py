@@ -61,3 +61,33 @@ def test_event_points_file_with_quoted_location(spark):
     got = sorted((r.first_name, r.race_role, r.division_place, r.points)
                  for r in load_event_points(spark, root).collect())
     assert got == [("Cy", "main", 1, 100.0), ("Ed", "participation", None, 20.0)]
+
+
+def test_event_points_bound_by_header_name(spark):
+    """Column order is free, location survives, and age and place sentinels are independent."""
+    root = tempfile.mkdtemp(prefix="podium-head-")
+    for event, text in (("e1", "location,age,gender_place,first_name,last_name,age_advantage_event_points\n"
+                               "Ely,999,5,Cy,Poe,88.5\n"),
+                        ("e2", "gender_place,first_name,last_name,age,age_advantage_event_points\n999,Ed,Fox,30,20\n")):
+        d = f"{root}/season=s1/event={event}/division=male"
+        os.makedirs(d)
+        with open(f"{d}/part-0.csv", "w") as f:
+            f.write(text)
+    got = sorted((r.event, r.first_name, r.age, r.division_place, r.race_role, r.points, r.location)
+                 for r in load_event_points(spark, root, with_location=True).collect())
+    assert got == [("e1", "Cy", None, 5, "main", 88.5, "Ely"),
+                   ("e2", "Ed", 30, None, "participation", 20.0, None)]
+
+
+def test_writing_a_season_leaves_the_others(spark):
+    root = tempfile.mkdtemp(prefix="podium-two-")
+
+    def season(name, events):
+        return spark.createDataFrame([(name, e, "male", "Cy", "Poe", 50, 1, "main", 100.0) for e in events],
+                                     EVENT_POINTS)
+
+    write_event_points(season("old", ["e1", "e2"]), root)
+    write_event_points(season("new", ["e1", "e2"]), root)
+    write_event_points(season("new", ["e2"]), root)  # e1 is gone from the new season
+    got = sorted((r.season, r.event) for r in load_event_points(spark, root).collect())
+    assert got == [("new", "e2"), ("old", "e1"), ("old", "e2")]

@@ -56,7 +56,7 @@ def test_long_and_wide_agree(spark):
                        round_half_up("points", 2).alias("p"))
     melted = wide.select("division", "first_name", "last_name", F.explode(F.array(*[
         F.struct(F.lit(e).cast("long").alias("event"), F.col(event_column(e)).alias("p"))
-        for e in tb.EVENT_YEARS])).alias("x")).select("division", "first_name", "last_name", "x.*")
+        for e in tb.event_years(spark, SMOKE)])).alias("x")).select("division", "first_name", "last_name", "x.*")
     nonzero = melted.filter(F.col("p") != 0)
     assert nonzero.exceptAll(long_.filter(F.col("p") != 0)).count() == 0
     assert long_.filter(F.col("p") != 0).exceptAll(nonzero).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from podium.operators.clean import drop_status, resolve_columns, union_races
 from podium.operators.place import distributed_dense_rank, distributed_rank
+from podium.session import cut_lineage
 from podium.sources.markup import html_rows, text_rows
 from podium.sources.nested import apply_layouts, read_json_rows, zip_labels
 
@@ -94,16 +95,15 @@ def test_distributed_rank_default_slices(spark):
     assert mine.count() == 2000
 
 
-def test_summary_above_bound_stays_distributed(spark, monkeypatch):
-    """With a tiny summary limit the offsets are joined without broadcast; numbering is unchanged."""
-    import podium.operators.joins as joins
-    from podium.operators.joins import bounded_summary
+def test_summary_too_large_to_broadcast_is_shuffled(spark):
+    """Above the planner's threshold the offsets are joined by a shuffle; numbering is unchanged."""
     df = spark.range(0, 1500).select((F.col("id") % 50).alias("g"), ((F.col("id") * 7) % 300).alias("v"), "id")
-    _, small = bounded_summary(df, max_rows=10)
-    assert small is False
-    monkeypatch.setattr(joins, "SUMMARY_ROWS", 5)
-    monkeypatch.setattr(joins.join_summary, "__defaults__", ("inner", 5))
-    mine = distributed_rank(df, ["g"], ["v", "id"], "r", num_partitions=6)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mine = cut_lineage(distributed_rank(df, ["g"], ["v", "id"], "r", num_partitions=6))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
     assert mine.select("id", "r").exceptAll(ref.select("id", "r")).count() == 0
 

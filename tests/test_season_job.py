@@ -3,8 +3,10 @@
 import os
 import tempfile
 
+import pytest
+
 from podium.plans.season_job import run_season, write_season
-from podium.schema import ALIASES, ADJUSTMENTS, EVENTS_DIM, MEMBERSHIP, RESULTS
+from podium.schema import ALIASES, ADJUSTMENTS, EVENTS_DIM, EVENTS_DIM_MODES, MEMBERSHIP, RESULTS
 
 
 def _res(spark):
@@ -26,7 +28,7 @@ def _res(spark):
     add("ev2", "female", "A", "One", 1, 30)       # two-day event: A races twice
     add("ev2", "female", "B", "Two", 2, 47)
     add("ev2", "female", "A", "One", 3, 30)
-    add("ev2", "female", "B", "Two", role="participation")  # ran the main race: dropped
+    add("ev2", "female", "B", "Two", role="participation")  # two days, two rows: the best counts
     return spark.createDataFrame(rows, RESULTS)
 
 
@@ -57,15 +59,78 @@ def test_season_job(spark):
     assert out.repeat_racers.count() == 0 and out.duplicate_racers.count() == 0
 
     root = tempfile.mkdtemp(prefix="podium-season-")
-    write_season(out, root, events)
-    for sub in ("event_points/season=s1/event=ev2/division=female", "individual_standings",
-                "team_standings", "team_scoring_report", "age_group_winners"):
+    write_season(out, root, events, "s1")
+    for sub in ("event_points/season=s1/event=ev2/division=female", "individual_standings", "alias_report",
+                "guard_violations", "team_standings", "team_scoring_report", "age_group_winners"):
         assert os.path.isdir(os.path.join(root, sub)), sub
     header = open(next(os.path.join(root, "team_standings", p) for p in os.listdir(f"{root}/team_standings")
                        if p.endswith(".csv"))).readline().strip()
     assert header == "Overall Place,Team Name,Total Points,Event One Points,Event Two Points"
 
 
+def _rows(spark, rows):
+    """(event, division, first, last, role, place, age) -> RESULTS of season s1."""
+    base = dict(season="s1", race="r", time_s=None, overall_place=None, location=None)
+    keys = ("event", "division", "first_name", "last_name", "race_role", "division_place", "age")
+    return spark.createDataFrame([tuple((base | dict(zip(keys, r)))[f.name] for f in RESULTS.fields)
+                                  for r in rows], RESULTS)
+
+
+def _events(spark, *rows):
+    return spark.createDataFrame([("s1", e, e.upper(), days, i, mode) for i, (e, days, mode) in enumerate(rows)],
+                                 EVENTS_DIM_MODES)
+
+
+MULTIDAY = [
+    ("ev", "female", "Ann", "Lee", "main", 1, 30), ("ev", "female", "Flo", "Low", "main", 9, 30),
+    ("ev", "female", "Flo", "Low", "participation", None, None),
+    ("ev", "male", "Kim", "Ray", "main", 1, 30), ("ev", "female", "Kim", "Ray", "participation", None, None),
+    ("ev", "female", "Cy", "Poe", "main", 2, 30), ("ev", "female", "Cy", "Poe", "participation", None, 20),
+    ("ev", "female", "Cy", "Poe", "participation", None, 60)]
+
+
+def test_multiday_event_keeps_rows_and_reports_repeats(spark):
+    out = run_season(_rows(spark, MULTIDAY), _events(spark, ("ev", 2, None)), "s1", on_violation="report")
+    assert [(r.first_name, r.n_rows) for r in out.repeat_racers.collect()] == [("Cy", 3)]
+    pts = {(r.division, r.first_name): (r.points, r.race_role, r.division_place) for r in out.event_points.collect()}
+    assert pts[("female", "Flo")] == (20.0, "participation", None)  # equal points: the credit wins
+    assert pts[("female", "Kim")] == (20.0, "participation", None)  # another division's name does not count
+    assert pts[("male", "Kim")][1] == "main"
+    with pytest.raises(ValueError, match="repeat_racer"):
+        run_season(_rows(spark, MULTIDAY), _events(spark, ("ev", 2, None)), "s1")
+
+
+def test_one_day_event_reports_duplicates_unless_deduped(spark):
+    rows = [("ev", "male", "Bo", "Fox", "participation", None, 20), ("ev", "male", "Bo", "Fox", "participation", None, 60),
+            ("ev", "male", "Al", "Ash", "main", 1, 30), ("ev", "male", "Al", "Ash", "participation", None, 30)]
+    raw = run_season(_rows(spark, rows), _events(spark, ("ev", 1, "consolidate")), "s1", on_violation="report")
+    assert sorted(r.first_name for r in raw.duplicate_racers.collect()) == ["Al", "Bo"]
+    once = run_season(_rows(spark, rows), _events(spark, ("ev", 1, "dedupe")), "s1")
+    assert sorted((r.first_name, r.race_role) for r in once.event_points.collect()) == [
+        ("Al", "main"), ("Bo", "participation")]
+    none = run_season(_rows(spark, rows), _events(spark, ("ev", 1, "none")), "s1")
+    assert [r.first_name for r in none.event_points.collect()] == ["Al"]
+
+
+def test_guards_on_members_divisions_and_events(spark):
+    rows = [("ev", "male", "Al", "Ash", "main", 1, 30), ("ev", "??", "Bo", "Fox", "main", 1, 30)]
+    members = spark.createDataFrame([("s1", "T1", "male", "Al", "Ash"), ("s1", "T2", "male", "Al", "Ash"),
+                                     ("s1", "T2", None, "Cy", "Poe"), ("s1", "T2", "male", "Ed", "")], MEMBERSHIP)
+    out = run_season(_rows(spark, rows), _events(spark, ("ev", 1, None)), "s1", members, on_violation="report")
+    assert sorted((r.guard, r.key) for r in out.violations.collect()) == [
+        ("membership_division", "T2 / Cy"), ("membership_name", "T2 / Ed"), ("membership_racer", "Al Ash"),
+        ("unknown_division", "ev / ??")]
+    with pytest.raises(ValueError, match="no events"):
+        run_season(_rows(spark, rows), _events(spark, ("ev", 1, None)), "s9")
+
+
+def test_cli_uses_the_session_it_is_given(spark):
+    import inspect
+
+    from podium import cli
+    assert "master(" not in inspect.getsource(cli) and "build_session" not in inspect.getsource(cli)
+
+
 def test_cli_reads_csv_by_header_name(spark):
     """The command line reads headed CSV in any column order and writes the reports."""
     from podium.cli import main
