@@ -65,19 +65,21 @@ def capitalize_parts(c, separators: str = "-'") -> Column:
     return s
 
 
-def split_caps_surname(c) -> tuple[Column, Column, Column]:
+def split_caps_surname(c, pattern: str = CAPS_SURNAME_PATTERN,
+                       groups: tuple[int, int] = (1, 4)) -> tuple[Column, Column, Column]:
     """Mixed-case given names then an upper-case surname ('NEED NAME' -> Need, Name).
 
-    Returns (first, last, matched). Rows that do not match give null names and
+    ``pattern`` is the wording of the source and ``groups`` its groups for the given names
+    and the surname (see ``CAPS_SURNAME_VARIANTS``). Returns (first, last, matched). Rows that do not match give null names and
     ``matched = false`` so the caller can quarantine them.
     """
     s = _c(c)
     placeholder = F.trim(s) == F.lit(PLACEHOLDER_NAME)
-    matched = s.rlike(CAPS_SURNAME_PATTERN)
+    matched = s.rlike(pattern)
     first = (F.when(placeholder, F.lit(PLACEHOLDER_SPLIT[0]))
-             .when(matched, F.trim(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 1))))
+             .when(matched, F.trim(F.regexp_extract(s, pattern, groups[0]))))
     last = (F.when(placeholder, F.lit(PLACEHOLDER_SPLIT[1]))
-            .when(matched, capitalize_parts(F.regexp_extract(s, CAPS_SURNAME_PATTERN, 4))))
+            .when(matched, capitalize_parts(F.regexp_extract(s, pattern, groups[1]))))
     return first, last, placeholder | matched
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.text import full_name
-from podium.rules import AGE_BANDS, PODIUM_SIZE
+from podium.rules import AGE_BANDS, PODIUM_SIZE, REPORT_SENTINEL
 from podium.schema import AGE_BANDS as AGE_BANDS_SCHEMA
 
 
@@ -19,8 +19,9 @@ def age_bands(spark: SparkSession, bands=AGE_BANDS) -> DataFrame:
 
 
 def collect_ages(points: DataFrame, keys: Sequence[str] = ("division",)) -> DataFrame:
-    """A1: every known age of every racer over all events (participation rows carry none)."""
-    return (points.filter(F.col("age").isNotNull())
+    """A1: every known age of every racer over all events (participation rows carry none; the
+    report sentinel is no age)."""
+    return (points.filter(F.col("age").isNotNull() & (F.col("age") != F.lit(REPORT_SENTINEL)))
             .select(*keys, full_name("first_name", "last_name").alias("name"),
                     F.col("age").cast("long").alias("age")))
 

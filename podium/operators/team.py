@@ -108,12 +108,10 @@ def team_ranked(rows: DataFrame, rules: ScoringRules = CURRENT,
                 group: Sequence[str] = ("team_name", "event", "division")) -> DataFrame:
     """R6 + T4 flag: rank inside team, event and division: points desc, last, first asc.
 
-    Rows are hash-partitioned by team once; the rank window, the per-event team sum and
-    the team total all group by keys that start with the team, so none of them shuffles
-    again. A team's rows are bounded by its form width times the events.
+    Rows meet per (team, event, division), so a large team is spread over its events and
+    divisions; the guard on team names (``guard_membership``) keeps a group within one form.
     """
-    by_team = rows.repartition(group[0]).withColumn("__units", to_units("points", rules.precision))
-    ranked = window_rank(by_team, group, [("__units", "desc"), "last_name", "first_name"], "team_rank")
+    ranked = window_rank(rows.withColumn("__units", to_units("points", rules.precision)), group, [("__units", "desc"), "last_name", "first_name"], "team_rank")
     return ranked.withColumn("is_scoring", F.col("team_rank") <= F.lit(rules.team_k)).drop("__units")
 
 

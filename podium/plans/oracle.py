@@ -743,3 +743,9 @@ SELECT division, overall_place, name, n_events, series_points,
        e2001_points AS "2001_points"
 FROM standings
 """)
+
+SQL["html_table_rows"] = """
+SELECT o_custkey AS c_custkey, o_orderkey, 'Clerk & ' || CAST(o_custkey AS VARCHAR) || ' <x>' AS o_clerk,
+       o_orderpriority
+FROM orders
+"""

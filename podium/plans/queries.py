@@ -23,7 +23,7 @@ from podium.operators.team import (guard_membership, team_event_points, team_eve
                                    team_standings, team_top_k, unpivot_membership)
 from podium.plans import testbed as tb
 from podium.rules import LEGACY
-from podium.sources.markup import LIST_ITEM, html_rows, text_rows
+from podium.sources.markup import LIST_ITEM, html_rows, html_table, text_rows
 from podium.sources.nested import apply_layouts, labelled_rows, read_json_rows, zip_labels
 from podium.streaming.incremental import drain, file_stream, run_rescoring_stream, stream_root
 
@@ -475,6 +475,15 @@ def q_html_rows(spark, sf_dir):
                        F.get("cells", 0).alias("text"))
 
 
+@register("html_table_rows")
+def q_html_table_rows(spark, sf_dir):
+    """Pages built from the orders, one table per customer, read back by column name."""
+    page, rows = tb.order_pages(spark, sf_dir), F.col("row")
+    return html_table(page, "html", keep=["c_custkey"]).select(
+        "c_custkey", rows["Order"].cast("long").alias("o_orderkey"), rows["Clerk & co"].alias("o_clerk"),
+        rows["Priority"].alias("o_orderpriority"))
+
+
 @register("text_rows")
 def q_text_rows(spark, sf_dir):
     docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -145,6 +145,18 @@ def registration(spark: SparkSession, sf_dir: str) -> DataFrame:
 REG_SLOTS = [(f"member_{i}_name", f"member_{i}_division") for i in range(1, 11)]
 
 
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c_custkey, html): the orders of each customer as an HTML result table with markup."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    row = F.concat(F.lit('<tr class="r"><td><a href="/o">'), F.col("o_orderkey").cast("string"),
+                   F.lit("</a></td>\n<td>Clerk &amp; <b>"), F.col("o_custkey").cast("string"),
+                   F.lit("</b> &lt;x&gt;</td><td>"), F.col("o_orderpriority"), F.lit("</td></tr>"))
+    head = "<table><thead><tr><th>Order</th><th scope='col'>Clerk &amp; co</th><th>Priority</th></tr></thead>"
+    return (o.select(F.col("o_custkey").alias("c_custkey"), row.alias("row"))
+            .groupBy("c_custkey").agg(F.array_join(F.collect_list("row"), "").alias("rows"))
+            .select("c_custkey", F.concat(F.lit(head), F.col("rows"), F.lit("</table>")).alias("html")))
+
+
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     from podium.operators.team import unpivot_membership
     return unpivot_membership(registration(spark, sf_dir), "team_name", REG_SLOTS)

@@ -42,6 +42,12 @@ OPEN_WORDS_CLASS = r"^([MF]) +([0-9]{2})"                      # "M  70 ...": lo
 
 # Given names followed by an upper-case surname, e.g. "Anna Maria SMITH-JONES".
 CAPS_SURNAME_PATTERN = r"^(([A-Z][a-z]+( |-))+)([A-Z \-']+)$"
+# The wording of other sources, with the groups of the given names and the surname.
+CAPS_SURNAME_VARIANTS = {
+    "initial": (r"^((([A-Z] )?[A-Z][a-z]+( |-))+)([A-Z \-']+)$", (1, 5)),  # "J Anna SMITH"
+    "open_end": (r"^(([A-Z][a-z]+( |-))+)([A-Z -]+)", (1, 4)),  # "Anna SMITH (2)"
+    "hyphen": (r"^(([A-Z][a-z-]+ )+)([A-Z -]+)", (1, 3)),  # "Anna-maria SMITH"
+}
 # Placeholder printed for an unnamed entrant, and the name it stands for.
 PLACEHOLDER_NAME = "NEED NAME"
 PLACEHOLDER_SPLIT = ("Need", "Name")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
-LIST_ITEM = r"(?s)<li>(.*?)</li>"
+LIST_ITEM = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"
+# decoded in this order: the ampersand last, so that nothing is decoded twice
+REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+              ("&amp;", "&"))
 
 
 def html_rows(pages: DataFrame, html: str = "html", row_pat: str = TABLE_ROW,
@@ -28,12 +31,43 @@ def html_rows(pages: DataFrame, html: str = "html", row_pat: str = TABLE_ROW,
     return rows.select(*keep, "row_no", cells.alias("cells"), F.col("__row").alias("raw"))
 
 
+def plain_text(cell) -> Column:
+    """Text of an HTML fragment: tags gone, common references decoded, blanks collapsed."""
+    text = F.regexp_replace(cell, r"(?s)<[^>]*>", " ")
+    for name, char in REFERENCES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
+    """S7 with named columns: (keep..., row_no, row) for the body rows of every page's table.
+
+    ``row`` maps the header cells (``th``) to the plain text of the row's cells (``td``).
+    Header rows are no data, and cells beyond the header are dropped with their name.
+    """
+    cells = F.regexp_extract_all(F.col("raw"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1)
+    names = F.regexp_extract_all(F.col("__page"), F.lit(r"(?s)<th(?:\s[^>]*)?>(.*?)</th>"), 1)
+    rows = html_rows(pages.withColumn("__page", F.col(html)), html, keep=[*keep, "__page"])
+    rows = rows.select(*keep, "row_no", F.transform(cells, plain_text).alias("cells"),
+                       F.transform(names, plain_text).alias("names")).filter(F.size("cells") > 0)
+    n = F.least(F.size("cells"), F.size("names"))
+    return rows.select(*keep, "row_no", F.map_from_arrays(
+        F.slice("names", F.lit(1), n), F.slice("cells", F.lit(1), n)).alias("row"))
+
+
+def without_header(docs: DataFrame, text: str, header_pat: str) -> DataFrame:
+    """The documents of which ``text_rows`` yields nothing as no line matches the header."""
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    return docs.filter(~F.exists(lines, lambda x: x.rlike(header_pat)))
+
+
 def text_rows(docs: DataFrame, text: str, line_pat: str, names: Sequence[str],
               header_pat: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Lines after the header that match ``line_pat``, its groups named by ``names``.
 
     The header is the first line matching ``header_pat`` (default: the first line).
     Lines that do not match are skipped (``rlike`` first: a failed extract gives '').
+    Documents without a header yield nothing here; ``without_header`` returns them.
     """
     arr = F.split(F.col(text), "\n")
     if header_pat is None:

@@ -111,3 +111,25 @@ def test_first_rest_double_space_then_capitalize(spark):
     r = spark.createDataFrame([("ann  mc-LEAN o'hara",)], "v string").select(
         f.alias("f"), tx.capitalize_parts(rest).alias("l")).collect()[0]
     assert (r.f, r.l) == ("ann", "Mc-Lean O'Hara")
+
+
+def test_caps_surname_variants(spark):
+    from podium.functions.text import split_caps_surname
+    from podium.rules import CAPS_SURNAME_VARIANTS
+    names = {"initial": ("J Anna SMITH", "J Anna", "Smith"), "open_end": ("Anna SMITH (2)", "Anna", "Smith"),
+             "hyphen": ("Anna-maria SMITH", "Anna-maria", "Smith")}
+    for kind, (text, first, last) in names.items():
+        pattern, groups = CAPS_SURNAME_VARIANTS[kind]
+        f, l, matched = split_caps_surname("n", pattern, groups)
+        row = spark.createDataFrame([(text,)], "n string").select(f.alias("f"), l.alias("l"), matched.alias("m")).first()
+        assert (row.f, row.l, row.m) == (first, last, True)
+
+
+def test_html_table_and_headerless_documents(spark):
+    from podium.sources.markup import html_table, without_header
+    page = ("<table><thead><tr><th>Name</th><th class='x'>City &amp; state</th></tr></thead>"
+            "<tr><td><a href='x'>Ann &amp; Bo</a></td><td> Ely,\n <b>MN</b></td></tr></table>")
+    rows = html_table(spark.createDataFrame([(page,)], "html string")).collect()
+    assert [r["row"] for r in rows] == [{"Name": "Ann & Bo", "City & state": "Ely, MN"}]
+    docs = spark.createDataFrame([(1, "a\nPlace Name\n1 x"), (2, "no head"), (3, None)], "i int, t string")
+    assert sorted(r.i for r in without_header(docs, "t", "^Place").collect()) == [2, 3]
