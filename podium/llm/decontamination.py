@@ -1,6 +1,6 @@
 """Benchmark decontamination by template windows, in native expressions only.
 
-Numbers, units and names become typed placeholders, other tokens lose case and punctuation,
+Numbers, their units and names become typed placeholders, other tokens lose case and punctuation,
 so a question with new numbers or names keeps its template. Every ``WINDOW`` tokens of a
 document are hashed and joined with those of the benchmark items. A hit counts if the
 templates are equal; the slots of all hits of one alignment must then map each benchmark
@@ -35,29 +35,50 @@ UNITS = ("km", "cm", "mm", "mi", "ft", "kg", "mg", "lb", "lbs", "oz", "ml", "mph
          "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "cent", "cents",
          "euro", "euros", "degree", "degrees")
 S, W = r"\x20\x09-\x0D", r"[^\x20\x09-\x0D]"
-_START = rf"(?<!{W})"
+PUNCTUATION = (r"[!-/:-@\[-`{-~\x{A1}-\x{BF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3001}-\x{3003}"
+               r"\x{3008}-\x{3011}]+")
 
 
 def template_tokens(text: Column) -> Column:
-    """Canonical tokens: placeholders, or lower-case words without punctuation."""
-    text = F.regexp_replace(text, rf"{_START}[^{S}\p{{N}}]*+\p{{N}}{W}*+", NUMBER)
-    text = F.regexp_replace(
-        text, rf"{_START}[^{S}\p{{L}}]*+(?i:{'|'.join(UNITS)})[^{S}\p{{L}}\p{{M}}]*+(?!{W})", UNIT)
-    text = F.regexp_replace(text, rf"{_START}[^{S}\p{{L}}]*+\p{{Lu}}\p{{Ll}}{W}*+", NAME)
-    return _tokens(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{M}}{S}{NUMBER}{UNIT}{NAME}]+", ""))
+    """Canonical tokens: placeholders, or lower-case words without punctuation.
+
+    From its first digit on a token is a number, a unit word after a number is a unit, and a
+    token that starts with an upper-case and a lower-case letter is a name.
+    """
+    text = F.regexp_replace(text, PUNCTUATION, "")
+    text = F.regexp_replace(text, rf"[0-9]{W}*+", NUMBER)
+    text = F.regexp_replace(text, rf"({NUMBER}[{S}]+)(?i:{'|'.join(UNITS)})(?=[{S}]|$)", f"$1{UNIT}")
+    text = F.regexp_replace(text, rf"(^|[{S}])\p{{Lu}}\p{{Ll}}{W}*+", f"$1{NAME}")
+    return _tokens(F.lower(text))
 
 
 def plain_tokens(text: Column) -> Column:
     """The tokens of a text, one for each canonical token, without punctuation."""
-    return _tokens(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{M}}\p{{N}}{S}{NUMBER}{UNIT}{NAME}]+", ""))
+    return _tokens(F.lower(F.regexp_replace(text, PUNCTUATION, "")))
 
 
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"{W}+"), F.lit(0))
 
 
+def with_window_keys(frame: DataFrame, tokens: str, window: int = WINDOW) -> DataFrame:
+    """Adds ``keys``: the hash of the ``window`` tokens (a power of two) from each position on.
+
+    Hashes of 1, 2, 4, ... tokens are paired with those as many positions on. Each step is a
+    column of its own, as an expression used twice would be evaluated twice. The last keys
+    are hashes of fewer tokens, which equal no hash of a whole window.
+    """
+    kept = frame.columns
+    frame, width = frame.withColumn("keys", F.transform(tokens, lambda t: F.xxhash64(t))), 1
+    while width < window:
+        later = F.slice("keys", F.lit(width + 1), F.size("keys"))
+        frame = frame.select(*kept, F.zip_with("keys", later, lambda a, b: F.xxhash64(a, b)).alias("keys"))
+        width *= 2
+    return frame
+
+
 def _is_slot(token: Column) -> Column:
-    return token.isin(NUMBER, UNIT, NAME)
+    return token.isin(UNIT, NAME) | token.endswith(NUMBER)
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -72,7 +93,8 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                        F.slice("plain", F.col("at"), window).alias("plain"))
     rows = rows.where(F.size(F.filter("template", _is_slot)) * 2 <= window).distinct()
     sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    return rows.join(sizes, "item_id").withColumn("key", F.xxhash64("template"))
+    keyed = with_window_keys(rows.join(sizes, "item_id"), "template", window)
+    return keyed.withColumn("key", F.element_at("keys", 1)).drop("keys")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -81,23 +103,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     known = written(benchmark_windows(benchmark, window), "benchmark-windows")
     small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     side = (F.broadcast(known) if small else known).alias("b")
-    tokens = (docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-              .where("text IS NOT NULL")
-              .withColumn("tokens", template_tokens(F.col("text")))
-              .where(F.size("tokens") >= window))
-    keys = tokens.select("doc_id", "text", "tokens", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size("tokens") - window + 1),
-        lambda i: F.xxhash64(F.slice(F.col("tokens"), i, window)))).alias("at", "key"))
-    hits = (keys.alias("d").join(side, F.col("d.key") == F.col("b.key"))
-            .where(F.slice("d.tokens", F.col("d.at") + 1, window) == F.col("b.template"))
-            .select("d.doc_id", "b.item_id", "b.item_windows", "b.at", "b.template",
-                    (F.col("d.at") + 1 - F.col("b.at")).alias("shift"), F.col("b.plain").alias("asked"),
-                    F.slice(plain_tokens(F.col("d.text")), F.col("d.at") + 1, window).alias("found")))
+    rows = (docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"),
+                        F.xxhash64("text").alias("text_key")).where("text IS NOT NULL"))
+    tokens = rows.select("doc_id", "text_key", template_tokens(F.col("text")).alias("tokens"))
+    # exploded rows are narrow; the outer form keeps the optimizer from filtering on the keys,
+    # which would evaluate all steps behind them once more for each mention
+    keys = with_window_keys(tokens, "tokens", window).select(
+        "doc_id", "text_key", F.posexplode_outer("keys").alias("at", "key"))
+    met = written(keys.alias("d").join(side, F.col("d.key") == F.col("b.key")).select(
+        "d.doc_id", "d.text_key", (F.col("d.at") + 1).alias("place"), "b.item_id", "b.item_windows", "b.at",
+        "b.template", F.col("b.plain").alias("asked")).distinct(), "window-hits")
+    # the few texts with a hit are cut once more, for their words
+    some = written(met.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "hit-texts")
+    same = rows["doc_id"].eqNullSafe(some["id_"]) & (rows["text_key"] == some["key_"])
+    texts = (rows.join(some, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
+             .select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"),
+                     template_tokens(F.col("text")).alias("own"), plain_tokens(F.col("text")).alias("words")))
+    hits = (met.join(written(texts, "hit-words"), F.col("doc_id").eqNullSafe(F.col("id_"))
+                     & (F.col("text_key") == F.col("key_")))
+            .withColumn("found", F.slice("words", F.col("place"), window))
+            .where(F.slice("own", F.col("place"), window) == F.col("template"))
+            .withColumn("shift", F.col("place") - F.col("at")))
     # slots as (benchmark value, document value); a window without a slot keeps one null row
     slots = F.filter(F.arrays_zip("template", "asked", "found"), lambda x: _is_slot(x["template"]))
-    pairs = hits.select("doc_id", "item_id", "item_windows", "shift", "at",
+    pairs = hits.select("doc_id", "text_key", "item_id", "item_windows", "shift", "at",
                         F.explode_outer(slots).alias("slot"))
-    group = ("doc_id", "item_id", "item_windows", "shift")
+    group = ("doc_id", "text_key", "item_id", "item_windows", "shift")
     asked, found = F.col("slot.asked"), F.col("slot.found")
     checked = (pairs.groupBy(*group)
                .agg(F.count_distinct("at").alias("windows"),

@@ -71,19 +71,19 @@ WITH rows AS (
   UNION ALL
   SELECT 'b', item_id, row_number() OVER (), text
   FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
-raw AS (SELECT side, id, r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM rows),
+raw AS (SELECT side, id, r, regexp_extract_all(regexp_replace(text, '{d.PUNCTUATION}', '', 'g'),
+               '[^\x20\x09-\x0D]+') AS ws FROM rows),
 tok AS (
-  SELECT side, id, r, unnest(ws) AS w, unnest(range(len(ws))) AS o FROM raw),
+  SELECT side, id, r, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM raw),
 typed AS (
-  SELECT side, id, r, o,
-    CASE WHEN regexp_matches(w, '\p{{N}}') THEN '#n'
-         WHEN regexp_matches(w, '^[^\p{{L}}]*(?i:{'|'.join(d.UNITS)})[^\p{{L}}\p{{M}}]*$') THEN '#u'
-         WHEN regexp_matches(w, '^[^\p{{L}}]*\p{{Lu}}\p{{Ll}}') THEN '#p'
-         ELSE regexp_replace(lower(w), '[^\p{{L}}\p{{M}}]+', '', 'g') END AS c,
-    regexp_replace(lower(w), '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g') AS p
+  SELECT side, id, r, pos, lower(w) AS p,
+    CASE WHEN regexp_matches(w, '^(?i:{'|'.join(d.UNITS)})$')
+          AND regexp_matches(lag(w, 1, '') OVER (PARTITION BY side, r ORDER BY pos), '[0-9]') THEN '#u'
+         WHEN regexp_matches(w, '^\p{{Lu}}\p{{Ll}}') THEN '#p'
+         WHEN regexp_matches(w, '[0-9]') THEN lower(regexp_extract(w, '^[^0-9]*')) || '#n'
+         ELSE lower(w) END AS c
   FROM tok),
-seq AS (
-  SELECT *, row_number() OVER (PARTITION BY side, r ORDER BY o) AS pos FROM typed WHERE c <> ''),
+seq AS (SELECT * FROM typed),
 win AS (
   SELECT side, id, r, pos,
     list(c) OVER x AS template, list(p) OVER x AS plain
@@ -91,7 +91,7 @@ win AS (
 bw AS (
   SELECT DISTINCT id AS item_id, pos, template, plain FROM win
   WHERE side = 'b' AND len(template) = {d.WINDOW}
-    AND 2 * len(list_filter(template, lambda x: x[1] = '#')) <= {d.WINDOW}),
+    AND 2 * len(list_filter(template, lambda x: contains(x, '#'))) <= {d.WINDOW}),
 bs AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM bw),
 hits AS (
   SELECT w.id AS doc_id, b.item_id, b.item_windows, w.pos - b.pos AS shift, b.pos, b.template,
@@ -102,7 +102,7 @@ slots AS (
   FROM hits),
 pairs AS (
   SELECT doc_id, item_id, item_windows, shift, pos,
-    CASE WHEN template[j][1] = '#' THEN asked[j] END AS a, CASE WHEN template[j][1] = '#' THEN found[j] END AS f
+    CASE WHEN contains(template[j], '#') THEN asked[j] END AS a, CASE WHEN contains(template[j], '#') THEN found[j] END AS f
   FROM slots),
 checked AS (
   SELECT doc_id, item_id, item_windows, shift, count(DISTINCT pos) AS windows, count(DISTINCT a) AS slots,
