@@ -8,8 +8,8 @@ share of toxic texts among all distinct labelled training texts, an aggregate ov
 Features of a text are its distinct words and the beginnings of words, hashed into
 ``FEATURES`` bins. Fitting uses a bounded sample of training rows (``POSITIVES`` and
 ``UNLABELLED`` rows with the lowest hash of their id), of which near copies are left out, as
-copies of one text would make all its words look telling. Bins that are not clearly more
-frequent in toxic texts (``LIFT`` times) keep weight zero. Every row is scored on its whole
+copies of one text would make all its words look telling. Bins keep weight zero unless they are
+at least ``LIFT`` times as telling as a word that only toxic texts hold. Every row is scored on its whole
 text in the tasks that read it; the model is one array of ``FEATURES`` floats.
 
 Defined cases: a null or empty text scores as a text without words; without any positive
@@ -34,7 +34,7 @@ from podium.llm.common import PieceTable, blocks, crc_mod
 FEATURES = 1 << 18
 POSITIVES, UNLABELLED = 4000, 8000
 PREFIXES = (3, 4, 5)
-LIFT = 3.0
+LIFT = 0.5  # of 1 / prior, the ratio for a word that only toxic texts hold
 THRESHOLD = 0.3
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -136,7 +136,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     rate_p, rate_u = in_p / n_p, in_u / n_u
     mean = (in_p + in_u) / (n_p + n_u)
     z = (rate_p - rate_u) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / n_p + 1 / n_u))
-    used = (z > 4) & (in_p >= 3) & (rate_p > LIFT * rate_u)
+    used = (z > 4) & (in_p >= 3) & (rate_p > LIFT / prior * rate_u)
     rows = [x[used[x]] for x in positive + unlabelled]
     flat = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), np.int64, len(rows)))
