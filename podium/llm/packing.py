@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.llm.common import written
-from podium.llm.tokens import DEFAULT_VOCABULARY, TokenEncoder
+from podium.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 LENGTH = 1024
 QUANTUM = 128
@@ -39,11 +39,11 @@ def tokenized(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY,
               end_id: int | None = 0) -> DataFrame:
     """Ids per document, with its place in its source's run within the partition."""
     def encode(batches):
-        encoder, part = TokenEncoder(vocabulary), TaskContext.get().partitionId()
+        tokens, part = encoder(vocabulary), TaskContext.get().partitionId()
         runs: dict[str | None, int] = {}
         for batch in batches:
             n = batch.num_rows
-            ids, counts = encoder.encode(batch.column("text").to_pylist(), n, end_id)
+            ids, counts = tokens.encode(batch.column("text").to_pylist(), n, end_id)
             sources = batch.column("source").to_pylist()
             before = np.zeros(n, np.int64)
             for i, (source, count) in enumerate(zip(sources, counts)):

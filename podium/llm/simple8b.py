@@ -29,6 +29,17 @@ def _classes(values: np.ndarray) -> np.ndarray:
     return small
 
 
+def _fitting(at: np.ndarray, count: int) -> np.ndarray:
+    """Those of the ascending positions ``at`` that start a run of ``count`` consecutive ones
+    within their block, or a run up to the end of the block."""
+    if not len(at):
+        return at
+    last = np.concatenate([(np.diff(at) != 1) | (at[1:] % BLOCK == 0), [True]])
+    ends = np.flatnonzero(last)
+    stop = at[np.repeat(ends, np.diff(np.concatenate([[-1], ends])))] + 1
+    return at[(stop - at >= count) | (stop % BLOCK == 0)]
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words as uint64, word number at which each block starts as int32)."""
     values = np.asarray(values, _U)
@@ -45,11 +56,15 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     col = np.arange(BLOCK, dtype=np.int16)
     selector = np.full((blocks_n, BLOCK), ESCAPE, np.int8)
     open_ = np.ones((blocks_n, BLOCK), bool)
-    least = kind.min(initial=len(BITS))
-    for s in range(max(0, int(least)), len(BITS)):
-        wide = np.where(kind > s, col, np.int16(BLOCK))
-        stop = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        fits = stop >= np.minimum(col + np.int16(COUNTS[s]), np.int16(BLOCK))
+    for s in range(len(BITS)):
+        narrow = kind <= s
+        if 4 * np.count_nonzero(narrow) < narrow.size:  # few runs: look at those alone
+            fits = np.zeros_like(open_)
+            fits.reshape(-1)[_fitting(np.flatnonzero(narrow), COUNTS[s])] = True
+        else:
+            wide = np.where(narrow, np.int16(BLOCK), col)
+            stop = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
+            fits = stop >= np.minimum(col + np.int16(COUNTS[s]), np.int16(BLOCK))
         fits &= open_
         selector[fits] = s
         open_ ^= fits

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm.tokens import DEFAULT_VOCABULARY, TokenEncoder
+from podium.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 GROUP = ("source", "lang", "tokenizer")
 DELTA_SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long, chars long"
@@ -28,10 +28,10 @@ DELTA_SCHEMA = "source string, lang string, tokenizer string, docs long, tokens
 def counted(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(doc_id, source, lang, tokenizer, tokens, chars) of every whole text."""
     def count(batches):
-        encoder = TokenEncoder(vocabulary)
+        tokens = encoder(vocabulary)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            _, counts = encoder.encode(texts, len(texts))
+            _, counts = tokens.encode(texts, len(texts))
             chars = np.array([len(x or "") for x in texts], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("source"), batch.column("lang"),

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm import simple8b
-from podium.llm.tokens import DEFAULT_VOCABULARY, TokenEncoder
+from podium.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 SEGMENT = 1 << 16
 FILE_SCHEMA = ("part int, base long, n_tokens long, doc_ids array<long>, counts array<long>, "
@@ -36,10 +36,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = DEFAULT_VOCA
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches):
-        encoder, part, base = TokenEncoder(vocabulary), TaskContext.get().partitionId(), 0
+        tokens, part, base = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            ids, counts = encoder.encode(batch.column("text").to_pylist(), len(doc_ids), end_id)
+            ids, counts = tokens.encode(batch.column("text").to_pylist(), len(doc_ids), end_id)
             bounds = np.concatenate([[0], np.cumsum(counts)])
             rows, first = [], 0
             while first < len(doc_ids):
