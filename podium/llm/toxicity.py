@@ -2,14 +2,15 @@
 
 The classifier sees confirmed toxic texts and unlabelled texts. Its risk is the class-prior
 corrected estimate  pi * E_P[l(f)] + max(0, E_U[l(-f)] - pi * E_P[l(-f)]); where the second part
-would be negative it is clipped, so it cannot be driven down by overfitting. The prior is the
+would be negative it is clipped, so it cannot be driven down by overfitting. The bias is then
+set so that the mean score of the unlabelled texts is the prior, as it must be. The prior is the
 share of toxic texts among all distinct labelled training texts, an aggregate over the tables.
 
 Features of a text are its distinct words and the beginnings of words, hashed into
 ``FEATURES`` bins. Fitting uses a bounded sample of training rows (``POSITIVES`` and
 ``UNLABELLED`` rows with the lowest hash of their id), of which near copies are left out, as
 copies of one text would make all its words look telling. Bins keep weight zero unless they are
-at least ``LIFT`` times as telling as a word that only toxic texts hold. Every row is scored on its whole
+at least ``LIFT`` times as telling as a word that only toxic texts hold, beyond chance. Every row is scored on its whole
 text in the tasks that read it; the model is one array of ``FEATURES`` floats.
 
 Defined cases: a null or empty text scores as a text without words; without any positive
@@ -133,10 +134,12 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     n_p, n_u = len(positive), len(unlabelled)
     in_p = np.bincount(np.concatenate(positive), minlength=FEATURES)
     in_u = np.bincount(np.concatenate(unlabelled), minlength=FEATURES)
-    rate_p, rate_u = in_p / n_p, in_u / n_u
-    mean = (in_p + in_u) / (n_p + n_u)
-    z = (rate_p - rate_u) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / n_p + 1 / n_u))
-    used = (z > 4) & (in_p >= 3) & (rate_p > LIFT / prior * rate_u)
+    # chance of so many toxic texts with a bin at its rate in all texts (Poisson tail), held
+    # against the number of bins that are tried
+    k, expected = np.maximum(in_p, 1), n_p * (in_u + 0.5) / n_u
+    tail = k * np.log(expected / k) + k - expected - 0.5 * np.log(2 * np.pi * k)
+    tried = max(1, np.count_nonzero(in_p + in_u >= 3))
+    used = (in_p / n_p > LIFT / prior * in_u / n_u) & (in_p > expected) & (tail < -np.log(tried))
     rows = [x[used[x]] for x in positive + unlabelled]
     flat = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), np.int64, len(rows)))
@@ -159,7 +162,20 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         move = RATE * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
         weights = np.where(used, weights - move[:-1], 0.0)
         bias -= move[-1]
-    return Model(weights.astype(np.float32), float(bias))
+    return Model(weights.astype(np.float32), _calibrated(
+        np.bincount(owner, weights[flat], len(rows))[n_p:], prior))
+
+
+def _calibrated(raw: np.ndarray, prior: float) -> float:
+    """The bias at which the mean score of the unlabelled texts is the class prior."""
+    low, high = -40.0 - raw.max(), 40.0 - raw.min()
+    for _ in range(80):
+        middle = (low + high) / 2
+        if (1 / (1 + np.exp(-np.clip(raw + middle, -30, 30)))).mean() > prior:
+            high = middle
+        else:
+            low = middle
+    return float(low)
 
 
 def score_column(model: Model, text: Column) -> Column:
