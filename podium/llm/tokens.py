@@ -4,7 +4,8 @@ The library's tokenizer cuts a text into pre-tokens and encodes each by itself.
 a lone space is always a pre-token border, so a text's ids are the ids of its space-separated
 pieces in order, and each distinct piece is encoded once per task. A text with a space
 between two white-space characters is encoded whole, since a run of white space is one
-pre-token there.
+pre-token there. The string of an added token in a text gets that token's id, as in the
+library with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
@@ -59,7 +60,6 @@ class TokenEncoder:
 
         path = vocabulary if "/" in vocabulary else vocabulary_path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
         self.pieces = PieceTable(self._encode, np.uint32, limit)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:

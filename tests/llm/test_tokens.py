@@ -52,6 +52,21 @@ def test_piecewise_ids_equal_whole_ids():
             assert ids[at[i]:at[i + 1]].tolist() == ids_of(text), repr(text)
 
 
+def test_added_tokens_keep_their_id():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary_path())  # as the library reads the file
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|endoftext|", "a", "b.", " ", "  ", "\n", "\t", "é!", "日"]
+    texts = ["a <|endoftext|> b"] + ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(3000)]
+    ids, counts = TokenEncoder(limit=500).encode(texts, len(texts))
+    at = np.concatenate([[0], np.cumsum(counts)])
+    assert ids[:at[1]].tolist() == [64, 220, 50256, 275]
+    for i, text in enumerate(texts):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids[at[i]:at[i + 1]].tolist() == want, repr(text)
+
+
 def test_segments_join_to_the_text():
     text = "a b  c\n d " * 50 + "x" * 500
     for size in (1, 7, 100, 10_000):
