@@ -4,8 +4,11 @@ Numbers, their units and names become typed placeholders, other tokens lose case
 so a question with new numbers or names keeps its template. Every ``WINDOW`` tokens of a
 document are hashed and joined with those of the benchmark items. A hit counts if the
 templates are equal; the slots of all hits of one alignment must then map each benchmark
-value to one document value. A document leaks an item when an alignment with consistent
-slots covers ``MIN_SHARE`` of the item's windows.
+value to one document value. A document leaks an item when the alignments with consistent
+slots of one place cover as many item tokens as a single run over ``MIN_SHARE`` of the item's
+windows has, or ``MIN_TOKENS`` of a long item. Inserted and deleted words split a copy into
+alignments; those less than the item's length apart belong to one place. ``windows``, ``slots``
+and ``exact`` are those of single alignments that suffice, else those of the whole place.
 
 A window needs half of its tokens to be literal. Benchmark windows are broadcast up to
 ``BROADCAST_ROWS`` rows, counted first; beyond that the hashes are joined by a shuffle.
@@ -18,13 +21,14 @@ rows; other columns are ignored; private-use characters E001 to E003 read as pla
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.llm.common import written
 
 WINDOW = 8
 MIN_SHARE = 0.3
+MIN_TOKENS = 50
 BROADCAST_ROWS = 1_000_000
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 UNITS = ("km", "cm", "mm", "mi", "ft", "kg", "mg", "lb", "lbs", "oz", "ml", "mph", "kph", "kmh", "hz",
@@ -82,7 +86,7 @@ def _is_slot(token: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, at, key, template, plain, item_windows), one row per eligible window."""
+    """(item_id, at, key, template, plain, item_windows, item_tokens), a row per eligible window."""
     items = (benchmark.select("item_id", F.col("text").alias("text")).where("text IS NOT NULL").distinct()
              .select("item_id", template_tokens(F.col("text")).alias("tokens"),
                      plain_tokens(F.col("text")).alias("plain"))
@@ -90,15 +94,17 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = items.select("item_id", "tokens", "plain", F.explode(
         F.sequence(F.lit(1), F.size("tokens") - window + 1)).alias("at"))
     rows = rows.select("item_id", "at", F.slice("tokens", F.col("at"), window).alias("template"),
-                       F.slice("plain", F.col("at"), window).alias("plain"))
-    rows = rows.where(F.size(F.filter("template", _is_slot)) * 2 <= window).distinct()
-    sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    keyed = with_window_keys(rows.join(sizes, "item_id"), "template", window)
+                       F.slice("plain", F.col("at"), window).alias("plain"), F.size("tokens").alias("length"))
+    rows = rows.where(F.size(F.filter("template", _is_slot)) * 2 <= window)
+    rows = rows.groupBy("item_id", "at", "template", "plain").agg(F.max("length").alias("length"))
+    sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"),
+                                        F.max("length").alias("item_tokens"))
+    keyed = with_window_keys(rows.drop("length").join(sizes, "item_id"), "template", window)
     return keyed.withColumn("key", F.element_at("keys", 1)).drop("keys")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-          min_share: float = MIN_SHARE) -> DataFrame:
+          min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, item_id, windows, item_windows, slots, exact) per leaked item and document."""
     known = written(benchmark_windows(benchmark, window), "benchmark-windows")
     small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -111,8 +117,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     keys = with_window_keys(tokens, "tokens", window).select(
         "doc_id", "text_key", F.posexplode_outer("keys").alias("at", "key"))
     met = written(keys.alias("d").join(side, F.col("d.key") == F.col("b.key")).select(
-        "d.doc_id", "d.text_key", (F.col("d.at") + 1).alias("place"), "b.item_id", "b.item_windows", "b.at",
-        "b.template", F.col("b.plain").alias("asked")).distinct(), "window-hits")
+        "d.doc_id", "d.text_key", (F.col("d.at") + 1).alias("place"), "b.item_id", "b.item_windows", "b.item_tokens",
+        "b.at", "b.template", F.col("b.plain").alias("asked")).distinct(), "window-hits")
     # the few texts with a hit are cut once more, for their words
     some = written(met.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "hit-texts")
     same = rows["doc_id"].eqNullSafe(some["id_"]) & (rows["text_key"] == some["key_"])
@@ -126,20 +132,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             .withColumn("shift", F.col("place") - F.col("at")))
     # slots as (benchmark value, document value); a window without a slot keeps one null row
     slots = F.filter(F.arrays_zip("template", "asked", "found"), lambda x: _is_slot(x["template"]))
-    pairs = hits.select("doc_id", "text_key", "item_id", "item_windows", "shift", "at",
+    pairs = hits.select("doc_id", "text_key", "item_id", "item_windows", "item_tokens", "shift", "at",
                         F.explode_outer(slots).alias("slot"))
-    group = ("doc_id", "text_key", "item_id", "item_windows", "shift")
+    text = ("doc_id", "text_key", "item_id", "item_windows", "item_tokens")
     asked, found = F.col("slot.asked"), F.col("slot.found")
-    checked = (pairs.groupBy(*group)
-               .agg(F.count_distinct("at").alias("windows"),
+    aligned = (pairs.groupBy(*text, "shift")
+               .agg(F.collect_set("at").alias("ats"),
                     F.count_distinct(asked).alias("slots"),
                     F.count_distinct(asked, found).alias("mappings"),
                     F.coalesce(F.max((asked != found).cast("int")), F.lit(0)).alias("changed"))
-               .where((F.col("mappings") == F.col("slots"))
-                      & (F.col("windows") >= F.lit(min_share) * F.col("item_windows"))))
-    return (checked.groupBy("doc_id", "item_id", "item_windows")
-            .agg(F.max("windows").alias("windows"), F.max("slots").alias("slots"),
-                 (F.min("changed") == 0).alias("exact")))
+               .where(F.col("mappings") == F.col("slots"))
+               .withColumn("windows", F.size("ats").cast("long")))
+    needed = F.lit(min_share) * F.col("item_windows")
+    alone = F.col("windows") >= needed
+    # a row is an alignment; a far one starts another place of the text
+    by_shift = Window.partitionBy(*text).orderBy("shift")
+    far = F.coalesce(F.col("shift") - F.lag("shift").over(by_shift) > F.col("item_tokens"), F.lit(False))
+    placed = aligned.withColumn("far", far.cast("int")).withColumn("near", F.sum("far").over(by_shift))
+    places = (placed.groupBy(*text, "near")
+              .agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"),
+                   F.max("slots").alias("all_slots"), F.max("changed").alias("all_changed"),
+                   F.max(F.when(alone, F.col("windows"))).alias("windows"),
+                   F.max(F.when(alone, F.col("slots"))).alias("slots"),
+                   F.min(F.when(alone, F.col("changed"))).alias("changed"))
+              .withColumn("tokens", F.size(F.array_distinct(F.flatten(F.transform(
+                  "ats", lambda at: F.sequence(at, at + (window - 1)))))))
+              .where((F.col("tokens") >= needed + (window - 1)) | (F.col("tokens") >= min_tokens)))
+    return (places.groupBy("doc_id", "item_id", "item_windows")
+            .agg(F.coalesce(F.max("windows"), F.max(F.size("ats")).cast("long")).alias("windows"),
+                 F.coalesce(F.max("slots"), F.max("all_slots")).alias("slots"),
+                 (F.coalesce(F.min("changed"), F.min("all_changed")) == 0).alias("exact")))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -98,3 +98,22 @@ def test_planted_leaks(spark, rows, monkeypatch):
     assert not {r["doc_id"] for r in kept.collect()} & set(want)
     assert kept.where("doc_id IN (3, 4, 5, 6, 7)").count() == 10
     assert dec.leaks(docs.limit(0), items).count() == 0 and dec.leaks(docs, items.limit(0)).count() == 0
+
+
+def plain_rows(spark, rows, key):
+    return spark.createDataFrame(rows, f"{key} long, text string")
+
+
+def test_inserted_and_deleted_words(spark):
+    word = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    median, short, long = word[:38], word[40:56], word[60:360]
+    items = plain_rows(spark, [(1, " ".join(median)), (2, " ".join(short)), (3, " ".join(long))], "item_id")
+    other = " ".join(word[370:400] * 3)
+    split = [*median[:13], "really", *median[13:25], "quite", *median[25:]]
+    texts = {1: split, 2: [*median[:12], *median[13:26], *median[27:]], 3: [*short[:8], "really", *short[8:]],
+             4: long[100:160],  # 60 words of 300
+             5: median[:14], 6: short[:9], 7: long[:40],  # too little of each
+             8: [*median[:9], *word[370:400] * 3, *median[20:29]]}  # two far phrases are no copy
+    docs = plain_rows(spark, [(d, f"{other} {' '.join(t)} {other}") for d, t in texts.items()], "doc_id")
+    got = {(r["doc_id"], r["item_id"], r["exact"]) for r in dec.leaks(docs, items).collect()}
+    assert got == {(1, 1, True), (2, 1, True), (3, 2, True), (4, 3, True)}
