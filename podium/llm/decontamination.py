@@ -10,11 +10,14 @@ windows has, or ``MIN_TOKENS`` of a long item. Inserted and deleted words split
 alignments; those less than the item's length apart belong to one place. ``windows``, ``slots``
 and ``exact`` are those of single alignments that suffice, else those of the whole place.
 
-A window needs half of its tokens to be literal. Benchmark windows are broadcast up to
+A template window needs half of its tokens to be literal. The same windows are also joined as
+plain tokens, without case: a lower-cased or ALL-CAPS copy turns names into words, but its words
+stay. An item without a template window is looked for by its plain windows alone, one of ``SHORTEST``
+tokens up to ``WINDOW`` by a single window of its own length. Benchmark windows are broadcast up to
 ``BROADCAST_ROWS`` rows, counted first; beyond that the hashes are joined by a shuffle.
 
-Defined cases: a null or empty text has no window; an item of fewer than ``WINDOW`` tokens or
-without a window of enough literals cannot be found; repeated benchmark rows count once;
+Defined cases: a null or empty text has no window; an item of fewer than ``SHORTEST`` tokens, an
+everyday phrase, is not looked for; repeated benchmark rows count once;
 documents that share a doc_id (or have none) are judged together; empty tables give no
 rows; other columns are ignored; private-use characters E001 to E003 read as placeholders.
 """
@@ -29,6 +32,7 @@ from podium.llm.common import written
 WINDOW = 8
 MIN_SHARE = 0.3
 MIN_TOKENS = 50
+SHORTEST = 5
 BROADCAST_ROWS = 1_000_000
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 UNITS = ("km", "cm", "mm", "mi", "ft", "kg", "mg", "lb", "lbs", "oz", "ml", "mph", "kph", "kmh", "hz",
@@ -66,18 +70,20 @@ def _tokens(text: Column) -> Column:
 
 
 def with_window_keys(frame: DataFrame, tokens: str, window: int = WINDOW) -> DataFrame:
-    """Adds ``keys``: the hash of the ``window`` tokens (a power of two) from each position on.
+    """Adds ``keys``: the hash of the ``window`` tokens from each position on.
 
-    Hashes of 1, 2, 4, ... tokens are paired with those as many positions on. Each step is a
+    Hashes of 1, 2, 4, ... tokens are paired with those as many positions on, the last ones with
+    those that end the window. Each step is a
     column of its own, as an expression used twice would be evaluated twice. The last keys
     are hashes of fewer tokens, which equal no hash of a whole window.
     """
     kept = frame.columns
     frame, width = frame.withColumn("keys", F.transform(tokens, lambda t: F.xxhash64(t))), 1
     while width < window:
-        later = F.slice("keys", F.lit(width + 1), F.size("keys"))
+        step = min(width, window - width)
+        later = F.slice("keys", F.lit(step + 1), F.size("keys"))
         frame = frame.select(*kept, F.zip_with("keys", later, lambda a, b: F.xxhash64(a, b)).alias("keys"))
-        width *= 2
+        width += step
     return frame
 
 
@@ -86,39 +92,60 @@ def _is_slot(token: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, at, key, template, plain, item_windows, item_tokens), a row per eligible window."""
+    """(item_id, part, width, at, template, plain, item_windows, item_tokens), a row per window.
+
+    ``part`` is 0 for template windows, and a hash of the text for those of a text without one.
+    """
     items = (benchmark.select("item_id", F.col("text").alias("text")).where("text IS NOT NULL").distinct()
-             .select("item_id", template_tokens(F.col("text")).alias("tokens"),
-                     plain_tokens(F.col("text")).alias("plain"))
-             .where(F.size("tokens") >= window))
-    rows = items.select("item_id", "tokens", "plain", F.explode(
-        F.sequence(F.lit(1), F.size("tokens") - window + 1)).alias("at"))
-    rows = rows.select("item_id", "at", F.slice("tokens", F.col("at"), window).alias("template"),
-                       F.slice("plain", F.col("at"), window).alias("plain"), F.size("tokens").alias("length"))
-    rows = rows.where(F.size(F.filter("template", _is_slot)) * 2 <= window)
-    rows = rows.groupBy("item_id", "at", "template", "plain").agg(F.max("length").alias("length"))
-    sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"),
-                                        F.max("length").alias("item_tokens"))
-    keyed = with_window_keys(rows.drop("length").join(sizes, "item_id"), "template", window)
-    return keyed.withColumn("key", F.element_at("keys", 1)).drop("keys")
+             .select("item_id", F.xxhash64("text").alias("text_key"),
+                     template_tokens(F.col("text")).alias("tokens"), plain_tokens(F.col("text")).alias("plain"))
+             .withColumn("length", F.size("tokens")).where(F.col("length") >= min(SHORTEST, window)))
+    width = F.least("length", F.lit(window))
+    items = items.withColumn("width", width).withColumn("every", F.expr("sequence(1, length - width + 1)"))
+    literal = F.filter("every", lambda at: F.size(F.filter(
+        F.slice("tokens", at, F.col("width")), _is_slot)) * 2 <= F.col("width"))
+    none = F.array().cast("array<int>")
+    items = items.withColumn("literal", F.when(F.col("length") >= window, literal).otherwise(none))
+    found = F.size("literal") > 0
+    rows = items.select("item_id", F.when(found, F.lit(0).cast("long")).otherwise(F.col("text_key")).alias("part"),
+                        "width", "length", "tokens", "plain",
+                        F.explode(F.when(found, F.col("literal")).otherwise(F.col("every"))).alias("at"))
+    rows = rows.select("item_id", "part", "width", "at",
+                       F.slice("tokens", F.col("at"), F.col("width")).alias("template"),
+                       F.slice("plain", F.col("at"), F.col("width")).alias("plain"), "length")
+    rows = rows.groupBy("item_id", "part", "width", "at", "template", "plain").agg(F.max("length").alias("length"))
+    sizes = rows.groupBy("item_id", "part").agg(F.count(F.lit(1)).alias("item_windows"),
+                                                F.max("length").alias("item_tokens"))
+    return rows.drop("length").join(sizes, ["item_id", "part"])
+
+
+def _met(texts: DataFrame, known: DataFrame, by: str, width: int) -> DataFrame:
+    """Places of ``texts`` (doc_id, text_key, tokens) whose window has the key of a known one."""
+    side = with_window_keys(known, by, width).withColumn("key", F.element_at("keys", 1)).drop("keys")
+    small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    side = (F.broadcast(side) if small else side).alias("b")
+    # exploded rows are narrow; the outer form keeps the optimizer from filtering on the keys,
+    # which would evaluate all steps behind them once more for each mention
+    keys = with_window_keys(texts, "tokens", width).select(
+        "doc_id", "text_key", F.posexplode_outer("keys").alias("at", "key"))
+    return keys.alias("d").join(side, F.col("d.key") == F.col("b.key")).select(
+        "d.doc_id", "d.text_key", (F.col("d.at") + 1).alias("place"), "b.item_id", "b.part", "b.width",
+        "b.item_windows", "b.item_tokens", "b.at", "b.template", F.col("b.plain").alias("asked"),
+        F.lit(by == "template").alias("by_template"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
           min_share: float = MIN_SHARE, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, item_id, windows, item_windows, slots, exact) per leaked item and document."""
     known = written(benchmark_windows(benchmark, window), "benchmark-windows")
-    small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    side = (F.broadcast(known) if small else known).alias("b")
     rows = (docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"),
                         F.xxhash64("text").alias("text_key")).where("text IS NOT NULL"))
-    tokens = rows.select("doc_id", "text_key", template_tokens(F.col("text")).alias("tokens"))
-    # exploded rows are narrow; the outer form keeps the optimizer from filtering on the keys,
-    # which would evaluate all steps behind them once more for each mention
-    keys = with_window_keys(tokens, "tokens", window).select(
-        "doc_id", "text_key", F.posexplode_outer("keys").alias("at", "key"))
-    met = written(keys.alias("d").join(side, F.col("d.key") == F.col("b.key")).select(
-        "d.doc_id", "d.text_key", (F.col("d.at") + 1).alias("place"), "b.item_id", "b.item_windows", "b.item_tokens",
-        "b.at", "b.template", F.col("b.plain").alias("asked")).distinct(), "window-hits")
+    cut = {by: rows.select("doc_id", "text_key", tokens(F.col("text")).alias("tokens"))
+           for by, tokens in (("template", template_tokens), ("plain", plain_tokens))}
+    met = _met(cut["template"], known.where("part = 0"), "template", window)
+    for width in sorted(r["width"] for r in known.select("width").distinct().collect()):
+        met = met.unionByName(_met(cut["plain"], known.where(F.col("width") == width), "plain", width))
+    met = written(met.distinct(), "window-hits")
     # the few texts with a hit are cut once more, for their words
     some = written(met.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "hit-texts")
     same = rows["doc_id"].eqNullSafe(some["id_"]) & (rows["text_key"] == some["key_"])
@@ -127,24 +154,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                      template_tokens(F.col("text")).alias("own"), plain_tokens(F.col("text")).alias("words")))
     hits = (met.join(written(texts, "hit-words"), F.col("doc_id").eqNullSafe(F.col("id_"))
                      & (F.col("text_key") == F.col("key_")))
-            .withColumn("found", F.slice("words", F.col("place"), window))
-            .where(F.slice("own", F.col("place"), window) == F.col("template"))
+            .withColumn("found", F.slice("words", F.col("place"), F.col("width")))
+            .where(F.when(F.col("by_template"), F.slice("own", F.col("place"), window) == F.col("template"))
+                   .otherwise(F.col("found") == F.col("asked")))
             .withColumn("shift", F.col("place") - F.col("at")))
     # slots as (benchmark value, document value); a window without a slot keeps one null row
     slots = F.filter(F.arrays_zip("template", "asked", "found"), lambda x: _is_slot(x["template"]))
-    pairs = hits.select("doc_id", "text_key", "item_id", "item_windows", "item_tokens", "shift", "at",
-                        F.explode_outer(slots).alias("slot"))
-    text = ("doc_id", "text_key", "item_id", "item_windows", "item_tokens")
-    asked, found = F.col("slot.asked"), F.col("slot.found")
-    aligned = (pairs.groupBy(*text, "shift")
-               .agg(F.collect_set("at").alias("ats"),
-                    F.count_distinct(asked).alias("slots"),
-                    F.count_distinct(asked, found).alias("mappings"),
-                    F.coalesce(F.max((asked != found).cast("int")), F.lit(0)).alias("changed"))
-               .where(F.col("mappings") == F.col("slots"))
-               .withColumn("windows", F.size("ats").cast("long")))
+    text = ("doc_id", "text_key", "item_id", "part", "width", "item_windows", "item_tokens")
+    pairs = hits.select(*text, "shift", "at", "by_template", F.explode_outer(slots).alias("slot"))
+    pair = F.when(F.col("slot").isNotNull(), F.struct("slot.asked", "slot.found"))
+    own = F.col("by_template")
+    aligned = pairs.groupBy(*text, "shift").agg(
+        F.collect_set("at").alias("ats"), F.collect_set(pair).alias("values"),
+        F.collect_set(F.when(own, F.col("at"))).alias("own_ats"),
+        F.collect_set(F.when(own, pair)).alias("own_values"))
+    for name, values in (("", "values"), ("own_", "own_values")):
+        asked = F.size(F.array_distinct(F.transform(values, lambda x: x["asked"])))
+        aligned = (aligned.withColumn(f"{name}slots", asked.cast("long"))
+                   .withColumn(f"{name}same", F.col(f"{name}slots") == F.size(values))
+                   .withColumn(f"{name}changed", F.exists(values, lambda x: x["asked"] != x["found"]).cast("int")))
+    # template windows alone decide first: a plain one may add to them, not speak against them
     needed = F.lit(min_share) * F.col("item_windows")
-    alone = F.col("windows") >= needed
+    aligned = (aligned.withColumn("own_windows", F.size("own_ats").cast("long"))
+               .withColumn("alone", F.col("own_same") & (F.col("own_windows") >= needed))
+               .withColumn("ats", F.when(F.col("same"), F.col("ats")).otherwise(F.col("own_ats")))
+               .withColumn("slots", F.when(F.col("same"), F.col("slots")).otherwise(F.col("own_slots")))
+               .withColumn("changed", F.when(F.col("same"), F.col("changed")).otherwise(F.col("own_changed")))
+               .where(F.col("same") | F.col("own_same") & (F.col("own_windows") > 0))
+               .drop("values", "own_values", "own_ats"))
     # a row is an alignment; a far one starts another place of the text
     by_shift = Window.partitionBy(*text).orderBy("shift")
     far = F.coalesce(F.col("shift") - F.lag("shift").over(by_shift) > F.col("item_tokens"), F.lit(False))
@@ -152,12 +189,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     places = (placed.groupBy(*text, "near")
               .agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"),
                    F.max("slots").alias("all_slots"), F.max("changed").alias("all_changed"),
-                   F.max(F.when(alone, F.col("windows"))).alias("windows"),
-                   F.max(F.when(alone, F.col("slots"))).alias("slots"),
-                   F.min(F.when(alone, F.col("changed"))).alias("changed"))
+                   F.max(F.when(F.col("alone"), F.col("own_windows"))).alias("windows"),
+                   F.max(F.when(F.col("alone"), F.col("own_slots"))).alias("slots"),
+                   F.min(F.when(F.col("alone"), F.col("own_changed"))).alias("changed"))
               .withColumn("tokens", F.size(F.array_distinct(F.flatten(F.transform(
-                  "ats", lambda at: F.sequence(at, at + (window - 1)))))))
-              .where((F.col("tokens") >= needed + (window - 1)) | (F.col("tokens") >= min_tokens)))
+                  "ats", lambda at: F.sequence(at, at + F.col("width") - 1))))))
+              .where((F.col("tokens") >= needed + F.col("width") - 1) | (F.col("tokens") >= min_tokens)))
     return (places.groupBy("doc_id", "item_id", "item_windows")
             .agg(F.coalesce(F.max("windows"), F.max(F.size("ats")).cast("long")).alias("windows"),
                  F.coalesce(F.max("slots"), F.max("all_slots")).alias("slots"),

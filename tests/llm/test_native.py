@@ -117,3 +117,19 @@ def test_inserted_and_deleted_words(spark):
     docs = plain_rows(spark, [(d, f"{other} {' '.join(t)} {other}") for d, t in texts.items()], "doc_id")
     got = {(r["doc_id"], r["item_id"], r["exact"]) for r in dec.leaks(docs, items).collect()}
     assert got == {(1, 1, True), (2, 1, True), (3, 2, True), (4, 3, True)}
+
+
+def test_exact_copies_without_case_and_templates(spark):
+    title = "The Old Mill Near River Dale Was Built By Thomas Green And His Brother Paul"
+    german = "Der Hund Und Die Katze Laufen Durch Den Wald Nach Hause Zum Essen"
+    numbers = "17 4 99 23 8 15 42 61 7 30 12"
+    named = "Yesterday Alice met Robert near Berlin while Carol wrote Daniel about Emma and then Frank left"
+    items = [(4, ITEMS[4][1]), (1, QUESTION), (11, title), (12, german), (13, numbers),
+             (14, "what do purple badgers eat"), (15, "Name the seven hills of Rome"), (16, named)]
+    texts = {8: DOCS[7][1], 21: title, 22: german.lower(), 23: numbers, 24: "so: What do purple badgers eat?!",
+             25: "NAME THE SEVEN HILLS OF ROME", 26: named.lower(), 27: named.upper(), 28: numbers[::-1],
+             29: "what do purple cats eat", 30: "name the seven lakes of rome"}
+    docs = plain_rows(spark, [(d, f"{PROSE} {t} {PROSE}") for d, t in texts.items()], "doc_id")
+    got = {(r["doc_id"], r["item_id"], r["exact"]) for r in dec.leaks(docs, plain_rows(spark, items, "item_id")).collect()}
+    want = {8: (1, 4), 21: (11,), 22: (12,), 23: (13,), 24: (14,), 25: (15,), 26: (16,), 27: (16,)}
+    assert got == {(d, i, True) for d, found in want.items() for i in found}
