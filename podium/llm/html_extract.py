@@ -36,7 +36,7 @@ TAG_COST, OUTSIDE_COST, FAINT = 0.1, 0.3, 0.05
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = frozenset("script style noscript template textarea iframe title svg math object canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

@@ -34,6 +34,15 @@ def test_cases(page, text):
     assert html_extract.extract(page, NONE) == text
 
 
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", 'title="A hidden gem"', "data-hidden='false'",
+                                        "data-class='menu'", "href=/hidden", "alt=' id=nav '"])
+def test_only_attribute_names_hide(attributes):
+    assert html_extract.extract(f"<article {attributes}>{BODY}</article>", NONE) == BODY[3:-4]
+    for own in ("hidden", "HIDDEN=''", "aria-hidden='true'", "class=menu", "id='nav'"):
+        page = f"<div {attributes} {own}>Home</div><article>{BODY}</article>"
+        assert html_extract.extract(page, NONE) == BODY[3:-4]
+
+
 def test_learned_weights_find_unlisted_boilerplate(spark):
     pages = [(i, "u", f"<div class='zq'>{'junk ' * 30}</div><article><p>story {i}</p></article>")
              for i in range(20)] + [(99, "u", f"<div class='zq'>{'junk ' * 30}</div><p>story of a page</p>")]
