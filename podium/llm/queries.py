@@ -11,6 +11,7 @@ from podium.llm import (
     language_id,
     packing,
     quality,
+    spelling,
     token_counts,
     token_files,
     toxicity,
@@ -72,7 +73,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_url_filters, op4_toxicity, op5_ngram_jaccard_join,
     op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
-    op10_token_counts)}
+    op10_token_counts, op13_spelling_variants)}
