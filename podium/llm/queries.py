@@ -10,8 +10,10 @@ from podium.llm import (
     jaccard,
     language_id,
     packing,
+    phrases,
     quality,
     spelling,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -73,6 +75,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedupe(table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -80,4 +90,5 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_url_filters, op4_toxicity, op5_ngram_jaccard_join,
     op6_token_output, op7_quality_rules, op8_packing, op9_benchmark_decontamination,
-    op10_token_counts, op13_spelling_variants)}
+    op10_token_counts, op11_suffix_array_dedup,
+    op12_phrase_collocations, op13_spelling_variants)}

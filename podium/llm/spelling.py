@@ -31,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.bloom import FILTER_BYTES, Shards, filled, filters, probe
 from podium.llm.common import written
 
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
 DROP_MODULUS = 199
-FILTER_BYTES, BITS_PER_WORD, HASHES = 32 << 20, 16, 6
 LONGEST_SHARD = 64  # words of this length or more share a shard
 SLICE = 1 << 20  # characters read at once
 PROBES = 1 << 21  # edits probed at once
@@ -106,38 +106,6 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
 
 
-# --- blocked Bloom filters, a shard of 512-bit blocks per word length ------------------
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Shards:
-    """Where the blocks of each length lie: ``first`` block and number of ``blocks``."""
-
-    def __init__(self, counts: dict[int, int], filter_bytes: int = FILTER_BYTES):
-        words = max(1, sum(counts.values()))
-        bits = min(BITS_PER_WORD, 8 * filter_bytes / words)
-        self.blocks = np.zeros(LONGEST_SHARD + 1, np.uint64)
-        for length, n in counts.items():
-            self.blocks[length] = max(1, int(n * bits / 512))
-        self.first = np.concatenate([[0], np.cumsum(self.blocks)[:-1]]).astype(np.int64)
-        self.total = int(self.blocks.sum())
-
-    def place(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Block of each hash of a word of ``length``, and the bits from which its places come."""
-        shard = min(length, LONGEST_SHARD)
-        x = _mix(hashes + np.uint64(length))
-        block = ((x >> np.uint64(32)) * self.blocks[shard]) >> np.uint64(32)
-        return self.first[shard] + block.astype(np.int64), _mix(x)
-
-
-def _bit(y: np.ndarray, j: int) -> np.ndarray:
-    return (y >> np.uint64(9 * j)) & np.uint64(511)
-
-
 def _powers(n: int) -> np.ndarray:
     out = np.ones(n + 1, np.uint64)
     np.multiply.accumulate(np.full(n, BASE), out=out[1:])
@@ -157,53 +125,22 @@ def _by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
             yield m, rows, codes.reshape(len(rows), m).astype(np.uint64)
 
 
-def _filled(shards: Shards):
-    names = [f"b{i}" for i in range(8)]
-
-    def run(batches):
-        for batch in batches:
-            blocks, bits = [], []
-            for m, _, codes in _by_length(batch.column(0).to_pylist()):
-                block, y = shards.place((codes * _powers(m)[:m]).sum(axis=1, dtype=np.uint64), m)
-                for j in range(HASHES):
-                    blocks.append(block)
-                    bits.append(_bit(y, j))
-            if not blocks:
-                continue
-            block, bit = np.concatenate(blocks), np.concatenate(bits)
-            own, at = np.unique(block, return_inverse=True)
-            table = np.zeros((len(own), 8), np.uint64)
-            np.bitwise_or.at(table, (at, (bit >> np.uint64(6)).astype(np.int64)),
-                             np.uint64(1) << (bit & np.uint64(63)))
-            yield pa.RecordBatch.from_pydict(
-                {"block": own} | {n: table[:, i].view(np.int64) for i, n in enumerate(names)})
-    return run
+def _hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    for m, _, codes in _by_length(batch.column(0).to_pylist()):
+        yield min(m, LONGEST_SHARD), (codes * _powers(m)[:m]).sum(axis=1, dtype=np.uint64) + np.uint64(m)
 
 
 def bloom_filters(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> tuple[Shards, np.ndarray]:
-    """The filters of a vocabulary table: at most ``filter_bytes`` (one block per length aside)."""
+    """The filters of a vocabulary table, a shard per word length."""
     per_length = (words.groupBy(F.least(F.length("word"), F.lit(LONGEST_SHARD)).alias("length"))
                   .agg(F.count(F.lit(1)).alias("n")).collect())
     shards = Shards({r.length: r.n for r in per_length}, filter_bytes)
-    names = [f"b{i}" for i in range(8)]
-    rows = words.select("word").mapInArrow(_filled(shards), ", ".join(["block long", *(f"{n} long" for n in names)]))
-    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toPandas()
-    table = np.zeros((max(1, shards.total), 8), np.uint64)
-    table[rows["block"].to_numpy()] = rows[names].to_numpy(np.int64).view(np.uint64)
-    return shards, table
+    return shards, filters(words.select("word").mapInArrow(filled(shards, _hashes), filled.schema), shards)
 
 
 def _probe(shards: Shards, table: np.ndarray, hashes: np.ndarray, length: int) -> np.ndarray:
-    """Which of the hashes the filter of ``length`` passes (positions)."""
-    if not shards.blocks[min(length, LONGEST_SHARD)]:
-        return np.zeros(0, np.int64)
-    block, y = shards.place(hashes, length)
-    left = np.arange(len(hashes))
-    for j in range(HASHES):
-        bit = _bit(y[left], j)
-        hit = (table[block[left], (bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-        left = left[hit.astype(bool)]
-    return left
+    """Positions of the edits of ``length`` that their filter passes."""
+    return probe(shards, table, hashes + np.uint64(length), min(length, LONGEST_SHARD))
 
 
 def _edits(shards: Shards, table: np.ndarray, words: list[str]) -> Iterator[tuple[int, str]]:
