@@ -1,7 +1,7 @@
 """Phrase collocation mining with Rabin-Karp fingerprints.
 
-Each scan turns its texts into arrays of word hashes; prefix polynomials over them give the
-fingerprint of every n-gram in numpy. Tasks count the fingerprints they meet, with the lowest
+Each scan hashes its texts in numpy: prefix polynomials over the bytes give the hash of every
+word, prefix polynomials over those the fingerprint of every n-gram. Tasks count the fingerprints they meet, with the lowest
 document that holds them as occurrence pointer, and a shuffle sums both. n-grams are counted level
 by level: one is counted only if all its parts of the level before were frequent. The frequent
 fingerprints of a level go into a blocked Bloom filter of bounded size (``FILTER_BYTES``), which is all that is
@@ -15,11 +15,12 @@ Pieces, words, scores and cuts are those of the query's contract; products run i
 
 Defined cases: a null or empty text has no words; a null lang is ``und``; repeated rows and
 repeated ids count as often as they occur; an empty table gives no rows; other columns are kept
-out. A long text is read in slices; n-grams across a cut are counted once.
+out. A long text is handled in slices; n-grams across a cut are counted once.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,130 +30,165 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.bloom import FILTER_BYTES, Shards, filled, filters, probe
+from podium.llm.bloom import FILTER_BYTES, Shards, filled, filters, mix, probe
 from podium.llm.common import written
 
 LONGEST, MIN_COUNT, TOP = 5, 100, 2000
 LEVELS = ((1, 2), (3,), (4, 5))  # n-gram lengths counted per scan
-SLICE = 2 << 20  # bytes of text per slice
-TOKENS = 300_000  # words handled at once
+SLICE = 1 << 20  # bytes of text handled at once
+GIANT = 1 << 16  # words of more bytes are handled by their digest
 ENTRIES = 1_000_000  # counters kept by a task
-MEMO_BYTES = 16 << 20
+HELD_BYTES = 16 << 20  # spelled phrases kept by a task
 NO_DOC = (1 << 63) - 1
 BASE = np.uint64(0xD6E8FEB86659FD93)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-STOP = b"."
-_MAP = bytes(ord(STOP) if c in b".,;:!?\n\x0b\x0c\r" else ord(" ") if c == 9 else c for c in range(256))
+SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64))
+BLANK, STOP = b" ", b"."
+_MAP = bytes(STOP[0] if c in b".,;:!?\n\x0b\x0c\r" else BLANK[0] if c == 9 else c for c in range(256))
 
 
-def slices(text: bytes) -> Iterator[list[bytes]]:
-    """Words of a text and a STOP between its pieces, from slices that cut no word."""
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[:1] = 1
+    np.multiply.accumulate(out, out=out)
+    return out
+
+
+def normalised(text: bytes, giants: dict[bytes, bytes]) -> bytes:
+    """Lower-cased text with blanks for white space and STOP between pieces. A word above GIANT
+    bytes becomes 0xFF, which no text holds, and its digest; ``giants`` keeps the word."""
     text = text.lower().translate(_MAP)  # bytes.lower changes A-Z only
-    start = 0
-    while start < len(text):
-        end = min(len(text), start + SLICE)
-        if end < len(text):
-            cuts = [c for c in (text.find(b" ", end), text.find(STOP, end)) if c >= 0]
-            end = min(cuts, default=len(text))
-        yield text[start:end].replace(STOP, b" . ").split()
-        start = end
 
+    def digest(match: re.Match) -> bytes:
+        word = b"\xff" + xxhash.xxh3_128_hexdigest(match[0]).encode()
+        giants[word] = match[0]
+        return word
 
-class Words:
-    """Numbers and hashes of distinct words; starts anew when they take MEMO_BYTES."""
+    return re.sub(rb"[^ .]{%d,}" % (GIANT + 1), digest, text) if len(text) > GIANT else text
 
-    def __init__(self):
-        self.index: dict[bytes, int] = {}
-        self.hashes: list[int] = []
-        self.size = 0
 
-    def ids(self, tokens: list[bytes]) -> np.ndarray:
-        if self.size > MEMO_BYTES:
-            self.__init__()
-        new = set(tokens).difference(self.index)
-        for word in new:
-            self.index[word] = len(self.hashes)
-            self.hashes.append(xxhash.xxh3_64_intdigest(word))
-            self.size += len(word) + 150
-        return np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
+def _context(text: bytes, at: int) -> int:
+    """Start of the LONGEST - 1 words before ``at``, or of those that the piece has."""
+    for _ in range(LONGEST - 1):
+        end = at
+        while end and text[end - 1] == BLANK[0]:
+            end = max(text[:end].rfind(BLANK * 2, max(0, end - 2)), end - 1)
+        if end == 0 or text[end - 1] == STOP[0]:
+            return end
+        at = max(text.rfind(BLANK, 0, end), text.rfind(STOP, 0, end)) + 1
+    return at
+
+
+def slices(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """(part, fresh): parts of a normalised text, cut between words; the bytes before ``fresh`` repeat the
+    last words of the part before, so that n-grams across the cut are seen."""
+    start = 0
+    while start < len(text):
+        end = len(text)
+        if end - start > SLICE:
+            cuts = [c for c in (text.find(BLANK, start + SLICE), text.find(STOP, start + SLICE)) if c >= 0]
+            end = min(cuts, default=end)
+        low = _context(text, start) if start else 0
+        yield text[low:end], start - low
+        start = end
 
 
 class Grams:
-    """n-grams of one block of tokens of one language."""
-
-    def __init__(self, words: Words, lang: str, tokens: list[bytes], fresh: np.ndarray):
-        self.tokens, self.fresh = tokens, fresh
-        self.ids = words.ids(tokens)
-        hashes = np.array(words.hashes, np.uint64)[self.ids]
-        stops = np.fromiter((t == STOP for t in tokens), bool, len(tokens))
-        self.stops = np.concatenate([[0], np.cumsum(stops)])
-        powers = np.full(len(tokens), BASE)
-        powers[:1] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers, dtype=np.uint64)])
-        self.back = np.full(len(tokens), BASE_INVERSE)
-        self.back[:1] = 1
-        np.multiply.accumulate(self.back, out=self.back)
+    """n-grams of one block of normalised parts of one language."""
+
+    def __init__(self, lang: str, parts: list[bytes], fresh: list[int], docs: list[int]):
+        self.data = STOP.join([b"", *parts])
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        first = np.cumsum(sizes) - sizes + 1
+        data = np.frombuffer(self.data, np.uint8)
+        stop = data == STOP[0]
+        edge = np.diff((~stop & (data != BLANK[0])).view(np.int8), prepend=0, append=0)
+        self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.piece = np.cumsum(stop, dtype=np.int32)[self.starts]
+        part = np.searchsorted(first, self.starts, side="right") - 1
+        self.fresh = self.starts >= (first + np.array(fresh, np.int64))[part]
+        self.docs = np.array(docs, np.int64)[part]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(SYMBOLS[data] * _powers(BASE, len(data)), dtype=np.uint64, out=sums[1:])
+        back = _powers(BASE_INVERSE, len(data) + 1)
+        self.words = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        n = len(self.starts)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.words * _powers(BASE, n), dtype=np.uint64, out=self.prefix[1:])
+        self.back = back[:n]
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
 
     def whole(self, n: int) -> np.ndarray:
         """Start of every n-gram that lies in one piece and is new in this block."""
-        inside = self.stops[n:] == self.stops[:-n]
-        return np.flatnonzero(inside & self.fresh[n - 1:]) if len(self.tokens) >= n else np.zeros(0, np.int64)
-
-    def prints(self, starts: np.ndarray, n: int) -> np.ndarray:
-        x = (self.prefix[starts + n] - self.prefix[starts]) * self.back[starts]
-        x = (x ^ self.seed) + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
-
-    def covered(self, starts: np.ndarray, n: int, part: int, gate) -> np.ndarray:
-        """The n-grams of ``starts`` all of whose parts of length ``part`` pass the gate."""
-        if len(starts) == 0:
-            return starts
-        inside = np.flatnonzero(self.stops[part:] == self.stops[:-part])
-        passed = np.zeros(len(self.tokens) + 1, np.int64)
+        last = len(self.starts) - n + 1
+        if last < 1:
+            return np.zeros(0, np.int64)
+        return np.flatnonzero((self.piece[n - 1:] == self.piece[:last]) & self.fresh[n - 1:])
+
+    def prints(self, at: np.ndarray, n: int) -> np.ndarray:
+        x = (self.prefix[at + n] - self.prefix[at]) * self.back[at]
+        return mix((x ^ self.seed) + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)))
+
+    def covered(self, at: np.ndarray, n: int, part: int, gate) -> np.ndarray:
+        """The n-grams of ``at`` all of whose parts of length ``part`` pass the gate."""
+        if len(at) == 0:
+            return at
+        inside = np.flatnonzero(self.piece[part - 1:] == self.piece[:len(self.piece) - part + 1])
+        passed = np.zeros(len(self.starts) + 1, np.int64)
         passed[inside[probe(*gate, self.prints(inside, part), 0)] + 1] = 1
         passed = np.cumsum(passed)
-        return starts[passed[starts + n - part + 1] - passed[starts] == n - part + 1]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
-    """(lang, tokens, fresh, doc): bounded blocks of tokens of one language.
-
-    The words that a slice repeats from the one before are not fresh: an n-gram counts where
-    its last word is fresh.
-    """
-    open_: dict[str, tuple[list[bytes], list[np.ndarray], list[tuple[int, int]]]] = {}
-    held = 0
+        return at[passed[at + n - part + 1] - passed[at] == n - part + 1]
+
+    def word_numbers(self) -> np.ndarray:
+        """A number per word, equal if and only if the words' bytes are."""
+        order = np.argsort(self.words, kind="stable")
+        ordered = self.words[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        head = np.empty(len(order), np.int64)
+        head[order] = order[new][np.cumsum(new) - 1]
+        # compare each word with the first of its hash, eight bytes at a time
+        loads = np.ndarray((len(self.data),), "<u8", self.data + bytes(8), strides=(1,))
+        size = self.ends - self.starts
+        same = size == size[head]
+        left = np.flatnonzero(same & (head != np.arange(len(head))))
+        for j in range(0, int(size.max(initial=0)), 8):
+            left = left[size[left] > j]
+            unused = np.uint64(8) * np.maximum(0, 8 - (size[left] - j)).astype(np.uint64)
+            differ = (loads[self.starts[left] + j] ^ loads[self.starts[head[left]] + j]) << unused
+            same[left[differ != 0]] = False
+        odd: dict[bytes, int] = {}
+        for k in np.flatnonzero(~same).tolist():
+            head[k] = odd.setdefault(self.data[self.starts[k]:self.ends[k]], len(head) + len(odd))
+        return head
+
+    def text(self, at: int, n: int, giants: dict[bytes, bytes]) -> bytes:
+        words = self.data[self.starts[at]:self.ends[at + n - 1]].split()
+        return BLANK.join(giants[w] if w[:1] == b"\xff" else w for w in words)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Grams, dict[bytes, bytes]]]:
+    """(lang, grams, giants) of bounded blocks of text of one language."""
+    open_: dict[str, list[tuple[bytes, int, int]]] = {}
+    sizes: Counter = Counter()
+    giants: dict[bytes, bytes] = {}
 
     def closed(lang):
-        tokens, fresh, docs = open_.pop(lang)
-        ids, sizes = zip(*docs)
-        return lang, tokens, np.concatenate(fresh), np.repeat(np.array(ids, np.int64), sizes)
+        del sizes[lang]
+        return lang, Grams(lang, *map(list, zip(*open_.pop(lang)))), giants
 
     for batch in batches:
         for doc_id, text, lang in zip(*(batch.column(i) for i in range(3))):
-            text, doc, lang = text.as_py(), doc_id.as_py(), lang.as_py()
-            carry: list[bytes] = []
-            for words in slices(text or b""):
-                tokens, fresh, docs = open_.setdefault(lang, ([], [], []))
-                part = [STOP, *carry, *words]
-                new = np.ones(len(part), bool)
-                new[1:1 + len(carry)] = False
-                tokens += part
-                fresh.append(new)
-                docs.append((NO_DOC if doc is None else doc, len(part)))
-                held += len(part)
-                carry = part[-(LONGEST - 1):]
-                if STOP in carry:
-                    carry = carry[len(carry) - carry[::-1].index(STOP):]
-                if len(tokens) > TOKENS:
-                    held -= len(tokens)
+            doc, lang = doc_id.as_py(), lang.as_py()
+            text = normalised(text.as_py() or b"", giants)
+            for part, fresh in slices(text):
+                open_.setdefault(lang, []).append((part, fresh, NO_DOC if doc is None else doc))
+                sizes[lang] += len(part)
+                if sizes[lang] > SLICE:
                     yield closed(lang)
-            if held > 3 * TOKENS:
-                held = 0
+            if sizes.total() > 4 * SLICE or giants:
                 yield from [closed(x) for x in list(open_)]
+                giants.clear()
     yield from [closed(x) for x in list(open_)]
 
 
@@ -167,15 +203,15 @@ def _summed(prints, counts, docs):
 def _counted(sizes: tuple[int, ...], part: int | None, gates):
     """Counts of the fingerprints of n-grams of ``sizes``; with gates, only covered ones."""
     def run(batches):
-        words, kept, total = Words(), [], 0
-        for lang, tokens, fresh, docs in _blocks(batches):
-            grams = Grams(words, lang, tokens, fresh)
+        kept, total = [], 0
+        for _, grams, _ in _blocks(batches):
             for n in sizes:
-                starts = grams.whole(n)
+                at = grams.whole(n)
                 if part:
-                    starts = grams.covered(starts, n, part, gates.value)
-                if len(starts):
-                    kept.append(_summed(grams.prints(starts, n), np.ones(len(starts), np.int64), docs[starts]))
+                    at = grams.covered(at, n, part, gates.value)
+                if len(at):
+                    found = grams.prints(at, n), np.ones(len(at), np.int64), grams.docs[at]
+                    kept.append(_summed(*found) if n == 1 else found)  # words repeat within a block
                     total += len(kept[-1][0])
             if total > ENTRIES:
                 kept = [_summed(*map(np.concatenate, zip(*kept)))]
@@ -195,7 +231,7 @@ def _batch(prints, counts, docs) -> pa.RecordBatch:
 def _spelled(gates):
     """(lang, n, phrase, a, doc) for the n-grams whose fingerprint passes, and words per language (n 0)."""
     def run(batches):
-        words, counts, first_doc, size = Words(), Counter(), {}, 0
+        counts, first_doc, size = Counter(), {}, 0
 
         def flushed():
             keys = list(counts)
@@ -205,35 +241,36 @@ def _spelled(gates):
                 "a": pa.array(list(counts.values()), pa.int64()),
                 "doc": pa.array([first_doc.get(k, NO_DOC) for k in keys], pa.int64())})
 
-        for lang, tokens, fresh, docs in _blocks(batches):
-            grams = Grams(words, lang, tokens, fresh)
+        for lang, grams, giants in _blocks(batches):
+            numbers = grams.word_numbers()
             counts[lang, 0, b""] += len(grams.whole(1))
             for n in range(1, LONGEST + 1):
-                starts = grams.whole(n)
-                prints = grams.prints(starts, n)
+                at = grams.whole(n)
+                prints = grams.prints(at, n)
                 hits = probe(*gates.value, prints, 0)
-                starts, prints = starts[hits], prints[hits]
-                while len(starts):  # a round per text that shares a fingerprint with another one
+                at, prints = at[hits], prints[hits]
+                while len(at):  # a round per text that shares a fingerprint with another one
                     order = np.argsort(prints, kind="stable")
-                    starts, prints = starts[order], prints[order]
-                    new = np.concatenate([[True], prints[1:] != prints[:-1]])
-                    heads = starts[new]
-                    head = heads[np.cumsum(new) - 1]
-                    same = np.ones(len(starts), bool)
+                    at, prints = at[order], prints[order]
+                    new = np.ones(len(at), bool)
+                    new[1:] = prints[1:] != prints[:-1]
+                    group = np.cumsum(new) - 1
+                    heads = at[new]
+                    same = np.ones(len(at), bool)
                     for j in range(n):
-                        same &= grams.ids[starts + j] == grams.ids[head + j]
-                    own = np.cumsum(new)[same] - 1
+                        same &= numbers[at + j] == numbers[heads[group] + j]
+                    own = group[same]
                     number = np.bincount(own, minlength=len(heads))
                     lowest = np.full(len(heads), NO_DOC)
-                    np.minimum.at(lowest, own, docs[starts[same]])
-                    for at, c, d in zip(heads.tolist(), number.tolist(), lowest.tolist()):
-                        key = lang, n, b" ".join(tokens[at:at + n])
+                    np.minimum.at(lowest, own, grams.docs[at[same]])
+                    for k, c, d in zip(heads.tolist(), number.tolist(), lowest.tolist()):
+                        key = lang, n, grams.text(k, n, giants)
                         if key not in counts:
                             size += len(key[2]) + 200
                         counts[key] += c
                         first_doc[key] = min(d, first_doc.get(key, NO_DOC))
-                    starts, prints = starts[~same], prints[~same]
-            if size > MEMO_BYTES:
+                    at, prints = at[~same], prints[~same]
+            if size > HELD_BYTES:
                 yield flushed()
                 counts.clear()
                 first_doc.clear()
@@ -259,9 +296,11 @@ def frequent_phrases(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataF
     and the number of words of each language (n 0)."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"),
                         F.coalesce("lang", F.lit("und")).alias("lang"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequent, gate = None, None
     for sizes, part in zip(LEVELS, [None, *(max(s) for s in LEVELS)]):
-        counts = texts.mapInArrow(_counted(sizes, part, gate), "print long, a long, doc long")
+        # tasks send a fingerprint a few times at most, so a second partial sum would only cost memory
+        counts = texts.mapInArrow(_counted(sizes, part, gate), "print long, a long, doc long").repartition(parts, "print")
         found = written(counts.groupBy("print").agg(F.sum("a").alias("a"), F.min("doc").alias("doc"))
                         .filter(F.col("a") >= MIN_COUNT), "frequent-prints")
         gate = _gate(found, filter_bytes)

@@ -81,18 +81,32 @@ def test_slices_and_blocks_lose_no_gram(monkeypatch):
 
     def counts():
         out = Counter()
-        words = phrases.Words()
-        for lang, tokens, fresh, docs in phrases._blocks(iter([batch])):
-            grams = phrases.Grams(words, lang, tokens, fresh)
+        for lang, grams, giants in phrases._blocks(iter([batch])):
+            assert len(set(grams.word_numbers().tolist())) == len({grams.text(k, 1, giants) for k in range(len(grams.starts))})
             for n in range(1, 6):
-                out.update((lang, n, int(p)) for p in grams.prints(grams.whole(n), n))
+                out.update((lang, n, grams.text(k, n, giants)) for k in grams.whole(n).tolist())
         return out
 
-    whole = counts()
+    plain_counts = Counter()
+    for _, text, lang in rows:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            plain_counts.update((lang or "und", n, " ".join(words[i:i + n]).encode())
+                                for n in range(1, 6) for i in range(len(words) - n + 1))
+    assert counts() == plain_counts
     monkeypatch.setattr(phrases, "SLICE", 13)
-    monkeypatch.setattr(phrases, "TOKENS", 40)
-    monkeypatch.setattr(phrases, "MEMO_BYTES", 900)
-    assert counts() == whole
+    monkeypatch.setattr(phrases, "GIANT", 20)
+    assert counts() == plain_counts
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+    grams = phrases.Grams("x", [b"one two one three threes one", b"abcdefgh abcdefghi abcdefgh abcdefgj"], [0, 0], [1, 2])
+    words = [grams.text(k, 1, {}) for k in range(10)]
+    grams.words = np.zeros(10, np.uint64)
+    numbers = grams.word_numbers()
+    assert all((numbers[i] == numbers[j]) == (words[i] == words[j]) for i in range(10) for j in range(10))
 
 
 def test_equal_fingerprints_of_unlike_texts(monkeypatch):
