@@ -52,8 +52,8 @@ LENGTH = 200
 PERIOD = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 DEPTH = LENGTH - PERIOD + 1
-BLOCK, BLOCK_DOCS = 2 << 20, 20_000
-CHUNK = 2 << 20
+BLOCK, BLOCK_DOCS = 1 << 20, 20_000
+CHUNK = 1 << 19
 BUCKET_SUFFIXES = 1 << 20
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 SYMBOLS = tuple(mix(np.arange(1 + 256 * i, 257 + 256 * i, dtype=np.uint64)) for i in range(2))
