@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.operators.joins import join_summary, null_safe_join
+from podium.operators.sketch_rank import rankable, sketch_dense_rank, sketch_rank
 from podium.session import cut_lineage
 
 Order = str | Column | tuple
@@ -114,12 +115,20 @@ def window_rank(df: DataFrame, by: Sequence[str], order: Sequence[Order], name:
 
 def place_in_division(df: DataFrame, by: Sequence[str], order: Sequence[Order],
                       name: str = "division_place") -> DataFrame:
-    """Ordinal place 1..n within each division, ties broken by the order keys."""
-    return distributed_rank(df, by, order, name)
+    """Ordinal place 1..n within each division, ties broken by the order keys.
+
+    Slices come from quantile sketches if all order columns are numbers or dates, else from a range exchange.
+    """
+    return (sketch_rank if rankable(df, order) else distributed_rank)(df, by, order, name)
 
 
 def place_dense(df: DataFrame, by: Sequence[str], value: Order, name: str = "division_place") -> DataFrame:
-    """Dense rank of a value (e.g. finish time) within each division; equal values tie."""
+    """Dense rank of a value (e.g. finish time) within each division; equal values tie.
+
+    One shuffle of the fact if the value is a number or a date (see ``sketch_dense_rank``).
+    """
+    if rankable(df, [value]):
+        return sketch_dense_rank(df, by, value, name)
     return distributed_dense_rank(df, by, [value], name)
 
 

@@ -749,3 +749,15 @@ SELECT o_custkey AS c_custkey, o_orderkey, 'Clerk & ' || CAST(o_custkey AS VARCH
        o_orderpriority
 FROM orders
 """
+
+SQL["html_table_grid"] = """
+SELECT o_custkey AS c_custkey, CAST(0 AS BIGINT) AS table_no,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus, o_orderkey) - 1 AS row_no,
+       o_orderstatus AS status, o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS whole, o_orderkey % 100 AS cents,
+       o_orderpriority, 'caf\u00e9 &amp; &#233;' AS note, CAST(NULL AS BIGINT) AS n_orders
+FROM orders
+UNION ALL
+SELECT o_custkey, 1, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) - 1,
+       o_orderstatus, NULL, NULL, NULL, NULL, NULL, count(*)
+FROM orders GROUP BY o_custkey, o_orderstatus
+"""

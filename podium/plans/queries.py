@@ -23,6 +23,7 @@ from podium.operators.team import (guard_membership, team_event_points, team_eve
                                    team_standings, team_top_k, unpivot_membership)
 from podium.plans import testbed as tb
 from podium.rules import LEGACY
+from podium.session import cut_lineage
 from podium.sources.markup import LIST_ITEM, html_rows, html_table, text_rows
 from podium.sources.nested import apply_layouts, labelled_rows, read_json_rows, zip_labels
 from podium.streaming.incremental import drain, file_stream, run_rescoring_stream, stream_root
@@ -484,6 +485,17 @@ def q_html_table_rows(spark, sf_dir):
         rows["Priority"].alias("o_orderpriority"))
 
 
+@register("html_table_grid")
+def q_html_table_grid(spark, sf_dir):
+    """Pages of two tables each: spanning cells, row headers and equal header names, read by position."""
+    row = F.col("row")
+    return html_table(tb.order_grid_pages(spark, sf_dir), "html", keep=["c_custkey"]).select(
+        "c_custkey", F.col("table_no").cast("long").alias("table_no"), F.col("row_no").cast("long").alias("row_no"),
+        row["Status"].alias("status"), row["Order"].cast("long").alias("o_orderkey"),
+        row["Price whole"].cast("long").alias("whole"), row["Price cents"].cast("long").alias("cents"),
+        row["N\u00b0"].alias("o_orderpriority"), row["N\u00b0 6"].alias("note"), row["Orders"].cast("long").alias("n_orders"))
+
+
 @register("text_rows")
 def q_text_rows(spark, sf_dir):
     docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -528,7 +540,8 @@ def q_age_bonus_legacy(spark, sf_dir):
 def q_place_from_overall(spark, sf_dir):
     """Division place from the sorted overall place, plus the Q4 sum check per race."""
     o = tb.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
-    overall = place_in_division(o, ["o_orderpriority"], [("o_totalprice", "desc"), "o_orderkey"], "overall_place")
+    overall = cut_lineage(place_in_division(o, ["o_orderpriority"], [("o_totalprice", "desc"), "o_orderkey"], "overall_place"),
+                          "overall")  # the one write of the fact: the second place reads it
     placed = place_in_division(overall, ["o_orderpriority", "o_orderstatus"], ["overall_place"], "division_place")
     check = guard_partition(o, "o_orderstatus", ["F", "O", "P"], keys=["o_orderpriority"])
     return placed.join(check.select("o_orderpriority", "complete"), "o_orderpriority").select(

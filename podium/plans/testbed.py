@@ -157,6 +157,34 @@ def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("c_custkey", F.concat(F.lit(head), F.col("rows"), F.lit("</table>")).alias("html")))
 
 
+def order_grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c_custkey, html): per customer a page of two tables with spanning cells, row headers,
+    a repeated header, numeric references, cells without end tags and no ``thead`` in the second.
+
+    The first lists the orders by status, whose cell spans its rows; the second counts them.
+    """
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    text = lambda c: c.cast("string")
+    cells = F.concat(F.lit('<th scope="row">'), text(F.col("o_orderkey")), F.lit("</th><td>"),
+                     text(F.floor("o_totalprice").cast("long")), F.lit("<td align=right>"), text(F.col("o_orderkey") % 100),
+                     F.lit("</td><td>"), F.col("o_orderpriority"), F.lit("</td>\n<td>caf&eacute; &#x26;amp; &amp;#233;</td></tr>"))
+    row = F.struct("o_orderkey", cells.alias("cells"))
+    status = (o.groupBy("o_custkey", "o_orderstatus").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+              .withColumn("n", F.size("rows")))
+    first = F.concat(F.lit('<tr><td rowspan="'), text(F.col("n")), F.lit('">'), F.col("o_orderstatus"), F.lit("</td>"))
+    status = status.select("o_custkey", "o_orderstatus", F.array_join(F.transform("rows", lambda r, i: F.concat(
+        F.when(i == 0, first).otherwise(F.lit("<tr>")), r["cells"])), "").alias("rows"), F.concat(
+        F.lit("<tr><td>"), F.col("o_orderstatus"), F.lit("<td>"), text(F.col("n")), F.lit("</tr>")).alias("count"))
+    page = status.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderstatus", "rows", "count"))).alias("s"))
+    joined = lambda field: F.array_join(F.transform("s", lambda x: x[field]), "")
+    head = ('<table class="a"><!-- <tr><td>old</td></tr> --><thead><tr><th rowspan="2">Status</th>'
+            "<th rowspan=2 scope=col>Order</th><th colspan='2'>Price</th><th rowspan='2'>N&#176;</th><th rowspan='2'>"
+            "N&#xB0;</th></tr><tr><th>whole</th><th>cents</th></tr></thead><tbody>")
+    return page.select(F.col("o_custkey").alias("c_custkey"), F.concat(
+        F.lit(head), joined("rows"), F.lit("</tbody><tfoot><tr><td>end</td></tr></tfoot></table><p>and</p><TABLE><tr>"
+                                           "<th>Status<th>Orders</tr>"), joined("count"), F.lit("</TABLE>")).alias("html"))
+
+
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     from podium.operators.team import unpivot_membership
     return unpivot_membership(registration(spark, sf_dir), "team_name", REG_SLOTS)

@@ -7,6 +7,7 @@ No document parser runs on the driver: rows and cells are cut out with
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +18,15 @@ from pyspark.sql import functions as F
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 LIST_ITEM = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"
-# decoded in this order: the ampersand last, so that nothing is decoded twice
-REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-              ("&amp;", "&"))
+TABLE = r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|$)"
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+HEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|(?=<tbody\b|<tfoot\b)|$)"
+FOOT = r"(?is)<tfoot\b[^>]*>.*?(?:</tfoot\s*>|(?=<tbody\b|<thead\b)|$)"
+# end tags of rows and cells may be left out: the next row, cell or section ends them
+GRID_ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|</?t(?:head|body|foot)\b|$)"
+GRID_CELL = r"(?is)<t[dh]\b[^>]*>.*?(?=</t[dh]\s*>|<t[dh]\b|$)"
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+SPAN_LIMIT = 1000  # columns or rows one cell may span, as in browsers
 
 
 def html_rows(pages: DataFrame, html: str = "html", row_pat: str = TABLE_ROW,
@@ -31,28 +38,150 @@ def html_rows(pages: DataFrame, html: str = "html", row_pat: str = TABLE_ROW,
     return rows.select(*keep, "row_no", cells.alias("cells"), F.col("__row").alias("raw"))
 
 
+def _character(reference) -> Column:
+    """The character of a reference's body (``#233``, ``#xE9``, ``eacute``); null if there is none."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))],
+                         F.lit("apos"), F.lit("'"))
+    digits = F.regexp_extract(reference, r"^#([0-9]+)$", 1)
+    hexes = F.regexp_extract(reference, r"^#[xX]([0-9a-fA-F]+)$", 1)
+    code = F.when(digits != "", digits.try_cast("int")).when(hexes != "", F.conv(hexes, 16, 10).try_cast("int"))
+    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    point = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+    return F.when(reference.startswith("#"), point).otherwise(F.try_element_at(names, reference))
+
+
+def decode_references(text) -> Column:
+    """Character references in one pass from left to right, so nothing is decoded twice.
+
+    Numeric ones, and the named ones of HTML 4; any other stays as it stands.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    between = F.split(text, REFERENCE, -1)
+    found = F.regexp_extract_all(text, F.lit(REFERENCE), 1)
+    joined = F.zip_with(between, found, lambda part, ref: F.concat(
+        part, F.coalesce(_character(ref), F.concat(F.lit("&"), ref, F.lit(";")), F.lit(""))))
+    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(joined, ""))
+
+
 def plain_text(cell) -> Column:
-    """Text of an HTML fragment: tags gone, common references decoded, blanks collapsed."""
-    text = F.regexp_replace(cell, r"(?s)<[^>]*>", " ")
-    for name, char in REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """Text of an HTML fragment: tags gone, references decoded, blanks collapsed."""
+    text = decode_references(F.regexp_replace(cell, r"(?s)<[^>]*>", " "))
+    return F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " "))
+
+
+def _cells(row) -> Column:
+    """Cells of a row, one entry per column they span: (text, header, rows they span)."""
+    def span(raw, name):
+        n = F.regexp_extract(raw, rf"""(?is)^<[^>]*?\s{name}\s*=\s*["']?\s*([0-9]{{1,9}})""", 1).try_cast("int")
+        return F.greatest(F.least(F.coalesce(n, F.lit(1)), F.lit(SPAN_LIMIT)), F.lit(1))
+
+    def cell(raw):
+        entry = F.struct(plain_text(F.regexp_replace(raw, r"(?s)^<[^>]*>", "")).alias("text"),
+                         F.lower(F.substring(raw, 3, 1)).eqNullSafe("h").alias("header"), span(raw, "rowspan").alias("rows"))
+        return F.array_repeat(entry, span(raw, "colspan"))
+
+    return F.flatten(F.transform(F.regexp_extract_all(row, F.lit(GRID_CELL), 0), cell))
+
+
+_ENTRY = "struct<text:string,header:boolean,rows:int>"
+
+
+def _bind(value, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _grid_row(above, cells) -> Column:
+    """One row of the grid: columns still spanned from above keep their entry, cells take the others in order."""
+    n = F.size(above)
+    spanned = lambda c: F.coalesce(F.get(above, c)["rows"], F.lit(0)) > 1
+    columns = F.sequence(F.lit(0), n + F.size(cells))
+
+    def row(free):
+        held = F.coalesce(F.array_max(F.filter(columns, spanned)), F.lit(-1))
+        width = F.greatest(F.coalesce(F.array_max(F.slice(free, 1, F.size(cells))), F.lit(-1)), held) + 1
+
+        def entry(column):
+            old = F.get(above, column)
+            own = F.get(cells, F.array_position(free, column).cast("int") - 1)
+            return F.when(old["rows"] > 1, F.struct(old["text"].alias("text"), old["header"].alias("header"),
+                                                    (old["rows"] - 1).alias("rows"))).otherwise(own).cast(_ENTRY)
+
+        return F.transform(F.slice(columns, F.lit(1), width), entry)
+
+    return _bind(F.filter(columns, lambda c: ~spanned(c)), row)
+
+
+def grid(rows) -> Column:
+    """Rows of a table (their inner HTML) as a grid: every cell stands at each (row, column) it spans.
+
+    A fold over the rows carries what spans down; tables without ``rowspan`` need no fold.
+    """
+    rows = F.col(rows) if isinstance(rows, str) else rows
+    empty = F.array().cast(f"array<{_ENTRY}>")
+    start = F.struct(empty.alias("above"), F.array().cast(f"array<array<{_ENTRY}>>").alias("done"))
+
+    def step(state, row):
+        return _bind(_cells(row).cast(f"array<{_ENTRY}>"), lambda cells: _bind(
+            _grid_row(state["above"], cells),
+            lambda g: F.struct(g.alias("above"), F.array_append(state["done"], g).alias("done"))))
+
+    folded = F.aggregate(rows, start, step, lambda s: s["done"])
+    return (F.when(F.exists(rows, lambda r: r.rlike(r"(?is)\srowspan\s*=")), folded)
+            .otherwise(F.transform(rows, lambda r: _cells(r).cast(f"array<{_ENTRY}>"))))
+
+
+def column_names(header, width) -> Column:
+    """Names of ``width`` columns from a table's header rows (a grid).
+
+    The texts of a column from top to bottom, each once, joined by blanks; a column without any
+    is ``column <n>``; a name that came before gets its column's number appended. Should names
+    still be equal after that, all are led by their column's number.
+    """
+    def name(c):
+        texts = F.transform(header, lambda r: F.coalesce(F.get(r, c)["text"], F.lit("")))
+        text = F.array_join(F.array_distinct(F.filter(texts, lambda t: t != "")), " ")
+        return F.when(text == "", F.concat(F.lit("column "), (c + 1).cast("string"))).otherwise(text)
+
+    def numbered(names):
+        return F.transform(names, lambda x, i: F.when(F.array_position(names, x) == i + 1, x)
+                           .otherwise(F.concat(x, F.lit(" "), (i + 1).cast("string"))))
+
+    plain = F.transform(F.slice(F.sequence(F.lit(0), width), F.lit(1), width), name)
+    return _bind(_bind(plain, numbered), lambda names: F.when(
+        F.size(F.array_distinct(names)) == F.size(names), names).otherwise(
+        F.transform(names, lambda x, i: F.concat((i + 1).cast("string"), F.lit(": "), x))))
 
 
 def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
-    """S7 with named columns: (keep..., row_no, row) for the body rows of every page's table.
+    """S7 with named columns: (keep..., table_no, row_no, row) for the body rows of every table of a page.
 
-    ``row`` maps the header cells (``th``) to the plain text of the row's cells (``td``).
-    Header rows are no data, and cells beyond the header are dropped with their name.
+    Tables are read one by one. Header rows are those of ``thead``, or without one the leading
+    rows whose cells are all ``th``; ``tfoot`` is no data. ``row`` maps column names (see
+    ``column_names``) to plain text by position in the grid, row headers included; a cell beyond
+    the header is named by its column's number. ``row_no`` counts a table's body rows from 0.
+    A table inside another one's cell is not told apart from it.
     """
-    cells = F.regexp_extract_all(F.col("raw"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1)
-    names = F.regexp_extract_all(F.col("__page"), F.lit(r"(?s)<th(?:\s[^>]*)?>(.*?)</th>"), 1)
-    rows = html_rows(pages.withColumn("__page", F.col(html)), html, keep=[*keep, "__page"])
-    rows = rows.select(*keep, "row_no", F.transform(cells, plain_text).alias("cells"),
-                       F.transform(names, plain_text).alias("names")).filter(F.size("cells") > 0)
-    n = F.least(F.size("cells"), F.size("names"))
-    return rows.select(*keep, "row_no", F.map_from_arrays(
-        F.slice("names", F.lit(1), n), F.slice("cells", F.lit(1), n)).alias("row"))
+    page = F.regexp_replace(F.col(html), COMMENT, "")
+    tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(page, F.lit(TABLE), 1)).alias("table_no", "__table"))
+    body = F.regexp_replace(F.regexp_replace(F.col("__table"), HEAD, ""), FOOT, "")
+    rows = lambda part: F.regexp_extract_all(part, F.lit(GRID_ROW), 1)
+    grids = tables.select(
+        *keep, "table_no", grid(rows(F.regexp_extract(F.col("__table"), HEAD, 1))).alias("__head"),
+        F.filter(grid(rows(body)), lambda r: F.size(r) > 0).alias("__body"))
+    data_row = lambda r: F.exists(r, lambda c: ~F.coalesce(c["header"], F.lit(False)))
+    first = F.array_position(F.transform("__body", data_row), F.lit(True)).cast("int")
+    leading = F.when(F.size("__head") > 0, F.lit(0)).when(first > 0, first - 1).otherwise(F.size("__body"))
+    parts = grids.withColumn("__lead", leading).select(
+        *keep, "table_no",
+        F.when(F.size("__head") > 0, F.col("__head")).otherwise(F.slice("__body", F.lit(1), F.col("__lead"))).alias("__head"),
+        F.slice("__body", F.col("__lead") + 1, F.size("__body")).alias("__body"))
+    width = F.array_max(F.transform(F.concat("__head", "__body"), lambda r: F.size(r)))
+    named = parts.withColumn("__names", column_names(F.col("__head"), F.coalesce(width, F.lit(0)))).select(
+        *keep, "table_no", "__names", F.posexplode("__body").alias("row_no", "__row"))
+    texts = F.transform("__row", lambda c: c["text"])
+    return named.select(*keep, "table_no", "row_no", F.map_from_arrays(
+        F.slice("__names", F.lit(1), F.size("__row")), texts).alias("row"))
 
 
 def without_header(docs: DataFrame, text: str, header_pat: str) -> DataFrame:

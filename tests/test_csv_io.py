@@ -91,3 +91,66 @@ def test_writing_a_season_leaves_the_others(spark):
     write_event_points(season("new", ["e2"]), root)  # e1 is gone from the new season
     got = sorted((r.season, r.event) for r in load_event_points(spark, root).collect())
     assert got == [("new", "e2"), ("old", "e1"), ("old", "e2")]
+
+
+def _points(spark, keys):
+    rows = [(s, e, d, f"N{i}", "Poe", 50, i + 1, "main", 90.5 + i) for i, (s, e, d) in enumerate(keys)]
+    return spark.createDataFrame(rows, EVENT_POINTS)
+
+
+def test_keys_with_special_characters_survive_a_rewrite(spark):
+    """Folder names are escaped, a null key lies in the default folder: none of them is stale."""
+    root = tempfile.mkdtemp(prefix="podium-esc-")
+    keys = [("25/26", "ski:classic", "male"), ("25/26", "a%2Fb c+d", None), ("25/26", "x=y", "f\u00e9m"), ("24/25", "old", "male")]
+    order = lambda ks: sorted(ks, key=str)
+    write_event_points(_points(spark, keys), root)
+    read = lambda season=None: order((r.season, r.event, r.division) for r in load_event_points(spark, root, season).collect())
+    assert read() == order(keys)
+    assert read("25/26") == order(keys[:3]) and read("24/25") == keys[3:]
+    write_event_points(_points(spark, keys[:1] + [("25/26", "new", None)]), root)
+    assert read() == order([keys[0], ("25/26", "new", None), keys[3]])
+    write_event_points(_points(spark, [("25/26", None, "male")]), root)
+    assert read() == order([("25/26", None, "male"), keys[3]])
+
+
+def test_folders_and_layouts_load_in_a_fixed_number_of_jobs(spark):
+    """Files of different layouts in one folder, and many folders: the same jobs as for one."""
+    heads = ("location,age,gender_place,first_name,last_name,age_advantage_event_points",
+             "gender_place,first_name,last_name,age, Age_Advantage_Event_Points ")
+    lines = ('"Ely, ""MN""",41,5,Cy,Poe,88.5\n\n', "5,Cy,Poe,41,88.5\n999,,Ray,x,20\n")
+
+    def folders(n):
+        root = tempfile.mkdtemp(prefix="podium-many-")
+        for i in range(n):
+            d = f"{root}/season=25%2F26/event=e{i}/division=male"
+            os.makedirs(d)
+            for k in range(2):
+                with open(f"{d}/part-{k}.csv", "w") as f:
+                    f.write(f"{heads[k]}\n{lines[k]}")
+            open(f"{d}/part-2.csv", "w").close()
+        return root
+
+    def jobs(root, group):
+        sc = spark.sparkContext
+        sc.setJobGroup(group, group)
+        rows = load_event_points(spark, root, "25/26", with_location=True).collect()
+        n = len(sc.statusTracker().getJobIdsForGroup(group))
+        sc.setJobGroup("", "")
+        return rows, n
+
+    few, n_few = jobs(folders(40), "few-folders")
+    many, n_many = jobs(folders(400), "many-folders")
+    assert n_many <= n_few + 1 and len(many) == 1200 and len(few) == 120
+    got = {(r.first_name, r.age, r.division_place, r.race_role, r.points, r.location) for r in many}
+    assert got == {("Cy", 41, 5, "main", 88.5, 'Ely, "MN"'), ("Cy", 41, 5, "main", 88.5, None),
+                   (None, None, None, "participation", 20.0, None)}
+
+
+def test_a_file_without_a_required_column_raises(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="podium-miss-")
+    os.makedirs(f"{root}/season=s/event=e/division=male")
+    with open(f"{root}/season=s/event=e/division=male/a.csv", "w") as f:
+        f.write("gender_place,first_name\n1,Cy\n")
+    with pytest.raises(ValueError, match="last_name"):
+        load_event_points(spark, root)

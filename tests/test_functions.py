@@ -133,3 +133,41 @@ def test_html_table_and_headerless_documents(spark):
     assert [r["row"] for r in rows] == [{"Name": "Ann & Bo", "City & state": "Ely, MN"}]
     docs = spark.createDataFrame([(1, "a\nPlace Name\n1 x"), (2, "no head"), (3, None)], "i int, t string")
     assert sorted(r.i for r in without_header(docs, "t", "^Place").collect()) == [2, 3]
+
+
+def _tables(spark, page):
+    from podium.sources.markup import html_table
+    rows = html_table(spark.createDataFrame([(1, page)], "id int, html string"), keep=["id"]).collect()
+    return [(r.table_no, r.row_no, r.row) for r in sorted(rows, key=lambda r: (r.table_no, r.row_no))]
+
+
+def test_html_tables_are_scoped_one_by_one(spark):
+    page = ("<table><thead><tr><th>A</th><th>A</th><th></th></tr></thead><tbody><tr><th>x</th><td>1</td><td>2</td>"
+            "<td>3</td></tr></tbody></table><table><tr><th>B</th></tr><tr><td>y &#233;&eacute;&bogus;</td></tr></table>")
+    assert _tables(spark, page) == [
+        (0, 0, {"A": "x", "A 2": "1", "column 3": "2", "column 4": "3"}), (1, 0, {"B": "y \u00e9\u00e9&bogus;"})]
+
+
+def test_html_grid_spreads_spans_by_position(spark):
+    page = ("<table><tr><th colspan=2>P</th><th rowspan=2>Q</th></tr><tr><th>a</th><th>b</th></tr>"
+            "<tr><td rowspan=3>1</td><td>2</td><td>3</td></tr><tr><td>4</td><td rowspan='9'>5</td></tr>"
+            "<tr><td>6</td></tr><tr><td colspan=2>7</td></tr></table>")
+    assert [r for _, _, r in _tables(spark, page)] == [
+        {"P a": "1", "P b": "2", "Q": "3"}, {"P a": "1", "P b": "4", "Q": "5"},
+        {"P a": "1", "P b": "6", "Q": "5"}, {"P a": "7", "P b": "7", "Q": "5"}]
+
+
+def test_html_tables_odd_input(spark):
+    assert _tables(spark, None) == [] == _tables(spark, "") == _tables(spark, "<table></table><p>no table")
+    # names that stay equal after numbering, a table cut off, a cell without end tag
+    page = "<table><tr><th>a<th>a<th>a 2<th>a 2 3<tr><td>1<td>2<td>3<td>4"
+    assert _tables(spark, page) == [(0, 0, {"1: a": "1", "2: a 2": "2", "3: a 2": "3", "4: a 2 3": "4"})]
+    assert _tables(spark, "<table><tr><td>1</td></tr></table>") == [(0, 0, {"column 1": "1"})]
+
+
+def test_references_decode_in_one_pass(spark):
+    from podium.sources.markup import decode_references
+    cases = {"a &amp;lt; &#38;lt; b": "a &lt; &lt; b", "&#128512;&#x41;": "\U0001f600A", "&#0; &#xD800; &#9999999;": "&#0; &#xD800; &#9999999;",
+             "x & y &nosuch; &lt;&gt;&apos;&nbsp;": "x & y &nosuch; <>'\u00a0", "": "", "plain": "plain"}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", decode_references("t").alias("d")).collect()
+    assert {r.t: r.d for r in rows} == cases
