@@ -4,11 +4,12 @@ Each scan hashes its texts in numpy: prefix polynomials over the bytes give the
 word, prefix polynomials over those the fingerprint of every n-gram. Tasks count the fingerprints they meet, with the lowest
 document that holds them as occurrence pointer, and a shuffle sums both. n-grams are counted level
 by level: one is counted only if all its parts of the level before were frequent. The frequent
-fingerprints of a level go into a blocked Bloom filter of bounded size (``FILTER_BYTES``), which is all that is
-broadcast; it has no false negatives, so nothing frequent is missed at any size, and false
-positives only cost some rows. A last scan spells out the n-grams whose fingerprint was frequent:
-occurrences in a batch are compared word by word with the first one of their fingerprint, and the
-counts are summed by text. So a collision of fingerprints adds a row and never changes a count.
+fingerprints of a level go into a blocked Bloom filter of bounded size (``FILTER_BYTES``), which is
+all that is broadcast; it has no false negatives, so nothing frequent is missed at any size, and
+false positives only cost some rows. Every occurrence carries a second, independent digest of its
+text and is counted by both, so texts whose fingerprints collide are counted apart. A last scan follows the
+pointers of the frequent fingerprints and spells them out; fingerprint and digest of that text are
+joined to the counts, so each count meets the text that it belongs to.
 
 Pieces, words, scores and cuts are those of the query's contract; products run in decimals of
 38 digits. The report keeps the first ``TOP`` phrases of each language.
@@ -38,11 +39,10 @@ LEVELS = ((1, 2), (3,), (4, 5))  # n-gram lengths counted per scan
 SLICE = 1 << 20  # bytes of text handled at once
 GIANT = 1 << 16  # words of more bytes are handled by their digest
 ENTRIES = 1_000_000  # counters kept by a task
-HELD_BYTES = 16 << 20  # spelled phrases kept by a task
 NO_DOC = (1 << 63) - 1
-BASE = np.uint64(0xD6E8FEB86659FD93)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64))
+# (hashes of bytes, base, its inverse) of two independent polynomials modulo 2^64
+SIDES = tuple((mix(np.arange(first, first + 256, dtype=np.uint64)), np.uint64(base), np.uint64(pow(base, -1, 1 << 64)))
+              for first, base in ((1, 0xD6E8FEB86659FD93), (1001, 0xA0761D6478BD642F)))
 BLANK, STOP = b" ", b"."
 _MAP = bytes(STOP[0] if c in b".,;:!?\n\x0b\x0c\r" else BLANK[0] if c == 9 else c for c in range(256))
 
@@ -108,15 +108,19 @@ class Grams:
         part = np.searchsorted(first, self.starts, side="right") - 1
         self.fresh = self.starts >= (first + np.array(fresh, np.int64))[part]
         self.docs = np.array(docs, np.int64)[part]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(SYMBOLS[data] * _powers(BASE, len(data)), dtype=np.uint64, out=sums[1:])
-        back = _powers(BASE_INVERSE, len(data) + 1)
-        self.words = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
-        n = len(self.starts)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.words * _powers(BASE, n), dtype=np.uint64, out=self.prefix[1:])
-        self.back = back[:n]
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
+        self.sides = [self._side(data, symbols, base, inverse) for symbols, base, inverse in SIDES]
+
+    def _side(self, data: np.ndarray, symbols, base, inverse) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix polynomial over the words' hashes, which come from one over the bytes."""
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(symbols[data] * _powers(base, len(data)), dtype=np.uint64, out=sums[1:])
+        back = _powers(inverse, len(data) + 1)
+        words = mix((sums[self.ends] - sums[self.starts]) * back[self.starts])
+        n = len(words)
+        prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * _powers(base, n), dtype=np.uint64, out=prefix[1:])
+        return prefix, back[:n]
 
     def whole(self, n: int) -> np.ndarray:
         """Start of every n-gram that lies in one piece and is new in this block."""
@@ -125,8 +129,10 @@ class Grams:
             return np.zeros(0, np.int64)
         return np.flatnonzero((self.piece[n - 1:] == self.piece[:last]) & self.fresh[n - 1:])
 
-    def prints(self, at: np.ndarray, n: int) -> np.ndarray:
-        x = (self.prefix[at + n] - self.prefix[at]) * self.back[at]
+    def prints(self, at: np.ndarray, n: int, side: int = 0) -> np.ndarray:
+        """Fingerprints of n-grams; side 1 gives independent ones, their digests."""
+        prefix, back = self.sides[side]
+        x = (prefix[at + n] - prefix[at]) * back[at]
         return mix((x ^ self.seed) + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64)))
 
     def covered(self, at: np.ndarray, n: int, part: int, gate) -> np.ndarray:
@@ -139,29 +145,6 @@ class Grams:
         passed = np.cumsum(passed)
         return at[passed[at + n - part + 1] - passed[at] == n - part + 1]
 
-    def word_numbers(self) -> np.ndarray:
-        """A number per word, equal if and only if the words' bytes are."""
-        order = np.argsort(self.words, kind="stable")
-        ordered = self.words[order]
-        new = np.ones(len(order), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        head = np.empty(len(order), np.int64)
-        head[order] = order[new][np.cumsum(new) - 1]
-        # compare each word with the first of its hash, eight bytes at a time
-        loads = np.ndarray((len(self.data),), "<u8", self.data + bytes(8), strides=(1,))
-        size = self.ends - self.starts
-        same = size == size[head]
-        left = np.flatnonzero(same & (head != np.arange(len(head))))
-        for j in range(0, int(size.max(initial=0)), 8):
-            left = left[size[left] > j]
-            unused = np.uint64(8) * np.maximum(0, 8 - (size[left] - j)).astype(np.uint64)
-            differ = (loads[self.starts[left] + j] ^ loads[self.starts[head[left]] + j]) << unused
-            same[left[differ != 0]] = False
-        odd: dict[bytes, int] = {}
-        for k in np.flatnonzero(~same).tolist():
-            head[k] = odd.setdefault(self.data[self.starts[k]:self.ends[k]], len(head) + len(odd))
-        return head
-
     def text(self, at: int, n: int, giants: dict[bytes, bytes]) -> bytes:
         words = self.data[self.starts[at]:self.ends[at + n - 1]].split()
         return BLANK.join(giants[w] if w[:1] == b"\xff" else w for w in words)
@@ -192,12 +175,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Grams, dic
     yield from [closed(x) for x in list(open_)]
 
 
-def _summed(prints, counts, docs):
-    """One row per fingerprint: summed count, lowest document."""
+def _summed(prints, digests, counts, docs):
+    """Neighbours of one fingerprint and digest as one row: summed count, lowest document."""
     order = np.argsort(prints, kind="stable")
-    prints, counts, docs = prints[order], counts[order], docs[order]
-    first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-    return prints[first], np.add.reduceat(counts, first), np.minimum.reduceat(docs, first)
+    prints, digests, counts, docs = prints[order], digests[order], counts[order], docs[order]
+    new = np.ones(len(prints), bool)
+    new[1:] = (prints[1:] != prints[:-1]) | (digests[1:] != digests[:-1])
+    first = np.flatnonzero(new)
+    return prints[first], digests[first], np.add.reduceat(counts, first), np.minimum.reduceat(docs, first)
 
 
 def _counted(sizes: tuple[int, ...], part: int | None, gates):
@@ -210,7 +195,7 @@ def _counted(sizes: tuple[int, ...], part: int | None, gates):
                 if part:
                     at = grams.covered(at, n, part, gates.value)
                 if len(at):
-                    found = grams.prints(at, n), np.ones(len(at), np.int64), grams.docs[at]
+                    found = grams.prints(at, n), grams.prints(at, n, 1), np.ones(len(at), np.int64), grams.docs[at]
                     kept.append(_summed(*found) if n == 1 else found)  # words repeat within a block
                     total += len(kept[-1][0])
             if total > ENTRIES:
@@ -224,71 +209,53 @@ def _counted(sizes: tuple[int, ...], part: int | None, gates):
     return run
 
 
-def _batch(prints, counts, docs) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"print": prints.view(np.int64), "a": counts, "doc": docs})
+def _batch(prints, digests, counts, docs) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"print": prints.view(np.int64), "digest": digests.view(np.int64),
+                                       "a": counts, "doc": docs})
 
 
-def _spelled(gates):
-    """(lang, n, phrase, a, doc) for the n-grams whose fingerprint passes, and words per language (n 0)."""
-    def run(batches):
-        counts, first_doc, size = Counter(), {}, 0
+def _pointer(prints: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    return mix(prints ^ mix(docs.view(np.uint64)))
 
-        def flushed():
-            keys = list(counts)
-            return pa.RecordBatch.from_pydict({
-                "lang": pa.array([k[0] for k in keys], pa.string()), "n": pa.array([k[1] for k in keys], pa.int32()),
-                "phrase": pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()),
-                "a": pa.array(list(counts.values()), pa.int64()),
-                "doc": pa.array([first_doc.get(k, NO_DOC) for k in keys], pa.int64())})
 
+def _spelled(gates):
+    """(print, digest, lang, n, phrase, words): the text of each frequent fingerprint where its
+    pointer leads, and with n 0 the number of words of each language."""
+    def run(batches):
+        words: Counter = Counter()
         for lang, grams, giants in _blocks(batches):
-            numbers = grams.word_numbers()
-            counts[lang, 0, b""] += len(grams.whole(1))
+            words[lang] += len(grams.whole(1))
             for n in range(1, LONGEST + 1):
                 at = grams.whole(n)
                 prints = grams.prints(at, n)
-                hits = probe(*gates.value, prints, 0)
-                at, prints = at[hits], prints[hits]
-                while len(at):  # a round per text that shares a fingerprint with another one
-                    order = np.argsort(prints, kind="stable")
-                    at, prints = at[order], prints[order]
-                    new = np.ones(len(at), bool)
-                    new[1:] = prints[1:] != prints[:-1]
-                    group = np.cumsum(new) - 1
-                    heads = at[new]
-                    same = np.ones(len(at), bool)
-                    for j in range(n):
-                        same &= numbers[at + j] == numbers[heads[group] + j]
-                    own = group[same]
-                    number = np.bincount(own, minlength=len(heads))
-                    lowest = np.full(len(heads), NO_DOC)
-                    np.minimum.at(lowest, own, grams.docs[at[same]])
-                    for k, c, d in zip(heads.tolist(), number.tolist(), lowest.tolist()):
-                        key = lang, n, grams.text(k, n, giants)
-                        if key not in counts:
-                            size += len(key[2]) + 200
-                        counts[key] += c
-                        first_doc[key] = min(d, first_doc.get(key, NO_DOC))
-                    at, prints = at[~same], prints[~same]
-            if size > HELD_BYTES:
-                yield flushed()
-                counts.clear()
-                first_doc.clear()
-                size = 0
-        if counts:
-            yield flushed()
+                hits = probe(*gates.value, _pointer(prints, grams.docs[at]), 0)
+                hits = hits[np.unique(prints[hits], return_index=True)[1]] if len(hits) else hits
+                if len(hits):
+                    at = at[hits]
+                    yield pa.RecordBatch.from_pydict({
+                        "print": prints[hits].view(np.int64), "digest": grams.prints(at, n, 1).view(np.int64),
+                        "lang": pa.array([lang] * len(at), pa.string()), "n": pa.array(np.full(len(at), n, np.int32)),
+                        "phrase": pa.array([grams.text(k, n, giants) for k in at.tolist()], pa.binary()).cast(pa.string()),
+                        "words": np.zeros(len(at), np.int64)})
+        if words:
+            k = len(words)
+            yield pa.RecordBatch.from_pydict({
+                "print": np.zeros(k, np.int64), "digest": np.zeros(k, np.int64), "lang": pa.array(list(words), pa.string()),
+                "n": pa.array(np.zeros(k, np.int32)), "phrase": pa.array([""] * k, pa.string()),
+                "words": pa.array(list(words.values()), pa.int64())})
     return run
 
 
-def _gate(prints: DataFrame, filter_bytes: int):
-    """Broadcast Bloom filter of a table of fingerprints; at most ``filter_bytes``."""
+def _gate(prints: DataFrame, filter_bytes: int, pointers: bool = False):
+    """Broadcast Bloom filter of a table of fingerprints, or of (fingerprint, document) pairs; at most ``filter_bytes``."""
     shards = Shards({0: prints.count()}, filter_bytes)
 
     def hashes(batch):
-        yield 0, batch.column(0).to_numpy().view(np.uint64)
+        own, docs = (batch.column(i).to_numpy() for i in range(2))
+        yield 0, _pointer(own.view(np.uint64), docs) if pointers else own.view(np.uint64)
 
     return prints.sparkSession.sparkContext.broadcast(
-        (shards, filters(prints.select("print").mapInArrow(filled(shards, hashes), filled.schema), shards)))
+        (shards, filters(prints.select("print", "doc").mapInArrow(filled(shards, hashes), filled.schema), shards)))
 
 
 def frequent_phrases(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -300,15 +267,18 @@ def frequent_phrases(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataF
     frequent, gate = None, None
     for sizes, part in zip(LEVELS, [None, *(max(s) for s in LEVELS)]):
         # tasks send a fingerprint a few times at most, so a second partial sum would only cost memory
-        counts = texts.mapInArrow(_counted(sizes, part, gate), "print long, a long, doc long").repartition(parts, "print")
-        found = written(counts.groupBy("print").agg(F.sum("a").alias("a"), F.min("doc").alias("doc"))
+        counts = texts.mapInArrow(_counted(sizes, part, gate), "print long, digest long, a long, doc long").repartition(parts, "print")
+        found = written(counts.groupBy("print", "digest").agg(F.sum("a").alias("a"), F.min("doc").alias("doc"))
                         .filter(F.col("a") >= MIN_COUNT), "frequent-prints")
-        gate = _gate(found, filter_bytes)
+        if sizes != LEVELS[-1]:
+            gate = _gate(found, filter_bytes)
         frequent = found if frequent is None else frequent.unionByName(found)
-    spelled = texts.mapInArrow(_spelled(_gate(frequent, filter_bytes)),
-                               "lang string, n int, phrase string, a long, doc long")
-    return (spelled.groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a"), F.min("doc").alias("doc"))
-            .filter(F.col("a") >= MIN_COUNT))
+    spelled = written(texts.mapInArrow(_spelled(_gate(frequent, filter_bytes, pointers=True)),
+                                       "print long, digest long, lang string, n int, phrase string, words long"), "spelled")
+    totals = spelled.filter(F.col("n") == 0).groupBy("lang").agg(F.sum("words").alias("a")).select(
+        "lang", F.lit(0).alias("n"), F.lit("").alias("phrase"), "a", F.lit(NO_DOC).alias("doc"))
+    texts = spelled.filter(F.col("n") > 0).select("print", "digest", "lang", "n", "phrase").distinct()
+    return texts.join(frequent, ["print", "digest"]).select("lang", "n", "phrase", "a", "doc").unionByName(totals)
 
 
 def scored(phrases: DataFrame) -> DataFrame:
@@ -321,7 +291,8 @@ def scored(phrases: DataFrame) -> DataFrame:
     part = phrases.filter((F.col("n") >= 1) & (F.col("n") < LONGEST))
     left = part.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
     right = part.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
-    total = phrases.filter(F.col("n") == 0).select("lang", F.col("a").alias("n"))
+    # a row per language: written, so that the planner knows its size
+    total = written(phrases.filter(F.col("n") == 0).select("lang", F.col("a").alias("n")), "words-per-language")
     d = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r")}
     cuts = (cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(total, "lang")
             .withColumns({"over": d["a"] * d["n"] * F.lit(1000).cast("decimal(4,0)"), "under": d["l"] * d["r"]})

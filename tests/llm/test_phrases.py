@@ -82,7 +82,9 @@ def test_slices_and_blocks_lose_no_gram(monkeypatch):
     def counts():
         out = Counter()
         for lang, grams, giants in phrases._blocks(iter([batch])):
-            assert len(set(grams.word_numbers().tolist())) == len({grams.text(k, 1, giants) for k in range(len(grams.starts))})
+            for side in (0, 1):
+                assert len(set(grams.prints(grams.whole(1), 1, side).tolist())) == len(
+                    {grams.text(k, 1, giants) for k in grams.whole(1).tolist()})
             for n in range(1, 6):
                 out.update((lang, n, grams.text(k, n, giants)) for k in grams.whole(n).tolist())
         return out
@@ -100,35 +102,22 @@ def test_slices_and_blocks_lose_no_gram(monkeypatch):
     assert counts() == plain_counts
 
 
-def test_words_of_one_hash_are_told_apart(monkeypatch):
-    import numpy as np
-    grams = phrases.Grams("x", [b"one two one three threes one", b"abcdefgh abcdefghi abcdefgh abcdefgj"], [0, 0], [1, 2])
-    words = [grams.text(k, 1, {}) for k in range(10)]
-    grams.words = np.zeros(10, np.uint64)
-    numbers = grams.word_numbers()
-    assert all((numbers[i] == numbers[j]) == (words[i] == words[j]) for i in range(10) for j in range(10))
-
-
 def test_equal_fingerprints_of_unlike_texts(monkeypatch):
-    """All fingerprints of a length collide: the spelled counts stay exact."""
+    """All fingerprints of a length collide: the digests keep the counts apart."""
     import numpy as np
     import pyarrow as pa
-    from podium.llm.bloom import Shards, filled
     batch = pa.RecordBatch.from_pydict({"d": pa.array([1, 2], pa.int64()),
                                         "t": pa.array([b"a b a. b c", b"a b"], pa.binary()), "l": ["x", "x"]})
-    monkeypatch.setattr(phrases.Grams, "prints", lambda self, starts, n: np.full(len(starts), n, np.uint64))
-    shards = Shards({0: 5})
-    key = pa.RecordBatch.from_pydict({"p": pa.array(range(1, 6), pa.int64())})
-    got = next(filled(shards, lambda b: [(0, b.column(0).to_numpy().view(np.uint64))])(iter([key])))
-    table = np.zeros((shards.total, 8), np.uint64)
-    table[got.column(0).to_numpy()] = np.stack([got.column(i).to_numpy().view(np.uint64) for i in range(1, 9)], 1)
-
-    class Gate:
-        value = shards, table
-
-    rows = next(phrases._spelled(Gate)(iter([batch]))).to_pylist()
-    got = {r["phrase"]: (r["a"], r["doc"]) for r in rows if r["n"]}
-    assert got == {"a": (3, 1), "b": (3, 1), "c": (1, 1), "a b": (2, 1), "b a": (1, 1), "b c": (1, 1), "a b a": (1, 1)}
+    plain_prints = phrases.Grams.prints
+    monkeypatch.setattr(phrases.Grams, "prints", lambda self, at, n, side=0: plain_prints(
+        self, at, n, side) if side else np.full(len(at), n, np.uint64))
+    counts, first = Counter(), {}
+    for rows in phrases._counted((1, 2, 3), None, None)(iter([batch])):
+        for r in rows.to_pylist():
+            counts[r["print"], r["digest"]] += r["a"]
+            first[r["print"], r["digest"]] = min(r["doc"], first.get((r["print"], r["digest"]), 99))
+    assert sorted((k[0], a, first[k]) for k, a in counts.items()) == [
+        (1, 1, 1), (1, 3, 1), (1, 3, 1), (2, 1, 1), (2, 1, 1), (2, 2, 1), (3, 1, 1)]
 
 
 def test_exact_products(spark):
