@@ -1,27 +1,40 @@
 """Token ids of whole texts with a public byte-level BPE tokenizer.
 
-The library's tokenizer cuts a text into pre-tokens and encodes each by itself. A cut before
-a lone space is always a pre-token border, so a text's ids are the ids of its space-separated
-pieces in order, and each distinct piece is encoded once per task. A text with a space
-between two white-space characters is encoded whole, since a run of white space is one
-pre-token there. The string of an added token in a text gets that token's id, as in the
-library with ``add_special_tokens=False``.
+The library's tokenizer cuts a text into pre-tokens and encodes each by itself, so a text's ids are
+those of its pieces in order wherever the cuts between pieces are borders of pre-tokens. Sure borders are
+found in numpy on the texts' bytes: before a lone space, around a lone line end, and between ASCII
+(or Latin-1) letters, ASCII digits and ASCII signs; nothing is cut next to other characters, in
+white space or behind an apostrophe. Equal pieces of a block are found by their bytes, and each distinct one
+is encoded once; a memo keeps the ids of short pieces. Both block and memo are bounded by
+bytes, and a long piece is encoded by itself and kept nowhere. The string of an added token in a text gets that token's id, as in
+the library with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from podium.llm.common import PieceTable, blocks
+from podium.llm.common import blocks
+from podium.llm.spans import span_heads
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-_STOPS = ".,;:!?"
-_RUN = re.compile(r"\s \s")
+WINDOW = 1 << 20  # bytes whose pieces are found at once
+LONGEST = 256  # bytes of a piece that is kept
+MEMO_BYTES = 48 << 20
+
+# kinds of bytes: borders of pre-tokens lie between letters, digits and signs
+_OTHER, _SPACE, _LETTER, _DIGIT, _SIGN = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[range(48, 58)] = _DIGIT
+_KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = _SIGN
+_APOSTROPHE = ord("'")
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -31,18 +44,20 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def _units(piece: str) -> tuple[str, ...]:
-    """``piece`` cut at sure pre-token borders: lone line ends, and stops after a letter."""
-    if "\n" in piece[1:-1]:
-        before, _, after = piece.partition("\n")
-        if before and after and not before[-1].isspace() and not after[0].isspace():
-            return (*_units(before), "\n", *_units(after))
-        return (piece,)
-    if piece and piece[-1] in _STOPS:
-        word = piece.rstrip(_STOPS)
-        if word and word[-1].isalpha():
-            return word, piece[len(word):]
-    return (piece,)
+def borders(data: np.ndarray) -> np.ndarray:
+    """Places of ``data`` (UTF-8 bytes of text) before which a pre-token surely ends."""
+    kind = _KIND[data]
+    # the two bytes of a Latin-1 letter count as a letter (0xD7 and 0xF7 are signs)
+    lead = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+    kind[lead] = kind[lead + 1] = _LETTER
+    solid = kind >= _LETTER  # certainly no white space
+    cut = np.zeros(len(data), bool)
+    change = solid[1:] & solid[:-1] & (kind[1:] != kind[:-1]) & (data[:-1] != _APOSTROPHE)
+    cut[1:] = change
+    lone = np.flatnonzero(((data[1:-1] == 32) | (data[1:-1] == 10)) & solid[:-2] & solid[2:]) + 1
+    cut[lone] = True
+    cut[lone[data[lone] == 10] + 1] = True
+    return np.flatnonzero(cut)
 
 
 @functools.lru_cache(maxsize=2)
@@ -54,36 +69,115 @@ def encoder(vocabulary: str = DEFAULT_VOCABULARY) -> TokenEncoder:
 class TokenEncoder:
     """Ids of many texts at once. ``vocabulary`` is a file name of the public set or a path."""
 
-    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, limit: int = 800_000):
+    def __init__(self, vocabulary: str = DEFAULT_VOCABULARY, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per Spark task
         from tokenizers import Tokenizer
 
         path = vocabulary if "/" in vocabulary else vocabulary_path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = PieceTable(self._encode, np.uint32, limit)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of new pieces; their words are encoded once however they are punctuated."""
-        units = [_units(x) for x in texts]
-        new = list({u for us in units for u in us})
-        found = dict(zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)))
-        found = {u: x.ids for u, x in found.items()}
-        return [found[us[0]] if len(us) == 1 else [i for u in us for i in found[u]] for us in units]
-
-    def _split(self, text: str) -> list[str]:
-        if _RUN.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        spaced = [" " + x for x in rest]
-        return [first, *spaced] if first else spaced
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = sorted({t.content.encode() for t in added if t.content})
+        self.memo_bytes = memo_bytes
+        self._reset()
+
+    def _reset(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.size = 0
+        self.starts = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.values = np.zeros(0, np.uint32)
+
+    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _codes(self, pieces: list[bytes]) -> np.ndarray:
+        """Memo numbers of distinct short pieces; new ones are encoded."""
+        if self.size > self.memo_bytes:
+            self._reset()
+        new = [p for p in pieces if p not in self.index]
+        if new:
+            found = self._ids(new)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+            self.size += sum(map(len, new)) + 150 * len(new) + 4 * int(lengths.sum())
+            self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
+            self.values = np.concatenate([self.values, flat])
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+
+    def _pieces(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rising spans of ``data`` in order, and how many each has; none is long."""
+        head = span_heads(data, starts, ends)
+        first = head == np.arange(len(head))
+        distinct = np.flatnonzero(first)
+        codes = self._codes([data[a:b] for a, b in zip(starts[distinct].tolist(), ends[distinct].tolist())])
+        codes = codes[(np.cumsum(first) - 1)[head]]
+        lengths = self.lengths[codes]
+        last = np.cumsum(lengths)
+        at = np.repeat(self.starts[codes] - (last - lengths), lengths) + np.arange(int(last[-1]) if len(last) else 0)
+        return self.values[at], lengths
+
+    def _inside_added(self, data: bytes) -> np.ndarray:
+        """Places inside the string of an added token, where nothing is cut."""
+        places = []
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                places.append(np.arange(at + 1, at + len(token)))
+                at = data.find(token, at + 1)
+        return np.concatenate(places) if places else np.zeros(0, np.int64)
+
+    def _spans(self, data: bytes, ends: np.ndarray) -> Iterator[np.ndarray]:
+        """Bounds of the pieces of ``data``, window by window; texts end at ``ends``."""
+        view = np.frombuffer(data, np.uint8)
+        total, start = int(ends[-1]) if len(ends) else 0, 0
+        inside = self._inside_added(data)
+        for low in range(0, total, WINDOW):
+            high = min(total, low + WINDOW)
+            # a border depends on the bytes around it; those of the neighbouring windows count
+            near = max(0, low - 4)
+            cuts = borders(view[near:min(total, high + 4)]) + near
+            if len(inside):
+                cuts = cuts[~np.isin(cuts, inside)]
+            texts = ends[np.searchsorted(ends, low, side="right"):np.searchsorted(ends, high, side="right")]
+            bounds = np.unique(np.concatenate([[start], cuts[(cuts > low) & (cuts <= high)], texts]))
+            bounds = bounds[bounds >= start]
+            if len(bounds) > 1:
+                yield bounds
+                start = int(bounds[-1])
+        if start < total:
+            yield np.array([start, total], np.int64)
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and counts per text."""
+        raw = [t.encode() for t in texts]
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        data = b"".join([*raw, bytes(8)])
+        values, counts = [], np.zeros(len(raw) + 1, np.int64)
+        for bounds in self._spans(data, ends):
+            starts, stops = bounds[:-1], bounds[1:]
+            text = np.searchsorted(ends, starts, side="right")
+            long = np.flatnonzero(stops - starts > LONGEST)
+            for first, last, i in zip([0, *(long + 1).tolist()], [*long.tolist(), len(starts)], [*long.tolist(), None]):
+                if last > first:
+                    ids, lengths = self._pieces(data, starts[first:last], stops[first:last])
+                    values.append(ids)
+                    np.add.at(counts, text[first:last], lengths)
+                if i is not None:
+                    ids = np.array(self._ids([data[starts[i]:stops[i]]])[0], np.uint32)
+                    values.append(ids)
+                    counts[text[i]] += len(ids)
+        return (np.concatenate(values) if values else np.zeros(0, np.uint32)), counts[:-1]
 
     def encode(self, texts: Iterable[str | None], n: int, end_id: int | None = None,
-               size: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+               size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``n`` texts in order (each followed by ``end_id``), and counts per text."""
         parts: list[np.ndarray] = []
         counts = np.zeros(n, np.int64)
         for chunk, rows in blocks(texts, size):
-            values, lengths = self.pieces.flat([self._split(x) for x in chunk])
+            values, lengths = self._block(chunk)
             parts.append(values)
             np.add.at(counts, rows, lengths)
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)

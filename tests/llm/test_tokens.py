@@ -44,7 +44,7 @@ def test_piecewise_ids_equal_whole_ids():
     rng = random.Random(1)
     alphabet = "ab  \n\t'sé1! 　\x1c日"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
-    encoder = TokenEncoder(limit=500)
+    encoder = TokenEncoder(memo_bytes=50_000)
     for size in (50, 2_000_000):
         ids, counts = encoder.encode(texts, len(texts), size=size)
         at = np.concatenate([[0], np.cumsum(counts)])
@@ -52,6 +52,36 @@ def test_piecewise_ids_equal_whole_ids():
             assert ids[at[i]:at[i + 1]].tolist() == ids_of(text), repr(text)
 
 
+def test_borders_of_all_kinds_are_sure(monkeypatch):
+    """Any mix of letters, digits, signs, contractions and white space, cut in tiny windows too."""
+    from tokenizers import Tokenizer
+
+    from podium.llm import tokens
+
+    plain = Tokenizer.from_file(vocabulary_path())
+    rng = random.Random(9)
+    parts = ["don't", "'s", "'ll", "''", "!'s", "it's5", "a1", "1a", "x.y", "\u00e9", "\u00d7", "\u00c3\u00a0", "\u00aa", "\u0142",
+             "\u00b2", "\u2003", "\u00a0", "\u3000", "\x85", "\u200b", "\u00c3", "_", "-", ".", "word", "Wort", "9", " ", " ", " ",
+             "  ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x7f", "\U0001f600", "<|endoftext|>", "\u0301"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["    indented\n        code(x)\n" * 200, "x" * 700 + " " + "1a" * 400, "a b " * 300]
+    want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    for window in (tokens.WINDOW, 61):
+        monkeypatch.setattr(tokens, "WINDOW", window)
+        ids, counts = TokenEncoder(memo_bytes=200_000).encode(texts, len(texts), size=1 << 16)
+        at = np.concatenate([[0], np.cumsum(counts)])
+        for i, text in enumerate(texts):
+            assert ids[at[i]:at[i + 1]].tolist() == want[i], repr(text)
+
+
+def test_memory_of_the_memo_is_bounded_by_bytes():
+    encoder = TokenEncoder(memo_bytes=300_000)
+    rng = random.Random(3)
+    for _ in range(20):
+        encoder.encode([" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(1500)) + "  " + "z" * 5000], 1)
+        assert encoder.size < 900_000 and max(map(len, encoder.index)) <= 256
+
+
 def test_added_tokens_keep_their_id():
     from tokenizers import Tokenizer
 
@@ -59,7 +89,7 @@ def test_added_tokens_keep_their_id():
     rng = random.Random(2)
     parts = ["<|endoftext|>", "<|endoftext|", "a", "b.", " ", "  ", "\n", "\t", "é!", "日"]
     texts = ["a <|endoftext|> b"] + ["".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(3000)]
-    ids, counts = TokenEncoder(limit=500).encode(texts, len(texts))
+    ids, counts = TokenEncoder(memo_bytes=50_000).encode(texts, len(texts))
     at = np.concatenate([[0], np.cumsum(counts)])
     assert ids[:at[1]].tolist() == [64, 220, 50256, 275]
     for i, text in enumerate(texts):
