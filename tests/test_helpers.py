@@ -108,3 +108,33 @@ def test_window_rank_kinds(spark):
     for kind, want in (("row_number", [1, 2, 3]), ("rank", [1, 1, 3]), ("dense_rank", [1, 1, 2])):
         got = sorted(r.r for r in window_rank(df, ["g"], [("v", "desc")], "r", kind).collect())
         assert got == want, kind
+
+
+def test_entry_keeps_its_keys_without_the_corpus_operators():
+    """A missing library, a left-over folder without modules, or no folder at all."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for left in ("nothing", "folder", "broken"):
+        copy = tempfile.mkdtemp(prefix="podium-entry-")
+        for path, _, names in os.walk(f"{root}/podium"):
+            if path.split("/")[-1] in ("llm", "__pycache__"):
+                continue
+            os.makedirs(path.replace(root, copy), exist_ok=True)
+            for n in names:
+                with open(f"{path}/{n}", "rb") as a, open(f"{path.replace(root, copy)}/{n}", "wb") as b:
+                    b.write(a.read())
+        with open(f"{root}/__spark_entry__.py") as a, open(f"{copy}/__spark_entry__.py", "w") as b:
+            b.write(a.read())
+        if left != "nothing":
+            os.makedirs(f"{copy}/podium/llm")
+        if left == "broken":
+            for n, text in (("__init__", ""), ("oracle", "SQL = {}"), ("queries", "import no_such_library")):
+                with open(f"{copy}/podium/llm/{n}.py", "w") as f:
+                    f.write(text)
+        code = "import __spark_entry__ as e; q = e.queries(); print(len(q), set(e.oracle_sql()) <= set(q), any(k[:2] == 'op' and k[2].isdigit() for k in q))"
+        out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=copy, capture_output=True, text=True,
+                             env=os.environ | {"PYTHONPATH": copy})
+        assert out.stdout.split()[1:] == ["True", "False"] and int(out.stdout.split()[0]) >= 60, out.stderr
