@@ -7,8 +7,8 @@ set so that the mean score of the unlabelled texts is the prior, as it must be.
 share of toxic texts among all distinct labelled training texts, an aggregate over the tables.
 
 Features of a text are its distinct words and the beginnings of words, hashed into
-``FEATURES`` bins. Fitting uses a bounded sample of training rows (``POSITIVES`` and
-``UNLABELLED`` rows with the lowest hash of their id), of which near copies are left out, as
+``FEATURES`` bins. Fitting uses a bounded sample of training rows (about ``POSITIVES`` and
+``UNLABELLED`` rows, picked by hash as they are read), of which near copies are left out, as
 copies of one text would make all its words look telling. Bins keep weight zero unless they are
 at least ``LIFT`` times as telling as a word that only toxic texts hold, beyond chance. Every row is scored on its whole
 text in the tasks that read it; the model is one array of ``FEATURES`` floats.
@@ -88,9 +88,15 @@ def _signature(text: str) -> list[int]:
 _SALTS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
 
+def _share(n: int, total: int, *columns: str) -> Column:
+    """Rows whose hash falls in a share of the hashes that holds about ``n`` of ``total`` rows."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < F.lit(-(-n * (1 << 40) // max(n, total, 1)))
+
+
 def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
-    """Distinct bins of the ``n`` rows with the lowest id hash (bounded by ``n``), without
-    rows that share a signature part with an earlier one."""
+    """Distinct bins of ``rows`` (some ``n``, picked by hash; those of the lowest hashes), without
+    rows that share a signature part with an earlier one. The tasks that read a text make its
+    bins; only these reach the driver."""
     def to_bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = PieceTable(_bins, np.int32)
         for batch in batches:
@@ -98,14 +104,14 @@ def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
             for bins, owner, counts in features(batch["text"].tolist(), pieces):
                 for i, part in zip(owner, np.split(bins, np.cumsum(counts)[:-1])):
                     found[i] = np.union1d(found[i], part).astype(np.int32)
-            yield pd.DataFrame({"bins": [x.tobytes() for x in found],
+            yield pd.DataFrame({"hash": batch["hash"], "bins": [x.tobytes() for x in found],
                                 "signature": [_signature(x or "") for x in batch["text"]]})
 
-    picked = (rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(n)
-              .select("text").mapInPandas(to_bins, "bins binary, signature array<long>"))
+    picked = (rows.select(F.xxhash64("doc_id", "text").alias("hash"), "text")
+              .mapInPandas(to_bins, "hash long, bins binary, signature array<long>"))
     seen: set[tuple[int, int]] = set()
     kept = []
-    for row in picked.collect():
+    for row in sorted(picked.collect(), key=lambda r: (r["hash"], r["bins"]))[:n]:
         parts = set(enumerate(row["signature"]))
         if not parts & seen:
             kept.append(np.frombuffer(row["bins"], np.int32))
@@ -119,10 +125,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
              .groupBy("doc_id").agg(F.max("toxic").alias("label")))
     rows = docs.select("doc_id", "text").where(crc_mod("doc_id", 4) != 2)
     texts = rows.select("doc_id", F.xxhash64("text").alias("text_key")).join(known, "doc_id")
-    prior = texts.groupBy("text_key").agg(F.max("label").alias("label")).agg(F.avg("label")).first()[0] or 0.0
-    prior = min(max(prior, 1e-3), 0.9)
-    toxic = rows.join(known.where("label = 1").select("doc_id"), "doc_id", "left_semi")
-    positive, unlabelled = _sample(toxic, POSITIVES), _sample(rows, UNLABELLED)
+    sums = texts.groupBy("text_key").agg(F.max("label").alias("label"), F.sum("label").alias("toxic")).agg(
+        F.avg("label").alias("prior"), F.sum("toxic").alias("toxic")).first()
+    prior = min(max(sums["prior"] or 0.0, 1e-3), 0.9)
+    # at most about POSITIVES ids, so their broadcast is bounded and no text is shuffled
+    ids = texts.where("label = 1").select("doc_id").where(_share(POSITIVES, sums["toxic"] or 0, "doc_id")).distinct()
+    toxic = rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    positive = _sample(toxic, POSITIVES)
+    unlabelled = _sample(rows.where(_share(UNLABELLED, rows.count(), "doc_id", "text")), UNLABELLED)
     bias = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.zeros(FEATURES, np.float32), bias)
