@@ -101,3 +101,25 @@ def full_name(first, last, sep: str = " ") -> Column:
 def rstrip_chars(c, chars: str) -> Column:
     """Trim blanks, then strip any trailing characters of ``chars`` (and blanks again)."""
     return F.trim(F.rtrim(F.trim(_c(c)), F.lit(chars)))
+
+
+def distinct_names(names) -> Column:
+    """An array of names as keys: blank or null ones become ``column <n>``, a name that came before
+    gets its number appended; should some still be equal, all are led by their number."""
+    filled = F.transform(_c(names), lambda x, i: F.when(F.trim(x) != "", x).otherwise(
+        F.concat(F.lit("column "), (i + 1).cast("string"))))
+
+    def numbered(all_):
+        return F.transform(all_, lambda x, i: F.when(F.array_position(all_, x) == i + 1, x)
+                           .otherwise(F.concat(x, F.lit(" "), (i + 1).cast("string"))))
+
+    def led(all_):
+        return F.when(F.size(F.array_distinct(all_)) == F.size(all_), all_).otherwise(
+            F.transform(all_, lambda x, i: F.concat((i + 1).cast("string"), F.lit(": "), x)))
+
+    return bind(bind(filled, numbered), led)
+
+
+def bind(value, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), body)[0]

@@ -761,3 +761,47 @@ SELECT o_custkey, 1, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orders
        o_orderstatus, NULL, NULL, NULL, NULL, NULL, count(*)
 FROM orders GROUP BY o_custkey, o_orderstatus
 """
+
+DOCUMENT_LINES = """
+l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+      FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents WHERE text IS NOT NULL)),
+h AS (SELECT *, min(CASE WHEN regexp_matches(line, '^([^ ]+ ){9,}') THEN line_no END) OVER (PARTITION BY rid) AS hdr FROM l)
+"""
+
+SQL["text_rows_header"] = f"""
+WITH {DOCUMENT_LINES}
+SELECT doc_id, line_no, regexp_extract(line, '(?s)^([^ ]+) (.+)', 1) AS word,
+       regexp_extract(line, '(?s)^([^ ]+) (.+)', 2) AS rest
+FROM h WHERE line_no > hdr AND regexp_matches(line, '(?s)^([^ ]+) (.+)')
+"""
+
+SQL["headerless_documents"] = f"""
+WITH {DOCUMENT_LINES}
+SELECT DISTINCT doc_id FROM h WHERE hdr IS NULL
+UNION ALL SELECT doc_id FROM documents WHERE text IS NULL
+"""
+
+SQL["label_zip_repeated"] = """
+SELECT event_id, event_type AS kind, value AS amount, user_id AS who FROM events
+"""
+
+SQL["rejects"] = f"""
+WITH {DOCUMENT_LINES},
+found AS (
+  SELECT 'text' AS reader, CASE WHEN hdr IS NULL THEN 'header not found' WHEN line_no < hdr THEN 'before header'
+         WHEN line_no = hdr THEN 'header' WHEN NOT regexp_matches(line, '(?s)^([^ ]+) (.+)') THEN 'no match'
+         ELSE 'kept' END AS reason FROM h
+  UNION ALL
+  SELECT 'layout', CASE event_type WHEN 'click' THEN 'kept' WHEN 'view' THEN 'kept' WHEN 'purchase' THEN '5 cells'
+         ELSE '2 cells' END FROM events
+  UNION ALL
+  SELECT 'json', CASE page % 7 WHEN 1 THEN 'not json' WHEN 2 THEN 'no data' WHEN 3 THEN 'unknown shape' ELSE 'kept' END
+  FROM (SELECT DISTINCT event_id // 50 AS page FROM events)
+  UNION ALL
+  SELECT 'csv', CASE WHEN c_custkey % 11 = 0 THEN 'bad cell in c_custkey' WHEN c_custkey % 9 = 0 THEN 'bad cell in c_acctbal'
+         ELSE 'kept' END FROM customer)
+SELECT reader, reason, count(*) AS n_rows, CAST(sum(count(*)) OVER (PARTITION BY reader) AS BIGINT) AS input_rows,
+       true AS complete
+FROM found GROUP BY reader, reason
+"""

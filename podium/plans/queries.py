@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from podium.functions.division import age_class_dash, age_class_words, division_from_prefix, division_map
 from podium.functions.numbers import clock_seconds, first_int, lenient_int, round_half_up
@@ -24,8 +25,10 @@ from podium.operators.team import (guard_membership, team_event_points, team_eve
 from podium.plans import testbed as tb
 from podium.rules import LEGACY
 from podium.session import cut_lineage
-from podium.sources.markup import LIST_ITEM, html_rows, html_table, text_rows
-from podium.sources.nested import apply_layouts, labelled_rows, read_json_rows, zip_labels
+from podium.sources import rejects
+from podium.sources.files import file_layouts, read_lines
+from podium.sources.markup import LIST_ITEM, html_rows, html_table, text_rows, without_header
+from podium.sources.nested import apply_layouts, json_documents, labelled_rows, read_json_rows, zip_labels
 from podium.streaming.incremental import drain, file_stream, run_rescoring_stream, stream_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -503,6 +506,55 @@ def q_text_rows(spark, sf_dir):
     return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "word", "rest")
 
 
+HEADER_PAT, LINE_PAT = r"^([^ ]+ ){9,}", r"(?s)^([^ ]+) (.+)"
+
+
+@register("text_rows_header")
+def q_text_rows_header(spark, sf_dir):
+    """Lines behind each document's header, the first line of nine words or more."""
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = text_rows(docs, "text", LINE_PAT, ["word", "rest"], HEADER_PAT, keep=["doc_id"])
+    return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "word", "rest")
+
+
+@register("headerless_documents")
+def q_headerless_documents(spark, sf_dir):
+    return without_header(tb.table(spark, sf_dir, "documents"), "text", HEADER_PAT).select("doc_id")
+
+
+@register("label_zip_repeated")
+def q_label_zip_repeated(spark, sf_dir):
+    rows = labelled_rows(tb.json_labelled_pages(spark, sf_dir, tb.REPEATED_LABELS), "body", keep=["page"])
+    fields = F.col("fields")
+    return zip_labels(rows, "labels", offset=2).select(
+        fields["Bib"].cast("long").alias("event_id"), fields["Kind"].alias("kind"),
+        fields["Kind 3"].cast("double").alias("amount"), fields["column 4"].cast("long").alias("who"))
+
+
+@register("rejects")
+def q_rejects(spark, sf_dir):
+    """Four readers over input with flaws: rows kept and rejected, by reader and reason."""
+    rows = F.count(F.lit(1)).alias("n_rows")
+    pages, cells = tb.broken_json_pages(spark, sf_dir), tb.ragged_cells(spark, sf_dir)
+    docs = tb.table(spark, sf_dir, "documents").select("doc_id", "text")
+    customer = tb.table(spark, sf_dir, "customer")
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                           T.StructField("c_acctbal", T.DoubleType())])
+    lines = read_lines(spark, tb.customer_csv(spark, sf_dir))
+    cast = rejects.csv_casts(lines, cut_lineage(file_layouts(lines, {f.name: f.name for f in schema.fields}), "layouts"), schema)
+    layouts = {4: ["event_id", "event_type", "value", "user_id"], 3: ["event_id", "event_type", "user_id"]}
+    text_input = docs.select(F.explode(F.split("text", "\n")))
+    out = rejects.union_rejects([
+        rejects.json_rejects(pages, "page"), rejects.layout_rejects(cells, layouts, "event_id", "event_id"),
+        rejects.text_rejects(docs, "doc_id", "text", LINE_PAT, HEADER_PAT), rejects.csv_rejects(cast)])
+    kept = {"json": json_documents(pages).filter(F.col("__entries").isNotNull()).agg(rows),
+            "layout": apply_layouts(cells, layouts).agg(rows),
+            "text": text_rows(docs, "text", LINE_PAT, ["word"], HEADER_PAT).agg(rows),
+            "csv": cast.filter(F.col("reason").isNull()).agg(rows)}
+    return rejects.balance(kept, out, {"json": pages.agg(rows), "layout": cells.agg(rows),
+                                       "text": text_input.agg(rows), "csv": customer.agg(rows)})
+
+
 # --- streaming -------------------------------------------------------------------
 
 @register("stream_event_points")

@@ -259,17 +259,50 @@ def json_map_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABELS = ("Bib", "Kind", "Amount", "Who")
 
 
-def json_labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_labelled_pages(spark: SparkSession, sf_dir: str, labels=LABELS) -> DataFrame:
     """Pages with a heading list and a result set; cell 1 is a row tag without label."""
     cells = event_cells(spark, sf_dir).withColumn(
         "cells", F.concat(F.array(F.concat(F.lit("r"), F.col("event_id").cast("string"))), F.col("cells")))
-    headings = F.array(*[F.struct(F.lit(h).alias("key")) for h in LABELS])
+    headings = F.array(*[F.struct(F.lit(h).alias("key")) for h in labels])
     return (cells.groupBy("page")
             .agg(F.to_json(F.struct(headings.alias("headings"),
                                     F.struct(_sorted_rows().alias("results")).alias("resultSet")))
                  .alias("body")))
 
 
+REPEATED_LABELS = ("Bib", "Kind", "Kind", " ")
+
+
+def broken_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list pages, some of them cut off, without data, or with data of no known shape."""
+    kind = F.col("page") % 7
+    return json_list_pages(spark, sf_dir).withColumn(
+        "body", F.when(kind == 1, F.expr("substring(body, 1, length(body) - 3)")).when(kind == 2, '{"rows": []}')
+        .when(kind == 3, '{"data": 7}').otherwise(F.col("body")))
+
+
+def ragged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, cells): events as rows of two to five cells, by their type."""
+    e = table(spark, sf_dir, "events")
+    sid, typ = F.col("event_id").cast("string"), F.col("event_type")
+    val, uid = F.col("value").cast("string"), F.col("user_id").cast("string")
+    return e.select("event_id", (
+        F.when(typ == "click", F.array(sid, typ, val, uid)).when(typ == "view", F.array(sid, typ, uid))
+        .when(typ == "purchase", F.array(sid, typ, val, uid, F.col("props"))).otherwise(F.array(sid, typ))).alias("cells"))
+
+
+def customer_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of headed CSV files of the customers, with texts where a number belongs and empty cells."""
+    from podium.session import shared_path
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    key = F.col("c_custkey")
+    path = shared_path(spark, "customer-csv")
+    c.select(F.when(key % 11 == 0, F.lit("first, or last")).otherwise(key.cast("string")).alias(" C_CustKey"), "c_name",
+             F.when(key % 9 == 0, F.lit("n/a")).when(key % 9 != 1, F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+             "c_mktsegment").write.option("header", True).csv(path)
+    return path
+
+
 def part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
     return p.withColumn("given", F.initcap("p_name"))

@@ -82,3 +82,12 @@ AGE_BANDS = T.StructType([
     T.StructField("upper", T.IntegerType()),
     T.StructField("age_group", T.StringType()),
 ])
+
+# What a reader could not turn into rows: which reader, file or document, line or row, its text, and why
+REJECTS = T.StructType([
+    T.StructField("reader", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("line_no", T.LongType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])

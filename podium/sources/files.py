@@ -101,7 +101,8 @@ def bind_by_header(lines: DataFrame, layouts: DataFrame, keep: Sequence[str] = (
     """
     data = lines.filter(F.trim("line") != "").join(layouts.select("file", "head_id", "columns"), "file").filter(
         (F.col("block_start") != 0) | (F.col("line_id") != F.col("head_id")))
-    return data.withColumn("__cells", csv_cells("line")).select(*keep, "file", "line_id", F.map_from_arrays(
+    named = data.withColumn("__cells", csv_cells("line"))
+    return named.select(*keep, "file", "line_id", F.map_from_arrays(
         F.transform("columns", lambda c: c["name"]),
         F.transform("columns", lambda c: F.get("__cells", c["position"]))).alias("cells"))
 

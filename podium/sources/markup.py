@@ -12,6 +12,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.functions.text import bind, distinct_names
+
 # ---------------------------------------------------------------------------
 # Default markup patterns (parameters of html_rows)
 # ---------------------------------------------------------------------------
@@ -86,11 +88,6 @@ def _cells(row) -> Column:
 _ENTRY = "struct<text:string,header:boolean,rows:int>"
 
 
-def _bind(value, body) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _grid_row(above, cells) -> Column:
     """One row of the grid: columns still spanned from above keep their entry, cells take the others in order."""
     n = F.size(above)
@@ -109,7 +106,7 @@ def _grid_row(above, cells) -> Column:
 
         return F.transform(F.slice(columns, F.lit(1), width), entry)
 
-    return _bind(F.filter(columns, lambda c: ~spanned(c)), row)
+    return bind(F.filter(columns, lambda c: ~spanned(c)), row)
 
 
 def grid(rows) -> Column:
@@ -122,7 +119,7 @@ def grid(rows) -> Column:
     start = F.struct(empty.alias("above"), F.array().cast(f"array<array<{_ENTRY}>>").alias("done"))
 
     def step(state, row):
-        return _bind(_cells(row).cast(f"array<{_ENTRY}>"), lambda cells: _bind(
+        return bind(_cells(row).cast(f"array<{_ENTRY}>"), lambda cells: bind(
             _grid_row(state["above"], cells),
             lambda g: F.struct(g.alias("above"), F.array_append(state["done"], g).alias("done"))))
 
@@ -132,25 +129,13 @@ def grid(rows) -> Column:
 
 
 def column_names(header, width) -> Column:
-    """Names of ``width`` columns from a table's header rows (a grid).
-
-    The texts of a column from top to bottom, each once, joined by blanks; a column without any
-    is ``column <n>``; a name that came before gets its column's number appended. Should names
-    still be equal after that, all are led by their column's number.
-    """
+    """Names of ``width`` columns from a table's header rows (a grid): the texts of a column from
+    top to bottom, each once, joined by blanks; made distinct by ``distinct_names``."""
     def name(c):
         texts = F.transform(header, lambda r: F.coalesce(F.get(r, c)["text"], F.lit("")))
-        text = F.array_join(F.array_distinct(F.filter(texts, lambda t: t != "")), " ")
-        return F.when(text == "", F.concat(F.lit("column "), (c + 1).cast("string"))).otherwise(text)
+        return F.array_join(F.array_distinct(F.filter(texts, lambda t: t != "")), " ")
 
-    def numbered(names):
-        return F.transform(names, lambda x, i: F.when(F.array_position(names, x) == i + 1, x)
-                           .otherwise(F.concat(x, F.lit(" "), (i + 1).cast("string"))))
-
-    plain = F.transform(F.slice(F.sequence(F.lit(0), width), F.lit(1), width), name)
-    return _bind(_bind(plain, numbered), lambda names: F.when(
-        F.size(F.array_distinct(names)) == F.size(names), names).otherwise(
-        F.transform(names, lambda x, i: F.concat((i + 1).cast("string"), F.lit(": "), x))))
+    return distinct_names(F.transform(F.slice(F.sequence(F.lit(0), width), F.lit(1), width), name))
 
 
 def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
@@ -190,22 +175,29 @@ def without_header(docs: DataFrame, text: str, header_pat: str) -> DataFrame:
     return docs.filter(~F.exists(lines, lambda x: x.rlike(header_pat)))
 
 
+def numbered_lines(docs: DataFrame, text: str, header_pat: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., __hdr, line_no, line): all lines, with the number of their document's header.
+
+    The header is the first line matching ``header_pat`` (null if none does), by default line 0.
+    """
+    arr = F.split(F.col(text), "\n")
+    if header_pat is None:
+        header = F.lit(0)
+    else:
+        header = F.array_position(F.transform(arr, lambda x: x.rlike(header_pat)), F.lit(True)).cast("int") - 1
+        header = F.when(header >= 0, header)
+    return docs.select(*keep, header.alias("__hdr"), F.posexplode(arr).alias("line_no", "line"))
+
+
 def text_rows(docs: DataFrame, text: str, line_pat: str, names: Sequence[str],
               header_pat: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Lines after the header that match ``line_pat``, its groups named by ``names``.
 
     The header is the first line matching ``header_pat`` (default: the first line).
     Lines that do not match are skipped (``rlike`` first: a failed extract gives '').
-    Documents without a header yield nothing here; ``without_header`` returns them.
+    All other lines, and those of documents without a header, are in ``rejects.text_rejects``.
     """
-    arr = F.split(F.col(text), "\n")
-    if header_pat is None:
-        header = F.lit(0)
-    else:
-        indexed = F.transform(arr, lambda x, i: F.named_struct(F.lit("i"), i, F.lit("x"), x))
-        header = F.get(F.filter(indexed, lambda s: s["x"].rlike(header_pat)), 0)["i"]
-    lines = docs.select(*keep, header.alias("__hdr"), F.posexplode(arr).alias("line_no", "line"))
-    after = lines.filter(F.col("line_no") > F.col("__hdr")).drop("__hdr")
+    after = numbered_lines(docs, text, header_pat, keep).filter(F.col("line_no") > F.col("__hdr")).drop("__hdr")
     matched = after.filter(F.col("line").rlike(line_pat))
     return matched.select(*keep, "line_no", *[
         F.regexp_extract(F.col("line"), line_pat, i + 1).alias(n) for i, n in enumerate(names)])

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.functions.text import distinct_names
+
 ROWS = T.ArrayType(T.ArrayType(T.StringType()))
-LIST_DOC = T.StructType([T.StructField("data", ROWS)])
-MAP_DOC = T.StructType([T.StructField("data", T.MapType(T.StringType(), ROWS))])
 FIELDS_DOC = T.StructType([
     T.StructField("list", T.StructType([T.StructField(
         "Fields", T.ArrayType(T.StructType([T.StructField("Label", T.StringType())])))])),
@@ -33,29 +33,39 @@ def read_text_docs(spark, path: str, name: str = "body") -> DataFrame:
             .select(F.input_file_name().alias("source"), F.col("value").alias(name)))
 
 
+def json_documents(docs: DataFrame, body: str = "body", shape: str = "auto") -> DataFrame:
+    """``docs`` with ``__shape`` and ``__entries``; each body is parsed once, into a variant.
+
+    ``__shape`` is ``list`` for ``{"data": [[...], ...]}``, ``map`` for ``{"data": {race: [[...]]}}``, by the
+    variant's own schema, and otherwise the reason why a body is none of the shapes asked for:
+    ``not json``, ``no data`` or ``unknown shape``. ``__entries`` are (race, rows).
+    """
+    if shape not in ("auto", "list", "map"):
+        raise ValueError(f"unknown shape {shape}")
+    parsed = docs.withColumn("__variant", F.try_parse_json(F.col(body)))
+    data = F.try_variant_get(F.col("__variant"), "$.data", "variant")
+    form = F.schema_of_variant(data)
+    kind = (F.when(F.col("__variant").isNull(), "not json").when(data.isNull() | F.is_variant_null(data), "no data")
+            .when(form.rlike(r"^ARRAY<(ARRAY<|VOID|VARIANT)") & F.lit(shape != "map"), "list")
+            .when(form.startswith("OBJECT<") & F.lit(shape != "list"), "map").otherwise("unknown shape"))
+    races = T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", ROWS)]))
+    one = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.try_variant_get(data, "$", "array<array<string>>").alias("v")))
+    many = F.map_entries(F.try_variant_get(data, "$", "map<string,array<array<string>>>")).cast(races)
+    entries = F.when(F.col("__shape") == "list", one.cast(races)).when(F.col("__shape") == "map", many)
+    return parsed.withColumn("__shape", kind).withColumn("__entries", entries).drop("__variant")
+
+
 def read_json_rows(docs: DataFrame, body: str = "body", shape: str = "auto",
                    keep: Sequence[str] = ()) -> DataFrame:
     """JSON documents -> (keep..., race_key, row_no, cells).
 
     ``list``: ``{"data": [[...], ...]}`` (race_key null); ``map``: ``{"data": {race:
-    [[...]]}}``; ``auto``: each document by whichever shape parses (the other gives null).
+    [[...]]}}``; ``auto``: each document by its own shape. Documents of no such shape, rows that are no
+    lists and races without a list give no rows here: ``rejects.json_rejects`` returns them.
     """
-    as_list = F.from_json(F.col(body), LIST_DOC)["data"]
-    as_map = F.from_json(F.col(body), MAP_DOC)["data"]
-    entry_type = T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", ROWS)]))
-    list_entry = F.array(F.struct(F.lit(None).cast("string").alias("k"), as_list.alias("v")))
-    map_entries = F.map_entries(as_map).cast(entry_type)
-    if shape == "list":
-        entries = list_entry
-    elif shape == "map":
-        entries = map_entries
-    elif shape == "auto":
-        entries = F.when(as_list.isNotNull(), list_entry).otherwise(map_entries)
-    else:
-        raise ValueError(f"unknown shape {shape}")
-    races = docs.select(*keep, F.explode(entries).alias("__e"))
-    return races.select(*keep, F.col("__e.k").alias("race_key"),
-                        F.posexplode(F.col("__e.v")).alias("row_no", "cells"))
+    races = json_documents(docs, body, shape).select(*keep, F.explode("__entries").alias("__e"))
+    rows = races.select(*keep, F.col("__e.k").alias("race_key"), F.posexplode("__e.v").alias("row_no", "cells"))
+    return rows.filter(F.col("cells").isNotNull())
 
 
 def apply_layouts(rows: DataFrame, layouts: Mapping[int, Sequence[str | None]],
@@ -94,13 +104,13 @@ def zip_labels(rows: DataFrame, labels: Column | str, cells: str = "cells",
     """Name a positional slice of each row by a label list from the document.
 
     Adds a ``fields`` map label -> cell for cells ``offset .. offset+length-1``
-    (1-based); read single fields with ``fields[label]``.
+    (1-based); read single fields with ``fields[label]``. A label that came before and a blank one
+    are named as in ``distinct_names``; a row that ends early has null fields.
     """
     lab = F.col(labels) if isinstance(labels, str) else labels
-    n = F.lit(length) if length is not None else F.size(lab)
-    keys = F.slice(lab, 1, n)
-    vals = F.slice(F.col(cells), offset, n)
-    return rows.withColumn("fields", F.map_from_arrays(keys, F.slice(vals, 1, F.size(keys))))
+    keys = lab if length is None else F.slice(lab, 1, length)
+    return rows.withColumn("fields", F.map_from_arrays(distinct_names(keys), F.transform(
+        keys, lambda _, i: F.get(F.col(cells), i + F.lit(offset - 1)))))
 
 
 def labelled_rows(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
