@@ -22,7 +22,7 @@ suffix with one bit, in the order sent.
 
 Texts are stored once, about ``BLOCK`` bytes to a row, in a table bucketed by row number, so the
 answers are joined to them without another shuffle of texts. A row sends a suffix at most twice per
-``CHUNK``, so a passage that all documents share is no hot key. Memory follows the bucket and the chunk,
+``UNIT``, so a passage that all documents share is no hot key. Memory follows the bucket and the unit,
 besides the whole bytes of one document.
 
 Defined cases: a null text is empty; repeated rows and ids are documents of their own (all of
@@ -52,13 +52,14 @@ LENGTH = 200
 PERIOD = 57
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 DEPTH = LENGTH - PERIOD + 1
-BLOCK, BLOCK_DOCS = 1 << 20, 20_000
-CHUNK = 1 << 19
+BLOCK, BLOCK_DOCS = 4 << 20, 20_000
+UNIT = 4 << 20  # bytes whose suffixes are dealt out together
+CHUNK = 1 << 19  # bytes whose fingerprints are made together
 BUCKET_SUFFIXES = 1 << 20
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 SYMBOLS = tuple(mix(np.arange(1 + 256 * i, 257 + 256 * i, dtype=np.uint64)) for i in range(2))
 IN_COVER = np.isin(np.arange(PERIOD), COVER)
-ANSWERS = "block long, phase int, chunk int, bucket int, tied binary, mixed binary"
+ANSWERS = "block long, phase int, unit int, bucket int, tied binary, mixed binary"
 
 
 @lru_cache(maxsize=4)
@@ -78,41 +79,46 @@ class Block:
         self.bytes = np.frombuffer(data, np.uint8)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.chunks = range(-(-len(data) // CHUNK))
+        self.units = range(-(-len(data) // UNIT))
         self._sums: tuple = (None, None)
 
-    def span(self, chunk: int) -> tuple[int, int]:
-        return chunk * CHUNK, min(len(self.data), (chunk + 1) * CHUNK)
+    def span(self, unit: int) -> tuple[int, int]:
+        return unit * UNIT, min(len(self.data), (unit + 1) * UNIT)
 
     def bounds(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         doc = np.searchsorted(self.ends, at, side="right")
         return self.starts[doc], self.ends[doc]
 
-    def prints(self, chunk: int, which: int, at: np.ndarray, n: int) -> np.ndarray:
-        """Fingerprints of the ``n`` bytes at each place of ``at``, which lie in reach of the chunk."""
-        first, last = self.span(chunk)
-        low, high = max(0, first - PERIOD + 1), min(len(self.data), last + PERIOD - 1 + LENGTH)
-        if self._sums[0] != (chunk, which):
-            size = CHUNK + 2 * PERIOD + LENGTH
-            sums = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(SYMBOLS[which][self.bytes[low:high]] * _powers(which, size, False)[:high - low],
-                      dtype=np.uint64, out=sums[1:])
-            self._sums = (chunk, which), sums
-        sums = self._sums[1]
-        at = at - low
-        back = _powers(which, CHUNK + 2 * PERIOD + LENGTH, True)
-        return mix((sums[at + n] - sums[at]) * back[at])
-
-    def samples(self, chunk: int) -> np.ndarray:
-        """Cover positions of the chunk with DEPTH bytes of their document behind them."""
-        first, last = self.span(chunk)
-        docs = slice(np.searchsorted(self.ends, first, side="right"),
-                     np.searchsorted(self.ends, last - 1, side="right") + 1)
-        starts, ends = self.starts[docs], self.ends[docs]
-        sizes = np.minimum(ends, last) - np.maximum(starts, first)
-        at = np.arange(first, last)
-        at = at[IN_COVER[(at - np.repeat(starts, sizes)) % PERIOD] & (at + DEPTH <= np.repeat(ends, sizes))]
-        return at
+    def prints(self, which: int, at: np.ndarray, n: int) -> np.ndarray:
+        """Fingerprints of the ``n`` bytes at each place of ``at`` (sorted), chunk by chunk."""
+        out = np.empty(len(at), np.uint64)
+        size = CHUNK + LENGTH + PERIOD
+        for chunk in range(int(at[0]) // CHUNK, int(at[-1]) // CHUNK + 1) if len(at) else ():
+            low = chunk * CHUNK
+            part = slice(*np.searchsorted(at, (low, low + CHUNK)))
+            if part.start == part.stop:
+                continue
+            if self._sums[0] != (chunk, which):
+                data = self.bytes[low:low + size]
+                sums = np.zeros(len(data) + 1, np.uint64)
+                np.cumsum(SYMBOLS[which][data] * _powers(which, size, False)[:len(data)], dtype=np.uint64, out=sums[1:])
+                self._sums = (chunk, which), sums
+            sums, own = self._sums[1], at[part] - low
+            out[part] = mix((sums[own + n] - sums[own]) * _powers(which, size, True)[own])
+        return out
+
+    def samples(self, unit: int) -> np.ndarray:
+        """Cover positions of the unit with DEPTH bytes of their document behind them."""
+        found = [np.zeros(0, np.int64)]
+        for first in range(*self.span(unit), CHUNK):
+            last = min(first + CHUNK, self.span(unit)[1])
+            docs = slice(np.searchsorted(self.ends, first, side="right"),
+                         np.searchsorted(self.ends, last - 1, side="right") + 1)
+            starts, ends = self.starts[docs], self.ends[docs]
+            sizes = np.minimum(ends, last) - np.maximum(starts, first)
+            at = np.arange(first, last)
+            found.append(at[IN_COVER[(at - np.repeat(starts, sizes)) % PERIOD] & (at + DEPTH <= np.repeat(ends, sizes))])
+        return np.concatenate(found)
 
 
 def _reach(at: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -125,7 +131,7 @@ def _reach(at: np.ndarray, low: int, high: int) -> np.ndarray:
 
 
 class Deal:
-    """Suffixes of a chunk in the order in which they are sent: by bucket, each at most twice.
+    """Suffixes of a unit in the order in which they are sent: by bucket, each at most twice.
 
     ``key`` gives bucket and order; equal suffixes have equal ``key`` and ``name``.
     """
@@ -152,7 +158,7 @@ class Deal:
                 for b, i, j in zip(self.buckets, self.bounds[:-1], self.bounds[1:])]
 
     def answered(self, bits: dict[int, bytes]) -> np.ndarray:
-        """The buckets' bits for all suffixes of the chunk, those not sent included."""
+        """The buckets' bits for all suffixes of the unit, those not sent included."""
         sent = np.zeros(int(self.bounds[-1]), bool)
         for b, i, j in zip(self.buckets, self.bounds[:-1], self.bounds[1:]):
             sent[i:j] = np.unpackbits(np.frombuffer(bits[int(b)], np.uint8), count=j - i)
@@ -165,74 +171,73 @@ class Deal:
 class Search:
     """The three sorts over one block, as far as their answers are known.
 
-    ``answers[phase, chunk]`` maps a bucket to its (tied, mixed) bits.
+    ``answers[phase, unit]`` maps a bucket to its (tied, mixed) bits.
     """
 
     def __init__(self, block: Block, buckets: int, answers: dict):
         self.block, self.buckets, self.answers = block, buckets, answers
 
-    def _bits(self, phase: int, chunk: int, which: int) -> dict[int, bytes]:
-        return {b: x[which] for b, x in self.answers.get((phase, chunk), {}).items()}
+    def _bits(self, phase: int, unit: int, which: int) -> dict[int, bytes]:
+        return {b: x[which] for b, x in self.answers.get((phase, unit), {}).items()}
 
-    def sample(self, chunk: int) -> tuple[np.ndarray, np.ndarray, Deal]:
-        at = self.block.samples(chunk)
-        key = self.block.prints(chunk, 0, at, DEPTH)
+    def sample(self, unit: int) -> tuple[np.ndarray, np.ndarray, Deal]:
+        at = self.block.samples(unit)
+        key = self.block.prints(0, at, DEPTH)
         return at, key, Deal(key, None, self.buckets)
 
-    def ranked(self, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Deal]:
+    def ranked(self, unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Deal]:
         """Tied samples: place, key, fingerprint with their surroundings (0: not all in the document)."""
-        at, key, deal = self.sample(chunk)
-        tied = deal.answered(self._bits(1, chunk, 0))
+        at, key, deal = self.sample(unit)
+        tied = deal.answered(self._bits(1, unit, 0))
         at, key = at[tied], key[tied]
         start, end = self.block.bounds(at)
         inside = (at - PERIOD + 1 >= start) & (at + LENGTH <= end)
         around = np.zeros(len(at), np.uint64)
-        around[inside] = np.maximum(self.block.prints(chunk, 1, at[inside] - PERIOD + 1, LENGTH + PERIOD - 1),
-                                    np.uint64(1))
+        around[inside] = np.maximum(self.block.prints(1, at[inside] - PERIOD + 1, LENGTH + PERIOD - 1), np.uint64(1))
         return at, key, around, Deal(key, around, self.buckets)
 
     def classes(self) -> tuple[np.ndarray, np.ndarray]:
         """Samples whose surroundings tie, and those of a class in which some do not."""
         tied, mixed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for chunk in self.block.chunks:
-            at, _, _, deal = self.ranked(chunk)
-            tied.append(at[deal.answered(self._bits(2, chunk, 0))])
-            mixed.append(at[deal.answered(self._bits(2, chunk, 1))])
+        for unit in self.block.units:
+            at, _, _, deal = self.ranked(unit)
+            tied.append(at[deal.answered(self._bits(2, unit, 0))])
+            mixed.append(at[deal.answered(self._bits(2, unit, 1))])
         return np.concatenate(tied), np.concatenate(mixed)
 
-    def rest(self, chunk: int, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, Deal]:
-        at = _reach(mixed, *self.block.span(chunk))
+    def rest(self, unit: int, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, Deal]:
+        at = _reach(mixed, *self.block.span(unit))
         start, end = self.block.bounds(at)
         at = at[at + LENGTH <= end]
-        key = self.block.prints(chunk, 1, at, LENGTH)
-        name = self.block.prints(chunk, 0, at, LENGTH)
+        key = self.block.prints(1, at, LENGTH)
+        name = self.block.prints(0, at, LENGTH)
         return at, name, Deal(key, name, self.buckets)
 
     def repeated(self) -> np.ndarray:
         """Starts of all strings of LENGTH bytes that start anywhere else too."""
         tied, mixed = self.classes()
         found = [np.zeros(0, np.int64)]
-        for chunk in self.block.chunks:
-            at, _, deal = self.rest(chunk, mixed)
-            at = at[deal.answered(self._bits(3, chunk, 0))]
-            found.append(np.union1d(at, _reach(tied, *self.block.span(chunk))))
+        for unit in self.block.units:
+            at, _, deal = self.rest(unit, mixed)
+            at = at[deal.answered(self._bits(3, unit, 0))]
+            found.append(np.union1d(at, _reach(tied, *self.block.span(unit))))
         return np.concatenate(found)
 
     def send(self, phase: int) -> Iterator[tuple]:
-        """(chunk, bucket, names, surroundings) for a sort."""
+        """(unit, bucket, names, surroundings) for a sort."""
         mixed = self.classes()[1] if phase == 3 else None
-        for chunk in self.block.chunks:
+        for unit in self.block.units:
             if phase == 1:
-                _, key, deal = self.sample(chunk)
+                _, key, deal = self.sample(unit)
                 rows = deal.rows(key.astype(np.uint32))
             elif phase == 2:
-                _, key, around, deal = self.ranked(chunk)
+                _, key, around, deal = self.ranked(unit)
                 rows = deal.rows(key.astype(np.uint32), around)
             else:
-                _, name, deal = self.rest(chunk, mixed)
+                _, name, deal = self.rest(unit, mixed)
                 rows = deal.rows(name)
             for row in rows:
-                yield (chunk, *row, *([b""] if len(row) == 2 else []))
+                yield (unit, *row, *([b""] if len(row) == 2 else []))
 
 
 def _sorted_bucket(phase: int) -> Callable[[pa.Table], pa.Table]:
@@ -261,7 +266,7 @@ def _sorted_bucket(phase: int) -> Callable[[pa.Table], pa.Table]:
         n = table.num_rows
         return pa.table({
             "block": table.column("block"), "phase": pa.array(np.full(n, phase, np.int32)),
-            "chunk": table.column("chunk"), "bucket": table.column("bucket"),
+            "unit": table.column("unit"), "bucket": table.column("bucket"),
             "tied": pa.array([np.packbits(x).tobytes() for x in np.split(tied, cuts)], pa.binary()),
             "mixed": pa.array([np.packbits(x).tobytes() if phase == 2 else b"" for x in np.split(mixed, cuts)],
                               pa.binary())})
@@ -303,7 +308,7 @@ def _searches(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple
             row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
             answers: dict = {}
             for x in row.get("answers") or ():
-                answers.setdefault((x["phase"], x["chunk"]), {})[x["bucket"]] = x["tied"], x["mixed"]
+                answers.setdefault((x["phase"], x["unit"]), {})[x["bucket"]] = x["tied"], x["mixed"]
             data = zstandard.ZstdDecompressor().decompress(row["data"])
             yield row["block"], row["ids"], Search(Block(np.array(row["sizes"], np.int64), data), buckets, answers)
 
@@ -325,9 +330,9 @@ def _sent(phase: int, buckets: int):
 
 
 def _sent_rows(rows: list[tuple]) -> pa.RecordBatch:
-    block, chunk, bucket, names, around = zip(*rows)
+    block, unit, bucket, names, around = zip(*rows)
     return pa.RecordBatch.from_pydict({
-        "block": pa.array(block, pa.int64()), "chunk": pa.array(chunk, pa.int32()),
+        "block": pa.array(block, pa.int64()), "unit": pa.array(unit, pa.int32()),
         "bucket": pa.array(bucket, pa.int32()), "names": pa.array(names, pa.binary()),
         "around": pa.array(around, pa.binary())})
 
@@ -380,16 +385,16 @@ def dedupe(docs: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(4 * parts, total * len(COVER) // PERIOD // BUCKET_SUFFIXES)
+    buckets = max(parts, total * len(COVER) // PERIOD // BUCKET_SUFFIXES)
     blocks, name = _stored(docs, parts)
     try:
         answers, known = None, blocks
         for phase in (1, 2, 3):
-            sent = known.mapInArrow(_sent(phase, buckets), "block long, chunk int, bucket int, names binary, around binary")
+            sent = known.mapInArrow(_sent(phase, buckets), "block long, unit int, bucket int, names binary, around binary")
             found = written(sent.groupBy("bucket").applyInArrow(_sorted_bucket(phase), ANSWERS), "suffix-answers")
             answers = found if answers is None else answers.unionByName(found)
             per_block = answers.groupBy("block").agg(
-                F.collect_list(F.struct("phase", "chunk", "bucket", "tied", "mixed")).alias("answers"))
+                F.collect_list(F.struct("phase", "unit", "bucket", "tied", "mixed")).alias("answers"))
             known = blocks.join(per_block, "block", "left")
         return written(known.mapInArrow(_kept(buckets),
                                         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"),

@@ -82,10 +82,11 @@ def test_dedupe_equals_brute_force(spark):
     assert 100 < sum(1 for r in want if r[2]) < len(want)
 
 
-@pytest.mark.parametrize("chunk, block", [(1 << 20, 3000), (300, 2000), (1000, 10 ** 9)])
-def test_any_cut_of_blocks_and_chunks_gives_the_same(monkeypatch, chunk, block):
+@pytest.mark.parametrize("chunk, unit, block", [(1 << 20, 1 << 21, 3000), (300, 900, 2000), (500, 500, 10 ** 9)])
+def test_any_cut_of_blocks_and_chunks_gives_the_same(monkeypatch, chunk, unit, block):
     """The whole search without Spark, with tiny chunks and blocks."""
     monkeypatch.setattr(sd, "CHUNK", chunk)
+    monkeypatch.setattr(sd, "UNIT", unit)
     sd._powers.cache_clear()
     rows = corpus(6)
     groups, size = [[]], 0
@@ -108,7 +109,7 @@ def test_any_cut_of_blocks_and_chunks_gives_the_same(monkeypatch, chunk, block):
         for sent in buckets.values():
             table = pa.Table.from_batches([sd._sent_rows(sent)])
             for r in sd._sorted_bucket(phase)(table).to_pylist():
-                answers[r["block"]].setdefault((phase, r["chunk"]), {})[r["bucket"]] = r["tied"], r["mixed"]
+                answers[r["block"]].setdefault((phase, r["unit"]), {})[r["bucket"]] = r["tied"], r["mixed"]
     got = []
     for g, s in zip(groups, search):
         doc, first, last = sd.removed_spans(s.block, s.repeated())
