@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     results = read_table(spark, args.results, S.RESULTS, OPTIONAL_RESULT_COLS)
     events = read_table(spark, args.events, S.EVENTS_DIM_MODES, ("participation_mode",))
     membership = read_table(spark, args.membership, S.MEMBERSHIP) if args.membership else None
+    sheet = None
     if args.team_sheet:
         header = spark.read.option("header", True).csv(args.team_sheet).columns
         sheet = read_csv_by_name(spark, args.team_sheet, StructType([StructField(h, StringType()) for h in header]))
@@ -62,7 +63,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     aliases = read_table(spark, args.aliases, S.ALIASES) if args.aliases else None
     adjustments = read_table(spark, args.adjustments, S.ADJUSTMENTS) if args.adjustments else None
     out = run_season(results, events, args.season, membership, aliases, adjustments,
-                     on_violation=args.on_violation)
+                     on_violation=args.on_violation, registration=sheet)
     write_season(out, args.out, events, args.season)
     return {"events": out.events, "racers": out.standings.count(),
             "repeat_racers": out.repeat_racers.count(), "duplicate_racers": out.duplicate_racers.count(), "violations": out.violations.count()}

@@ -805,3 +805,56 @@ SELECT reader, reason, count(*) AS n_rows, CAST(sum(count(*)) OVER (PARTITION BY
        true AS complete
 FROM found GROUP BY reader, reason
 """
+
+YEARS = range(1995, 2002)
+AS_JOB = ", ".join(f'e{y}_points AS "{y}_points"' for y in YEARS)  # the job's event columns
+
+SQL["season_job_teams"] = f"SELECT overall_place, team_name, total_points, {AS_JOB} FROM ({SQL['team_standings']})"
+SQL["season_job_report"] = f"SELECT * REPLACE (CAST(event AS VARCHAR) AS event) FROM ({SQL['team_report']})"
+SQL["season_job_age_groups"] = SQL["age_group_winners"]
+SQL["season_job_aliases"] = f"SELECT * REPLACE (CAST(event AS VARCHAR) AS event) FROM ({SQL['alias_report']})"
+
+# a racer's best row per event of many days takes the place of the one row
+SEASON_OF_DAYS = DAYS + """,
+points AS (SELECT event, division, first_name, last_name, max(points) AS points FROM day_points GROUP BY ALL)
+""" + SEASON[len(POINTS):]
+
+SQL["season_job_multiday"] = with_ctes(SEASON_OF_DAYS, f"""
+SELECT division, overall_place, name, n_events, series_points, {AS_JOB} FROM standings
+""")
+
+FLAWED = TEAMS + """,
+forms AS (
+  SELECT team_name, slot, raw_name, raw_division, 1 AS copy FROM reg
+  UNION ALL SELECT team_name, slot, raw_name, raw_division, 2 FROM reg WHERE team_name LIKE '%#1'
+  UNION ALL SELECT team_name || ' B', slot, CASE WHEN slot = 1 THEN 'Solo' ELSE raw_name END, raw_division, 1
+  FROM reg WHERE team_name LIKE '%#2'
+),
+flawed AS (
+  SELECT team_name, slot, CASE WHEN raw_division <> 'MACHINERY' THEN raw_division END AS division,
+         split_part(raw_name, ' ', 1) AS first_name, regexp_replace(raw_name, '^[^ ]* ?', '') AS last_name
+  FROM forms
+),
+offenders AS (
+  SELECT 'team' AS kind, team_name AS key, count(*) AS n_rows
+  FROM (SELECT DISTINCT team_name, copy FROM forms) GROUP BY team_name HAVING count(*) > 1
+  UNION ALL
+  SELECT 'racer', first_name || ' ' || last_name, count(*) FROM flawed GROUP BY first_name, last_name HAVING count(*) > 1
+  UNION ALL
+  SELECT 'division', team_name || ' / ' || first_name, count(*) FROM flawed WHERE division IS NULL GROUP BY 2
+  UNION ALL
+  SELECT 'name', team_name || ' / ' || first_name, count(*) FROM flawed WHERE last_name = '' GROUP BY 2
+)"""
+
+SQL["membership_guard_offenders"] = with_ctes(FLAWED, "SELECT kind, key, n_rows FROM offenders")
+
+SQL["season_job_violations"] = with_ctes(FLAWED, """
+SELECT 'duplicate_racer' AS guard, CAST(event AS VARCHAR) || ' / ' || division || ' / ' || first_name || ' / ' || last_name AS key,
+       count(*) AS n_rows
+FROM entries WHERE race_role = 'main' GROUP BY event, division, first_name, last_name HAVING count(*) > 1
+UNION ALL
+SELECT 'unknown_division', CAST(event AS VARCHAR) || ' / ' || division, count(*)
+FROM entries WHERE division NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD') GROUP BY event, division
+UNION ALL
+SELECT 'membership_' || kind, key, n_rows FROM offenders
+""")

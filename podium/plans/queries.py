@@ -118,6 +118,13 @@ def q_membership_guard(spark, sf_dir):
     return guard_membership(reg, unpivot_membership(reg, "team_name", tb.REG_SLOTS))
 
 
+@register("membership_guard_offenders")
+def q_membership_guard_offenders(spark, sf_dir):
+    """The guard on forms with offenders of each kind."""
+    reg = cut_lineage(tb.flawed_registration(spark, sf_dir), "registration")
+    return guard_membership(reg, tb.flawed_membership(reg))
+
+
 @register("team_join")
 def q_team_join(spark, sf_dir):
     rows = team_event_rows(tb.event_points(spark, sf_dir), tb.membership(spark, sf_dir))
@@ -607,3 +614,54 @@ def q_season_job_standings(spark, sf_dir):
     out = run_season(tb.season_results(spark, sf_dir), tb.season_events_dim(spark, sf_dir), tb.SEASON_KEY, divisions=None,
                      adjustments=tb.adjustments(spark, sf_dir))
     return out.standings.drop("first_name", "last_name")
+
+
+def _season(spark, sf_dir, **more):
+    from podium.plans.season_job import run_season
+    return run_season(tb.season_results(spark, sf_dir), tb.season_events_dim(spark, sf_dir), tb.SEASON_KEY, divisions=None,
+                      team_divisions=None, adjustments=tb.adjustments(spark, sf_dir), **more)
+
+
+@register("season_job_teams")
+def q_season_job_teams(spark, sf_dir):
+    """The season job's team standings."""
+    return _season(spark, sf_dir, membership=tb.membership(spark, sf_dir)).team_standings
+
+
+@register("season_job_report")
+def q_season_job_report(spark, sf_dir):
+    """The season job's team scoring report."""
+    return _season(spark, sf_dir, membership=tb.membership(spark, sf_dir)).team_report
+
+
+@register("season_job_age_groups")
+def q_season_job_age_groups(spark, sf_dir):
+    """The season job's age-group winners."""
+    return _season(spark, sf_dir).age_group_winners.select("division", "age_group", "name", "overall_place")
+
+
+@register("season_job_aliases")
+def q_season_job_aliases(spark, sf_dir):
+    """The season job's alias report."""
+    return _season(spark, sf_dir, aliases=tb.aliases(spark, sf_dir)).alias_report
+
+
+@register("season_job_multiday")
+def q_season_job_multiday(spark, sf_dir):
+    """Standings of a season of multi-day events: each racer's best row per event counts."""
+    from podium.plans.season_job import run_season
+    out = run_season(tb.day_results(spark, sf_dir), tb.season_days_dim(spark, sf_dir), tb.SEASON_KEY, divisions=None,
+                     adjustments=tb.adjustments(spark, sf_dir))
+    return out.standings.drop("first_name", "last_name")
+
+
+@register("season_job_violations")
+def q_season_job_violations(spark, sf_dir):
+    """All guards' findings where racers repeat in one-day events and forms have offenders."""
+    from podium.plans.season_job import run_season
+    reg = cut_lineage(tb.flawed_registration(spark, sf_dir), "registration")
+    days = tb.season_events_dim(spark, sf_dir).withColumn("participation_mode", F.lit("none"))
+    out = run_season(tb.day_results(spark, sf_dir), days, tb.SEASON_KEY, membership=tb.flawed_membership(reg),
+                     registration=reg, divisions=["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+                     on_violation="report")
+    return out.violations

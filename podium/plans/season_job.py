@@ -19,11 +19,12 @@ from podium.operators.agegroup import age_bands, age_group_winners, collect_ages
 from podium.operators.clean import KNOWN_DIVISIONS, quarantine_unknown_division
 from podium.operators.event import (MAIN, PARTICIPATION, consolidate_best, dedupe_participation,
                                     repeat_guard, score_event)
+from podium.operators.joins import null_safe_join
 from podium.operators.quality import alias_report, find_duplicates, raise_if_any
 from podium.operators.season import apply_adjustments, event_column, season_points, standings_wide
 from podium.operators.team import (guard_membership, team_event_points, team_event_rows, team_ranked, team_report,
                                    team_standings)
-from podium.rules import CURRENT, ScoringRules
+from podium.rules import CURRENT, TEAM_NAME_HEADER, ScoringRules
 from podium.session import cut_lineage
 from podium.sources.files import write_event_points, write_report
 
@@ -86,8 +87,25 @@ def score_season_events(results: DataFrame, events_dim: DataFrame, season: str,
     return points, repeats, duplicates
 
 
+def team_names(membership: DataFrame, registration: DataFrame | None) -> DataFrame:
+    """(team_name): a row per registration form, so that a name used twice can be seen.
+
+    Without the forms themselves a long membership table still shows it by its ``slot`` column:
+    two forms of one name fill a slot twice.
+    """
+    if registration is not None:
+        name = "team_name" if "team_name" in registration.columns else TEAM_NAME_HEADER
+        return registration.select(F.col(f"`{name}`").alias("team_name"))
+    if "slot" not in membership.columns:
+        return membership.select("team_name").distinct()
+    forms = membership.groupBy("team_name", "slot").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    forms = forms.groupBy("team_name").agg(F.max("n").alias("n"))
+    return forms.select("team_name", F.explode(F.sequence(F.lit(1), "n"))).select("team_name")
+
+
 def season_violations(results: DataFrame, season: str, repeats: DataFrame, duplicates: DataFrame,
-                      membership: DataFrame | None, divisions: Sequence[str] | None) -> DataFrame:
+                      membership: DataFrame | None, divisions: Sequence[str] | None,
+                      registration: DataFrame | None = None) -> DataFrame:
     """All guard findings of a season as rows (guard, key, n_rows)."""
     def rows(df: DataFrame, guard: str, cols: list[str], n: str = "n_rows") -> DataFrame:
         key = F.concat_ws(" / ", *[F.col(c).cast("string") for c in cols])
@@ -99,7 +117,7 @@ def season_violations(results: DataFrame, season: str, repeats: DataFrame, dupli
         unknown = unknown.groupBy("event", "division").agg(F.count(F.lit(1)).alias("n_rows"))
         found = found.unionByName(rows(unknown, "unknown_division", ["event", "division"]))
     if membership is not None:
-        members = guard_membership(membership.select("team_name").distinct(), membership)
+        members = guard_membership(team_names(membership, registration), membership)
         found = found.unionByName(members.select(F.concat(F.lit("membership_"), "kind").alias("guard"), "key", "n_rows"))
     return found
 
@@ -108,10 +126,14 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
                membership: DataFrame | None = None, aliases: DataFrame | None = None,
                adjustments: DataFrame | None = None, rules: ScoringRules = CURRENT,
                on_violation: str = "raise",
-               divisions: Sequence[str] | None = KNOWN_DIVISIONS) -> SeasonOutputs:
+               divisions: Sequence[str] | None = KNOWN_DIVISIONS,
+               registration: DataFrame | None = None,
+               team_divisions: Sequence[str] | None = ("male", "female")) -> SeasonOutputs:
     """Score a season. A guard that finds an offender raises; with ``on_violation="report"``
-    the job goes on and the offenders are an output table. ``divisions`` lists the divisions
-    a row may have (None: any)."""
+    the job goes on, the offenders are an output table, and racers of more than one team score
+    for none. ``divisions`` lists the divisions a row may have (None: any), ``team_divisions`` those that
+    score for teams. ``registration`` has the raw team forms (a row per form), which the guard on team names needs
+    unless ``membership`` has slots."""
     if on_violation not in ("raise", "report"):
         raise ValueError(f"on_violation must be 'raise' or 'report', not {on_violation!r}")
     spark = results.sparkSession
@@ -121,7 +143,8 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
     if membership is not None and "season" in membership.columns:
         membership = membership.filter(F.col("season") == season)
     points, repeats, duplicates = score_season_events(results, events_dim, season, rules)
-    violations = cut_lineage(season_violations(results, season, repeats, duplicates, membership, divisions), "violations")
+    violations = cut_lineage(season_violations(results, season, repeats, duplicates, membership, divisions,
+                                               registration), "violations")
     if on_violation == "raise":
         raise_if_any(violations, f"season {season!r} breaks its guards")
     points = cut_lineage(points, "event-points")  # scored once; every branch below reads this copy
@@ -133,8 +156,11 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
 
     t_standings = t_report = None
     if membership is not None:
-        ranked = team_ranked(team_event_rows(points.filter(F.col("division").isin("male", "female")), membership),
-                             rules)
+        if on_violation == "report":
+            twice = find_duplicates(membership, ["first_name", "last_name"])
+            membership = null_safe_join(membership, twice, ["first_name", "last_name"], "left_anti")
+        team_points = points if team_divisions is None else points.filter(F.col("division").isin(*team_divisions))
+        ranked = team_ranked(team_event_rows(team_points, membership), rules)
         t_standings = team_standings(team_event_points(ranked, rules), events)
         t_report = team_report(ranked)
 

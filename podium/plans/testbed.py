@@ -362,3 +362,39 @@ def season_events_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("Year "), F.col("y").cast("string")).alias("human_name"),
                     F.lit(1).alias("event_days"), F.col("y").cast("int").alias("seq"),
                     F.lit("dedupe").alias("participation_mode")))
+
+
+def day_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``season_results``, but every main entry is a row: events of many days, racers repeat."""
+    from podium.schema import RESULTS
+    ent = entries(spark, sf_dir)
+    main = distributed_rank(ent.filter(F.col("race_role") == MAIN), ["event", "division"],
+                            [("score", "desc"), "entry_id"], "division_place")
+    part = ent.filter(F.col("race_role") == PARTICIPATION).withColumn("division_place", F.lit(None).cast("long"))
+    own = {"season": F.lit(SEASON_KEY), "event": F.col("event").cast("string"), "race": F.col("race_role")}
+    pick = [(own[f.name] if f.name in own else F.col(f.name) if f.name in part.columns else F.lit(None))
+            .cast(f.dataType).alias(f.name) for f in RESULTS.fields]
+    return main.select(*pick).unionByName(part.select(*pick))
+
+
+def season_days_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of ``day_results``: as many days as any racer has entries, all rows consolidated."""
+    return season_events_dim(spark, sf_dir).withColumns(
+        {"event_days": F.lit(1_000_000), "participation_mode": F.lit("consolidate")})
+
+
+def flawed_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The team forms with offenders of each kind: every first form of a nation comes twice, every
+    second one again under another team name with a one-word name in its first slot."""
+    reg = registration(spark, sf_dir)
+    again = reg.filter(F.col("team_name").endswith("#1"))
+    other = reg.filter(F.col("team_name").endswith("#2")).withColumns(
+        {"team_name": F.concat("team_name", F.lit(" B")), "member_1_name": F.lit("Solo")})
+    return reg.unionByName(again).unionByName(other)
+
+
+def flawed_membership(reg: DataFrame) -> DataFrame:
+    """Members of ``flawed_registration``; one market segment cannot be read as a division."""
+    from podium.operators.team import unpivot_membership
+    return unpivot_membership(reg, "team_name", REG_SLOTS,
+                              division_of=lambda c: F.when(F.trim(c) != "MACHINERY", F.trim(c)))

@@ -150,3 +150,19 @@ def test_cli_reads_csv_by_header_name(spark):
     assert os.path.isdir(f"{d}/out/team_standings") and os.path.isdir(f"{d}/out/event_points/season=s1")
     teams = spark.read.option("header", True).csv(f"{d}/out/team_standings").collect()
     assert [(r["Team Name"], r["Total Points"]) for r in teams] == [("T1", "450.67")]
+
+
+def test_team_guard_sees_a_name_used_twice(spark):
+    """On the raw forms, or by slots that are filled twice; a racer of two teams scores for none."""
+    events = spark.createDataFrame([("s1", "ev1", "Event One", 1, 1), ("s1", "ev2", "Event Two", 2, 2)], EVENTS_DIM)
+    rows = [("s1", "T1", 1, "female", "A", "One"), ("s1", "T1", 1, "female", "B", "Two"), ("s1", "T2", 1, "male", "M1", "X"),
+            ("s1", "T2", 2, "female", "A", "One")]
+    members = spark.createDataFrame(rows, "season string, team_name string, slot int, division string, first_name string, last_name string")
+    with pytest.raises(ValueError, match="membership_team"):
+        run_season(_res(spark), events, "s1", members)
+    forms = spark.createDataFrame([("T1",), ("T2",), ("T2",)], "team_name string")
+    out = run_season(_res(spark), events, "s1", members.drop("slot"), registration=forms, on_violation="report")
+    found = {(r.guard, r.key): r.n_rows for r in out.violations.collect()}
+    assert found[("membership_team", "T2")] == 2 and found[("membership_racer", "A One")] == 2
+    assert ("membership_team", "T1") not in found
+    assert {r.team_name: r.total_points for r in out.team_standings.collect()} == {"T1": 150.67, "T2": 100.0}
