@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from podium.rules import CAPS_SURNAME_PATTERN, PLACEHOLDER_NAME, PLACEHOLDER_SPLIT
 
-# Honorifics and suffixes stripped before a plain first/last split (case-insensitive,
-# optional dot); a parameter list of this library, not a rule of the series.
+# Token classes of a personal name (case-insensitive, optional dot); parameter lists of this
+# library, not rules of the series.
 NAME_TITLES = ("mr", "mrs", "ms", "miss", "dr", "prof", "rev", "sir")
 NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "phd", "md", "esq")
+NAME_PARTICLES = ("af", "al", "av", "bin", "da", "das", "de", "del", "della", "den", "der", "di", "do", "dos", "du", "el",
+                  "ibn", "la", "le", "san", "santa", "st", "ste", "ten", "ter", "van", "von", "zu")
 
 
 def _c(c) -> Column:
@@ -83,14 +85,58 @@ def split_caps_surname(c, pattern: str = CAPS_SURNAME_PATTERN,
     return first, last, placeholder | matched
 
 
+def _token_class(token) -> Column:
+    bare = F.lower(F.rtrim(token, F.lit(".")))
+    return (F.when(bare.isin(*NAME_TITLES), "title").when(bare.isin(*NAME_SUFFIXES), "suffix")
+            .when(bare.isin(*NAME_PARTICLES), "particle").otherwise("name"))
+
+
+def _tokens(text) -> Column:
+    """(text, class) of the blank-separated tokens of ``text``."""
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.struct(w.alias("text"), _token_class(w).alias("kind")))
+
+
+def _joined(tokens) -> Column:
+    return F.array_join(F.transform(tokens, lambda t: t["text"]), " ")
+
+
 def split_human(c) -> tuple[Column, Column]:
-    """First and last name after dropping honorifics and generational suffixes."""
-    titles = "|".join(NAME_TITLES)
-    suffixes = "|".join(NAME_SUFFIXES)
-    s = F.regexp_replace(F.trim(_c(c)), r"\s+", " ")
-    s = F.regexp_replace(s, rf"(?i)^(({titles})\.? )+", "")
-    s = F.regexp_replace(s, rf"(?i)(,? ({suffixes})\.?)+$", "")
-    return split_first_last(F.trim(s))
+    """First and last name of a full name, by a fold over its classified tokens.
+
+    Nicknames in brackets or double quotes, titles before the first name and suffixes are left out. ``Last, First
+    Middle`` is read by its comma; a part behind a comma that holds suffixes alone is no name.
+    A particle behind the first name begins the last name (``Juan de la Vega``), else the last
+    token is it and those between are dropped. One word is a first name, behind a title a last
+    name; the missing one is empty. Null stays null.
+    """
+    text = F.regexp_replace(_c(c), r"\([^()]*\)|\"[^\"]*\"|\u201c[^\u201d]*\u201d", " ")
+    parts = F.transform(F.split(text, ","), _tokens)
+    own = lambda p: F.exists(p, lambda t: ~t["kind"].isin("suffix", "title"))
+    start = F.struct(F.lit("").alias("first"), F.lit("").alias("last"), F.lit(False).alias("title"),
+                     F.lit(False).alias("open"))
+
+    def step(state, token):
+        kind, word, none_yet = token["kind"], token["text"], state["first"] == ""
+        first = F.when(none_yet & ~kind.isin("title", "suffix"), word).otherwise(state["first"])
+        last = (F.when(none_yet | (kind == "suffix"), state["last"])
+                .when(state["open"], F.concat(state["last"], F.lit(" "), word)).otherwise(word))
+        return F.struct(first.alias("first"), last.alias("last"),
+                        (state["title"] | (none_yet & (kind == "title"))).alias("title"),
+                        (state["open"] | (~none_yet & (kind == "particle"))).alias("open"))
+
+    def done(state):
+        alone = (state["last"] == "") & state["title"]
+        return F.struct(F.when(alone, "").otherwise(state["first"]).alias("first"),
+                        F.when(alone, state["first"]).otherwise(state["last"]).alias("last"))
+
+    plain = F.aggregate(F.get(parts, 0), start, step, done)
+    behind = F.filter(F.slice(parts, F.lit(2), F.size(parts)), own)
+    named = F.filter(F.get(behind, 0), lambda t: ~t["kind"].isin("title", "suffix"))
+    before = F.filter(F.get(parts, 0), lambda t: ~t["kind"].isin("title", "suffix"))
+    inverted = F.struct(F.get(named, 0)["text"].alias("first"), _joined(before).alias("last"))
+    name = F.when(text.isNotNull(), F.when((F.size(behind) > 0) & own(F.get(parts, 0)), inverted).otherwise(plain))
+    return name["first"], name["last"]
 
 
 def full_name(first, last, sep: str = " ") -> Column:

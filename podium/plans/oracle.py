@@ -858,3 +858,17 @@ FROM entries WHERE division NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUS
 UNION ALL
 SELECT 'membership_' || kind, key, n_rows FROM offenders
 """)
+
+SQL["name_human_forms"] = """
+SELECT p_partkey,
+       CASE p_partkey % 8 WHEN 3 THEN '' WHEN 5 THEN 'van' WHEN 7 THEN '' ELSE a END AS first_name,
+       CASE p_partkey % 8 WHEN 1 THEN 'de la ' || b WHEN 2 THEN '' WHEN 3 THEN a WHEN 6 THEN 'von ' || b WHEN 7 THEN ''
+            ELSE b END AS last_name
+FROM (SELECT p_partkey, upper(split_part(p_name, ' ', 1)[1]) || lower(split_part(p_name, ' ', 1)[2:]) AS a,
+             upper(split_part(p_name, ' ', 2)[1]) || lower(split_part(p_name, ' ', 2)[2:]) AS b FROM part)
+"""
+
+SQL["band_join_many"] = """
+SELECT l_orderkey, l_linenumber, o_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE l_linenumber <= o_orderkey % 10
+"""

@@ -162,9 +162,18 @@ def q_band_join(spark, sf_dir):
     return band_join(tb.modal_ages(spark, sf_dir), age_bands(spark)).select("division", "name", "age", "age_group")
 
 
+@register("band_join_many")
+def q_band_join_many(spark, sf_dir):
+    """A band per order, disjoint: line numbers within the order's band."""
+    key = F.col("o_orderkey") * 10
+    bands = tb.table(spark, sf_dir, "orders").select("o_orderkey", key.alias("lower"), (key + F.col("o_orderkey") % 10).alias("upper"))
+    li = tb.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("at"))
+    return band_join(li, bands, "at").select("l_orderkey", "l_linenumber", "o_orderkey")
+
+
 @register("age_group_winners")
 def q_age_group_winners(spark, sf_dir):
-    pts = tb.event_points(spark, sf_dir)
+    pts = cut_lineage(tb.event_points(spark, sf_dir), "event-points")  # scored once: standings and ages read it
     st = tb.standings(spark, sf_dir, pts)
     return age_group_winners(st, tb.modal_ages(spark, sf_dir, pts), age_bands(spark)).select(
         "division", "age_group", "name", "overall_place")
@@ -358,6 +367,13 @@ def q_name_human(spark, sf_dir):
     return p.select("p_partkey", first.alias("first_name"), last.alias("last_name"))
 
 
+@register("name_human_forms")
+def q_name_human_forms(spark, sf_dir):
+    """Names with commas, particles, nicknames, titles, suffixes, and of one word."""
+    first, last = split_human("text")
+    return tb.human_names(spark, sf_dir).select("p_partkey", first.alias("first_name"), last.alias("last_name"))
+
+
 @register("name_capitalize")
 def q_name_capitalize(spark, sf_dir):
     p = tb.part_text(spark, sf_dir)

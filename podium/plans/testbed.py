@@ -76,18 +76,20 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_from_entries(ent: DataFrame) -> DataFrame:
-    """Main rows: best entry per (event, racer), placed; participation: deduplicated.
+    """Main rows: best entry per (event, racer), placed; participation: one per name without a main row.
 
-    Places are 1..n per (event, division), so the field size (max place) is the
+    The two reductions are one: of a racer's entries in an event the best main one counts, else the
+    participation one of lowest id (a racer of the test bed has one name). So the entries
+    are read and shuffled once, and both roles are ranked in one pass; only main rows keep the
+    place. Places are 1..n per (event, division, role), so the field size (max place) is the
     group's row count, which the ranking step already knows.
     """
-    placed = distributed_rank(main_best(ent), ["event", "division"],
-                              [("score", "desc"), "entry_id"], "division_place", group_size="max_place")
-    part = dedupe_participation(ent.filter(F.col("race_role") == MAIN),
-                                ent.filter(F.col("race_role") == PARTICIPATION),
-                                event_keys=["event"], prefer=["entry_id"])
-    part = part.withColumns({"division_place": F.lit(None).cast("long"), "max_place": F.lit(None).cast("long")})
-    return placed.select(*RESULT_COLS).unionByName(part.select(*RESULT_COLS))
+    from podium.operators.place import top_one
+    main = F.col("race_role") == MAIN
+    one = top_one(ent, ["event", "racer_key"], [main.desc(), F.when(main, F.col("score")).desc_nulls_last(), "entry_id"])
+    placed = distributed_rank(one, ["event", "division", "race_role"], [("score", "desc"), "entry_id"],
+                              "division_place", group_size="max_place")
+    return placed.withColumns({c: F.when(main, F.col(c)) for c in ("division_place", "max_place")}).select(*RESULT_COLS)
 
 
 def event_points(spark: SparkSession, sf_dir: str, keep_steps: bool = False) -> DataFrame:
@@ -185,6 +187,19 @@ def order_grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "<th>Status<th>Orders</tr>"), joined("count"), F.lit("</TABLE>")).alias("html"))
 
 
+def human_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, a, b, kind, text): full names in the forms that result lists use, by part key."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.initcap("p_name").alias("n"))
+    p = p.select("p_partkey", F.split_part("n", F.lit(" "), F.lit(1)).alias("a"),
+                 F.split_part("n", F.lit(" "), F.lit(2)).alias("b"), (F.col("p_partkey") % 8).alias("kind"))
+    a, b, kind = F.col("a"), F.col("b"), F.col("kind")
+    forms = [F.concat(b, F.lit(", "), a, F.lit(" X.")), F.concat(a, F.lit(" Q. de la "), b, F.lit(" III")), a,
+             F.concat(F.lit("Dr. "), a), F.concat(a, F.lit(' (Bob) "Bo"  '), b, F.lit(", PhD")), F.concat(F.lit("van "), a, F.lit(" "), b),
+             F.concat(F.lit("von "), b, F.lit(", Mr. "), a, F.lit(", Jr.")), F.lit("  ")]
+    text = F.coalesce(*[F.when(kind == i, f) for i, f in enumerate(forms)])
+    return p.withColumn("text", text)
+
+
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     from podium.operators.team import unpivot_membership
     return unpivot_membership(registration(spark, sf_dir), "team_name", REG_SLOTS)

@@ -171,3 +171,33 @@ def test_references_decode_in_one_pass(spark):
              "x & y &nosuch; &lt;&gt;&apos;&nbsp;": "x & y &nosuch; <>'\u00a0", "": "", "plain": "plain"}
     rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", decode_references("t").alias("d")).collect()
     assert {r.t: r.d for r in rows} == cases
+
+
+def test_human_names(spark):
+    from podium.functions.text import split_human
+    cases = {"Smith, John": ("John", "Smith"), "Juan de la Vega": ("Juan", "de la Vega"), "Madonna": ("Madonna", ""),
+             "Dr. Smith": ("", "Smith"), "Anna Maria Lee": ("Anna", "Lee"), "de la Vega, Juan Q.": ("Juan", "de la Vega"),
+             "John Smith, Jr.": ("John", "Smith"), "Smith, Mr. John, PhD": ("John", "Smith"), "Van Johnson": ("Van", "Johnson"),
+             "Ludwig van Beethoven III": ("Ludwig", "van Beethoven"), 'John "Jack" (JJ) Doe': ("John", "Doe"),
+             "  ": ("", ""), "": ("", ""), None: (None, None), ",": ("", ""), "Smith,": ("Smith", ""), ", John": ("", ""),
+             "Jr.": ("", ""), "Mr. and": ("", "and"), "J. R. Smith": ("J.", "Smith")}
+    first, last = split_human("t")
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", first.alias("f"), last.alias("l"))
+    assert {r.t: (r.f, r.l) for r in df.collect()} == cases
+
+
+def test_band_join_any_table(spark):
+    import pytest
+    from podium.operators.agegroup import band_join, overlapping_bands
+    bands = spark.createDataFrame([(0, 9, "a"), (10, 10, "b"), (11, 500, "c"), (-20, -1, "d"), (7, 3, "none"), (None, 5, "x")],
+                                  "lower int, upper int, g string")
+    ages = spark.createDataFrame([(a,) for a in (-21, -20, -1, 0, 9, 10, 11, 300, 500, 501, None)], "age int")
+    got = sorted((r.age, r.g) for r in band_join(ages, bands).collect())
+    assert got == [(-20, "d"), (-1, "d"), (0, "a"), (9, "a"), (10, "b"), (11, "c"), (300, "c"), (500, "c")]
+    more = bands.unionByName(spark.createDataFrame([(300, 301, "e")], bands.schema))
+    assert [r.g for r in overlapping_bands(more).collect()] == ["e"]
+    with pytest.raises(ValueError, match="overlap"):
+        band_join(ages, more)
+    assert sorted(r.g for r in band_join(ages, more, overlaps="allow").filter("age = 300").collect()) == ["c", "e"]
+    plan = band_join(ages, bands)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
