@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from podium.rules import DASH_CLASS, GENDER_ONLY_CLASS, OPEN_AGE_CLASSES, OPEN_WORDS_CLASS, WORDS_CLASS
+from podium.rules import BRACKET_ANYWHERE, DASH_CLASS, GENDER_ONLY_CLASS, OPEN_AGE_CLASSES, OPEN_WORDS_CLASS, WORDS_CLASS
 
 MALE, FEMALE, NB = "male", "female", "nb"
 
@@ -93,3 +93,11 @@ def age_class_words(c, mid_mode: str = "half_even") -> Column:
     return (F.when(words, F.struct(midpoint(lo, hi, mid_mode).alias("age"), words_div.alias("division")))
             .when(gender_only, F.struct(F.lit(None).cast("int").alias("age"), g_div.alias("division")))
             .when(open_words, F.struct(open_age.alias("age"), open_div.alias("division"))))
+
+
+def age_bracket(c, mid_mode: str = "half_even") -> Column:
+    """Middle of the bracket in 'Long race M 50 to 54 (2)', with any text around it; null without one."""
+    s = _c(c)
+    lo = F.regexp_extract(s, BRACKET_ANYWHERE, 1).try_cast("int")
+    hi = F.regexp_extract(s, BRACKET_ANYWHERE, 2).try_cast("int")
+    return F.when(s.rlike(BRACKET_ANYWHERE), midpoint(lo, hi, mid_mode))

@@ -147,6 +147,18 @@ def dedupe_participation(main: DataFrame, part: DataFrame, event_keys: Sequence[
     return agg.filter((F.col("__has_main") == 0) & F.col("__row").isNotNull()).select(*key, "__row.*")
 
 
+def dedupe_entries(entries: DataFrame, event_keys: Sequence[str] = ("event",), name_keys: Sequence[str] = NAME_KEYS,
+                   prefer: Sequence[str] = ("entry_id",)) -> DataFrame:
+    """E10 on one table of both roles: read and shuffled once, one group limit per name.
+
+    Of a name's entries a main one wins; the names that it wins are dropped, the others keep
+    their preferred participation row.
+    """
+    main = F.col("race_role") == MAIN
+    one = top_one(entries, [*event_keys, *name_keys], [main.desc(), *prefer])
+    return one.filter(~main)
+
+
 def row_type(df: DataFrame, cols: Sequence[str]):
     """Struct type of the named columns of ``df``."""
     from pyspark.sql import types as T

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.text import rstrip_chars
+from podium.operators.joins import null_safe_join
 
 
 def relay_stretch(df: DataFrame, name_cols: Sequence[str], strip: str = "&") -> DataFrame:
@@ -28,9 +29,9 @@ def relay_division(df: DataFrame, class_col: str, lookup: DataFrame,
     """L2: the team class gives the division; a mixed class looks each member up by name.
 
     ``class_map`` maps class text to a division; other classes use ``lookup``
-    (name, division); the planner broadcasts it when its files are small, else shuffles.
+    (name, division; of several divisions of a name the first in order); the planner broadcasts it when its files are small, else shuffles.
     """
-    lk = lookup.select(F.col("name").alias("__lk_name"), F.col("division").alias("__lk_division"))
+    lk = lookup.groupBy(F.col("name").alias("__lk_name")).agg(F.min("division").alias("__lk_division"))
     joined = df.join(lk, df[name_col] == lk["__lk_name"], "left")
     mapped = None
     for cls, div in class_map.items():
@@ -38,3 +39,13 @@ def relay_division(df: DataFrame, class_col: str, lookup: DataFrame,
         mapped = F.when(cond, F.lit(div)) if mapped is None else mapped.when(cond, F.lit(div))
     division = mapped.otherwise(F.col("__lk_division")) if mapped is not None else F.col("__lk_division")
     return joined.withColumn("division", division).drop("__lk_name", "__lk_division")
+
+
+def lookup_division(df: DataFrame, lookup: DataFrame, keys: Sequence[str], name: str = "division") -> DataFrame:
+    """Division by lookup (left join on ``keys``; null where the lookup has none).
+
+    A key that the lookup lists more than once gives one row: its first division in order, so
+    no row is doubled. The planner broadcasts the lookup when it is small, else it shuffles.
+    """
+    one = lookup.groupBy(*keys).agg(F.min(name).alias(name))
+    return null_safe_join(df, one, list(keys), "left")

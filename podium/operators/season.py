@@ -44,19 +44,23 @@ def season_points(points: DataFrame, rules: ScoringRules = CURRENT,
     appears twice, which the unique-racer guard F2 reports), so the points list of a
     racer is bounded by the event list even when one key (say, blank names) holds a
     large share of all rows; both aggregates combine map-side before their shuffle.
-    With ``events`` given, one ``e<event>_points`` column per event is added (null
-    where the racer has no points).
+    With ``events`` given, only they count, one ``e<event>_points`` column per event is added
+    (null where the racer has no points), and the best k are taken from those columns.
     """
+    if events is not None:
+        points = points.filter(F.col("event").isin(*events))
     points = points.groupBy(*keys, "event").agg(F.max("points").alias("points"))
     aggs = [
         F.count("points").alias("n_events"),
-        F.collect_list("points").alias("__pts"),
+        *([F.collect_list("points").alias("__pts")] if events is None else []),
         (F.sum(to_units("points", rules.precision)) / F.lit(float(10 ** rules.precision))).alias("all_points"),
     ]
     for e in events or ():
         aggs.append(F.max(F.when(F.col("event") == F.lit(e), F.col("points"))).alias(event_column(e)))
     agg = points.groupBy(*keys).agg(*aggs)
-    best = best_k_sum(F.col("__pts"), rules.best_k, rules.precision)
+    listed = F.col("__pts") if events is None else F.filter(
+        F.array(*[F.col(event_column(e)) for e in events]).cast("array<double>"), lambda x: x.isNotNull())
+    best = best_k_sum(listed, rules.best_k, rules.precision)
     incentive = step_bonus("n_events", rules.steps)
     return (agg.withColumns({"best_points": best, "incentive": incentive})
             .withColumn("series_points", F.col("best_points") + F.col("incentive"))

@@ -872,3 +872,13 @@ SQL["band_join_many"] = """
 SELECT l_orderkey, l_linenumber, o_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 WHERE l_linenumber <= o_orderkey % 10
 """
+
+BRACKET = "'^.* ([0-9]+) to ([0-9]+) .*'"
+
+SQL["age_bracket"] = with_ctes(LABELS, f"""
+SELECT c_custkey, CAST(CASE WHEN s % 2 = 0 THEN s // 2 WHEN (s // 2) % 2 = 0 THEN s // 2 ELSE s // 2 + 1 END AS INTEGER) AS age,
+       CAST(s // 2 AS INTEGER) AS age_floor
+FROM (SELECT c_custkey, TRY_CAST(regexp_extract(t, {BRACKET}, 1) AS INTEGER)
+                        + TRY_CAST(regexp_extract(t, {BRACKET}, 2) AS INTEGER) AS s
+      FROM (SELECT c_custkey, 'Race 9 to 5 of ' || label || ' end' AS t FROM labels))
+""")

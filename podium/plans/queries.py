@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from podium.functions.division import age_class_dash, age_class_words, division_from_prefix, division_map
+from podium.functions.division import age_bracket, age_class_dash, age_class_words, division_from_prefix, division_map
 from podium.functions.numbers import clock_seconds, first_int, lenient_int, round_half_up
 from podium.functions.text import (capitalize_parts, full_name, split_caps_surname, split_comma_aware,
                                    split_first_last, split_first_rest, split_human)
 from podium.operators.agegroup import age_bands, age_group_winners, band_join
 from podium.operators.clean import (drop_blank, drop_null, drop_status, patch_rows, tag_race_role,
                                     to_results, union_races)
-from podium.operators.event import (consolidate_best, dedupe_participation, field_size, repeat_guard,
+from podium.operators.event import (consolidate_best, dedupe_entries, field_size, repeat_guard,
                                     score_event)
 from podium.operators.place import distributed_rank, place_dense, place_in_division
 from podium.operators.quality import alias_report, find_duplicates, guard_partition, reason_counts
-from podium.operators.relay import relay_division, relay_stretch
+from podium.operators.relay import lookup_division, relay_division, relay_stretch
 from podium.operators.team import (guard_membership, team_event_points, team_event_rows, team_report,
                                    team_standings, team_top_k, unpivot_membership)
 from podium.plans import testbed as tb
@@ -200,10 +200,7 @@ def q_unique_guard(spark, sf_dir):
 
 @register("dedupe_anti")
 def q_dedupe_anti(spark, sf_dir):
-    ent = tb.entries(spark, sf_dir)
-    kept = dedupe_participation(ent.filter(F.col("race_role") == "main"),
-                                ent.filter(F.col("race_role") == "participation"),
-                                event_keys=["event"], prefer=["entry_id"])
+    kept = dedupe_entries(tb.entries(spark, sf_dir))
     return kept.select("event", "division", "first_name", "last_name", "entry_id")
 
 
@@ -238,7 +235,7 @@ def q_lookup_join(spark, sf_dir):
     r = tb.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     lookup = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("division"))
-    return c.join(lookup, "c_nationkey", "left").select("c_custkey", "division")
+    return lookup_division(c, lookup, ["c_nationkey"]).select("c_custkey", "division")
 
 
 def _relay_teams(spark, sf_dir):
@@ -410,6 +407,14 @@ def q_age_class(spark, sf_dir):
                       w["age"].alias("words_age"), w["division"].alias("words_division"))
 
 
+@register("age_bracket")
+def q_age_bracket(spark, sf_dir):
+    """Brackets with text before and behind them."""
+    lab = tb.age_labels(spark, sf_dir)
+    text = F.concat(F.lit("Race 9 to 5 of "), F.col("label"), F.lit(" end"))
+    return lab.select("c_custkey", age_bracket(text).alias("age"), age_bracket(text, "floor").alias("age_floor"))
+
+
 @register("quarantine")
 def q_quarantine(spark, sf_dir):
     lab = tb.age_labels(spark, sf_dir).withColumn("ac", age_class_dash("label"))

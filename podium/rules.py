@@ -38,6 +38,7 @@ OPEN_AGE_CLASSES = (("70+", 70), ("75+", 75), ("12-", 12), ("19-", 19), ("16-",
 DASH_CLASS = r"^([MF])([0-9]{1,3})-([0-9]{1,3})"               # "M50-54 (3)"
 WORDS_CLASS = r"^([MF]) ?([0-9]{1,3}) to ([0-9]{1,3}) \(.+\)"  # "M 50 to 54 (2)"
 GENDER_ONLY_CLASS = r"^(Male|Female) \(.+\)"                   # "Male (3)": age unknown
+BRACKET_ANYWHERE = r"^.* ([0-9]+) to ([0-9]+) .*"               # "Long race M 50 to 54 (2)": any text around
 OPEN_WORDS_CLASS = r"^([MF]) +([0-9]{2})"                      # "M  70 ...": lower bound
 
 # Given names followed by an upper-case surname, e.g. "Anna Maria SMITH-JONES".
