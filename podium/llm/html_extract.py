@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,29 +59,38 @@ BOILERPLATE_NAMES = frozenset(
 
 
 class Element:
-    """An open element: its name, the bins of its kinds and whether a list calls it boilerplate."""
+    """An element: its name, the bins of its kinds and whether a list calls it boilerplate.
 
-    __slots__ = ("name", "bins", "listed", "content", "container")
+    ``listed`` goes by any word of its class and id names, ``named`` by a whole name, its tag or its role.
+    The rest is filled in while a page is read: whether it ``holds`` marked content, whether it is
+    ``shown`` as an event, and what it inherits (see ``_descend``).
+    """
+
+    __slots__ = ("name", "bins", "listed", "named", "content", "container", "holds", "shown", "inside", "boilerplate",
+                 "kept", "outside", "words", "holder", "top", "first")
 
     def __init__(self, name: str, attributes: str):
         self.name = name
-        kinds, names, self.content = [], set(), name in CONTENT
+        kinds, names, whole, self.content = [], set(), False, name in CONTENT
         self.container = name in CONTAINERS
-        self.listed = name in BOILERPLATE_TAGS
+        self.holds = self.shown = False
+        self.named = name in BOILERPLATE_TAGS
         for match in _ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
             what, value = match[1].lower(), (match[2] or "").strip("\"'")
             if what == "hidden" or (what == "aria-hidden" and value == "true"):
-                self.listed = True
+                self.named = True
             elif what == "role":
                 self.content |= value == "main"
-                names |= {value.lower()}
+                self.named |= value.lower() in BOILERPLATE_NAMES
             elif what in ("class", "id"):
                 words = value.split()
                 kinds += [f"{name}.{w}" if what == "class" else f"{name}#{w}" for w in words]
                 for w in words:
+                    whole |= w.lower() in BOILERPLATE_NAMES
                     names.update(x.lower() for x in _NAME.findall(w))
-        if name not in ("html", "body") and not self.content and names & BOILERPLATE_NAMES:
-            self.listed = True
+        plain = name not in ("html", "body") and not self.content
+        self.named |= plain and whole
+        self.listed = self.named or (plain and bool(names & BOILERPLATE_NAMES))
         self.bins = [xxhash.xxh3_64_intdigest(k) % KINDS for k in kinds or [name]]
 
 
@@ -88,6 +98,7 @@ def read_page(page: str) -> Iterator[tuple[str, object]]:
     """Events of a page: ("open", Element), ("close", Element) and ("text", str) per block,
     with the elements properly nested. Text comes decoded, before the tag that ends it."""
     stack: list[Element] = []
+    open_names: Counter = Counter()
     text: list[str] = []
     at, lowered = 0, None
 
@@ -101,7 +112,12 @@ def read_page(page: str) -> Iterator[tuple[str, object]]:
     def close(depth: int) -> Iterator[tuple[str, object]]:
         yield from words()
         while len(stack) > depth:
-            yield "close", stack.pop()
+            element = stack.pop()
+            open_names[element.name] -= 1
+            if stack:
+                stack[-1].holds |= element.holds or element.content
+            if element.shown:
+                yield "close", element
 
     while at < len(page):
         start = page.find("<", at)
@@ -123,12 +139,26 @@ def read_page(page: str) -> Iterator[tuple[str, object]]:
             continue
         name = match[2].lower()
         if match[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
+            depth = None
+            if open_names[name] > 0:
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth].name == name:
+                        break
+                    if name not in BLOCK and stack[depth].name in BLOCK:
+                        depth = None  # an inline end tag closes nothing beyond its block
+                        break
             if depth is not None:
                 if name in BLOCK:
                     yield from close(depth)
-                elif all(x.name not in BLOCK for x in stack[depth:]):
+                else:
+                    for element in stack[depth:]:
+                        open_names[element.name] -= 1
+                        if depth:
+                            stack[depth - 1].holds |= element.holds or element.content
+                    shown = [x for x in stack[depth:] if x.shown]
                     del stack[depth:]
+                    for element in reversed(shown):
+                        yield "close", element
             elif name in BLOCK:
                 yield from words()
             continue
@@ -157,55 +187,66 @@ def read_page(page: str) -> Iterator[tuple[str, object]]:
             continue
         element = Element(name, match[3] or "")
         stack.append(element)
+        open_names[name] += 1
         if name in BLOCK or element.listed:
             yield from words()
+            element.shown = True
             yield "open", element
     yield from close(0)
 
 
-def _blocks(page: str) -> Iterator[tuple[str, object, list[Element]]]:
-    """Events with the open elements above them (those that were announced)."""
+def _descend(element: Element, above: Element | None) -> None:
+    """What an element inherits: whether its path lies in marked content (``inside``) and in listed boilerplate.
+
+    An element that holds marked content is boilerplate only if it is named so, not for a word
+    in a longer name (``has-sidebar``, ``comments-closed``); a header within content is none.
+    """
+    inside = above is not None and above.inside
+    own = (element.named if element.holds else element.listed) and not (inside and element.name in ("header", "hgroup"))
+    element.boilerplate = own or (above is not None and above.boilerplate)
+    element.inside = inside or element.content
+
+
+def _walk(events: list[tuple[str, object]]) -> Iterator[tuple[str, object, Element | None]]:
+    """Events of a whole page with the innermost shown element around them; each element
+    inherits from the one above it when it opens, so a step costs the same at any depth."""
     path: list[Element] = []
-    for kind, what in read_page(page):
+    for kind, what in events:
         if kind == "close":
-            if what in path:
-                path.remove(what)
-                yield kind, what, path
-        else:
-            if kind == "open":
-                yield kind, what, path
-                path.append(what)
-            else:
-                yield kind, what, path
-
-
-def _boilerplate(path: list[Element]) -> bool:
-    """Whether listed boilerplate lies on the path; a header within content is no boilerplate."""
-    inside = False
-    for element in path:
-        if element.listed and not (inside and element.name in ("header", "hgroup")):
-            return True
-        inside |= element.content
-    return False
+            path.pop()
+        yield kind, what, path[-1] if path else None
+        if kind == "open":
+            path.append(what)
 
 
 def count_kinds(page: str, inner: np.ndarray, outer: np.ndarray) -> None:
     """Add the words of a labelled page to bins: words of the content to all elements from the
-    marked one down, others to the highest element above them that holds no content."""
-    found, holders = [], set()
-    for kind, what, path in _blocks(page):
-        if kind == "text":
-            content = any(e.content for e in path) and not _boilerplate(path)
-            holders.update(map(id, path if content else ()))
-            found.append((content, what.count(" ") + 1, list(path)))
-    for content, n, path in found if holders else ():
-        if content:
-            first = next(i for i, e in enumerate(path) if e.content)
-            inner[list({b for e in path[first:] for b in e.bins})] += n
-        else:
-            top = next((e for e in path if id(e) not in holders), None)
-            if top is not None:
-                outer[list(set(top.bins))] += n
+    marked one down (a bin once per word), others to the highest element above them that holds no content."""
+    events = list(read_page(page))
+    any_content = False
+    for kind, what, above in _walk(events):
+        if kind == "open":
+            _descend(what, above)
+            what.words, what.holder = 0, False
+        elif kind == "text" and above is not None and above.inside and not above.boilerplate:
+            above.words += what.count(" ") + 1
+            above.holder = any_content = True
+        elif kind == "close" and above is not None:
+            above.words += what.words
+            above.holder |= what.holder
+    if not any_content:
+        return
+    on_path: Counter = Counter()
+    for kind, what, above in _walk(events):
+        if kind == "open":
+            what.top = above.top if above is not None and above.top is not None else None if what.holder else what
+            what.first = [b for b in set(what.bins) if what.inside and not on_path[b]]
+            on_path.update(what.first)
+            inner[what.first] += what.words
+        elif kind == "close":
+            on_path.subtract(what.first)
+        elif above is not None and not (above.inside and not above.boilerplate) and above.top is not None:
+            outer[list(set(above.top.bins))] += what.count(" ") + 1
 
 
 def learn(pages: DataFrame) -> np.ndarray:
@@ -232,11 +273,10 @@ def extract(page: str | None, weights: np.ndarray) -> str:
     best, best_span = 0.0, (0, 0)
     total, first = 0.0, 0
     kept: list[str | None] = []
-    for kind, what, path in _blocks(page or ""):
-        content = any(e.content or (e.container and min(weights[b] for b in e.bins) > INSIDE)
-                      for e in path)
+    for kind, what, above in _walk(list(read_page(page or ""))):
+        content = above is not None and above.kept
         if kind == "text":
-            outside = _boilerplate(path) or any(_learned_outside(e, weights) for e in path)
+            outside = above is not None and (above.boilerplate or above.outside)
             gain = (what.count(" ") + 1) * (FAINT if outside else 1.0) * (0.0 if outside and content else 1.0)
             if total <= 0:
                 total, first = 0.0, len(kept)
@@ -244,9 +284,14 @@ def extract(page: str | None, weights: np.ndarray) -> str:
             kept.append(None if outside else what)
             if total > best:
                 best, best_span = total, (first, len(kept))
-        else:
-            costly = not content and (what.listed or _learned_outside(what, weights))
-            total -= OUTSIDE_COST if costly else TAG_COST
+            continue
+        away = _learned_outside(what, weights)
+        if kind == "open":
+            _descend(what, above)
+            what.kept = content or what.content or (what.container and min(weights[b] for b in what.bins) > INSIDE)
+            what.outside = away or (above is not None and above.outside)
+        listed = what.named if what.holds else what.listed
+        total -= OUTSIDE_COST if not content and (listed or away) else TAG_COST
     return "\n".join(x for x in kept[slice(*best_span)] if x is not None)
 
 

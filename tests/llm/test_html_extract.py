@@ -71,3 +71,32 @@ def test_page_table_equals_its_articles(spark):
         want[r["page_id"]] = "\n".join(x for x in parts if x)
     got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
     assert got == want
+
+
+def test_an_element_that_holds_the_article_is_no_boilerplate():
+    import numpy as np
+    none = np.zeros(html_extract.KINDS, np.float32)
+    body = "<p>The article text is here and goes on for some words.</p>"
+    want = "The article text is here and goes on for some words."
+    for page in (f'<div class="layout has-sidebar"><article>{body}</article></div>',
+                 f'<div id="page-no-header"><main>{body}</main></div>',
+                 f'<section class="post comments-closed"><article>{body}</article></section>'):
+        assert html_extract.extract(page, none) == want
+    # a part that is named so stays out, even with an article inside
+    comments = '<section class="comments"><article><p>First! A reader comment of some words, and more.</p></article></section>'
+    assert html_extract.extract(f"<main>{body}</main>{comments}", none) == want
+    assert html_extract.extract(f'<div class="has-sidebar"><main>{body}</main><div class="left-sidebar"><p>menu one two</p></div></div>',
+                                none) == want
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    import numpy as np
+    none = np.zeros(html_extract.KINDS, np.float32)
+    inner, outer = np.zeros(html_extract.KINDS, np.int64), np.zeros(html_extract.KINDS, np.int64)
+    page = "<main>" + "<div>word " * 40_000 + "</x></b>" * 2000
+    start = time.process_time()
+    assert html_extract.extract(page, none).count("word") == 40_000
+    html_extract.count_kinds(page, inner, outer)
+    assert inner.max() == 40_000 and time.process_time() - start < 20
