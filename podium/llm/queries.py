@@ -19,7 +19,7 @@ from podium.llm import (
     toxicity,
     url_filter,
 )
-from podium.llm.common import shared_path, table
+from podium.llm.common import shared_path, table, written
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,14 +63,19 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch 0 inserts all documents with estimated counts, batch 1 revises them to exact
-    ones; a repeated commit of batch 0 changes nothing."""
+    """Batch 0 inserts all documents with estimated counts, batch 1 revises the short ones to exact
+    counts, batch 2 the others; batch 3 deletes the documents without a language and batch 4 inserts
+    them again. A repeated commit changes nothing. Each text is tokenised once."""
     docs = table(spark, sf_dir, "documents")
     rollup = token_counts.Rollup(spark, shared_path(spark, "token-counts"))
     first = token_counts.estimated(docs)
+    exact = written(token_counts.counted(docs), "exact-counts")
     rollup.commit(0, token_counts.signed(first, 1))
-    rollup.commit(1, token_counts.signed(first, -1),
-                  token_counts.signed(token_counts.counted(docs), 1))
+    for batch, part in ((1, "chars < 2000"), (2, "chars >= 2000")):
+        rollup.commit(batch, token_counts.signed(first.where(part), -1), token_counts.signed(exact.where(part), 1))
+    unknown = exact.where("lang IS NULL OR lang = 'und'")
+    rollup.commit(3, token_counts.signed(unknown, -1))
+    rollup.commit(4, token_counts.signed(unknown, 1))
     rollup.commit(0, token_counts.signed(first, 1))
     return rollup.totals()
 

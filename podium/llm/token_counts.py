@@ -2,10 +2,14 @@
 
 A change row states that a document's counts were inserted, deleted or revised. Its signed
 rows (+ new, - old) are summed by source, language and tokenizer version before anything is
-stored, so a batch stores one small row per group. A batch is a folder named by its id,
-written in overwrite mode by Spark's committer: repeating a batch, after a lost driver or by
-mistake, replaces the same folder and changes nothing. Totals are the sums over the committed
-batches, without reading documents again.
+stored, so a batch stores one small row per group. A batch is a folder named by its id, which
+Spark's committer marks when it is whole; ids rise. Committing an id again compares the sums and
+changes nothing; other sums under an old id are refused. A folder without its mark, left by a lost
+driver, is not read and is written anew.
+
+Totals are maintained: each commit adds its batch to the totals of the last one and stores them
+with the batch id as high-water mark. A reader takes the totals of the highest mark and adds the batches
+behind it, should a driver have been lost between the two. Documents and older batches are not read again.
 
 Defined cases: null source, language or text are groups and empty texts of their own; a
 revision without a known old count is an insert; repeated rows count once per row; an empty
@@ -61,37 +65,62 @@ def signed(rows: DataFrame, sign: int) -> DataFrame:
                        *[(F.lit(sign) * F.col(c)).cast("long").alias(c) for c in ("tokens", "chars")])
 
 
+SUMS = ("docs", "tokens", "chars")
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    """One row per group with any sum that is not zero."""
+    changed: Column = (F.col("docs") != 0) | (F.col("tokens") != 0) | (F.col("chars") != 0)
+    return rows.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in SUMS]).where(changed)
+
+
 class Rollup:
     """Totals by source, language and tokenizer version below one folder."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _marked(self, key: str) -> list[int]:
+        """Values of the folders ``<key>=<value>`` that are whole, in order."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.globStatus(folder.suffix(f"/{key}=*/_SUCCESS")) or []
+        return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in found)
+
+    def _read(self, key: str, values: list[int]) -> DataFrame:
+        if not values:
+            return self.spark.createDataFrame([], DELTA_SCHEMA)
+        return self.spark.read.schema(DELTA_SCHEMA).parquet(*[f"{self.path}/{key}={v}" for v in values])
+
     def commit(self, batch_id: int, *deltas: DataFrame) -> None:
-        """Commit the signed rows of a batch; committing the same id again replaces it."""
+        """Commit the signed rows of a batch and bring the totals up to it."""
+        batch_id = int(batch_id)
         rows = deltas[0]
         for more in deltas[1:]:
             rows = rows.unionByName(more)
-        sums = rows.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "chars")])
-        changed: Column = (F.col("docs") != 0) | (F.col("tokens") != 0) | (F.col("chars") != 0)
-        (sums.where(changed).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/batch_id={int(batch_id)}"))
+        sums, done = _summed(rows), self.batches()
+        if batch_id in done:
+            own = self._read("batch_id", [batch_id])
+            negated = sums.select(*GROUP, *[(-F.col(c)).alias(c) for c in SUMS])
+            if _summed(own.unionByName(negated)).take(1):
+                raise ValueError(f"batch {batch_id} is committed with other sums")
+            return
+        if done and batch_id < done[-1]:
+            raise ValueError(f"batch {batch_id} comes after batch {done[-1]}: ids must rise")
+        sums.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")  # nothing whole lies there
+        self.totals().write.mode("overwrite").parquet(f"{self.path}/totals_to={batch_id}")
 
     def batches(self) -> list[int]:
-        """Ids of the committed batches (those whose folder has its success marker)."""
-        spark = self.spark
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found = fs.globStatus(folder.suffix("/batch_id=*/_SUCCESS")) or []
-        return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in found)
+        """Ids of the committed batches."""
+        return self._marked("batch_id")
 
     def deltas(self) -> DataFrame:
-        paths = [f"{self.path}/batch_id={b}" for b in self.batches()]
-        if not paths:
-            return self.spark.createDataFrame([], DELTA_SCHEMA)
-        return self.spark.read.schema(DELTA_SCHEMA).parquet(*paths)
+        """The sums of all committed batches."""
+        return self._read("batch_id", self.batches())
 
     def totals(self) -> DataFrame:
-        return (self.deltas().groupBy(*GROUP)
-                .agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "chars")])
-                .where(F.col("docs") != 0))
+        """Current totals: those of the high-water mark and the batches behind it."""
+        mark = self._marked("totals_to")[-1:]
+        behind = [b for b in self.batches() if not mark or b > mark[0]]
+        kept = self._read("totals_to", mark)
+        return _summed(kept.unionByName(self._read("batch_id", behind))) if behind else kept

@@ -229,3 +229,13 @@ def test_rollup_deltas(spark, docs):
             want[(r[3], r[2])] = (a[0] + 1, a[1] + len(ids_of(r[1])), a[2] + len(r[1] or ""))
     assert got == want
     assert rollup.batches() == [0, 1, 2, 3]
+    with pytest.raises(ValueError, match="other sums"):
+        rollup.commit(1, token_counts.signed(exact, 1))
+    # totals of the last mark are lost with the driver: the batches behind the mark before it are added
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{rollup.path}/totals_to=3/_SUCCESS")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(mark, False)
+    rollup.commit(7, token_counts.signed(exact.where("doc_id = 4"), 1))
+    assert rollup.totals().agg(F.sum("docs")).first()[0] == len(ROWS)
+    with pytest.raises(ValueError, match="must rise"):
+        rollup.commit(5, token_counts.signed(exact, 1))
