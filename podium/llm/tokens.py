@@ -23,9 +23,9 @@ from podium.llm.common import blocks
 from podium.llm.spans import span_heads
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-WINDOW = 1 << 20  # bytes whose pieces are found at once
+WINDOW = 2 << 20  # bytes whose pieces are found at once
 LONGEST = 256  # bytes of a piece that is kept
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 64 << 20
 
 # kinds of bytes: borders of pre-tokens lie between letters, digits and signs
 _OTHER, _SPACE, _LETTER, _DIGIT, _SIGN = range(5)
@@ -142,8 +142,8 @@ class TokenEncoder:
             if len(inside):
                 cuts = cuts[~np.isin(cuts, inside)]
             texts = ends[np.searchsorted(ends, low, side="right"):np.searchsorted(ends, high, side="right")]
-            bounds = np.unique(np.concatenate([[start], cuts[(cuts > low) & (cuts <= high)], texts]))
-            bounds = bounds[bounds >= start]
+            bounds = np.sort(np.concatenate([[start], cuts[(cuts > low) & (cuts <= high)], texts]), kind="stable")
+            bounds = bounds[np.concatenate([bounds[1:] != bounds[:-1], [True]]) & (bounds >= start)]
             if len(bounds) > 1:
                 yield bounds
                 start = int(bounds[-1])
