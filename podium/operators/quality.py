@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.operators.joins import spread_join
+
 
 def find_duplicates(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> DataFrame:
     """Q2 (F2, T2, E9): keys that occur more than once, with their count.
@@ -25,17 +27,18 @@ def raise_if_any(offenders: DataFrame, message: str, show: int = 20) -> None:
         raise ValueError(f"{message}: {[r.asDict() for r in sample]}")
 
 
-def alias_report(points: DataFrame, aliases: DataFrame,
-                 keys: Sequence[str] = ("event", "division"), case_insensitive: bool = False) -> DataFrame:
+def alias_report(points: DataFrame, aliases: DataFrame, keys: Sequence[str] = ("event", "division"),
+                 case_insensitive: bool = False, spread: bool = False) -> DataFrame:
     """Q1: scored rows whose name is a known alias, with the preferred name.
 
     Names match exactly by default; ``case_insensitive`` compares lower-cased names
-    (results sometimes carry a lower-case name).
+    (results sometimes carry a lower-case name). ``spread`` deals names that hold a large share
+    of the rows over all tasks.
     """
-    a = aliases.select("alias_fn", "alias_ln", "actual_fn", "actual_ln")
     norm = F.lower if case_insensitive else (lambda c: c)
-    cond = (norm(points.first_name) == norm(a.alias_fn)) & (norm(points.last_name) == norm(a.alias_ln))
-    hits = points.join(a, cond)
+    a = aliases.select(norm(F.col("alias_fn")).alias("__fn"), norm(F.col("alias_ln")).alias("__ln"), "actual_fn", "actual_ln")
+    named = points.withColumns({"__fn": norm(F.col("first_name")), "__ln": norm(F.col("last_name"))})
+    hits = spread_join(named, a, ["__fn", "__ln"]) if spread else named.join(a, ["__fn", "__ln"])
     extra = [c for c in ("division_place", "age") if c in points.columns]
     return hits.select(*keys, "first_name", "last_name", "actual_fn", "actual_ln", *extra)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.numbers import exact_sum, round_half_up, to_units
 from podium.functions.text import split_first_rest
+from podium.operators.joins import spread_join
 from podium.operators.place import distributed_rank, window_rank
 from podium.operators.quality import find_duplicates
 from podium.operators.season import event_column
@@ -97,11 +98,14 @@ def guard_membership(wide: DataFrame, membership: DataFrame, team_col: str = "te
 
 
 def team_event_rows(points: DataFrame, membership: DataFrame,
-                    keys: Sequence[str] = MEMBER_KEYS) -> DataFrame:
-    """members' scored rows (inner join on division and name; null points dropped)."""
+                    keys: Sequence[str] = MEMBER_KEYS, spread: bool = False) -> DataFrame:
+    """members' scored rows (inner join on division and name; null points dropped).
+
+    ``spread`` looks for names that hold a large share of the rows first and deals those over all tasks.
+    """
     members = membership.select("team_name", *keys)
     scored = points.filter(F.col("points").isNotNull())
-    return scored.join(members, list(keys), "inner")
+    return spread_join(scored, members, keys) if spread else scored.join(members, list(keys), "inner")
 
 
 def team_ranked(rows: DataFrame, rules: ScoringRules = CURRENT,

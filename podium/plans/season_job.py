@@ -160,12 +160,12 @@ def run_season(results: DataFrame, events_dim: DataFrame, season: str,
             twice = find_duplicates(membership, ["first_name", "last_name"])
             membership = null_safe_join(membership, twice, ["first_name", "last_name"], "left_anti")
         team_points = points if team_divisions is None else points.filter(F.col("division").isin(*team_divisions))
-        ranked = team_ranked(team_event_rows(team_points, membership), rules)
+        ranked = team_ranked(team_event_rows(team_points, membership, spread=True), rules)
         t_standings = team_standings(team_event_points(ranked, rules), events)
         t_report = team_report(ranked)
 
     winners = age_group_winners(standings, modal_age(collect_ages(points)), age_bands(spark))
-    aliases_out = alias_report(points, aliases) if aliases is not None else None
+    aliases_out = alias_report(points, aliases, spread=True) if aliases is not None else None
     return SeasonOutputs(points, standings, t_standings, t_report, winners, aliases_out,
                          repeats, duplicates, events, violations)
 
