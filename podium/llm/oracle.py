@@ -112,3 +112,127 @@ checked AS (
 SELECT doc_id, item_id, item_windows, max(windows) AS windows, max(slots) AS slots, min(changed) = 0 AS exact
 FROM checked WHERE mappings = slots AND windows >= {d.MIN_SHARE} * item_windows GROUP BY ALL""",
 }
+
+SQL["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+words AS (SELECT doc_id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS HUGEINT) AS n FROM words GROUP BY lang),
+starts AS (SELECT doc_id, lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words),
+grams AS (
+  SELECT doc_id, lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM starts, (VALUES (1), (2), (3), (4), (5)) sizes(k) WHERE i + k - 1 <= len(ws)
+),
+counts AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a, min(doc_id) AS first_doc
+  FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100
+),
+cuts AS (
+  SELECT c.*, j, array_to_string(string_split(c.phrase, ' ')[1:j], ' ') AS head,
+         array_to_string(string_split(c.phrase, ' ')[j + 1:], ' ') AS rest
+  FROM counts c, (VALUES (1), (2), (3), (4)) places(j) WHERE j < c.k
+),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.first_doc, c.j, l.a AS l, r.a AS r, t.n,
+         (1000 * c.a * t.n) // (l.a * r.a) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN counts l ON l.lang = c.lang AND l.phrase = c.head
+  JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest
+),
+lowest AS (
+  SELECT * FROM scored s
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+),
+kept AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM counts o WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.a >= 100 * c.a
+      AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM kept)
+SELECT lang, CAST(place AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, CAST(j AS INTEGER) AS cut, first_doc
+FROM ranked WHERE place <= 2000
+"""
+
+SQL["op11_suffix_array_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+windows AS (
+  SELECT rid, i, md5(substr(hx, 2 * i + 1, 400)) AS h
+  FROM (SELECT rid, hx, unnest(range(0, length(hx) // 2 - 199)) AS i FROM d WHERE length(hx) >= 400)
+),
+repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+starts AS (SELECT rid, i FROM windows SEMI JOIN repeated USING (h)),
+marked AS (
+  SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM starts
+),
+runs AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked),
+spans AS (SELECT rid, run, min(i) AS lo, max(i) + 200 AS hi FROM runs GROUP BY rid, run),
+sums AS (SELECT rid, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid),
+kept AS (
+  SELECT rid, lo AS place, substr(hx, 2 * coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) + 1,
+                               2 * (lo - coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0))) AS part
+  FROM spans JOIN d USING (rid)
+  UNION ALL
+  SELECT rid, length(hx), substr(hx, 2 * coalesce(last_hi, 0) + 1)
+  FROM d LEFT JOIN (SELECT rid, max(hi) AS last_hi FROM spans GROUP BY rid) USING (rid)
+),
+texts AS (SELECT rid, string_agg(part, '' ORDER BY place) AS hx FROM kept GROUP BY rid)
+SELECT d.doc_id, CAST(length(d.hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(texts.hx)) AS kept_sha256
+FROM d JOIN texts USING (rid) LEFT JOIN sums USING (rid)
+"""
+
+SQL["op13_spelling_variants"] = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, step:
+               CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))
+),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+),
+hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], list_transform(range(0, length(hx) // 2), lambda k:
+             CAST('0x' || substr(hx, 2 * k + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM hexed, crc_table
+),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+),
+vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+deleted AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+),
+near AS (
+  SELECT a.word, b.word AS other FROM deleted a JOIN deleted b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM deleted d JOIN vocabulary v ON d.rest = v.word
+  UNION SELECT v.word, d.word FROM deleted d JOIN vocabulary v ON d.rest = v.word
+),
+best AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN vocabulary o ON o.word = other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS reached FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.reached WHERE f.form IS NOT NULL
+)
+SELECT forms.word, forms.form, c.reached AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain c USING (word) JOIN forms last ON last.word = c.reached AND last.form IS NULL
+"""
