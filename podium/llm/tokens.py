@@ -23,9 +23,9 @@ from podium.llm.common import blocks
 from podium.llm.spans import span_heads
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-WINDOW = 2 << 20  # bytes whose pieces are found at once
+WINDOW = 1 << 20  # bytes whose pieces are found at once
 LONGEST = 256  # bytes of a piece that is kept
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 32 << 20
 
 # kinds of bytes: borders of pre-tokens lie between letters, digits and signs
 _OTHER, _SPACE, _LETTER, _DIGIT, _SIGN = range(5)
