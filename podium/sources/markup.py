@@ -6,7 +6,8 @@ No document parser runs on the driver: rows and cells are cut out with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -169,10 +170,21 @@ def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
         F.slice("__names", F.lit(1), F.size("__row")), texts).alias("row"))
 
 
+def _line_test(header_pat: str) -> Callable[[Column], Column]:
+    """Whether a line has a match of ``header_pat``.
+
+    The regex engine recurses once per turn of a repeated group, so a group repeated without end overflows
+    the stack on a long line, which ends the executor. At the end of a pattern the turns beyond the least number
+    change no match into a miss, and are left out.
+    """
+    least = re.sub(r"\)\{(\d+),\}$", r"){\1}", header_pat)
+    return lambda line: line.rlike(least)
+
+
 def without_header(docs: DataFrame, text: str, header_pat: str) -> DataFrame:
     """The documents of which ``text_rows`` yields nothing as no line matches the header."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    return docs.filter(~F.exists(lines, lambda x: x.rlike(header_pat)))
+    return docs.filter(~F.exists(lines, _line_test(header_pat)))
 
 
 def numbered_lines(docs: DataFrame, text: str, header_pat: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -184,7 +196,7 @@ def numbered_lines(docs: DataFrame, text: str, header_pat: str | None = None, ke
     if header_pat is None:
         header = F.lit(0)
     else:
-        header = F.array_position(F.transform(arr, lambda x: x.rlike(header_pat)), F.lit(True)).cast("int") - 1
+        header = F.array_position(F.transform(arr, _line_test(header_pat)), F.lit(True)).cast("int") - 1
         header = F.when(header >= 0, header)
     return docs.select(*keep, header.alias("__hdr"), F.posexplode(arr).alias("line_no", "line"))
 

@@ -47,6 +47,18 @@ def test_text_and_layout_rejects(spark):
         ("f", 1, '["a"]', "1 cells"), ("f", 3, None, "0 cells")], key=str)
 
 
+def test_header_pattern_repeated_on_a_long_line(spark):
+    # a repeated group takes stack per turn: a line of many words ended the executor
+    from podium.sources.markup import text_rows, without_header
+    pattern, long = "^([^ ]+ ){9,}", "w " * 200_000 + "end"
+    docs = spark.createDataFrame([(1, f"{long}\n1 Ann"), (2, "a b c d e f g h i"), (3, "1 2 3 4 5 6 7 8 9 \n2 Bo")], "doc int, t string")
+    got = text_rows(docs, "t", r"^(\d+) (.+)", ["place", "name"], pattern, keep=["doc"]).collect()
+    assert sorted((r.doc, r.line_no, r.place, r.name) for r in got) == [(1, 1, "1", "Ann"), (3, 1, "2", "Bo")]
+    assert [r.doc for r in without_header(docs, "t", pattern).collect()] == [2]
+    out = rejects.text_rejects(docs, "doc", "t", r"^(\d+) (.+)", pattern).select("source", "reason").collect()
+    assert sorted(map(tuple, out)) == [("1", "header"), ("2", "header not found"), ("3", "header")]
+
+
 def test_csv_casts_and_rejects(spark):
     root = tempfile.mkdtemp(prefix="podium-rej-")
     for name, text in (("a", "Place,Name\n1,Ann\nx,Bo\n\n,Cy\n"), ("b", "name\nDee\n")):
