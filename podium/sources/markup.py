@@ -43,8 +43,10 @@ def html_rows(pages: DataFrame, html: str = "html", row_pat: str = TABLE_ROW,
 
 def _character(reference) -> Column:
     """The character of a reference's body (``#233``, ``#xE9``, ``eacute``); null if there is none."""
-    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))],
-                         F.lit("apos"), F.lit("'"))
+    # a lookup goes through the names in order: the usual ones come first
+    known = {**{n: chr(name2codepoint[n]) for n in ("amp", "lt", "gt", "quot", "nbsp")}, "apos": "'",
+             **{n: chr(code) for n, code in sorted(name2codepoint.items())}}
+    names = F.create_map(*[F.lit(x) for item in known.items() for x in item])
     digits = F.regexp_extract(reference, r"^#([0-9]+)$", 1)
     hexes = F.regexp_extract(reference, r"^#[xX]([0-9a-fA-F]+)$", 1)
     code = F.when(digits != "", digits.try_cast("int")).when(hexes != "", F.conv(hexes, 16, 10).try_cast("int"))
@@ -75,12 +77,13 @@ def plain_text(cell) -> Column:
 def _cells(row) -> Column:
     """Cells of a row, one entry per column they span: (text, header, rows they span)."""
     def span(raw, name):
-        n = F.regexp_extract(raw, rf"""(?is)^<[^>]*?\s{name}\s*=\s*["']?\s*([0-9]{{1,9}})""", 1).try_cast("int")
-        return F.greatest(F.least(F.coalesce(n, F.lit(1)), F.lit(SPAN_LIMIT)), F.lit(1))
+        n = F.regexp_extract(raw, rf"""(?is)^<[^>]*?\s{name}\s*=\s*["']?\s*([0-9]{{1,9}})""", 1)
+        # led by a 0, as most cells have none and each failed cast costs an exception
+        return F.greatest(F.least(F.concat(F.lit("0"), n).cast("int"), F.lit(SPAN_LIMIT)), F.lit(1))
 
     def cell(raw):
         entry = F.struct(plain_text(F.regexp_replace(raw, r"(?s)^<[^>]*>", "")).alias("text"),
-                         F.lower(F.substring(raw, 3, 1)).eqNullSafe("h").alias("header"), span(raw, "rowspan").alias("rows"))
+                         F.substring(raw, 3, 1).isin("h", "H").alias("header"), span(raw, "rowspan").alias("rows"))
         return F.array_repeat(entry, span(raw, "colspan"))
 
     return F.flatten(F.transform(F.regexp_extract_all(row, F.lit(GRID_CELL), 0), cell))
@@ -124,9 +127,9 @@ def grid(rows) -> Column:
             _grid_row(state["above"], cells),
             lambda g: F.struct(g.alias("above"), F.array_append(state["done"], g).alias("done"))))
 
-    folded = F.aggregate(rows, start, step, lambda s: s["done"])
-    return (F.when(F.exists(rows, lambda r: r.rlike(r"(?is)\srowspan\s*=")), folded)
-            .otherwise(F.transform(rows, lambda r: _cells(r).cast(f"array<{_ENTRY}>"))))
+    return bind(rows, lambda all_: (
+        F.when(F.exists(all_, lambda r: r.rlike(r"(?is)\srowspan\s*=")), F.aggregate(all_, start, step, lambda s: s["done"]))
+        .otherwise(F.transform(all_, lambda r: _cells(r).cast(f"array<{_ENTRY}>")))))
 
 
 def column_names(header, width) -> Column:
@@ -147,9 +150,16 @@ def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
     ``column_names``) to plain text by position in the grid, row headers included; a cell beyond
     the header is named by its column's number. ``row_no`` counts a table's body rows from 0.
     A table inside another one's cell is not told apart from it.
+
+    The work is in the cells, not in the bytes: pages are dealt out over the shuffle partitions, as a
+    grouped or small input may come in one. The outer forms of ``explode`` keep the optimizer from
+    filtering on what is exploded, which would lay out every grid several times more.
     """
-    page = F.regexp_replace(F.col(html), COMMENT, "")
-    tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(page, F.lit(TABLE), 1)).alias("table_no", "__table"))
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    page = F.regexp_replace(F.col("__html"), COMMENT, "")
+    tables = pages.select(*keep, F.col(html).alias("__html")).repartition(parts).select(
+        *keep, F.posexplode_outer(F.regexp_extract_all(page, F.lit(TABLE), 1)).alias("table_no", "__table"))
+    tables = tables.filter(F.col("__table").isNotNull())
     body = F.regexp_replace(F.regexp_replace(F.col("__table"), HEAD, ""), FOOT, "")
     rows = lambda part: F.regexp_extract_all(part, F.lit(GRID_ROW), 1)
     grids = tables.select(
@@ -164,7 +174,7 @@ def html_table(pages: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
         F.slice("__body", F.col("__lead") + 1, F.size("__body")).alias("__body"))
     width = F.array_max(F.transform(F.concat("__head", "__body"), lambda r: F.size(r)))
     named = parts.withColumn("__names", column_names(F.col("__head"), F.coalesce(width, F.lit(0)))).select(
-        *keep, "table_no", "__names", F.posexplode("__body").alias("row_no", "__row"))
+        *keep, "table_no", "__names", F.posexplode_outer("__body").alias("row_no", "__row")).filter(F.col("__row").isNotNull())
     texts = F.transform("__row", lambda c: c["text"])
     return named.select(*keep, "table_no", "row_no", F.map_from_arrays(
         F.slice("__names", F.lit(1), F.size("__row")), texts).alias("row"))

@@ -165,6 +165,18 @@ def test_html_tables_odd_input(spark):
     assert _tables(spark, "<table><tr><td>1</td></tr></table>") == [(0, 0, {"column 1": "1"})]
 
 
+def test_html_grids_are_laid_out_once_in_all_partitions(spark):
+    # a filter on what is exploded held all grids again, and a grouped input was parsed in one task
+    from podium.sources.markup import GRID_CELL, html_table
+    pages = spark.createDataFrame([(i, f"<table><tr><th>A<tr><td>{i}<tr><td rowspan=0>x</table>") for i in range(64)]
+                                  + [(64, None), (65, "<table><tr></tr></table>")], "id int, html string").coalesce(1)
+    rows = html_table(pages, keep=["id"])
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count(GRID_CELL) <= 4
+    assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = sorted((r.id, r.row_no, r.row["A"]) for r in rows.collect())
+    assert got == sorted((i, n, v) for i in range(64) for n, v in ((0, str(i)), (1, "x")))
+
+
 def test_references_decode_in_one_pass(spark):
     from podium.sources.markup import decode_references
     cases = {"a &amp;lt; &#38;lt; b": "a &lt; &lt; b", "&#128512;&#x41;": "\U0001f600A", "&#0; &#xD800; &#9999999;": "&#0; &#xD800; &#9999999;",
