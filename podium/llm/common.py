@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import itertools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Hands memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task`` over batches, with ``release`` at its end: a Python worker outlives its task and would
+    hold the memory while the executor runs the next stages."""
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        release()
+
+    return run
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of a column as text, modulo ``modulus`` (null when the column is null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

@@ -31,10 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import PieceTable, blocks, written
+from podium.llm.common import PieceTable, blocks, releasing, written
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9998, 128
 BLOCK = 192
+CHARS, MEMO = 500_000, 150_000  # characters whose n-grams are made at once, words a task remembers
 _WORD = re.compile(r"\w+")
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
@@ -65,7 +66,7 @@ class Shingler:
     """Sorted distinct n-gram hashes of texts."""
 
     def __init__(self, ngram: int = NGRAM):
-        self.ngram, self.memo = ngram, PieceTable(_word_hashes, np.uint64)
+        self.ngram, self.memo = ngram, PieceTable(_word_hashes, np.uint64, MEMO)
 
     def sets(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(row numbers, set sizes, concatenated sets) per block; a row lies in one block."""
@@ -91,7 +92,7 @@ class Shingler:
             first[1:] = (state[1:] != state[:-1]) | (owner[1:] != owner[:-1])
             return rows, np.bincount(owner[first], minlength=len(rows)), state[first]
 
-        for part, rows in blocks(texts):
+        for part, rows in blocks(texts, CHARS):
             values, counts = self.memo.flat([x.lower().split() for x in part])
             for row, words in zip(rows, np.split(values, np.cumsum(counts)[:-1])):
                 if held and row == last:
@@ -145,7 +146,7 @@ def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes),
                  pa.array(found, pa.list_(pa.int64()))], ["doc_id", "set_key", "n_grams", "bands"])
 
-    return docs.mapInArrow(sign, "doc_id long, set_key binary, n_grams long, bands array<long>")
+    return docs.mapInArrow(releasing(sign), "doc_id long, set_key binary, n_grams long, bands array<long>")
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def _verified(dealt: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 [batch.column("rep"), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
                 ["rep", "set_key", "grams"])
 
-    sets = written(texts.mapInArrow(to_sets, "rep long, set_key binary, grams binary"), "jaccard-sets")
+    sets = written(texts.mapInArrow(releasing(to_sets), "rep long, set_key binary, grams binary"), "jaccard-sets")
 
     def verify(batches):
         held: list[dict] = []
@@ -278,7 +279,7 @@ def _verified(dealt: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
     return (dealt.join(sets, ["rep", "set_key"]).repartition(parts, "key").sortWithinPartitions("key", "rep")
             .select("rep", "bands", "mine", "key", "band", "cross", "grams")
-            .mapInArrow(verify, "src long, links long, dst long"))
+            .mapInArrow(releasing(verify), "src long, links long, dst long"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import PieceTable, blocks, crc_mod
+from podium.llm.common import PieceTable, blocks, crc_mod, release, releasing
 
 FEATURES = 1 << 18
 POSITIVES, UNLABELLED = 4000, 8000
@@ -108,7 +108,7 @@ def _sample(rows: DataFrame, n: int) -> list[np.ndarray]:
                                 "signature": [_signature(x or "") for x in batch["text"]]})
 
     picked = (rows.select(F.xxhash64("doc_id", "text").alias("hash"), "text")
-              .mapInPandas(to_bins, "hash long, bins binary, signature array<long>"))
+              .mapInPandas(releasing(to_bins), "hash long, bins binary, signature array<long>"))
     seen: set[tuple[int, int]] = set()
     kept = []
     for row in sorted(picked.collect(), key=lambda r: (r["hash"], r["bins"]))[:n]:
@@ -199,6 +199,8 @@ def score_column(model: Model, text: Column) -> Column:
         own, pieces = Model(*shared.value), PieceTable(_bins, np.int32)
         for texts in batches:
             yield pd.Series(own.scores(texts.tolist(), pieces))
+        pieces = None
+        release()
 
     return score(text)
 

@@ -113,3 +113,35 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(a, b) for a, b in zip(ids, ids[1:])] + [(500, 501)], "src long, dst long")
     got = {r["node"]: r["class_id"] for r in jaccard.components(edges).collect()}
     assert got == {**{i: 0 for i in ids}, 500: 500, 501: 500}
+
+
+def test_tasks_hand_free_memory_back(spark):
+    # idle Python workers kept what the join had used while the next stage ran
+    import psutil
+    from podium.llm.common import releasing
+
+    def fill(batches):
+        rows = [bytes(100) + str(i).encode() for i in range(2_000_000)]
+        keep = [rows[-1]]  # the last of the heap stays in use
+        rows = None
+        yield from (b for b in batches if keep)
+
+    held = psutil.Process()
+    list(releasing(fill)(iter([1])))
+    before = held.memory_info().rss
+    assert list(releasing(fill)(iter([1, 2]))) == [1, 2]
+    assert held.memory_info().rss - before < 100 << 20
+
+
+def test_sets_do_not_depend_on_block_and_memo(monkeypatch):
+    from podium.llm import jaccard
+    texts = [" ".join(f"w{i * j % 97}" for j in range(n)) for i, n in enumerate([3, 400, 0, 7, 2000, 5])] + [None]
+
+    def sets():
+        return {int(o): v.tolist() for owner, counts, values in jaccard.Shingler().sets(texts)
+                for o, v in zip(owner, np.split(values, np.cumsum(counts)[:-1]))}
+
+    whole = sets()
+    monkeypatch.setattr(jaccard, "CHARS", 50)
+    monkeypatch.setattr(jaccard, "MEMO", 3)
+    assert sets() == whole
