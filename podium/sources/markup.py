@@ -202,13 +202,18 @@ def numbered_lines(docs: DataFrame, text: str, header_pat: str | None = None, ke
 
     The header is the first line matching ``header_pat`` (null if none does), by default line 0.
     """
-    arr = F.split(F.col(text), "\n")
-    if header_pat is None:
-        header = F.lit(0)
-    else:
-        header = F.array_position(F.transform(arr, _line_test(header_pat)), F.lit(True)).cast("int") - 1
-        header = F.when(header >= 0, header)
-    return docs.select(*keep, header.alias("__hdr"), F.posexplode(arr).alias("line_no", "line"))
+    def numbered(lines):
+        def entries(header):
+            return F.transform(lines, lambda x, i: F.struct(header.alias("__hdr"), i.alias("line_no"), x.alias("line")))
+
+        if header_pat is None:
+            return entries(F.lit(0))
+        found = F.array_position(F.transform(lines, _line_test(header_pat)), F.lit(True)).cast("int")
+        return bind(bind(found, lambda n: F.when(n > 0, n - 1)), entries)
+
+    # the header is bound inside what is exploded: as a column of its own, the optimizer would move its search
+    # behind the explode, where it runs through the whole document for each line
+    return docs.select(*keep, F.explode(bind(F.split(F.col(text), "\n"), numbered)).alias("__line")).select(*keep, "__line.*")
 
 
 def text_rows(docs: DataFrame, text: str, line_pat: str, names: Sequence[str],

@@ -59,6 +59,20 @@ def test_header_pattern_repeated_on_a_long_line(spark):
     assert sorted(map(tuple, out)) == [("1", "header"), ("2", "header not found"), ("3", "header")]
 
 
+def test_header_is_searched_once_per_document(spark):
+    # behind the explode, the search would run through all lines of the document for each of them
+    from podium.sources.markup import text_rows
+    pattern = "^(HEAD ){2,}"
+    docs = spark.createDataFrame([(1, "x\nHEAD HEAD \n1 Ann\nBo\n2 Cy"), (2, "1 Dee"), (3, None), (4, "")], "doc int, t string")
+    rows = text_rows(docs, "t", r"^(\d+) (.+)", ["place", "name"], pattern, keep=["doc"])
+    out = rejects.text_rejects(docs, "doc", "t", r"^(\d+) (.+)", pattern)
+    for df in (rows, out):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("HEAD") == 1
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, "1", "Ann"), (1, 4, "2", "Cy")]
+    assert [(r.source, r.line_no, r.reason) for r in out.collect()] == [
+        ("1", 0, "before header"), ("1", 1, "header"), ("1", 3, "no match"), ("2", 0, "header not found"), ("4", 0, "header not found")]
+
+
 def test_csv_casts_and_rejects(spark):
     root = tempfile.mkdtemp(prefix="podium-rej-")
     for name, text in (("a", "Place,Name\n1,Ann\nx,Bo\n\n,Cy\n"), ("b", "name\nDee\n")):
