@@ -6,15 +6,20 @@ found in numpy on the texts' bytes: before a lone space, around a lone line end,
 (or Latin-1) letters, ASCII digits and ASCII signs; nothing is cut next to other characters, in
 white space or behind an apostrophe. Equal pieces of a block are found by their bytes, and each distinct one
 is encoded once; a memo keeps the ids of short pieces. Both block and memo are bounded by
-bytes, and a long piece is encoded by itself and kept nowhere. The string of an added token in a text gets that token's id, as in
-the library with ``add_special_tokens=False``.
+bytes, and a long piece is encoded by itself and kept nowhere. A piece that is one pre-token for sure (letters or
+digits, with or without a space before) goes straight to the library's model, without another search for
+added tokens and pre-tokens; only a plain byte-level vocabulary is used in that way. The string of an added
+token in a text gets that token's id, as in the library with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
+import json
+import operator
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +41,23 @@ _KIND[range(48, 58)] = _DIGIT
 _KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = _SIGN
 _APOSTROPHE = ord("'")
 
+# pieces of one pre-token: ASCII or Latin-1 letters, or ASCII digits, behind one space or none
+_ONE = re.compile(rb" ?(?:(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+|[0-9]+)")
+# what may be a part of such a piece
+_PART = re.compile(rb"[ A-Za-z0-9\x80-\xFF]+")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = sorted(set(range(256)) - set(shown))
+    return dict(zip(shown, shown)) | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_CHARACTERS = _byte_characters()
+_ID = operator.attrgetter("id")
+_CHARACTERS_END = chr(_CHARACTERS[ord("\n")])
+
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     """Place of a public vocabulary file on the machine that runs the task."""
@@ -77,6 +99,7 @@ class TokenEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = sorted({t.content.encode() for t in added if t.content})
+        self.model = self.tokenizer.model if self._plain() else None
         self.memo_bytes = memo_bytes
         self._reset()
 
@@ -87,25 +110,47 @@ class TokenEncoder:
         self.lengths = np.zeros(0, np.int64)
         self.values = np.zeros(0, np.uint32)
 
-    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+    def _plain(self) -> bool:
+        """Whether ``_ONE`` holds what the library passes to its model as it stands, byte by byte."""
+        cutter = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        return (cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True)
+                and self.tokenizer.normalizer is None and self.tokenizer.truncation is None
+                and self.tokenizer.padding is None and not any(map(_PART.fullmatch, self.added)))
+
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of short pieces, how many each has, and the order in which the pieces come."""
+        one = np.fromiter(map(bool, map(_ONE.fullmatch, pieces)), bool, len(pieces)) & (self.model is not None)
+        order = np.argsort(~one, kind="stable")
+        plain, other = np.split(order, [np.count_nonzero(one)])
+        names = b"\n".join([pieces[i] for i in plain.tolist()]).decode("latin-1").translate(_CHARACTERS)
+        found = list(map(self.model.tokenize, names.split(_CHARACTERS_END))) if len(plain) else []
+        ids = list(map(_ID, itertools.chain.from_iterable(found)))
+        rest = self._whole_ids([pieces[i] for i in other.tolist()])
+        ids.extend(itertools.chain.from_iterable(rest))
+        lengths = np.fromiter(map(len, itertools.chain(found, rest)), np.int64, len(pieces))
+        return np.array(ids, np.uint32), lengths, order
+
+    def _whole_ids(self, pieces: list[bytes]) -> list[list[int]]:
         texts = [p.decode() for p in pieces]
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [] if not texts else [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _codes(self, pieces: list[bytes]) -> np.ndarray:
         """Memo numbers of distinct short pieces; new ones are encoded."""
         if self.size > self.memo_bytes:
             self._reset()
-        new = [p for p in pieces if p not in self.index]
-        if new:
-            found = self._ids(new)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
+        codes = np.fromiter(map(self.index.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            new = [pieces[i] for i in unknown.tolist()]
+            flat, lengths, order = self._ids(new)
+            new = [new[i] for i in order.tolist()]
+            codes[unknown[order]] = np.arange(len(self.index), len(self.index) + len(new))
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.size += sum(map(len, new)) + 150 * len(new) + 4 * int(lengths.sum())
             self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
             self.values = np.concatenate([self.values, flat])
-        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        return codes
 
     def _pieces(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rising spans of ``data`` in order, and how many each has; none is long."""
@@ -134,8 +179,10 @@ class TokenEncoder:
         view = np.frombuffer(data, np.uint8)
         total, start = int(ends[-1]) if len(ends) else 0, 0
         inside = self._inside_added(data)
-        for low in range(0, total, WINDOW):
-            high = min(total, low + WINDOW)
+        # windows of equal size, none of which is a small rest
+        step = -(-total // max(1, round(total / WINDOW)))
+        for low in range(0, total, max(1, step)):
+            high = min(total, low + step)
             # a border depends on the bytes around it; those of the neighbouring windows count
             near = max(0, low - 4)
             cuts = borders(view[near:min(total, high + 4)]) + near
@@ -166,7 +213,7 @@ class TokenEncoder:
                     values.append(ids)
                     np.add.at(counts, text[first:last], lengths)
                 if i is not None:
-                    ids = np.array(self._ids([data[starts[i]:stops[i]]])[0], np.uint32)
+                    ids = np.array(self._whole_ids([data[starts[i]:stops[i]]])[0], np.uint32)
                     values.append(ids)
                     counts[text[i]] += len(ids)
         return (np.concatenate(values) if values else np.zeros(0, np.uint32)), counts[:-1]

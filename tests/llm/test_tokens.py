@@ -74,6 +74,46 @@ def test_borders_of_all_kinds_are_sure(monkeypatch):
             assert ids[at[i]:at[i + 1]].tolist() == want[i], repr(text)
 
 
+def test_single_pre_tokens_go_to_the_model(monkeypatch):
+    rng = random.Random(5)
+    letters = [*"abcxyzABCXYZ", *map(chr, range(0xC0, 0x100))]  # the two signs among them are no letters
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(50)) + f" {rng.randint(0, 10**9)}7 x1"
+             for _ in range(200)]
+    encoder, whole = TokenEncoder(), []
+    monkeypatch.setattr(encoder, "_whole_ids", lambda pieces, f=encoder._whole_ids: whole.extend(pieces) or f(pieces))
+    ids, counts = encoder.encode(texts, len(texts))
+    at = np.concatenate([[0], np.cumsum(counts)])
+    for i, text in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == ids_of(text), repr(text)
+    assert whole and all("\u00d7" in p or "\u00f7" in p for p in map(bytes.decode, whole))
+
+
+def test_other_vocabularies_take_the_whole_tokenizer(tmp_path):
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    changes = [lambda t: t.add_tokens([AddedToken("word")]), lambda t: setattr(t, "normalizer", normalizers.Lowercase()),
+               lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)),
+               lambda t: t.enable_truncation(1)]
+    for i, change in enumerate(changes):
+        other = Tokenizer.from_file(vocabulary_path())
+        change(other)
+        other.save(str(tmp_path / f"{i}.json"))
+        encoder = TokenEncoder(str(tmp_path / f"{i}.json"))
+        assert encoder.model is None
+        text = "Swordfish"
+        assert encoder.encode([text], 1)[0].tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from podium.llm.common import row_slices
+    texts = ["a" * 70, None, "", "\u00e9" * 60, "b" * 500, "c", "d" * 99, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts, pa.string())], ["n", "text"])
+    got = [x.column("n").to_pylist() for x in row_slices([batch, batch.slice(0, 0), batch.slice(6)], "text", 100)]
+    assert got == [[0, 1, 2, 3], [4], [5, 6], [7], [6, 7]]
+
+
 def test_memory_of_the_memo_is_bounded_by_bytes():
     encoder = TokenEncoder(memo_bytes=300_000)
     rng = random.Random(3)
