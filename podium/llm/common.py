@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,19 @@ def blocks(texts: Iterable[str | None], size: int = 2_000_000) -> Iterator[tuple
         yield part, rows
 
 
+def row_slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in runs of about ``size`` bytes of text in ``column``, whole rows in order.
+
+    A batch holds rows by their number; what is made of one run at a time stays small however long the rows are.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        run = (np.cumsum(lengths, dtype=np.int64) - lengths) // size
+        cuts = [*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), batch.num_rows]
+        for first, last in itertools.pairwise(cuts):
+            yield batch.slice(first, last - first)
+
+
 class PieceTable:
     """Memo of a function from text pieces to integer lists, applied to whole batches.
 

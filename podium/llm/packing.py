@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import written
+from podium.llm.common import releasing, row_slices, written
 from podium.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 LENGTH = 1024
@@ -41,7 +41,7 @@ def tokenized(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY,
     def encode(batches):
         tokens, part = encoder(vocabulary), TaskContext.get().partitionId()
         runs: dict[str | None, int] = {}
-        for batch in batches:
+        for batch in row_slices(batches, "text"):
             n = batch.num_rows
             ids, counts = tokens.encode(batch.column("text").to_pylist(), n, end_id)
             sources = batch.column("source").to_pylist()
@@ -59,7 +59,7 @@ def tokenized(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY,
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").alias("text"),
-                       F.col("source").cast("string").alias("source")).mapInArrow(encode, _IDS_SCHEMA)
+                       F.col("source").cast("string").alias("source")).mapInArrow(releasing(encode), _IDS_SCHEMA)
 
 
 class Schedule:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.llm import simple8b
+from podium.llm.common import row_slices
 from podium.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 SEGMENT = 1 << 16
@@ -37,7 +38,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = DEFAULT_VOCA
 
     def encode(batches):
         tokens, part, base = encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in row_slices(batches, "text"):
             doc_ids = batch.column("doc_id").to_pylist()
             ids, counts = tokens.encode(batch.column("text").to_pylist(), len(doc_ids), end_id)
             bounds = np.concatenate([[0], np.cumsum(counts)])
