@@ -5,8 +5,8 @@ those of its pieces in order wherever the cuts between pieces are borders of pre
 found in numpy on the texts' bytes: before a lone space, around a lone line end, and between ASCII
 (or Latin-1) letters, ASCII digits and ASCII signs; nothing is cut next to other characters, in
 white space or behind an apostrophe. Equal pieces of a block are found by their bytes, and each distinct one
-is encoded once; a memo keeps the ids of short pieces. Both block and memo are bounded by
-bytes, and a long piece is encoded by itself and kept nowhere. A piece that is one pre-token for sure (letters or
+is encoded once; a memo in arrays keeps the ids of short pieces, and beyond its limit those of pieces met again.
+Both block and memo are bounded by bytes, and a long piece is encoded by itself and kept nowhere. A piece that is one pre-token for sure (letters or
 digits, with or without a space before) goes straight to the library's model, without another search for
 added tokens and pre-tokens; only a plain byte-level vocabulary is used in that way. The string of an added
 token in a text gets that token's id, as in the library with ``add_special_tokens=False``.
@@ -25,7 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 from podium.llm.common import blocks
-from podium.llm.spans import span_heads
+from podium.llm.spans import SpanMemo, span_hashes, span_heads
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 WINDOW = 1 << 20  # bytes whose pieces are found at once
@@ -100,15 +100,17 @@ class TokenEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = sorted({t.content.encode() for t in added if t.content})
         self.model = self.tokenizer.model if self._plain() else None
-        self.memo_bytes = memo_bytes
-        self._reset()
+        self.memo = SpanMemo(memo_bytes)
 
-    def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.size = 0
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.values = np.zeros(0, np.uint32)
+    @property
+    def size(self) -> int:
+        """Bytes of the memo."""
+        return self.memo.size
+
+    @property
+    def index(self) -> list[bytes]:
+        """The pieces in the memo."""
+        return self.memo.strings()
 
     def _plain(self) -> bool:
         """Whether ``_ONE`` holds what the library passes to its model as it stands, byte by byte."""
@@ -134,35 +136,26 @@ class TokenEncoder:
         texts = [p.decode() for p in pieces]
         return [] if not texts else [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _codes(self, pieces: list[bytes]) -> np.ndarray:
+    def _codes(self, data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Memo numbers of distinct short pieces; new ones are encoded."""
-        if self.size > self.memo_bytes:
-            self._reset()
-        codes = np.fromiter(map(self.index.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        self.memo.shrink()
+        codes = self.memo.find(data, starts, ends, hashes)
         unknown = np.flatnonzero(codes < 0)
         if len(unknown):
-            new = [pieces[i] for i in unknown.tolist()]
+            new = [data[a:b] for a, b in zip(starts[unknown].tolist(), ends[unknown].tolist())]
             flat, lengths, order = self._ids(new)
-            new = [new[i] for i in order.tolist()]
-            codes[unknown[order]] = np.arange(len(self.index), len(self.index) + len(new))
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.size += sum(map(len, new)) + 150 * len(new) + 4 * int(lengths.sum())
-            self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.values = np.concatenate([self.values, flat])
+            unknown = unknown[order]
+            codes[unknown] = self.memo.add([new[i] for i in order.tolist()], hashes[unknown], flat, lengths)
         return codes
 
     def _pieces(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rising spans of ``data`` in order, and how many each has; none is long."""
-        head = span_heads(data, starts, ends)
+        hashes = span_hashes(data, starts, ends)
+        head = span_heads(data, starts, ends, hashes)
         first = head == np.arange(len(head))
         distinct = np.flatnonzero(first)
-        codes = self._codes([data[a:b] for a, b in zip(starts[distinct].tolist(), ends[distinct].tolist())])
-        codes = codes[(np.cumsum(first) - 1)[head]]
-        lengths = self.lengths[codes]
-        last = np.cumsum(lengths)
-        at = np.repeat(self.starts[codes] - (last - lengths), lengths) + np.arange(int(last[-1]) if len(last) else 0)
-        return self.values[at], lengths
+        codes = self._codes(data, starts[distinct], ends[distinct], hashes[distinct])
+        return self.memo.lists(codes[(np.cumsum(first) - 1)[head]])
 
     def _inside_added(self, data: bytes) -> np.ndarray:
         """Places inside the string of an added token, where nothing is cut."""

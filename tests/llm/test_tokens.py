@@ -122,6 +122,33 @@ def test_memory_of_the_memo_is_bounded_by_bytes():
         assert encoder.size < 900_000 and max(map(len, encoder.index)) <= 256
 
 
+def test_pieces_met_again_stay_in_the_memo(monkeypatch):
+    encoder, encoded, held = TokenEncoder(memo_bytes=300_000), [], 0
+    monkeypatch.setattr(encoder, "_ids", lambda pieces, f=encoder._ids: encoded.extend(pieces) or f(pieces))
+    rng = random.Random(4)
+    usual = [f"usual{''.join(rng.choices('abcdefghij', k=6))}" for _ in range(500)]
+    for _ in range(40):  # far more rare words than the memo holds
+        rare = ["".join(rng.choices("klmnopqrst", k=9)) for _ in range(1500)]
+        text = " ".join(["x", *usual, *rare])
+        assert encoder.encode([text], 1)[0].tolist() == ids_of(text)
+        held = max(held, len(encoder.index))
+    assert sorted(p for p in encoded if p.startswith(b" usual")) == sorted(f" {w}".encode() for w in usual)
+    assert len(encoded) > 50_000 and held > 3000
+
+
+def test_pieces_of_equal_hash_are_told_apart(monkeypatch):
+    from podium.llm import tokens
+    monkeypatch.setattr(tokens, "span_hashes", lambda data, a, b, f=tokens.span_hashes: f(data, a, b) & np.uint64(7))
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["one", "two", "One", "Three", "straße", "1234", "x.", "\u65e5"], k=30)) + f" {i} q{i}" for i in range(300)]
+    encoder = TokenEncoder(memo_bytes=4000)
+    for first in range(0, 300, 20):
+        part = texts[first:first + 20]
+        ids, counts = encoder.encode(part, len(part))
+        assert ids.tolist() == [i for t in part for i in ids_of(t)]
+        assert counts.tolist() == [len(ids_of(t)) for t in part]
+
+
 def test_added_tokens_keep_their_id():
     from tokenizers import Tokenizer
 
